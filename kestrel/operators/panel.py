@@ -99,16 +99,18 @@ def market_return(df: DataFrame, d: str = "d", ret: str = "ret", out: str = "mkt
     return df.groupBy(d).agg(F.avg(ret).alias(out))
 
 
-def long_short_normalize(df: DataFrame, d: str, raw: str, out: str = "w") -> DataFrame:
-    """Scale so positive raws sum to 1 and negative raws sum to -1 per date."""
-    sums = df.groupBy(d).agg(
+def long_short_normalize(df: DataFrame, d, raw: str, out: str = "w") -> DataFrame:
+    """Scale so positive raws sum to 1 and negative raws sum to -1 per date
+    (``d`` may be a list of keys, e.g. [power, d])."""
+    keys = [d] if isinstance(d, str) else list(d)
+    sums = df.groupBy(*keys).agg(
         F.sum(F.when(F.col(raw) > 0, F.col(raw))).alias("_lsum"),
         F.sum(F.when(F.col(raw) < 0, -F.col(raw))).alias("_ssum"))
     r = F.col(raw)
     w = (F.when(r > 0, r / F.col("_lsum"))
           .when(r < 0, r / F.col("_ssum"))
           .otherwise(r))
-    return df.join(sums, d).withColumn(out, w).drop("_lsum", "_ssum")
+    return df.join(sums, keys).withColumn(out, w).drop("_lsum", "_ssum")
 
 
 def excess_returns(df: DataFrame, d: str = "d", ret: str = "ret", out: str = "excess") -> DataFrame:
@@ -117,14 +119,24 @@ def excess_returns(df: DataFrame, d: str = "d", ret: str = "ret", out: str = "ex
 
 
 def contrarian_weights(df: DataFrame, d: str = "d", ret: str = "ret", power: float | None = None,
-                       fill_zero: bool = False, out: str = "w") -> DataFrame:
-    """w ~ -(r - mean r) (or -sign*|.|^power), longs sum to 1, |shorts| to 1."""
+                       fill_zero: bool = False, out: str = "w", powers: list[float] | None = None) -> DataFrame:
+    """w ~ -(r - mean r) (or -sign*|.|^power), longs sum to 1, |shorts| to 1.
+
+    ``powers`` builds the whole power family at once (column ``p``)."""
     ex = excess_returns(df, d, ret)
     e = F.col("excess")
-    if fill_zero:
+    if fill_zero or powers is not None:
         e = F.coalesce(e, F.lit(0.0))
-    raw = -e if power is None else -F.signum(e) * F.pow(F.abs(e), F.lit(power))
-    return long_short_normalize(ex.withColumn("_raw", raw), d, "_raw", out).drop("_raw")
+    keys = [d]
+    if powers is not None:
+        ex = expand(ex, "p", [float(x) for x in powers])
+        raw = -F.signum(e) * F.pow(F.abs(e), F.col("p"))
+        keys = ["p", d]
+    elif power is None:
+        raw = -e
+    else:
+        raw = -F.signum(e) * F.pow(F.abs(e), F.lit(power))
+    return long_short_normalize(ex.withColumn("_raw", raw), keys, "_raw", out).drop("_raw")
 
 
 def expand(df: DataFrame, name: str, values: list) -> DataFrame:

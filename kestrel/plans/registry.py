@@ -17,7 +17,7 @@ BENCH: list[str] = []
 def _round_sql(sql: str, cols: dict[str, int]) -> str:
     if not cols:
         return sql
-    repl = ", ".join(f"round({c}, {dp}) + 0.0 AS {c}" for c, dp in cols.items())
+    repl = ", ".join(f"round({c} * 1e{dp}) / 1e{dp} + 0.0 AS {c}" for c, dp in cols.items())
     return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS _q"
 
 
@@ -32,8 +32,11 @@ def query(name: str, sql: str | None = None, rnd: list[str] | dict[str, int] | N
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             out = fn(spark, sf_dir)
             if cols:
-                # "+ 0.0" folds -0.0 into 0.0 so both engines hash alike
-                out = out.withColumns({c: F.round(F.col(c), p) + F.lit(0.0) for c, p in cols.items()})
+                # round(x * 10^p) / 10^p: both engines scale with the same IEEE
+                # product and round half away from zero, so decimal ties agree;
+                # "+ 0.0" folds -0.0 into 0.0.
+                out = out.withColumns({c: F.round(F.col(c) * float(10 ** p), 0) / float(10 ** p) + F.lit(0.0)
+                                       for c, p in cols.items()})
             return out
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

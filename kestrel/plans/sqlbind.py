@@ -89,3 +89,11 @@ LABELS_LONG = """labels_long AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+PANEL_Q = """panel_q AS (
+  SELECT id, d, price,
+         price / nullif(lag(price) OVER (PARTITION BY id ORDER BY d), 0) - 1
+           + CASE WHEN id % 4 = 0 THEN 0.0 ELSE 0.001 END AS prc,
+         price * vol / 1000.0 AS mcap
+  FROM (SELECT id, d, CASE WHEN (id + year(d) * 12 + month(d)) % 29 <> 0 THEN price END AS price, vol
+        FROM panel_m) AS _m)"""

@@ -111,3 +111,327 @@ def join_self_lag(spark, sf):
     ws = P.calendar_shift(w.select("id", "date_idx", F.col("w").alias("w_prev")), 1)
     j = ws.join(pr.where(F.col("ret").isNotNull()).select("id", "date_idx", "d", "ret"), ["id", "date_idx"])
     return j.select("d", "id", "w_prev", "ret", (F.col("w_prev") * F.col("ret")).alias("contrib"))
+
+
+# ----------------------------------------------------------- families -------
+def _in_sample(df, c="d"):
+    return df.where(F.col(c).between(F.lit(IN_LO).cast("date"), F.lit(IN_HI).cast("date")))
+
+
+def _values(name, vals, cast="INTEGER"):
+    return "(SELECT CAST(v AS " + cast + ") AS " + name + " FROM (VALUES " + \
+        ", ".join(f"({v})" for v in vals) + ") AS _g(v))"
+
+
+_STATS_SQL = (f"avg(pi) * {PERIODS} AS ann_mean, stddev_samp(pi) * sqrt({PERIODS}) AS ann_vol, "
+              f"CASE WHEN stddev_samp(pi) > 0 THEN avg(pi) * {PERIODS} / (stddev_samp(pi) * sqrt({PERIODS})) END AS sharpe, "
+              "count(pi) AS n")
+_KG = _values("k", LAGS)
+_PG = _values("p", POWERS, "DOUBLE")
+
+_LAGFAM = _BASE + f""",
+wk AS (SELECT w1.id, w1.date_idx, w1.w, g.k FROM w1 CROSS JOIN {_KG} AS g),
+prodk AS (SELECT wk.k, r.date_idx, sum(wk.w * r.ret) AS pi
+          FROM wk JOIN pr r ON r.id = wk.id AND r.date_idx = wk.date_idx + wk.k GROUP BY wk.k, r.date_idx),
+pik AS (SELECT c.d, g.k, coalesce(p.pi, 0.0) AS pi FROM cal c CROSS JOIN {_KG} AS g
+        LEFT JOIN prodk p ON p.k = g.k AND p.date_idx = c.date_idx)
+"""
+
+_POWFAM = _BASE + f""",
+pw AS (SELECT g.p, ex.id, ex.d, ex.date_idx,
+              -sign(coalesce(excess, 0.0)) * pow(abs(coalesce(excess, 0.0)), g.p) AS raw
+       FROM ex CROSS JOIN {_PG} AS g),
+psums AS (SELECT p, d, sum(CASE WHEN raw > 0 THEN raw END) AS lsum,
+                 sum(CASE WHEN raw < 0 THEN -raw END) AS ssum FROM pw GROUP BY p, d),
+pwn AS (SELECT p, id, date_idx, CASE WHEN raw > 0 THEN raw / lsum WHEN raw < 0 THEN raw / ssum ELSE raw END AS w
+        FROM pw JOIN psums USING (p, d)),
+pprod AS (SELECT pwn.p, r.date_idx, sum(pwn.w * r.ret) AS pi
+          FROM pwn JOIN pr r ON r.id = pwn.id AND r.date_idx = pwn.date_idx + 1 GROUP BY pwn.p, r.date_idx),
+ppi AS (SELECT c.d, g.p, coalesce(pp.pi, 0.0) AS pi FROM cal c CROSS JOIN {_PG} AS g
+        LEFT JOIN pprod pp ON pp.p = g.p AND pp.date_idx = c.date_idx)
+"""
+_IN = f"d BETWEEN DATE '{IN_LO}' AND DATE '{IN_HI}'"
+
+
+def lag_family_pi(spark, sf):
+    pr, cal = base_panel(spark, sf)
+    w = P.expand(P.contrarian_weights(pr), "k", LAGS)
+    return P.portfolio_return(w, pr, cal, k="k", grid={"k": LAGS})
+
+
+def power_family_pi(spark, sf, powers=None):
+    powers = powers or POWERS
+    pr, cal = base_panel(spark, sf)
+    w = P.contrarian_weights(pr, powers=powers)
+    return P.portfolio_return(w, pr, cal, k=1, grid={"p": [float(x) for x in powers]})
+
+
+def _stats(df, by):
+    return P.annualized(df.withColumnRenamed("pi", "r"), "r", PERIODS, by=by)
+
+
+@query("strat_lag_family", rnd=["ann_mean", "ann_vol", "sharpe"], bench=True,
+       sql=_LAGFAM + f"SELECT k, {_STATS_SQL} FROM pik WHERE {_IN} GROUP BY k")
+def strat_lag_family(spark, sf):
+    """k = 1..5: weights from lag-k excess, one plan for all k."""
+    return _stats(_in_sample(lag_family_pi(spark, sf)), ["k"])
+
+
+@query("strat_power_grid", rnd=["ann_mean", "ann_vol", "sharpe"],
+       sql=_POWFAM + f"SELECT p, {_STATS_SQL} FROM ppi WHERE {_IN} GROUP BY p")
+def strat_power_grid(spark, sf):
+    """20-point power grid of -sign(x)|x|^p weights, in-sample stats."""
+    return _stats(_in_sample(power_family_pi(spark, sf)), ["p"])
+
+
+@query("strat_power_family", rnd=["ann_mean", "ann_vol", "sharpe"],
+       sql=_POWFAM.replace(_PG, _values("p", [0.5], "DOUBLE")) +
+       f"SELECT p, {_STATS_SQL} FROM ppi WHERE {_IN} GROUP BY p")
+def strat_power_family(spark, sf):
+    """Custom strategy at power 0.5."""
+    return _stats(_in_sample(power_family_pi(spark, sf, [0.5])), ["p"])
+
+
+@query("sort_argmax", rnd=["best_sharpe"], sql=_POWFAM + f"""
+, st AS (SELECT p, {_STATS_SQL} FROM ppi WHERE {_IN} GROUP BY p)
+SELECT arg_max(p, sharpe) AS best_power, max(sharpe) AS best_sharpe FROM st""")
+def sort_argmax(spark, sf):
+    """Best power by Sharpe (max_by)."""
+    st = _stats(_in_sample(power_family_pi(spark, sf)), ["p"])
+    return st.agg(F.max_by("p", "sharpe").alias("best_power"), F.max("sharpe").alias("best_sharpe"))
+
+
+@query("strat_long_short_legs", rnd=["corr_ls", "long_mean", "short_mean"], sql=_BASE + f"""
+, legs AS (SELECT r.date_idx, sum(greatest(w1.w, 0) * r.ret) AS lg, sum(least(w1.w, 0) * r.ret) AS sh
+           FROM w1 JOIN pr r ON r.id = w1.id AND r.date_idx = w1.date_idx + 1 GROUP BY r.date_idx),
+s AS (SELECT c.d, coalesce(lg, 0.0) AS lg, coalesce(sh, 0.0) AS sh FROM cal c LEFT JOIN legs USING (date_idx))
+SELECT corr(lg, sh) AS corr_ls, avg(lg) * {PERIODS} AS long_mean, avg(sh) * {PERIODS} AS short_mean, count(*) AS n
+FROM s WHERE {_IN}""")
+def strat_long_short_legs(spark, sf):
+    """Long leg sum max(w,0) r and short leg sum min(w,0) r; their correlation."""
+    pr, cal = base_panel(spark, sf)
+    w = P.contrarian_weights(pr)
+    ws = w.select("id", (F.col("date_idx") + 1).alias("date_idx"), "w")
+    legs = (ws.join(pr.select("id", "date_idx", "ret"), ["id", "date_idx"])
+              .groupBy("date_idx").agg(F.sum(F.greatest("w", F.lit(0.0)) * F.col("ret")).alias("lg"),
+                                       F.sum(F.least("w", F.lit(0.0)) * F.col("ret")).alias("sh")))
+    s = _in_sample(cal.join(legs, "date_idx", "left").na.fill(0.0, ["lg", "sh"]))
+    return s.agg(F.corr("lg", "sh").alias("corr_ls"), (F.avg("lg") * PERIODS).alias("long_mean"),
+                 (F.avg("sh") * PERIODS).alias("short_mean"), F.count(F.lit(1)).alias("n"))
+
+
+_TURN_IN = _BASE + f""",
+wi AS (SELECT * FROM w1 WHERE {_IN} AND w IS NOT NULL),
+dt AS (SELECT a.date_idx, sum(abs(a.w - b.w)) AS two_way
+       FROM wi a JOIN wi b ON a.id = b.id AND a.date_idx = b.date_idx + 1 GROUP BY a.date_idx),
+tt AS (SELECT c.d, c.date_idx, coalesce(dt.two_way, 0.0) AS two_way FROM cal c LEFT JOIN dt USING (date_idx) WHERE {_IN})
+"""
+
+
+def in_sample_two_way(spark, sf):
+    """Per in-sample date sum |w(t) - w(t-1)| over names weighted on both
+    dates (first sample date 0)."""
+    pr, cal = base_panel(spark, sf)
+    w = _in_sample(P.contrarian_weights(pr)).where(F.col("w").isNotNull())
+    t = P.turnover(w, missing="skip")
+    return _in_sample(cal).join(t.select("date_idx", "two_way"), "date_idx", "left").na.fill(0.0, ["two_way"])
+
+
+@query("win_turnover", rnd=["mean_turnover", "median_turnover", "max_turnover", "annual_turnover"],
+       sql=_TURN_IN + f"""
+SELECT avg(two_way / 2) AS mean_turnover, quantile_cont(two_way / 2, 0.5) AS median_turnover,
+       max(two_way / 2) AS max_turnover, avg(two_way / 2) * {PERIODS} AS annual_turnover FROM tt""")
+def win_turnover(spark, sf):
+    t = in_sample_two_way(spark, sf).withColumn("to", F.col("two_way") / 2)
+    return t.agg(F.avg("to").alias("mean_turnover"), F.percentile("to", 0.5).alias("median_turnover"),
+                 F.max("to").alias("max_turnover"), (F.avg("to") * PERIODS).alias("annual_turnover"))
+
+
+@query("strat_net_of_costs", rnd=["ann_mean", "ann_vol", "sharpe", "avg_cost", "ann_cost_drag"],
+       sql=_TURN_IN + f"""
+, net AS (SELECT g.bps, tt.d, pi1.pi - g.bps / 10000.0 * tt.two_way AS pi, g.bps / 10000.0 * tt.two_way AS cost
+          FROM tt JOIN pi1 USING (d) CROSS JOIN {_values('bps', HALF_SPREAD_BPS)} AS g)
+SELECT bps, {_STATS_SQL}, avg(cost) AS avg_cost, avg(cost) * {PERIODS} AS ann_cost_drag FROM net GROUP BY bps""")
+def strat_net_of_costs(spark, sf):
+    """Half-spread cost grid on two-way traded fraction."""
+    t = in_sample_two_way(spark, sf)
+    pi, _, _ = baseline_pi(spark, sf)
+    g = P.expand(t.join(pi.select("d", "pi"), "d"), "bps", HALF_SPREAD_BPS)
+    c = F.col("bps") / 10000.0 * F.col("two_way")
+    net = g.select("bps", "d", (F.col("pi") - c).alias("pi"), c.alias("cost"))
+    st = _stats(net, ["bps"])
+    cost = net.groupBy("bps").agg(F.avg("cost").alias("avg_cost"), (F.avg("cost") * PERIODS).alias("ann_cost_drag"))
+    return st.join(cost, "bps")
+
+
+@query("cross_param_grid", rnd=["net"], sql=_TURN_IN + f"""
+SELECT g.bps, tt.d, pi1.pi - g.bps / 10000.0 * tt.two_way AS net
+FROM tt JOIN pi1 USING (d) CROSS JOIN {_values('bps', HALF_SPREAD_BPS)} AS g""")
+def cross_param_grid(spark, sf):
+    """Every cost level x every date (grid expanded by explode, not a join)."""
+    t = in_sample_two_way(spark, sf)
+    pi, _, _ = baseline_pi(spark, sf)
+    g = P.expand(t.join(pi.select("d", "pi"), "d"), "bps", HALF_SPREAD_BPS)
+    return g.select("bps", "d", (F.col("pi") - F.col("bps") / 10000.0 * F.col("two_way")).alias("net"))
+
+
+def _in_pi(spark, sf):
+    pi, pr, _ = baseline_pi(spark, sf)
+    return _in_sample(pi)
+
+
+@query("win_cumulative", rnd=["cum"], dp=2, sql=_BASE + f"""
+SELECT d, product(1 + pi) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+FROM pi1 WHERE {_IN}""")
+def win_cumulative(spark, sf):
+    return P.drawdown(_in_pi(spark, sf), "d", "pi").select("d", "cum")
+
+
+@query("win_drawdown", rnd=["max_dd"], sql=_BASE + f"""
+, c AS (SELECT d, product(1 + pi) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+        FROM pi1 WHERE {_IN}),
+dd AS (SELECT d, (cum - max(cum) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+               / max(cum) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS dd FROM c)
+SELECT min(dd) AS max_dd, min(d) FILTER (WHERE dd = (SELECT min(dd) FROM dd)) AS trough_d FROM dd""")
+def win_drawdown(spark, sf):
+    dd = P.drawdown(_in_pi(spark, sf), "d", "pi")
+    from pyspark.sql import Window
+    dd = dd.withColumn("m", F.min("dd").over(Window.partitionBy()))  # one row per date
+    return dd.agg(F.min("dd").alias("max_dd"), F.min(F.when(F.col("dd") == F.col("m"), F.col("d"))).alias("trough_d"))
+
+
+@query("agg_half_split", rnd=["ann_mean", "ann_vol"], sql=_BASE + f"""
+, s AS (SELECT pi, row_number() OVER (ORDER BY d) AS rn, count(*) OVER () AS n FROM pi1 WHERE {_IN})
+SELECT CASE WHEN rn <= n // 2 THEN 'early' ELSE 'late' END AS half,
+       avg(pi) * {PERIODS} AS ann_mean, stddev_samp(pi) * sqrt({PERIODS}) AS ann_vol FROM s GROUP BY 1""")
+def agg_half_split(spark, sf):
+    """Early / late halves by row position (floor(n/2) rows in the first)."""
+    from pyspark.sql import Window
+    s = _in_pi(spark, sf)
+    # one row per date: the global window runs on a calendar-bounded series
+    s = (s.withColumn("rn", F.row_number().over(Window.orderBy("d")))
+          .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy())))
+    s = s.withColumn("half", F.when(F.col("rn") <= F.floor(F.col("n") / 2), "early").otherwise("late"))
+    return s.groupBy("half").agg((F.avg("pi") * PERIODS).alias("ann_mean"),
+                                 (F.stddev_samp("pi") * PERIODS ** 0.5).alias("ann_vol"))
+
+
+@query("win_zscore_outliers", rnd=["pi", "z"], sql=_BASE + f"""
+, s AS (SELECT d, pi FROM pi1 WHERE {_IN}),
+z AS (SELECT d, pi, abs(pi - avg(pi) OVER ()) / stddev_pop(pi) OVER () AS z FROM s)
+SELECT d, pi, z FROM z WHERE z > 3""")
+def win_zscore_outliers(spark, sf):
+    """|z| > 3 days with population sd (ddof 0)."""
+    s = _in_pi(spark, sf)
+    from pyspark.sql import Window
+    allw = Window.partitionBy()   # calendar-bounded series: one row per date
+    z = s.withColumn("m", F.avg("pi").over(allw)).withColumn("sd", F.stddev_pop("pi").over(allw))
+    return z.select("d", "pi", (F.abs(F.col("pi") - F.col("m")) / F.col("sd")).alias("z")).where("z > 3")
+
+
+@query("agg_corr", rnd=["corr_pi_mkt"], sql=_BASE + f"""
+SELECT corr(pi, mkt) AS corr_pi_mkt, count(*) AS n FROM pi1 JOIN mkt USING (d) WHERE {_IN}""")
+def agg_corr(spark, sf):
+    pi, pr, _ = baseline_pi(spark, sf)
+    s = _in_sample(pi.join(P.market_return(pr), "d"))
+    return s.agg(F.corr("pi", "mkt").alias("corr_pi_mkt"), F.count(F.lit(1)).alias("n"))
+
+
+@query("win_rolling_stats", rnd=["roll_mean", "roll_vol", "roll_sharpe"], sql=_BASE + f"""
+, s AS (SELECT d, pi,
+          avg(pi) OVER (ORDER BY d ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) * {PERIODS} AS m,
+          stddev_samp(pi) OVER (ORDER BY d ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) * sqrt({PERIODS}) AS v,
+          count(pi) OVER (ORDER BY d ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS c
+        FROM pi1 WHERE {_IN})
+SELECT d, CASE WHEN c = 12 THEN m END AS roll_mean, CASE WHEN c = 12 THEN v END AS roll_vol,
+       CASE WHEN c = 12 AND v > 0 THEN m / v END AS roll_sharpe FROM s""")
+def win_rolling_stats(spark, sf):
+    """12-period rolling annualized mean / vol / Sharpe, full-window guard."""
+    from pyspark.sql import Window
+    s = _in_pi(spark, sf)
+    w = Window.orderBy("d").rowsBetween(-11, 0)
+    full = F.count("pi").over(w) == 12
+    m = F.avg("pi").over(w) * PERIODS
+    v = F.stddev_samp("pi").over(w) * PERIODS ** 0.5
+    return s.select("d", F.when(full, m).alias("roll_mean"), F.when(full, v).alias("roll_vol"),
+                    F.when(full & (v > 0), m / v).alias("roll_sharpe"))
+
+
+# ------------------------------------------------------------ OOS table -----
+_OOS = _POWFAM.replace(_PG, _values("p", [0.5], "DOUBLE")) + f"""
+, allpi AS (SELECT 'baseline_k1' AS strategy, d, pi FROM pi1
+            UNION ALL SELECT 'custom_p0.5', d, pi FROM ppi
+            UNION ALL SELECT 'market', d, mkt FROM mkt),
+lab AS (SELECT strategy, {PERIOD_SQL} AS period, pi FROM allpi),
+oos AS (SELECT strategy, period, {_STATS_SQL} FROM lab WHERE period IS NOT NULL GROUP BY strategy, period)
+"""
+
+
+def oos_table(spark, sf):
+    pi, pr, _ = baseline_pi(spark, sf)
+    cust = power_family_pi(spark, sf, [0.5]).select("d", "pi")
+    allpi = (pi.select(F.lit("baseline_k1").alias("strategy"), "d", "pi")
+             .unionByName(cust.select(F.lit("custom_p0.5").alias("strategy"), "d", "pi"))
+             .unionByName(P.market_return(pr).select(F.lit("market").alias("strategy"), "d",
+                                                     F.col("mkt").alias("pi"))))
+    lab = allpi.withColumn("period", period_label()).where(F.col("period").isNotNull())
+    return _stats(lab, ["strategy", "period"])
+
+
+@query("strat_oos_table", rnd=["ann_mean", "ann_vol", "sharpe"], sql=_OOS + "SELECT * FROM oos")
+def strat_oos_table(spark, sf):
+    """strategy x period x (mean, vol, Sharpe)."""
+    return oos_table(spark, sf)
+
+
+@query("strat_allocation_rule", rnd=["mean_oos_sharpe"], sql=_OOS + """
+, m AS (SELECT strategy, avg(sharpe) AS mean_oos_sharpe FROM oos
+        WHERE period <> 'in_sample' AND strategy <> 'market' GROUP BY strategy)
+SELECT arg_max(strategy, mean_oos_sharpe) AS strategy, max(mean_oos_sharpe) AS mean_oos_sharpe,
+       CASE WHEN max(mean_oos_sharpe) > 0 THEN 0.5 ELSE 0.0 END AS risky_weight,
+       CASE WHEN max(mean_oos_sharpe) > 0 THEN 0.5 ELSE 1.0 END AS cash_weight FROM m""")
+def strat_allocation_rule(spark, sf):
+    """Pick the strategy with best mean out-of-sample Sharpe; half in cash."""
+    m = (oos_table(spark, sf).where((F.col("period") != "in_sample") & (F.col("strategy") != "market"))
+         .groupBy("strategy").agg(F.avg("sharpe").alias("mean_oos_sharpe")))
+    best = m.agg(F.max_by("strategy", "mean_oos_sharpe").alias("strategy"),
+                 F.max("mean_oos_sharpe").alias("mean_oos_sharpe"))
+    pos = F.col("mean_oos_sharpe") > 0
+    return best.select("strategy", "mean_oos_sharpe",
+                       F.when(pos, 0.5).otherwise(0.0).alias("risky_weight"),
+                       F.when(pos, 0.5).otherwise(1.0).alias("cash_weight"))
+
+
+# --------------------------------------------------------------- upload -----
+_UPLOAD = _BASE + f""",
+up AS (SELECT '0' AS pid, c.d, w1.id, g.k, w1.w, 0 AS vid
+       FROM w1 CROSS JOIN {_KG} AS g JOIN cal c ON c.date_idx = w1.date_idx + g.k - 1
+       WHERE w1.w IS NOT NULL AND w1.w <> 0 AND c.d BETWEEN DATE '{IN_LO}' AND DATE '{IN_HI}')
+"""
+
+
+def upload_rows(spark, sf):
+    """(pid, d, id, k, w, vid): lag-k weights held at date t (formed at t-k+1),
+    sample dates only, no zero / NULL weights."""
+    pr, cal = base_panel(spark, sf)
+    w = P.expand(P.contrarian_weights(pr).where(F.col("w").isNotNull() & (F.col("w") != 0)), "k", LAGS)
+    sh = w.select("id", "k", "w", (F.col("date_idx") + F.col("k") - 1).alias("date_idx"))
+    out = sh.join(cal, "date_idx").select(F.lit("0").alias("pid"), "d", "id", "k", "w", F.lit(0).alias("vid"))
+    return _in_sample(out)
+
+
+@query("sink_upload_long", rnd=["w"], sql=_UPLOAD + "SELECT * FROM up")
+def sink_upload_long(spark, sf):
+    return upload_rows(spark, sf)
+
+
+@query("sink_validate_upload", sql=_UPLOAD + """
+SELECT count(*) AS n_rows, count(CASE WHEN w = 0 THEN 1 END) AS zeros, count(CASE WHEN isnan(w) OR w IS NULL THEN 1 END) AS nans,
+       count(CASE WHEN isinf(w) THEN 1 END) AS infs, count(*) - count(DISTINCT (pid, d, id, k)) AS dups,
+       CASE WHEN count(CASE WHEN w = 0 THEN 1 END) + count(CASE WHEN isnan(w) OR w IS NULL THEN 1 END) + count(CASE WHEN isinf(w) THEN 1 END)
+                 + count(*) - count(DISTINCT (pid, d, id, k)) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM up""")
+def sink_validate_upload(spark, sf):
+    """Post-write audit of the upload table: zeros, NaN, Inf, duplicate keys."""
+    from kestrel.operators.quality import validate_upload
+    return validate_upload(upload_rows(spark, sf), ["pid", "d", "id", "k"], "w")

@@ -123,3 +123,17 @@ def labels_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (d.select(F.col("doc_id").alias("id"), F.col("lang").alias("cat"))
              .unionByName(d.select(F.col("doc_id").alias("id"),
                                    F.concat_ws("/", "lang", "source").alias("cat"))))
+
+
+def panel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, d, price, prc, mcap): monthly index-member style panel with
+    rule-derived missing prices (mid-series, trailing and terminal gaps), a
+    total return ``prc`` that adds a small dividend for three ids in four, and
+    a market cap."""
+    m = panel_monthly(spark, sf_dir)
+    mi = F.year("d") * 12 + F.month("d")
+    m = m.withColumn("price", F.when((F.col("id") + mi) % 29 != 0, F.col("price")))
+    w = Window.partitionBy("id").orderBy("d")
+    div = F.when(F.col("id") % 4 == 0, F.lit(0.0)).otherwise(F.lit(0.001))
+    prc = F.try_divide(F.col("price"), F.nullif(F.lag("price").over(w), F.lit(0.0))) - 1.0 + div
+    return m.select("id", "d", "price", prc.alias("prc"), (F.col("price") * F.col("vol") / 1000.0).alias("mcap"))
