@@ -182,22 +182,24 @@ def _w(id_col: str, d: str) -> Window:
 
 
 def guarded(agg: Column, x: str, w: Window, n: int) -> Column:
-    """min_periods = window length: NULL unless n non-null values (S6)."""
+    """min_periods = window length: NULL unless n non-null values (S6).
+    ``agg`` is a bare aggregate; it is evaluated over ``w``."""
     return F.when(F.count(x).over(w) == n, agg.over(w))
 
 
-def compound(x: str) -> Column:
-    return F.product(F.lit(1.0) + F.col(x)) - F.lit(1.0)
+def compound_over(x: str, w: Window, n: int) -> Column:
+    """prod(1 + x) - 1 over the frame, guarded by a full count."""
+    return guarded(F.product(F.lit(1.0) + F.col(x)), x, w, n) - F.lit(1.0)
 
 
 def trailing_compound(id_col: str, d: str, x: str, n: int, skip: int = 0) -> Column:
     w = _w(id_col, d).rowsBetween(-(n - 1) - skip, -skip)
-    return guarded(compound(x), x, w, n)
+    return compound_over(x, w, n)
 
 
 def forward_compound(id_col: str, d: str, x: str, h: int) -> Column:
     w = _w(id_col, d).rowsBetween(1, h)
-    return guarded(compound(x), x, w, h)
+    return compound_over(x, w, h)
 
 
 def rolling_std(id_col: str, d: str, x: str, n: int, skip: int = 0) -> Column:
@@ -252,3 +254,10 @@ def turnover(weights: DataFrame, id_col: str = "id", w: str = "w", missing: str
         dw = F.abs(F.col("w_now") - F.col("w_prev"))
     return j.groupBy(*group, "date_idx").agg((0.5 * F.sum(dw)).alias("turnover"),
                                              F.sum(dw).alias("two_way"))
+
+
+def ffill_bfill(x: str, by: list[str], order: str) -> Column:
+    """Forward fill, then backward fill what is still missing at the start."""
+    fw = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    bw = Window.partitionBy(*by).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
+    return F.coalesce(F.last(x, ignorenulls=True).over(fw), F.first(x, ignorenulls=True).over(bw))
