@@ -81,18 +81,18 @@ def hac_simple(df: DataFrame, order: str, x: str, y: str, by: list[str] | None =
                              F.regr_intercept(y, x).alias("alpha"), F.regr_r2(y, x).alias("r2"),
                              F.sum(x).alias("sx"), F.sum(F.col(x) * F.col(x)).alias("sxx"))
     L = F.lit(lags) if lags is not None else nw_lag(F.col("n"))
-    fit = fit.withColumn("L", L)
+    fit = fit.withColumn("nlags", L)
     # series index per group: one row per observation date (calendar-bounded)
     w = Window.partitionBy(*by).orderBy(order)
-    u = _attach(m, fit.select(*by, "alpha", "beta", "L"), by)
+    u = _attach(m, fit.select(*by, "alpha", "beta", "nlags"), by)
     u = u.select(*by, F.row_number().over(w).alias("t"), F.col(x).alias("x"),
-                 (F.col(y) - F.col("alpha") - F.col("beta") * F.col(x)).alias("u"), "L")
-    lagged = u.select(*by, "t", "x", "u", F.explode(F.sequence(F.lit(0), F.col("L"))).alias("l"), "L")
+                 (F.col(y) - F.col("alpha") - F.col("beta") * F.col(x)).alias("u"), "nlags")
+    lagged = u.select(*by, "t", "x", "u", F.explode(F.sequence(F.lit(0), F.col("nlags"))).alias("lag"), "nlags")
     prev = u.select(*[F.col(c).alias(f"_p_{c}") for c in by], F.col("t").alias("tp"),
                     F.col("x").alias("xp"), F.col("u").alias("up"))
-    cond = [F.col(c) == F.col(f"_p_{c}") for c in by] + [F.col("t") - F.col("l") == F.col("tp")]
+    cond = [F.col(c) == F.col(f"_p_{c}") for c in by] + [F.col("t") - F.col("lag") == F.col("tp")]
     j = lagged.join(prev, cond)
-    wt = F.when(F.col("l") == 0, F.lit(0.5)).otherwise(1 - F.col("l") / (F.col("L") + 1))
+    wt = F.when(F.col("lag") == 0, F.lit(0.5)).otherwise(1 - F.col("lag") / (F.col("nlags") + 1))
     # S = G0 + sum_l w_l (G_l + G_l'); with w_0 = 1/2 the symmetric sum covers l = 0 too
     agg = j.groupBy(*by).agg(
         F.sum(wt * 2 * F.col("u") * F.col("up")).alias("s00"),
@@ -106,7 +106,7 @@ def hac_simple(df: DataFrame, order: str, x: str, y: str, by: list[str] | None =
     # V = H S H, only the diagonal is needed
     v11 = h01 * h01 * s00 + 2 * h01 * h11 * s01 + h11 * h11 * s11
     v00 = h00 * h00 * s00 + 2 * h00 * h01 * s01 + h01 * h01 * s11
-    return out.select(*by, "n", "L", "alpha", "beta", "r2", F.sqrt(v00).alias("nw_se_alpha"),
+    return out.select(*by, "n", F.col("nlags").alias("L"), "alpha", "beta", "r2", F.sqrt(v00).alias("nw_se_alpha"),
                       F.sqrt(v11).alias("nw_se_beta"), (F.col("alpha") / F.sqrt(v00)).alias("nw_t_alpha"),
                       (F.col("beta") / F.sqrt(v11)).alias("nw_t_beta"))
 

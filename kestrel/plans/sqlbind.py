@@ -97,3 +97,23 @@ PANEL_Q = """panel_q AS (
          price * vol / 1000.0 AS mcap
   FROM (SELECT id, d, CASE WHEN (id + year(d) * 12 + month(d)) % 29 <> 0 THEN price END AS price, vol
         FROM panel_m) AS _m)"""
+
+LEG_RET = """leg_ret AS (
+  SELECT instrument, d, px, px / nullif(lag(px) OVER (PARTITION BY instrument ORDER BY d), 0) - 1 AS ret FROM legs)"""
+
+PAIR_RET = """pair_ret AS (
+  SELECT a.instrument || '-' || b.instrument AS pair, a.d, a.ret AS ret_a, b.ret AS ret_b
+  FROM leg_ret a JOIN leg_ret b ON a.d = b.d
+  WHERE (a.instrument, b.instrument) IN (('A', 'N'), ('A', 'R'), ('N', 'R'))
+    AND a.ret IS NOT NULL AND b.ret IS NOT NULL)"""
+
+DID = """did AS (
+  SELECT c_custkey AS store, CAST(n_regionkey = 0 AS INTEGER) AS nj, c_mktsegment AS chain,
+         CAST(c_custkey % 3 = 0 AS INTEGER) AS co_owned,
+         CAST(coalesce(p.fte, 0) AS DOUBLE) AS fte, CAST(coalesce(p.fte2, 0) AS DOUBLE) AS fte2,
+         CASE WHEN n_regionkey = 0 THEN greatest(0.0, (5000.0 - c_acctbal) / 10000.0) ELSE 0.0 END AS gap,
+         CASE WHEN coalesce(p.fte2, 0) = 0 THEN 1 ELSE 0 END AS closed
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN (SELECT o_custkey, count(CASE WHEN o_orderdate < TIMESTAMP '1998-07-01' THEN 1 END) AS fte,
+                    count(CASE WHEN o_orderdate >= TIMESTAMP '1998-07-01' THEN 1 END) AS fte2
+             FROM orders GROUP BY o_custkey) p ON c_custkey = p.o_custkey)"""

@@ -137,3 +137,47 @@ def panel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     div = F.when(F.col("id") % 4 == 0, F.lit(0.0)).otherwise(F.lit(0.001))
     prc = F.try_divide(F.col("price"), F.nullif(F.lag("price").over(w), F.lit(0.0))) - 1.0 + div
     return m.select("id", "d", "price", prc.alias("prc"), (F.col("price") * F.col("vol") / 1000.0).alias("mcap"))
+
+
+def leg_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(instrument, d, px, ret): daily simple returns per leg."""
+    from kestrel.operators.panel import simple_returns
+    return simple_returns(leg_prices(spark, sf_dir), "instrument", "d", "px", out="ret")
+
+
+# The three instrument pairs (leg a, leg b).
+PAIRS = [("A", "N"), ("A", "R"), ("N", "R")]
+
+
+def pair_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pair, d, ret_a, ret_b): each pair's two legs inner-joined on date, NULLs
+    dropped.  The pair list is a fixed literal, expanded with explode."""
+    r = leg_returns(spark, sf_dir).where(F.col("ret").isNotNull())
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in PAIRS])
+    a = r.select(F.col("instrument").alias("leg_a"), "d", F.col("ret").alias("ret_a"))
+    b = r.select(F.col("instrument").alias("leg_b"), "d", F.col("ret").alias("ret_b"))
+    keyed = a.select("*", F.explode(pairs).alias("p")).where(F.col("p.a") == F.col("leg_a"))
+    keyed = keyed.select(F.col("p.b").alias("leg_b"), "leg_a", "d", "ret_a")
+    j = keyed.join(b, ["leg_b", "d"])
+    return j.select(F.concat_ws("-", "leg_a", "leg_b").alias("pair"), "d", "ret_a", "ret_b")
+
+
+def did_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Difference-in-differences layout over customers: treated (nj) = nation in
+    region 0; outcome = orders before / after 1998-07-01; chain = market
+    segment; gap = exposure from account balance; closed = no orders after."""
+    o = load(spark, sf_dir, "orders")
+    c = load(spark, sf_dir, "customer")
+    n = load(spark, sf_dir, "nation")
+    cut = F.lit("1998-07-01").cast("timestamp_ntz")
+    per = o.groupBy("o_custkey").agg(F.count(F.when(F.col("o_orderdate") < cut, 1)).alias("fte"),
+                                     F.count(F.when(F.col("o_orderdate") >= cut, 1)).alias("fte2"))
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(per, c.c_custkey == per.o_custkey, "left")
+    nj = (F.col("n_regionkey") == 0).cast("int")
+    gap = F.when(nj == 1, F.greatest(F.lit(0.0), (5000.0 - F.col("c_acctbal")) / 10000.0)).otherwise(F.lit(0.0))
+    return j.select(F.col("c_custkey").alias("store"), nj.alias("nj"), F.col("c_mktsegment").alias("chain"),
+                    (F.col("c_custkey") % 3 == 0).cast("int").alias("co_owned"),
+                    F.coalesce("fte", F.lit(0)).cast("double").alias("fte"),
+                    F.coalesce("fte2", F.lit(0)).cast("double").alias("fte2"),
+                    gap.alias("gap"),
+                    F.when(F.coalesce("fte2", F.lit(0)) == 0, 1).otherwise(0).alias("closed"))
