@@ -21,3 +21,100 @@ def validate_corpus(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         df = df.select(F.lit(name).alias("check"), F.col("n").cast("bigint").alias("n"))
         out = df if out is None else out.unionByName(df)
     return out
+
+
+def _one_row_attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a single-row aggregate (proven size: one row)."""
+    return df.withColumn("_k", F.lit(1)).join(F.broadcast(one_row.withColumn("_k", F.lit(1))), "_k").drop("_k")
+
+
+def share_of_total(per: DataFrame, col: str, base: DataFrame, out: str = "share") -> DataFrame:
+    """col / (row count of ``base``)."""
+    tot = base.agg(F.count(F.lit(1)).alias("_tot"))
+    return _one_row_attach(per, tot).withColumn(out, F.col(col) / F.col("_tot")).drop("_tot")
+
+
+def merge_split(train_ids: DataFrame, test_ids: DataFrame, id_col: str) -> DataFrame:
+    """Train rows first; test rows whose id already is in train are dropped."""
+    tr = train_ids.select(id_col).withColumn("split", F.lit("train"))
+    te = test_ids.select(id_col).join(train_ids.select(id_col), id_col, "left_anti").withColumn("split", F.lit("test"))
+    return tr.unionByName(te)
+
+
+def hash_split(df: DataFrame, id_col: str, train_pct: int = 80, mult: int = 7919) -> DataFrame:
+    """Stable split from the id alone (no RNG state, no driver round trip)."""
+    b = (F.col(id_col) * F.lit(mult)) % 100
+    return df.withColumn("split", F.when(b < train_pct, "train").otherwise("test"))
+
+
+def pattern_pool(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, pattern): 4-bit pattern quality|toxic|english|long."""
+    from kestrel.functions import bit_pattern
+    j = docs.select("doc_id", "lang", "n_chars").join(labels.select("doc_id", "quality", "toxic"), "doc_id")
+    j = j.withColumn("_en", F.col("lang") == "en").withColumn("_long", F.col("n_chars") > 2000)
+    return j.select("doc_id", bit_pattern(F.col("quality") == 1, F.col("toxic") == 1, "_en", "_long").alias("pattern"))
+
+
+def draw_key(id_col: str) -> F.Column:
+    """Deterministic pseudo-random order from the id (portable arithmetic)."""
+    return (F.col(id_col) * F.lit(2654435761)) % F.lit(1000003)
+
+
+def top_k_per_group(df: DataFrame, group: str, order: list, k_col: str, salt_buckets: int = 64,
+                    salt_of: str | None = None) -> DataFrame:
+    """Rows ranked <= k (per-row column ``k_col``) within ``group``, exact.
+
+    Hot groups are split first: rank inside (group, salt) sub-groups, keep
+    the top k of each (a row outside its sub-group's top k cannot be in the
+    group's top k), then rank the survivors per group.  No task ever sorts a
+    whole hot group."""
+    salt = F.pmod(F.hash(F.col(salt_of or group), *[F.col(c) for c in order if isinstance(c, str)]), F.lit(salt_buckets))
+    s1 = df.withColumn("_salt", salt)
+    w1 = Window.partitionBy(group, "_salt").orderBy(*order)
+    s1 = s1.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= F.col(k_col))
+    w2 = Window.partitionBy(group).orderBy(*order)
+    return s1.withColumn("_r", F.row_number().over(w2)).where(F.col("_r") <= F.col(k_col)).drop("_salt", "_r1", "_r")
+
+
+def allocate(counts: DataFrame, stratum: str, total: int) -> DataFrame:
+    """Proportional allocation of ``total`` draws: banker's rounding of the
+    ideal share, then +-1 repair in order of the rounding remainder.  Runs on
+    the per-stratum count table (one row per stratum)."""
+    w_all = Window.partitionBy()
+    a = counts.withColumn("ideal", F.lit(float(total)) * F.col("n") / F.sum("n").over(w_all))
+    a = a.withColumn("k0", F.bround("ideal", 0).cast("bigint"))
+    a = a.withColumn("diff", F.lit(total) - F.sum("k0").over(w_all))
+    rem = F.col("ideal") - F.col("k0")
+    a = a.withColumn("up", F.row_number().over(Window.orderBy(rem.desc(), stratum)))
+    a = a.withColumn("down", F.row_number().over(Window.orderBy(rem.asc(), stratum)))
+    adj = (F.when((F.col("diff") > 0) & (F.col("up") <= F.col("diff")), 1)
+            .when((F.col("diff") < 0) & (F.col("down") <= -F.col("diff")), -1).otherwise(0))
+    return a.select(stratum, "n", F.least(F.col("n"), F.col("k0") + adj).alias("k"))
+
+
+def stratified_sample(pool: DataFrame, stratum: str, id_col: str, total: int) -> DataFrame:
+    counts = pool.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
+    alloc = allocate(counts, stratum, total)
+    j = pool.join(F.broadcast(alloc.select(stratum, "k")), stratum)   # one row per stratum
+    j = j.withColumn("_h", draw_key(id_col))
+    return top_k_per_group(j, stratum, ["_h", id_col], "k", salt_of=id_col).select(id_col, stratum)
+
+
+def presence_drift(pool: DataFrame, sample: DataFrame, pattern: str, bits: dict[str, int]) -> DataFrame:
+    """Per flag bit: presence rate in pool vs sample and the change in pp."""
+    def rates(df, name):
+        return df.agg(*[F.avg(F.shiftright(F.col(pattern), b).bitwiseAND(F.lit(1))).alias(f) for f, b in bits.items()]) \
+            .unpivot([], list(bits), "flag", name)
+    j = rates(pool, "pool_rate").join(rates(sample, "sample_rate"), "flag")
+    return j.withColumn("delta_pp", 100 * (F.col("sample_rate") - F.col("pool_rate")))
+
+
+def leaf_cap_sample(leafdocs: DataFrame, cat: str, id_col: str, min_docs: int, cap: int) -> DataFrame:
+    ok = leafdocs.groupBy(cat).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
+    j = leafdocs.join(ok.select(cat), cat).withColumn("_k", F.lit(cap)).withColumn("_h", draw_key(id_col))
+    return top_k_per_group(j, cat, ["_h", id_col], "_k", salt_of=id_col).select(id_col).distinct()
+
+
+def pack_labels(df: DataFrame, id_col: str, level: str, cat: str, sep: str = ";") -> DataFrame:
+    item = F.concat(F.col(level).cast("string"), F.lit(":"), F.col(cat))
+    return df.groupBy(id_col).agg(F.concat_ws(sep, F.array_sort(F.collect_list(item))).alias("packed"))

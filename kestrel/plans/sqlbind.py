@@ -84,7 +84,9 @@ TAXONOMY = """edges AS (
 LABELS_LONG = """labels_long AS (
   SELECT doc_id AS id, lang AS cat FROM documents
   UNION ALL
-  SELECT doc_id AS id, lang || '/' || source AS cat FROM documents)"""
+  SELECT doc_id AS id, lang || '/' || source AS cat FROM documents WHERE doc_id % 7 <> 0
+  UNION ALL
+  SELECT doc_id AS id, 'misc' AS cat FROM documents WHERE doc_id % 11 = 0)"""
 
 
 def with_(*ctes: str) -> str:
@@ -117,3 +119,15 @@ DID = """did AS (
   LEFT JOIN (SELECT o_custkey, count(CASE WHEN o_orderdate < TIMESTAMP '1998-07-01' THEN 1 END) AS fte,
                     count(CASE WHEN o_orderdate >= TIMESTAMP '1998-07-01' THEN 1 END) AS fte2
              FROM orders GROUP BY o_custkey) p ON c_custkey = p.o_custkey)"""
+
+# closure of the taxonomy: (ancestor, descendant, dist), self included
+CLOSURE = """nodes AS (SELECT parent AS node FROM edges UNION SELECT child FROM edges),
+closure AS (
+  SELECT node AS ancestor, node AS descendant, 0 AS dist FROM nodes
+  UNION ALL
+  SELECT c.ancestor, e.child, c.dist + 1 FROM closure c JOIN edges e ON e.parent = c.descendant),
+depth AS (SELECT descendant AS node, dist AS depth FROM closure WHERE ancestor = 'Root')"""
+
+
+def with_rec(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"

@@ -118,11 +118,15 @@ def taxonomy_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labels_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, cat): every document carries its lang and its lang/source node."""
+    """(id, cat): every document carries its lang node; documents whose id is
+    not a multiple of 7 also carry their leaf lang/source node; ids that are
+    multiples of 11 carry an extra code outside the taxonomy ('misc')."""
     d = load(spark, sf_dir, "documents")
-    return (d.select(F.col("doc_id").alias("id"), F.col("lang").alias("cat"))
-             .unionByName(d.select(F.col("doc_id").alias("id"),
-                                   F.concat_ws("/", "lang", "source").alias("cat"))))
+    lvl1 = d.select(F.col("doc_id").alias("id"), F.col("lang").alias("cat"))
+    leaf = d.where(F.col("doc_id") % 7 != 0).select(F.col("doc_id").alias("id"),
+                                                     F.concat_ws("/", "lang", "source").alias("cat"))
+    misc = d.where(F.col("doc_id") % 11 == 0).select(F.col("doc_id").alias("id"), F.lit("misc").alias("cat"))
+    return lvl1.unionByName(leaf).unionByName(misc)
 
 
 def panel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
