@@ -111,3 +111,20 @@ def edge_gold(labels: DataFrame, edges: DataFrame, clos: DataFrame, id_col: str
     rows = specs.join(reach.select(F.col("node").alias("parent"), id_col), "parent")
     return rows.join(pos_child, ["child", id_col], "left").select("parent", "child", id_col,
                                                                  F.coalesce("y", F.lit(0)).alias("y"))
+
+
+def route(preds: DataFrame, edges: DataFrame, id_col: str = "id", max_depth: int = 5) -> DataFrame:
+    """Multilabel top-down routing: from the root follow every edge predicted
+    1; a node with a single child passes through.  Level-wise joins, at most
+    ``max_depth`` rounds; returns the reached (id, node) pairs."""
+    pos = preds.where(F.col("pred") == 1).select(id_col, F.col("parent").alias("_par"), F.col("child").alias("_ch")).distinct()
+    unary = edges.join(branching(edges).select("parent"), "parent", "left_anti") \
+        .select(F.col("parent").alias("_upar"), F.col("child").alias("_uch"))
+    frontier = preds.select(id_col).distinct().withColumn("node", F.lit(ROOT))
+    reached = None
+    for _ in range(max_depth):
+        a = frontier.join(pos, [id_col]).where(F.col("node") == F.col("_par")).select(id_col, F.col("_ch").alias("node"))
+        b = frontier.join(unary, F.col("node") == F.col("_upar")).select(id_col, F.col("_uch").alias("node"))
+        frontier = a.unionByName(b).distinct()
+        reached = frontier if reached is None else reached.unionByName(frontier)
+    return reached.distinct()
