@@ -5,6 +5,7 @@ import importlib
 from kestrel.plans.registry import BENCH, ORACLE, QUERIES  # noqa: F401
 
 _MODULES = [
+    "misc_queries",
     "ml_queries",
     "text_queries",
     "ts_queries",
