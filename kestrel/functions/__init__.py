@@ -11,8 +11,10 @@ def col(c) -> Column:
 
 
 def clip(c, lo: float, hi: float) -> Column:
-    """Winsorize to [lo, hi]; NULL stays NULL."""
-    return F.greatest(F.least(col(c), F.lit(hi)), F.lit(lo))
+    """Winsorize to [lo, hi]; NULL stays NULL (greatest/least skip NULLs, so
+    the NULL case is kept explicitly)."""
+    x = col(c)
+    return F.when(x.isNotNull(), F.greatest(F.least(x, F.lit(hi)), F.lit(lo)))
 
 
 def null_below(c, lo: float) -> Column:

@@ -124,7 +124,7 @@ def dq_histogram(spark, sf):
 
 _CLEAN = _D + """
 , ranked AS (SELECT *, row_number() OVER (PARTITION BY d, id ORDER BY okey, lnum, ret) AS rn FROM panel_d),
-clean AS (SELECT d, id, greatest(least(CASE WHEN ret >= -1 THEN ret END, 0.5), -0.5) AS ret,
+clean AS (SELECT d, id, CASE WHEN ret >= -1 THEN greatest(least(ret, 0.5), -0.5) END AS ret,
                  price, volume FROM ranked WHERE rn = 1)
 """
 
@@ -140,7 +140,7 @@ def clean_panel(spark, sf):
 
 
 @query("clip_winsorize", rnd=["ret_w"], sql=_D + """
-SELECT d, id, okey, lnum, greatest(least(ret, 0.5), -0.5) AS ret_w FROM panel_d""")
+SELECT d, id, okey, lnum, CASE WHEN ret IS NOT NULL THEN greatest(least(ret, 0.5), -0.5) END AS ret_w FROM panel_d""")
 def clip_winsorize(spark, sf):
     p = B.panel_daily_raw(spark, sf)
     return p.select("d", "id", "okey", "lnum", K.clip("ret", -0.5, 0.5).alias("ret_w"))

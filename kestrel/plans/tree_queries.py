@@ -19,7 +19,11 @@ _TL = with_rec(TAXONOMY, CLOSURE, LABELS_LONG)
 
 
 def _edges(spark, sf):
-    return T.clean_edges(B.taxonomy_edges(spark, sf))
+    """The cleaned edge table, materialised once in the shared checkpoint
+    folder: it is taxonomy-sized, and every closure level re-reads it, so
+    cutting its lineage keeps the corpus scan from repeating per level."""
+    from kestrel.session import cut_lineage
+    return cut_lineage(T.clean_edges(B.taxonomy_edges(spark, sf)))
 
 
 @query("tree_load", sql=with_(TAXONOMY) + "SELECT DISTINCT parent, child FROM edges")
