@@ -279,7 +279,7 @@ def agg_pctile_set(spark, sf):
     return q.groupBy("d").agg(*Q.percentile_set("mcap"))
 
 
-@query("corpus_validate_ids", sql="""
+@query("corpus_validate", sql="""
 SELECT 'labels_without_document' AS "check", count(*) AS n FROM labels l
   WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id)
 UNION ALL SELECT 'documents_without_labels', count(*) FROM documents d

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import panel as P
 from kestrel.plans.registry import query
-from kestrel.plans.sqlbind import CAL, EX, MKT, PANEL_M, PANEL_R, PI1, PR, W1, with_
+from kestrel.plans.sqlbind import CAL, EX, MKT, PANEL_M, PANEL_R, PI1, PR, W1, with_  # noqa: F401
 from kestrel.sources import bindings as B
 
 PERIODS = 12  # monthly panel
@@ -435,3 +435,101 @@ def sink_validate_upload(spark, sf):
     """Post-write audit of the upload table: zeros, NaN, Inf, duplicate keys."""
     from kestrel.operators.quality import validate_upload
     return validate_upload(upload_rows(spark, sf), ["pid", "d", "id", "k"], "w")
+
+
+# ------------------------------------------------- series-level reports -----
+_PIM = _BASE + """
+, pm AS (SELECT pi1.d, pi1.pi, mkt.mkt FROM pi1 JOIN mkt USING (d))
+"""
+
+
+def _pi_mkt(spark, sf):
+    pi, pr, _ = baseline_pi(spark, sf)
+    return pi.join(P.market_return(pr), "d")
+
+
+@query("sample_window", sql=_BASE + f"SELECT d, {PERIOD_SQL} AS period FROM cal")
+def sample_window(spark, sf):
+    """In-sample / OOS1 / OOS2 label per calendar date."""
+    _, cal = base_panel(spark, sf)
+    return cal.select("d", period_label().alias("period"))
+
+
+@query("date_parts", sql=_BASE + "SELECT d, year(d) AS yr, strftime(d, '%Y-%m') AS ym, CAST(date_trunc('quarter', d) AS DATE) AS q FROM cal")
+def date_parts(spark, sf):
+    _, cal = base_panel(spark, sf)
+    return cal.select("d", F.year("d").alias("yr"), F.date_format("d", "yyyy-MM").alias("ym"),
+                      F.trunc("d", "quarter").alias("q"))
+
+
+@query("agg_yearly", rnd=["ann_mean", "ann_vol", "sharpe"], sql=_PIM + f"""
+SELECT year(d) AS yr, {_STATS_SQL} FROM pm GROUP BY year(d)""")
+def agg_yearly(spark, sf):
+    """Per calendar year annualised stats of the strategy."""
+    s = _pi_mkt(spark, sf).withColumn("yr", F.year("d"))
+    return _stats(s, ["yr"])
+
+
+@query("agg_perf_rf", rnd=["ann_ret", "ann_vol", "ann_excess_vol", "ann_rf", "sharpe"], sql=_PIM + f"""
+, rf AS (SELECT d, 0.002 AS rf FROM pm)
+SELECT avg(pi) * {PERIODS} AS ann_ret, stddev_samp(pi) * sqrt({PERIODS}) AS ann_vol,
+       stddev_samp(pi - rf) * sqrt({PERIODS}) AS ann_excess_vol, avg(rf) * {PERIODS} AS ann_rf,
+       avg(pi - rf) * {PERIODS} / (stddev_samp(pi - rf) * sqrt({PERIODS})) AS sharpe
+FROM pm JOIN rf USING (d) WHERE {_IN}""")
+def agg_perf_rf(spark, sf):
+    """Annual return, vol, excess-return vol, rf and Sharpe on excess returns
+    (headline uses excess vol, S11); rf is a flat 0.2 % per month."""
+    s = _in_sample(_pi_mkt(spark, sf)).withColumn("rf", F.lit(0.002))
+    ex = F.col("pi") - F.col("rf")
+    return s.agg((F.avg("pi") * PERIODS).alias("ann_ret"), (F.stddev_samp("pi") * PERIODS ** 0.5).alias("ann_vol"),
+                 (F.stddev_samp(ex) * PERIODS ** 0.5).alias("ann_excess_vol"), (F.avg("rf") * PERIODS).alias("ann_rf"),
+                 (F.avg(ex) * PERIODS / (F.stddev_samp(ex) * PERIODS ** 0.5)).alias("sharpe"))
+
+
+@query("agg_winloss", rnd=["share_win", "share_loss", "share_zero", "median_win", "median_loss"], sql=_PIM + f"""
+SELECT avg(CASE WHEN pi > 0 THEN 1.0 ELSE 0.0 END) AS share_win, avg(CASE WHEN pi < 0 THEN 1.0 ELSE 0.0 END) AS share_loss,
+       avg(CASE WHEN pi = 0 THEN 1.0 ELSE 0.0 END) AS share_zero,
+       quantile_cont(pi, 0.5) FILTER (WHERE pi > 0) AS median_win, quantile_cont(pi, 0.5) FILTER (WHERE pi < 0) AS median_loss
+FROM pm""")
+def agg_winloss(spark, sf):
+    s = _pi_mkt(spark, sf)
+    return s.agg(F.avg(F.when(F.col("pi") > 0, 1.0).otherwise(0.0)).alias("share_win"),
+                 F.avg(F.when(F.col("pi") < 0, 1.0).otherwise(0.0)).alias("share_loss"),
+                 F.avg(F.when(F.col("pi") == 0, 1.0).otherwise(0.0)).alias("share_zero"),
+                 F.percentile(F.when(F.col("pi") > 0, F.col("pi")), 0.5).alias("median_win"),
+                 F.percentile(F.when(F.col("pi") < 0, F.col("pi")), 0.5).alias("median_loss"))
+
+
+@query("agg_ranked_returns", rnd=["pi"], sql=_PIM + "SELECT row_number() OVER (ORDER BY pi, d) AS rnk, d, pi FROM pm")
+def agg_ranked_returns(spark, sf):
+    """Ranked return curve (one row per date: calendar-bounded ordering)."""
+    from pyspark.sql import Window
+    s = _pi_mkt(spark, sf)
+    return s.select(F.row_number().over(Window.orderBy("pi", "d")).alias("rnk"), "d", "pi")
+
+
+@query("win_rank_in_group", rnd=["ret"], sql=with_(PANEL_M, PANEL_R) + """
+SELECT id, d, ret FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ret DESC NULLS LAST, d) AS r FROM panel_r) AS _x WHERE r = 1""")
+def win_rank_in_group(spark, sf):
+    """First row per group under an explicit order (best month per supplier)."""
+    from pyspark.sql import Window
+    r = B.panel_returns(spark, sf)
+    w = Window.partitionBy("id").orderBy(F.col("ret").desc_nulls_last(), "d")
+    return r.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("id", "d", "ret")
+
+
+@query("eval_forecast_err", rnd=["mse", "rmse", "mae", "baseline_rmse"], sql=_PIM + f"""
+, f AS (SELECT d, pi, avg(pi) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS fc FROM pm),
+g AS (SELECT * FROM f WHERE fc IS NOT NULL)
+SELECT avg((pi - fc) * (pi - fc)) AS mse, sqrt(avg((pi - fc) * (pi - fc))) AS rmse, avg(abs(pi - fc)) AS mae,
+       sqrt(avg(pi * pi)) AS baseline_rmse FROM g""")
+def eval_forecast_err(spark, sf):
+    """Expanding-mean forecast of the strategy return: MSE / RMSE / MAE and a
+    zero-forecast baseline RMSE."""
+    from pyspark.sql import Window
+    s = _pi_mkt(spark, sf)
+    s = s.withColumn("fc", F.avg("pi").over(Window.orderBy("d").rowsBetween(Window.unboundedPreceding, -1))) \
+        .where(F.col("fc").isNotNull())
+    e = F.col("pi") - F.col("fc")
+    return s.agg(F.avg(e * e).alias("mse"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
+                 F.sqrt(F.avg(F.col("pi") * F.col("pi"))).alias("baseline_rmse"))
