@@ -263,3 +263,29 @@ def clf_node_multiclass(spark, sf):
                   F.count(F.lit(1)).alias("n")).withColumn("node", F.lit(node))
         out = r if out is None else out.unionByName(r)
     return out
+
+
+@query("eval_train_test", rnd=["accuracy", "precision", "recall", "f1"])
+def eval_train_test(spark, sf):
+    """Fit once, metrics on both splits (split column grouped)."""
+    d = labelled_docs(spark, sf).cache()
+    pm = Pipeline(stages=featurizer() + [LogisticRegression(regParam=0.01, maxIter=30)]).fit(d.where("split = 'train'"))
+    p = pm.transform(d).withColumn("y", F.col("label").cast("int")).withColumn("p", F.col("prediction").cast("int"))
+    return E.binary_metrics(p, "y", "p", by=["split"])
+
+
+@query("eval_kfold", rnd=["mean_f1", "std_f1", "mean_accuracy"])
+def eval_kfold(spark, sf):
+    """5-fold CV with a hash fold id: per-fold metrics, their mean / std and the
+    summed confusion."""
+    d = labelled_docs(spark, sf).withColumn("fold", ((F.col("doc_id") * 7919) % 5).cast("int")).cache()
+    folds = None
+    for k in range(5):   # fixed fold count
+        pm = Pipeline(stages=featurizer() + [LogisticRegression(regParam=0.01, maxIter=30)]).fit(d.where(F.col("fold") != k))
+        p = pm.transform(d.where(F.col("fold") == k)).withColumn("y", F.col("label").cast("int")) \
+            .withColumn("p", F.col("prediction").cast("int"))
+        m = E.binary_metrics(p, "y", "p").withColumn("fold", F.lit(k))
+        folds = m if folds is None else folds.unionByName(m)
+    return folds.agg(F.avg("f1").alias("mean_f1"), F.stddev_samp("f1").alias("std_f1"),
+                     F.avg("accuracy").alias("mean_accuracy"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),
+                     F.sum("fn").alias("fn"), F.sum("tn").alias("tn"))
