@@ -32,49 +32,78 @@ def binary_metrics(df: DataFrame, y: str, pred: str, by: list[str] | None = None
     return ratios(confusion(df, y, pred, by))
 
 
+def running_totals(df: DataFrame, by: list[str], order: str, cols: list[str], descending: bool = True,
+                   partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``cols`` per ``by`` group in ``order``,
+    computed without a per-group window over the whole group.
+
+    Rows are range-partitioned on (by, order); each range partition computes
+    its local running sums; a small table of per-partition totals (one row per
+    partition and group) yields the offsets that are added back.  No task holds
+    more than one range partition, however large a group is."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    o = F.col(order).desc() if descending else F.col(order).asc()
+    from kestrel.session import cut_lineage
+    # materialise once: both branches below must see the same range partitions
+    r = cut_lineage(df.repartitionByRange(n, *[F.col(c) for c in by], o).withColumn("_pid", F.spark_partition_id()))
+    w = Window.partitionBy("_pid", *by).orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
+    local = r.select("*", *[F.sum(c).over(w).alias(f"_loc_{c}") for c in cols])
+    tot = r.groupBy("_pid", *by).agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
+    # offsets: totals of earlier range partitions of the same group (tiny table)
+    wo = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select("_pid", *by, *[F.coalesce(F.sum(f"_tot_{c}").over(wo), F.lit(0)).alias(f"_off_{c}") for c in cols])
+    out = local.join(F.broadcast(off), ["_pid", *by])
+    return out.select(*[c for c in df.columns], *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in cols])
+
+
+def _score_counts(df: DataFrame, y: str, score: str, by: list[str]) -> DataFrame:
+    """(by, score, p, n): positives / negatives per distinct score (partial agg)."""
+    return df.groupBy(*by, score).agg(F.count(F.when(F.col(y) == 1, 1)).alias("_p"),
+                                      F.count(F.when(F.col(y) == 0, 1)).alias("_n"))
+
+
 def roc_auc(df: DataFrame, y: str, score: str, by: list[str] | None = None) -> DataFrame:
-    """Mann-Whitney AUC with average ranks for tied scores."""
+    """Mann-Whitney AUC, ties counted one half: sum over distinct scores of
+    p(s) * (negatives below s + n(s) / 2) / (P N)."""
     by = by or []
-    w = Window.partitionBy(*by).orderBy(score)
-    ties = Window.partitionBy(*by, score)
-    r = df.withColumn("_rk", F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0)
-    g = r.groupBy(*by) if by else r.groupBy()
-    s = g.agg(F.sum(F.when(F.col(y) == 1, F.col("_rk"))).alias("_rs"), F.count(F.when(F.col(y) == 1, 1)).alias("n_pos"),
-              F.count(F.when(F.col(y) == 0, 1)).alias("n_neg"))
-    auc = (F.col("_rs") - F.col("n_pos") * (F.col("n_pos") + 1) / 2.0) / (F.col("n_pos") * F.col("n_neg"))
-    return s.select(*by, "n_pos", "n_neg", auc.alias("auc"))
+    c = running_totals(_score_counts(df, y, score, by), by, score, ["_n"], descending=False)
+    below = F.col("cum__n") - F.col("_n")
+    g = c.groupBy(*by) if by else c.groupBy()
+    s = g.agg(F.sum(F.col("_p") * (below + F.col("_n") / 2.0)).alias("_u"), F.sum("_p").alias("n_pos"),
+              F.sum("_n").alias("n_neg"))
+    return s.select(*by, "n_pos", "n_neg", (F.col("_u") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"))
 
 
 def per_threshold(df: DataFrame, y: str, score: str, by: list[str] | None = None) -> DataFrame:
-    """One row per distinct score: counts of positives/negatives at or above it
-    (running sums over the distinct-score table, so ties share one threshold)."""
+    """One row per distinct score: positives / negatives at or above it, and
+    the group's positive total."""
     by = by or []
-    d = df.groupBy(*by, score).agg(F.count(F.when(F.col(y) == 1, 1)).alias("_p"), F.count(F.when(F.col(y) == 0, 1)).alias("_n"))
-    w = Window.partitionBy(*by).orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    wall = Window.partitionBy(*by)
-    return d.select(*by, F.col(score).alias("thr"), F.sum("_p").over(w).alias("tp"), F.sum("_n").over(w).alias("fp"),
-                    F.sum("_p").over(wall).alias("pos"))
+    c = running_totals(_score_counts(df, y, score, by), by, score, ["_p", "_n"], descending=True)
+    pos = c.groupBy(*by).agg(F.sum("_p").alias("pos")) if by else c.groupBy().agg(F.sum("_p").alias("pos"))
+    c = c.join(F.broadcast(pos), by) if by else c.withColumn("_k", F.lit(1)).join(
+        F.broadcast(pos.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    return c.select(*by, F.col(score).alias("thr"), F.col("_p").alias("p_at"), F.col("cum__p").alias("tp"),
+                    F.col("cum__n").alias("fp"), "pos")
 
 
 def average_precision(df: DataFrame, y: str, score: str, by: list[str] | None = None) -> DataFrame:
+    """AP = sum over distinct thresholds of (new positives / P) * precision."""
     by = by or []
     t = per_threshold(df, y, score, by)
-    w = Window.partitionBy(*by).orderBy(F.col("thr").desc())
-    t = t.withColumn("_rec", F.col("tp") / F.col("pos")).withColumn("_prec", F.col("tp") / (F.col("tp") + F.col("fp")))
-    t = t.withColumn("_drec", F.col("_rec") - F.coalesce(F.lag("_rec").over(w), F.lit(0.0)))
     g = t.groupBy(*by) if by else t.groupBy()
-    return g.agg(F.sum(F.col("_drec") * F.col("_prec")).alias("ap"))
+    return g.agg(F.sum(F.col("p_at") / F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("ap"))
 
 
 def best_f1_threshold(df: DataFrame, y: str, score: str, by: list[str] | None = None) -> DataFrame:
     """Exact F1 at every distinct score (predict score >= thr); the first
-    maximum in ascending threshold order wins."""
+    maximum in ascending threshold order wins (max_by with partial aggregation)."""
     by = by or []
     t = per_threshold(df, y, score, by)
-    f1 = _z(2 * F.col("tp"), F.col("tp") + F.col("fp") + F.col("pos"))
-    t = t.withColumn("f1", f1)
-    w = Window.partitionBy(*by).orderBy(F.col("f1").desc(), F.col("thr").asc())
-    return t.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(*by, "thr", "f1", "tp", "fp", "pos")
+    t = t.withColumn("f1", _z(2 * F.col("tp"), F.col("tp") + F.col("fp") + F.col("pos")))
+    key = F.struct(F.col("f1"), (-F.col("thr")).alias("neg_thr"))
+    best = F.max_by(F.struct("thr", "f1", "tp", "fp", "pos"), key).alias("b")
+    g = t.groupBy(*by) if by else t.groupBy()
+    return g.agg(best).select(*by, "b.thr", "b.f1", "b.tp", "b.fp", "b.pos")
 
 
 def summarize(per: DataFrame, key: list[str] | None = None) -> DataFrame:

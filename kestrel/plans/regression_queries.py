@@ -382,3 +382,126 @@ def ts_lead_lag_corr(spark, sf):
     r = S.avg_rank(S.avg_rank(ll, "ret_a", ["pair"]), "y", ["pair"])
     return r.groupBy("pair").agg(F.corr("ret_a", "y").alias("corr_lead5"),
                                  F.corr("ret_a_rank", "y_rank").alias("spearman_lead5"))
+
+
+# --------------------------------------------------- factor risk models -----
+_FACTORS = ["mktrf", "smb", "hml", "umd"]
+
+
+def _asset_factor_frame(spark, sf):
+    r = B.panel_returns(spark, sf).where(F.col("ret").isNotNull()).select("id", "d", "ret")
+    f = B.factors_monthly(spark, sf)
+    return r.join(f, "d").withColumn("ex_ret", F.col("ret") - F.col("rf"))
+
+
+@query("cov_factor_betas", rnd=["coef", "se", "t", "r2", "rss", "ser"])
+def cov_factor_betas(spark, sf):
+    """Per-asset time-series betas on the factors: one moment aggregation
+    grouped by asset, one small solve per asset."""
+    return R.ols_multi(_asset_factor_frame(spark, sf), _FACTORS, "ex_ret", by=["id"])
+
+
+def factor_cov(spark, sf):
+    """Long (fi, fj, cov) sample covariance of the factors (k x k, tiny)."""
+    f = B.factors_monthly(spark, sf)
+    pairs = [(a, b) for a in _FACTORS for b in _FACTORS]
+    aggs = [F.covar_samp(a, b).alias(f"{a}__{b}") for a, b in pairs]
+    return f.agg(*aggs).unpivot([], [f"{a}__{b}" for a, b in pairs], "pair", "cov") \
+        .select(F.split("pair", "__")[0].alias("fi"), F.split("pair", "__")[1].alias("fj"), "cov")
+
+
+@query("cov_factor_model", rnd=["factor_var", "idio_var", "total_var"], dp=8)
+def cov_factor_model(spark, sf):
+    """Factor-model variance of the contrarian portfolio per formation date,
+    w' B S_f B' w + sum w_i^2 s_i^2, without materialising the asset x asset
+    matrix: exposures e = B' w are a groupBy(d) sum, then a k x k quadratic form."""
+    from kestrel.plans.strategy_queries import baseline_pi
+    coef = cov_factor_betas(spark, sf)
+    betas = coef.groupBy("id").pivot("term", _FACTORS).agg(F.first("coef"))
+    resid = coef.groupBy("id").agg(F.first("ser").alias("ser"))
+    _, _, w = baseline_pi(spark, sf)
+    j = w.where(F.col("w").isNotNull()).select("id", "d", "w").join(betas, "id").join(resid, "id")
+    expo = j.groupBy("d").agg(*[F.sum(F.col("w") * F.col(k)).alias(f"e_{k}") for k in _FACTORS],
+                              F.sum(F.col("w") * F.col("w") * F.col("ser") * F.col("ser")).alias("idio_var"))
+    cov = factor_cov(spark, sf)
+    # quadratic form: explode exposures into (d, fi, e_i), join cov on fi, then fj
+    ei = expo.select("d", "idio_var", F.explode(F.array(*[F.struct(F.lit(k).alias("fi"), F.col(f"e_{k}").alias("ei"))
+                                                          for k in _FACTORS])).alias("x")).select("d", "idio_var", "x.*")
+    ej = ei.select("d", F.col("fi").alias("fj"), F.col("ei").alias("ej"))
+    q = ei.join(F.broadcast(cov), "fi").join(ej, ["d", "fj"])          # cov is k x k = 16 rows
+    fv = q.groupBy("d", "idio_var").agg(F.sum(F.col("ei") * F.col("cov") * F.col("ej")).alias("factor_var"))
+    return fv.select("d", "factor_var", "idio_var", (F.col("factor_var") + F.col("idio_var")).alias("total_var"))
+
+
+@query("cov_shrinkage", rnd=["shrinkage", "mu"], dp=8)
+def cov_shrinkage(spark, sf):
+    """Ledoit-Wolf shrinkage of the factor covariance towards mu * I: the
+    intensity comes from second and fourth moment aggregates (one pass)."""
+    f = B.factors_monthly(spark, sf)
+    means = f.agg(*[F.avg(k).alias(f"m_{k}") for k in _FACTORS])          # one-row aggregate
+    c = R._attach(f, means, []).select(*[(F.col(k) - F.col(f"m_{k}")).alias(k) for k in _FACTORS])
+    pairs = [(a, b) for a in _FACTORS for b in _FACTORS]
+    aggs = [F.count(F.lit(1)).alias("T")]
+    for a, b in pairs:
+        aggs += [F.avg(F.col(a) * F.col(b)).alias(f"s__{a}__{b}"), F.avg(F.pow(F.col(a) * F.col(b), 2)).alias(f"q__{a}__{b}")]
+    m = c.agg(*aggs)
+    k = len(_FACTORS)
+    mu = sum(F.col(f"s__{a}__{a}") for a in _FACTORS) / k
+    d2 = sum(F.pow(F.col(f"s__{a}__{b}") - (mu if a == b else F.lit(0.0)), 2) for a, b in pairs)
+    b2bar = sum(F.col(f"q__{a}__{b}") - F.pow(F.col(f"s__{a}__{b}"), 2) for a, b in pairs) / F.col("T")
+    b2 = F.least(b2bar, d2)
+    return m.select(F.col("T").alias("n_obs"), mu.alias("mu"), (b2 / d2).alias("shrinkage"))
+
+
+@query("cov_noise_sensitivity", rnd=["mean_sharpe", "sd_sharpe", "base_sharpe"], dp=4)
+def cov_noise_sensitivity(spark, sf):
+    """Perturb returns with seeded hash noise in B = 20 replicates (explode, not
+    a cross join) and compare the strategy Sharpe across replicates."""
+    from kestrel.plans.strategy_queries import PERIODS, _in_sample
+    from kestrel.operators import panel as P
+    r = B.panel_returns(spark, sf)
+    cal = P.calendar(r)
+    rep = r.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(20))))
+    noise = (F.pmod(F.xxhash64("id", "d", "b"), F.lit(10000)) / 10000.0 - 0.5) * 0.02
+    rep = rep.withColumn("ret", F.when(F.col("b") == 0, F.col("ret")).otherwise(F.col("ret") + noise))
+    pr = P.with_calendar(rep, cal)
+    ex = pr.join(pr.groupBy("b", "d").agg(F.avg("ret").alias("mkt")), ["b", "d"]).withColumn("_raw", -(F.col("ret") - F.col("mkt")))
+    w = P.long_short_normalize(ex, ["b", "d"], "_raw", "w")
+    ws = w.select("b", "id", (F.col("date_idx") + 1).alias("date_idx"), "w")
+    prod = ws.join(pr.select("b", "id", "date_idx", "ret"), ["b", "id", "date_idx"]).groupBy("b", "date_idx") \
+        .agg(F.sum(F.col("w") * F.col("ret")).alias("pi"))
+    base = P.expand(cal, "b", list(range(21)))
+    pi = _in_sample(base.join(prod, ["b", "date_idx"], "left").withColumn("pi", F.coalesce("pi", F.lit(0.0))))
+    st = pi.groupBy("b").agg((F.avg("pi") * PERIODS / (F.stddev_samp("pi") * PERIODS ** 0.5)).alias("sharpe"))
+    return st.agg(F.avg(F.when(F.col("b") > 0, F.col("sharpe"))).alias("mean_sharpe"),
+                  F.stddev_samp(F.when(F.col("b") > 0, F.col("sharpe"))).alias("sd_sharpe"),
+                  F.max(F.when(F.col("b") == 0, F.col("sharpe"))).alias("base_sharpe"))
+
+
+@query("reg_lagged_ml", rnd=["rmse_model", "rmse_baseline", "corr"], dp=5)
+def reg_lagged_ml(spark, sf):
+    """Six lags of leg a as features for leg b, 80/20 time split, scaler +
+    linear regression vs a train-mean baseline (RMSE, correlation)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    pr = B.pair_returns(spark, sf)
+    w = Window.partitionBy("pair").orderBy("d")
+    lags = [F.lag("ret_a", j).over(w).alias(f"l{j}") for j in range(1, 7)]
+    x = pr.select("pair", "d", "ret_b", *lags, F.percent_rank().over(w).alias("_pos")).dropna()
+    x = x.withColumn("split", F.when(F.col("_pos") <= 0.8, "train").otherwise("test"))
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=[f"l{j}" for j in range(1, 7)], outputCol="raw"),
+                            StandardScaler(inputCol="raw", outputCol="features", withMean=True),
+                            LinearRegression(labelCol="ret_b", regParam=0.0)])
+    out = None
+    for pair in [f"{a}-{b}" for a, b in B.PAIRS]:   # fixed pair list
+        d = x.where(F.col("pair") == pair)
+        tr = d.where("split = 'train'")
+        m = pipe.fit(tr)
+        mean_tr = tr.agg(F.avg("ret_b").alias("mb"))
+        p = m.transform(d.where("split = 'test'")).withColumn("_k", F.lit(1)).join(mean_tr.withColumn("_k", F.lit(1)), "_k")
+        r = p.agg(F.sqrt(F.avg(F.pow(F.col("ret_b") - F.col("prediction"), 2))).alias("rmse_model"),
+                  F.sqrt(F.avg(F.pow(F.col("ret_b") - F.col("mb"), 2))).alias("rmse_baseline"),
+                  F.corr("ret_b", "prediction").alias("corr")).withColumn("pair", F.lit(pair))
+        out = r if out is None else out.unionByName(r)
+    return out
