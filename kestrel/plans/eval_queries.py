@@ -341,3 +341,26 @@ def eval_logloss(spark, sf):
     return s.groupBy("label").agg(
         F.avg(-(F.col("y") * F.log("p") + (1 - F.col("y")) * F.log(1 - F.col("p")))).alias("logloss"),
         F.avg(e * e).alias("mse"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"))
+
+
+def _full_tree_sql():
+    from kestrel.plans.registry import ORACLE
+    return ("SELECT 'edge_micro_f1' AS metric, micro_f1 AS value FROM (" + ORACLE["eval_pooled_edges"] + ") AS _a "
+            "UNION ALL SELECT 'edge_macro_f1', macro_f1 FROM (" + ORACLE["eval_pooled_edges"] + ") AS _b "
+            "UNION ALL SELECT 'leaf_micro_f1', micro_f1 FROM (" + ORACLE["eval_leaf_multilabel"] + ") AS _c "
+            "UNION ALL SELECT 'leaf_samples_f1', samples_f1 FROM (" + ORACLE["eval_leaf_multilabel"] + ") AS _d "
+            "UNION ALL SELECT 'path_recall', path_recall FROM (" + ORACLE["eval_path_recall"] + ") AS _e")
+
+
+@query("eval_full_tree", rnd=["value"], sql=_full_tree_sql())
+def eval_full_tree(spark, sf):
+    """One combined full-tree summary: edge pooled / macro F1, leaf micro /
+    samples F1 and path recall, as (metric, value) rows."""
+    e = eval_pooled_edges(spark, sf)
+    lf = eval_leaf_multilabel(spark, sf)
+    pr = eval_path_recall(spark, sf)
+    return (e.select(F.lit("edge_micro_f1").alias("metric"), F.col("micro_f1").alias("value"))
+            .unionByName(e.select(F.lit("edge_macro_f1").alias("metric"), F.col("macro_f1").alias("value")))
+            .unionByName(lf.select(F.lit("leaf_micro_f1").alias("metric"), F.col("micro_f1").alias("value")))
+            .unionByName(lf.select(F.lit("leaf_samples_f1").alias("metric"), F.col("samples_f1").alias("value")))
+            .unionByName(pr.select(F.lit("path_recall").alias("metric"), F.col("path_recall").alias("value"))))

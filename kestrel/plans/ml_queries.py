@@ -289,3 +289,37 @@ def eval_kfold(spark, sf):
     return folds.agg(F.avg("f1").alias("mean_f1"), F.stddev_samp("f1").alias("std_f1"),
                      F.avg("accuracy").alias("mean_accuracy"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),
                      F.sum("fn").alias("fn"), F.sum("tn").alias("tn"))
+
+
+@query("reg_logloss_sweep", rnd=["val_logloss", "test_logloss"], dp=5)
+def reg_logloss_sweep(spark, sf):
+    """lambda x feature-mask sweep of logistic regression scored by validation
+    log-loss (computed as an aggregate); the minimum is re-scored on test."""
+    from pyspark.ml.feature import VectorSlicer
+    from pyspark.ml.functions import vector_to_array
+    e = embeddings(spark, sf)
+    e = e.withColumn("split", F.when((F.col("vec_id") * 7919) % 10 < 6, "train")
+                     .when((F.col("vec_id") * 7919) % 10 < 8, "val").otherwise("test")).cache()
+    tr = e.where("split = 'train'")
+    rows = []
+    fitted = {}
+    for k in (8, 16, 32, 64):                 # mask: first k features (first always on)
+        for lam in (0.001, 0.01, 0.1, 1.0):
+            pipe = Pipeline(stages=[VectorSlicer(inputCol="features", outputCol="fk", indices=list(range(k))),
+                                    LogisticRegression(featuresCol="fk", regParam=lam, maxIter=50)])
+            m = pipe.fit(tr)
+            fitted[(k, lam)] = m
+            rows.append((k, lam, m))
+    def logloss(m, part):
+        p = m.transform(e.where(F.col("split") == part)).withColumn("p1", vector_to_array("probability")[1])
+        p1 = F.least(F.greatest("p1", F.lit(1e-15)), F.lit(1 - 1e-15))
+        return p.agg(F.avg(-(F.col("label") * F.log(p1) + (1 - F.col("label")) * F.log(1 - p1))).alias("ll"))
+    res = None
+    for k, lam, m in rows:
+        r = logloss(m, "val").select(F.lit(k).alias("n_features"), F.lit(lam).alias("reg_param"), F.col("ll").alias("val_logloss"))
+        res = r if res is None else res.unionByName(r)
+    res = res.cache()
+    best = res.orderBy("val_logloss", "n_features", "reg_param").first()   # one row of a 16-row grid table
+    test = logloss(fitted[(best.n_features, best.reg_param)], "test").first().ll
+    return res.withColumn("is_best", (F.col("n_features") == best.n_features) & (F.col("reg_param") == best.reg_param)) \
+        .withColumn("test_logloss", F.when(F.col("is_best"), F.lit(test)))
