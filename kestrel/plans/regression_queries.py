@@ -20,6 +20,12 @@ from kestrel.sources.tables import load
 _PAIRS = with_(LEGS, LEG_RET, PAIR_RET)
 
 
+def pair_frame(spark, sf):
+    """Pair returns materialised once per query (several consumers)."""
+    from kestrel.session import cut_lineage
+    return cut_lineage(B.pair_returns(spark, sf))
+
+
 def _hac_sql(src: str, x: str, y: str, by: str) -> str:
     """Newey-West 2x2 sandwich written out in SQL (oracle side)."""
     return f"""
@@ -52,7 +58,7 @@ SELECT pair, n, L, alpha, beta, r2, nw_se_alpha, nw_se_beta, alpha / nw_se_alpha
        beta / nw_se_beta AS nw_t_beta FROM hac""")
 def reg_hac_nw(spark, sf):
     """OLS of leg b on leg a per pair with Newey-West (Bartlett) errors."""
-    return R.hac_simple(B.pair_returns(spark, sf), "d", "ret_a", "ret_b", by=["pair"])
+    return R.hac_simple(pair_frame(spark, sf), "d", "ret_a", "ret_b", by=["pair"])
 
 
 @query("reg_pair_report", rnd=["corr", "beta", "alpha", "r2", "nw_t_beta", "tracking_err", "mean_spread"],
@@ -64,7 +70,7 @@ FROM hac JOIN st USING (pair)""")
 def reg_pair_report(spark, sf):
     """All pairs in one job: corr, beta, alpha, R^2, NW t, tracking error,
     mean spread, N."""
-    pr = B.pair_returns(spark, sf)
+    pr = pair_frame(spark, sf)
     hac = R.hac_simple(pr, "d", "ret_a", "ret_b", by=["pair"])
     sp = F.col("ret_b") - F.col("ret_a")
     st = pr.groupBy("pair").agg(F.corr("ret_a", "ret_b").alias("corr"), F.stddev_samp(sp).alias("tracking_err"),
@@ -76,7 +82,7 @@ def reg_pair_report(spark, sf):
 @query("join_inner_date", rnd=["ret_a", "ret_b"], sql=_PAIRS + "SELECT pair, d, ret_a, ret_b FROM pair_ret")
 def join_inner_date(spark, sf):
     """Two legs inner-joined on date with NULL returns dropped."""
-    return B.pair_returns(spark, sf)
+    return pair_frame(spark, sf)
 
 
 @query("join_index_align", sql=_PAIRS + """
@@ -105,7 +111,7 @@ z AS (SELECT *, (spread - avg(spread) OVER (PARTITION BY pair)) / stddev_samp(sp
 
 
 def spread_outliers(spark, sf, k: float = 3.0):
-    pr = B.pair_returns(spark, sf).withColumn("spread", F.col("ret_b") - F.col("ret_a"))
+    pr = pair_frame(spark, sf).withColumn("spread", F.col("ret_b") - F.col("ret_a"))
     st = pr.groupBy("pair").agg(F.avg("spread").alias("mu"), F.stddev_samp("spread").alias("sd"))
     z = pr.join(st, "pair").withColumn("z", (F.col("spread") - F.col("mu")) / F.col("sd"))
     return z.where(F.abs(F.col("spread") - F.col("mu")) > k * F.col("sd"))
@@ -153,7 +159,7 @@ def spread_pct_mid(spark, sf):
 SELECT pair, round(corr(ret_a, ret_b), 4) AS corr4, round(regr_slope(ret_b, ret_a), 4) AS beta4,
        round(regr_intercept(ret_b, ret_a), 6) AS alpha6, count(*) AS n FROM pair_ret GROUP BY pair""")
 def round_report(spark, sf):
-    pr = B.pair_returns(spark, sf)
+    pr = pair_frame(spark, sf)
     return pr.groupBy("pair").agg(F.round(F.corr("ret_a", "ret_b"), 4).alias("corr4"),
                                   F.round(F.regr_slope("ret_b", "ret_a"), 4).alias("beta4"),
                                   F.round(F.regr_intercept("ret_b", "ret_a"), 6).alias("alpha6"),
@@ -327,7 +333,7 @@ def reg_nested_f(spark, sf):
 @query("agg_corr_pvalue", rnd=["corr", "t", "p_value"])
 def agg_corr_pvalue(spark, sf):
     """Pearson correlation with a two-sided t(n-2) p-value on the result rows."""
-    pr = B.pair_returns(spark, sf)
+    pr = pair_frame(spark, sf)
     c = pr.groupBy("pair").agg(F.corr("ret_a", "ret_b").alias("corr"), F.count(F.lit(1)).alias("n"))
     t = F.col("corr") * F.sqrt((F.col("n") - 2) / (1 - F.col("corr") * F.col("corr")))
     c = c.withColumn("t", t)
@@ -345,7 +351,7 @@ _RANKS = _PAIRS + """
 @query("agg_spearman", rnd=["spearman"], sql=_RANKS + "SELECT pair, corr(ra, rb) AS spearman FROM rk GROUP BY pair")
 def agg_spearman(spark, sf):
     """Rank correlation with average ranks on ties (rank + (ties-1)/2)."""
-    pr = B.pair_returns(spark, sf)
+    pr = pair_frame(spark, sf)
     ra = S.avg_rank(pr, "ret_a", ["pair"])
     rb = S.avg_rank(ra, "ret_b", ["pair"])
     return rb.groupBy("pair").agg(F.corr("ret_a_rank", "ret_b_rank").alias("spearman"))
@@ -359,7 +365,7 @@ UNION ALL SELECT pair, 'lead1', corr(ret_a, ret_b_lead1) FROM ll GROUP BY pair
 UNION ALL SELECT pair, 'lag1', corr(ret_a, ret_b_lag1) FROM ll GROUP BY pair""")
 def agg_corr_matrix(spark, sf):
     """Level / lead / lag pair grid: unpivot the lagged columns, one groupBy."""
-    pr = B.pair_returns(spark, sf)
+    pr = pair_frame(spark, sf)
     w = Window.partitionBy("pair").orderBy("d")
     ll = pr.select("pair", "ret_a", F.col("ret_b").alias("level"), F.lead("ret_b", 1).over(w).alias("lead1"),
                    F.lag("ret_b", 1).over(w).alias("lag1"))
@@ -376,7 +382,7 @@ rk AS (SELECT pair, ret_a, y,
 SELECT pair, corr(ret_a, y) AS corr_lead5, corr(ra, rb) AS spearman_lead5 FROM rk GROUP BY pair""")
 def ts_lead_lag_corr(spark, sf):
     """corr of leg a at t with leg b at t+5 (Pearson and Spearman)."""
-    pr = B.pair_returns(spark, sf)
+    pr = pair_frame(spark, sf)
     w = Window.partitionBy("pair").orderBy("d")
     ll = pr.select("pair", "ret_a", F.lead("ret_b", 5).over(w).alias("y")).where(F.col("y").isNotNull())
     r = S.avg_rank(S.avg_rank(ll, "ret_a", ["pair"]), "y", ["pair"])
@@ -485,7 +491,7 @@ def reg_lagged_ml(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StandardScaler, VectorAssembler
     from pyspark.ml.regression import LinearRegression
-    pr = B.pair_returns(spark, sf)
+    pr = pair_frame(spark, sf)
     w = Window.partitionBy("pair").orderBy("d")
     lags = [F.lag("ret_a", j).over(w).alias(f"l{j}") for j in range(1, 7)]
     x = pr.select("pair", "d", "ret_b", *lags, F.percent_rank().over(w).alias("_pos")).dropna()

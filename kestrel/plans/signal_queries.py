@@ -36,7 +36,10 @@ sig AS (SELECT *, ret_t12m1 / nullif(vol_t12m1, 0) AS sr_t12m1 FROM sig0)
 
 
 def signals(spark, sf):
-    return P.momentum_signals(B.panel_returns(spark, sf))
+    """Momentum signals per supplier, materialised once (the regression queries
+    read them several times)."""
+    from kestrel.session import cut_lineage
+    return cut_lineage(P.momentum_signals(B.panel_returns(spark, sf)))
 
 
 def _sel(*cols):

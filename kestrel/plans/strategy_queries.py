@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from kestrel.operators import panel as P
 from kestrel.plans.registry import query
 from kestrel.plans.sqlbind import CAL, EX, MKT, PANEL_M, PANEL_R, PI1, PR, W1, with_  # noqa: F401
+from kestrel.session import cut_lineage
 from kestrel.sources import bindings as B
 
 PERIODS = 12  # monthly panel
@@ -35,10 +36,15 @@ IN_LO, IN_HI = WINDOWS[0][1], WINDOWS[0][2]
 
 
 def base_panel(spark: SparkSession, sf: str):
-    """(pr, cal): returns panel with calendar index, and the calendar."""
-    r = B.panel_returns(spark, sf)
-    cal = P.calendar(r)
-    return P.with_calendar(r, cal), cal
+    """(pr, cal): returns panel with calendar index, and the calendar.
+
+    The panel is an aggregate of lineitem (ids x months, far smaller than the
+    fact table) that every strategy query consumes several times, so it is
+    materialised once in the shared checkpoint folder: the fact table is
+    scanned once per query, not once per consumer."""
+    r = cut_lineage(B.panel_returns(spark, sf))
+    cal = cut_lineage(P.calendar(r))
+    return cut_lineage(P.with_calendar(r, cal)), cal
 
 
 def baseline_pi(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -21,8 +21,10 @@ nd AS (SELECT count(*) AS n FROM documents)
 
 
 def _tf(spark, sf):
+    from kestrel.session import cut_lineage
     docs = load(spark, sf, "documents")
-    tf = X.term_counts(X.tokens(docs, "doc_id", "text"), "doc_id")
+    # term counts feed both the vocabulary and the weights: tokenize once
+    tf = cut_lineage(X.term_counts(X.tokens(docs, "doc_id", "text"), "doc_id"))
     return docs, tf, X.vocabulary(tf, "doc_id")
 
 

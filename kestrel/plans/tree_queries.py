@@ -81,6 +81,12 @@ def _labels(spark, sf):
     return B.labels_long(spark, sf)
 
 
+def _labels_mat(spark, sf):
+    """Long labels materialised once for queries that join them repeatedly."""
+    from kestrel.session import cut_lineage
+    return cut_lineage(B.labels_long(spark, sf))
+
+
 @query("label_level_tag", sql=_TL + "SELECT l.id, l.cat, d.depth AS level FROM labels_long l JOIN depth d ON d.node = l.cat")
 def label_level_tag(spark, sf):
     """Category -> level through the (small) depth table."""
@@ -184,8 +190,11 @@ gold AS (SELECT s.parent, s.child, r.id, CASE WHEN rc.id IS NOT NULL THEN 1 ELSE
 
 
 def gold_edges(spark, sf):
+    """Per-edge gold rows for every branching edge, materialised (the metric
+    queries read them through several branches)."""
+    from kestrel.session import cut_lineage
     e = _edges(spark, sf)
-    return T.edge_gold(_labels(spark, sf), e, T.closure(e))
+    return cut_lineage(T.edge_gold(_labels(spark, sf), e, cut_lineage(T.closure(e))))
 
 
 @query("label_edge_gold", sql=_GOLD + "SELECT parent, child, id, y FROM gold", bench=True)

@@ -20,7 +20,9 @@ _NS = with_(NATION_SERIES) + """
 
 
 def series(spark, sf):
-    return TS.indexed(B.nation_series(spark, sf))
+    """Indexed nation series, materialised once (ACF / periodogram read it twice)."""
+    from kestrel.session import cut_lineage
+    return cut_lineage(TS.indexed(B.nation_series(spark, sf)))
 
 
 @query("ts_growth", rnd=["growth"], sql=_NS + """
