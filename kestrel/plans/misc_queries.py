@@ -15,6 +15,12 @@ from kestrel.session import ensure_checkpoint_dir
 from kestrel.sources import bindings as B
 from kestrel.sources import files as FS
 from kestrel.sources.tables import load
+import kestrel.plans.eval_queries  # noqa: F401,E402  (oracle text reused by the CSV sink)
+
+
+def _ORACLE_OF(name: str) -> str:
+    from kestrel.plans.registry import ORACLE
+    return ORACLE[name]
 
 
 @query("sort_multi_key", sql="""
@@ -86,7 +92,10 @@ def json_roundtrip(spark, sf):
                          F.to_json(F.struct("event_type", F.col("p.k").alias("k"))).alias("out_json"))
 
 
-@query("udf_grouped_apply", rnd=["max_drawup"], dp=4)
+@query("udf_grouped_apply", rnd=["max_drawup"], dp=4, sql=with_(PANEL_M) + """
+, dd AS (SELECT id, price / min(price) OVER (PARTITION BY id ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS up
+        FROM panel_m)
+SELECT id, count(*) AS n, max(up) AS max_drawup FROM dd GROUP BY id""")
 def udf_grouped_apply(spark, sf):
     """Arbitrary Python per entity: groupBy(id).applyInPandas on the (id, month)
     grain -- each group is one supplier's monthly series (calendar-bounded)."""
@@ -163,7 +172,13 @@ def src_regional_filter(spark, sf):
     return o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_totalprice")
 
 
-@query("sink_jsonl_scores")
+@query("sink_jsonl_scores", sql="""
+WITH s AS (SELECT 'quality' AS label, l.doc_id AS id, l.quality AS y, ((l.doc_id * 37 + d.n_chars) % 1000) / 1000.0 AS score
+           FROM labels l JOIN documents d USING (doc_id)
+           UNION ALL
+           SELECT 'toxic', l.doc_id, l.toxic, ((l.doc_id * 53 + d.n_chars * 7) % 1000) / 1000.0 FROM labels l JOIN documents d USING (doc_id))
+SELECT label, id, y, score, CAST(score >= 0.5 AS INTEGER) AS pred,
+       CASE WHEN (id * 7919) % 100 < 80 THEN 'train' ELSE 'test' END AS split FROM s""")
 def sink_jsonl_scores(spark, sf):
     """Score the corpus and write JSON lines with a split tag; read back."""
     from kestrel.plans.eval_queries import scores
@@ -184,7 +199,7 @@ def sink_manifest(spark, sf):
     return spark.read.json(path)
 
 
-@query("sink_result_csv")
+@query("sink_result_csv", sql=_ORACLE_OF("eval_binary"))
 def sink_result_csv(spark, sf):
     """Write a metric table as CSV with a header and read it back."""
     from kestrel.plans.eval_queries import eval_binary

@@ -439,7 +439,13 @@ def cov_factor_model(spark, sf):
     return fv.select("d", "factor_var", "idio_var", (F.col("factor_var") + F.col("idio_var")).alias("total_var"))
 
 
-@query("cov_shrinkage", rnd=["shrinkage", "mu"], dp=8)
+@query("cov_shrinkage", rnd=["shrinkage", "mu"], dp=8, sql=with_(PRIO_REV, FACTORS) + """
+, mf AS (SELECT avg(mktrf) AS m_mktrf, avg(smb) AS m_smb, avg(hml) AS m_hml, avg(umd) AS m_umd FROM factors),
+c AS (SELECT mktrf - m_mktrf AS mktrf, smb - m_smb AS smb, hml - m_hml AS hml, umd - m_umd AS umd FROM factors CROSS JOIN mf),
+m AS (SELECT count(*) AS T, avg(mktrf * mktrf) AS s__mktrf__mktrf, avg(pow(mktrf * mktrf, 2)) AS q__mktrf__mktrf, avg(mktrf * smb) AS s__mktrf__smb, avg(pow(mktrf * smb, 2)) AS q__mktrf__smb, avg(mktrf * hml) AS s__mktrf__hml, avg(pow(mktrf * hml, 2)) AS q__mktrf__hml, avg(mktrf * umd) AS s__mktrf__umd, avg(pow(mktrf * umd, 2)) AS q__mktrf__umd, avg(smb * mktrf) AS s__smb__mktrf, avg(pow(smb * mktrf, 2)) AS q__smb__mktrf, avg(smb * smb) AS s__smb__smb, avg(pow(smb * smb, 2)) AS q__smb__smb, avg(smb * hml) AS s__smb__hml, avg(pow(smb * hml, 2)) AS q__smb__hml, avg(smb * umd) AS s__smb__umd, avg(pow(smb * umd, 2)) AS q__smb__umd, avg(hml * mktrf) AS s__hml__mktrf, avg(pow(hml * mktrf, 2)) AS q__hml__mktrf, avg(hml * smb) AS s__hml__smb, avg(pow(hml * smb, 2)) AS q__hml__smb, avg(hml * hml) AS s__hml__hml, avg(pow(hml * hml, 2)) AS q__hml__hml, avg(hml * umd) AS s__hml__umd, avg(pow(hml * umd, 2)) AS q__hml__umd, avg(umd * mktrf) AS s__umd__mktrf, avg(pow(umd * mktrf, 2)) AS q__umd__mktrf, avg(umd * smb) AS s__umd__smb, avg(pow(umd * smb, 2)) AS q__umd__smb, avg(umd * hml) AS s__umd__hml, avg(pow(umd * hml, 2)) AS q__umd__hml, avg(umd * umd) AS s__umd__umd, avg(pow(umd * umd, 2)) AS q__umd__umd FROM c),
+m2 AS (SELECT *, (s__mktrf__mktrf + s__smb__smb + s__hml__hml + s__umd__umd) / 4 AS mu FROM m),
+m3 AS (SELECT T, mu, pow(s__mktrf__mktrf - mu, 2) + pow(s__mktrf__smb - 0.0, 2) + pow(s__mktrf__hml - 0.0, 2) + pow(s__mktrf__umd - 0.0, 2) + pow(s__smb__mktrf - 0.0, 2) + pow(s__smb__smb - mu, 2) + pow(s__smb__hml - 0.0, 2) + pow(s__smb__umd - 0.0, 2) + pow(s__hml__mktrf - 0.0, 2) + pow(s__hml__smb - 0.0, 2) + pow(s__hml__hml - mu, 2) + pow(s__hml__umd - 0.0, 2) + pow(s__umd__mktrf - 0.0, 2) + pow(s__umd__smb - 0.0, 2) + pow(s__umd__hml - 0.0, 2) + pow(s__umd__umd - mu, 2) AS d2, ((q__mktrf__mktrf - pow(s__mktrf__mktrf, 2)) + (q__mktrf__smb - pow(s__mktrf__smb, 2)) + (q__mktrf__hml - pow(s__mktrf__hml, 2)) + (q__mktrf__umd - pow(s__mktrf__umd, 2)) + (q__smb__mktrf - pow(s__smb__mktrf, 2)) + (q__smb__smb - pow(s__smb__smb, 2)) + (q__smb__hml - pow(s__smb__hml, 2)) + (q__smb__umd - pow(s__smb__umd, 2)) + (q__hml__mktrf - pow(s__hml__mktrf, 2)) + (q__hml__smb - pow(s__hml__smb, 2)) + (q__hml__hml - pow(s__hml__hml, 2)) + (q__hml__umd - pow(s__hml__umd, 2)) + (q__umd__mktrf - pow(s__umd__mktrf, 2)) + (q__umd__smb - pow(s__umd__smb, 2)) + (q__umd__hml - pow(s__umd__hml, 2)) + (q__umd__umd - pow(s__umd__umd, 2))) / T AS b2bar FROM m2)
+SELECT T AS n_obs, mu, least(b2bar, d2) / d2 AS shrinkage FROM m3""")
 def cov_shrinkage(spark, sf):
     """Ledoit-Wolf shrinkage of the factor covariance towards mu * I: the
     intensity comes from second and fourth moment aggregates (one pass)."""
