@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
-from pyspark.ml.feature import (CountVectorizer, IDF, Normalizer, PCA, PolynomialExpansion, RegexTokenizer)
+from pyspark.ml.feature import CountVectorizer, IDF, Normalizer, PCA, PolynomialExpansion
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -26,18 +26,27 @@ from kestrel.session import ensure_checkpoint_dir
 from kestrel.sources.tables import load
 
 
+def with_tokens(df):
+    """Add the token array JVM-side (codegen'd regexp_extract_all, same
+    pattern and lowercasing as a RegexTokenizer) so the pipeline stages that
+    need several passes (vocabulary, idf) reuse materialised tokens instead of
+    re-tokenising the corpus in every pass."""
+    t = F.regexp_extract_all(F.lower(F.coalesce(F.col("text"), F.lit(""))), F.lit(X.TOKEN_LOWER2), 0)
+    return df.withColumn("tokens", t).drop("text")
+
+
 def labelled_docs(spark, sf):
     d = load(spark, sf, "documents").select("doc_id", "text")
     lab = load(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    return C.hash_split(d.join(lab, "doc_id"), "doc_id")
+    return C.hash_split(with_tokens(d.join(lab, "doc_id")), "doc_id")
 
 
 def featurizer(kind: str = "tfidf") -> list:
-    tok = RegexTokenizer(inputCol="text", outputCol="tokens", pattern=X.TOKEN_LOWER2, gaps=False, toLowercase=True)
+    """Vocabulary (<= 2000 terms, min_df 2) -> idf -> L2 on a ``tokens`` column."""
     cv = CountVectorizer(inputCol="tokens", outputCol="tf" if kind == "tfidf" else "features", vocabSize=2000, minDF=2)
     if kind == "count":
-        return [tok, cv]
-    return [tok, cv, IDF(inputCol="tf", outputCol="idf"), Normalizer(inputCol="idf", outputCol="features", p=2.0)]
+        return [cv]
+    return [cv, IDF(inputCol="tf", outputCol="idf"), Normalizer(inputCol="idf", outputCol="features", p=2.0)]
 
 
 def _metrics(pred, name):
@@ -98,18 +107,22 @@ def clf_poly2_svm(spark, sf):
 
 @query("text_svd", rnd=["singular_value", "explained_variance_ratio"], dp=5)
 def text_svd(spark, sf):
-    """TF-IDF -> truncated SVD (20 components) with the distributed RowMatrix;
-    explained ratio = sigma^2 / squared Frobenius norm (= #docs for L2 rows)."""
+    """TF-IDF -> truncated SVD (20 components).  One distributed pass builds the
+    Gramian X'X (p x p, p = vocabulary size <= max_features, a parameter bound);
+    its top eigenvalues are the squared singular values.  Explained ratio =
+    sigma^2 / squared Frobenius norm."""
     from pyspark.mllib.linalg import Vectors as MV
     from pyspark.mllib.linalg.distributed import RowMatrix
-    d = load(spark, sf, "documents").select("doc_id", "text")
+    from kestrel.session import cut_lineage
+    d = cut_lineage(with_tokens(load(spark, sf, "documents").select("doc_id", "text")))
     feats = Pipeline(stages=featurizer("tfidf")).fit(d).transform(d).select("features")
     rows = feats.rdd.map(lambda r: MV.fromML(r.features))
-    svd = RowMatrix(rows).computeSVD(20, computeU=False)
-    s = [float(x) for x in svd.s.toArray()]
-    total = float(d.count())
-    return spark.createDataFrame(pd.DataFrame({"component": list(range(1, len(s) + 1)), "singular_value": s,
-                                               "explained_variance_ratio": [x * x / total for x in s]}))
+    g = RowMatrix(rows).computeGramianMatrix().toArray()
+    ev = np.sort(np.linalg.eigvalsh(g))[::-1][:20]
+    s = np.sqrt(np.clip(ev, 0.0, None))
+    total = float(np.trace(g))
+    return spark.createDataFrame(pd.DataFrame({"component": list(range(1, len(s) + 1)), "singular_value": s.tolist(),
+                                               "explained_variance_ratio": (s * s / total).tolist()}))
 
 
 @query("clf_model_zoo", rnd=["accuracy", "precision", "recall", "f1"])
@@ -158,7 +171,7 @@ def udf_model_plug(spark, sf, factory=None):
     """Pluggable estimator contract: ``factory(edge) -> Estimator``; one model
     per first-level edge (Root -> lang), trained on the shared features."""
     factory = factory or (lambda edge: LogisticRegression(regParam=0.01, maxIter=20))
-    d = load(spark, sf, "documents").select("doc_id", "text", "lang")
+    d = with_tokens(load(spark, sf, "documents").select("doc_id", "text", "lang")).cache()
     feats = Pipeline(stages=featurizer()).fit(d).transform(d).select("doc_id", "lang", "features")
     feats = C.hash_split(feats, "doc_id").cache()
     out = None
@@ -248,7 +261,7 @@ def clf_node_multiclass(spark, sf):
             .join(e.select(F.col("parent").alias("ancestor"), "child"), "ancestor")
             .join(T.closure(e).select(F.col("ancestor").alias("child"), F.col("descendant").alias("_d2")), "child")
             .where(F.col("_d2") == F.col("descendant")).select("id", F.col("ancestor").alias("node"), "child"))
-    docs = load(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = with_tokens(load(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")).cache()
     feats = Pipeline(stages=featurizer()).fit(docs).transform(docs).select("id", "features")
     data = C.hash_split(hops.join(feats, "id"), "id").cache()
     out = None
