@@ -184,11 +184,11 @@ def solve_moments(mom: DataFrame, xs: list[str], by: list[str] | None = None, mo
     key_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in mom.schema.fields if f.name in by)
     schema = (key_schema + ", " if key_schema else "") + \
         "term string, coef double, se double, t double, n long, r2 double, rss double, ser double"
-    g = mom.groupBy(*by) if by else mom.groupBy(F.lit(1).alias("_g"))
     if not by:
         mom = mom.withColumn("_g", F.lit(1))
         return mom.groupBy("_g").applyInPandas(lambda p: solve(p.drop(columns=["_g"])), schema)
-    return g.applyInPandas(solve, schema)
+    # one-argument wrapper: applyInPandas passes (key, pdf) to 2-arg functions
+    return mom.groupBy(*by).applyInPandas(lambda p: solve(p), schema)
 
 
 def ols_multi(df: DataFrame, xs: list[str], y: str, by: list[str] | None = None,
@@ -232,7 +232,7 @@ def hac_multi(df: DataFrame, order: str, xs: list[str], y: str, by: list[str] |
     if not by:
         sel = sel.withColumn("_g", F.lit(1))
         return sel.groupBy("_g").applyInPandas(lambda p: fit(p.drop(columns=["_g"])), schema)
-    return sel.groupBy(*by).applyInPandas(fit, schema)
+    return sel.groupBy(*by).applyInPandas(lambda p: fit(p), schema)
 
 
 def nested_f(full: DataFrame, restricted: DataFrame, q: int) -> DataFrame:

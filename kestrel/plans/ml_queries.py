@@ -49,6 +49,21 @@ def featurizer(kind: str = "tfidf") -> list:
     return [cv, IDF(inputCol="tf", outputCol="idf"), Normalizer(inputCol="idf", outputCol="features", p=2.0)]
 
 
+def fit_concurrently(tasks, workers: int = 4):
+    """Run independent model fits as concurrent Spark jobs (each fit is itself
+    distributed; threads only keep the cluster busy across small fits)."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=workers) as ex:
+        return list(ex.map(lambda f: f(), tasks))
+
+
+def _union(parts):
+    out = None
+    for p in parts:
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
 def _metrics(pred, name):
     m = E.binary_metrics(pred.withColumn("y", F.col("label").cast("int")).withColumn("p", F.col("prediction").cast("int")),
                          "y", "p")
@@ -128,11 +143,15 @@ def text_svd(spark, sf):
 @query("clf_model_zoo", rnd=["accuracy", "precision", "recall", "f1"])
 def clf_model_zoo(spark, sf):
     """Representation x model comparison on one cached split, sorted by F1."""
-    out = None
-    for kind in ("tfidf", "count"):
-        for name, m in (("svm", LinearSVC(regParam=0.01, maxIter=30)), ("logreg", LogisticRegression(regParam=0.01, maxIter=30))):
-            r = fit_eval(spark, sf, m, f"{kind}_{name}", kind)
-            out = r if out is None else out.unionByName(r)
+    d = labelled_docs(spark, sf).cache()
+    tr, te = d.where("split = 'train'"), d.where("split = 'test'")
+
+    def fit_one(kind, name, m):
+        return lambda: _metrics(Pipeline(stages=featurizer(kind) + [m]).fit(tr).transform(te), f"{kind}_{name}")
+    tasks = [fit_one(kind, name, m) for kind in ("tfidf", "count")
+             for name, m in (("svm", LinearSVC(regParam=0.01, maxIter=30)),
+                             ("logreg", LogisticRegression(regParam=0.01, maxIter=30)))]
+    out = _union(fit_concurrently(tasks))
     return out.orderBy(F.col("f1").desc(), "model")
 
 
@@ -174,12 +193,15 @@ def udf_model_plug(spark, sf, factory=None):
     d = with_tokens(load(spark, sf, "documents").select("doc_id", "text", "lang")).cache()
     feats = Pipeline(stages=featurizer()).fit(d).transform(d).select("doc_id", "lang", "features")
     feats = C.hash_split(feats, "doc_id").cache()
-    out = None
-    for lang in [r[0] for r in d.select("lang").distinct().orderBy("lang").collect()]:   # tree-sized list
-        data = feats.withColumn("label", (F.col("lang") == lang).cast("double"))
-        m = factory(("Root", lang)).fit(data.where("split = 'train'"))
-        r = _metrics(m.transform(data.where("split = 'test'")), f"Root>{lang}")
-        out = r if out is None else out.unionByName(r)
+    langs = [r[0] for r in d.select("lang").distinct().orderBy("lang").collect()]   # tree-sized list
+
+    def fit_edge(lang):
+        def run():
+            data = feats.withColumn("label", (F.col("lang") == lang).cast("double"))
+            m = factory(("Root", lang)).fit(data.where("split = 'train'"))
+            return _metrics(m.transform(data.where("split = 'test'")), f"Root>{lang}")
+        return run
+    out = _union(fit_concurrently([fit_edge(x) for x in langs]))
     return out
 
 
@@ -202,10 +224,13 @@ def edge_ridge(spark, sf, lambdas=(0.0, 1.0)):
     """Least-squares linear classifier (targets +-1, ridge lambda) for every
     (edge, lambda): one moment aggregation grouped by edge, one small solve per
     group.  Returns per (parent, child, lambda) train/test confusion."""
+    from kestrel.session import cut_lineage
     g = gold_edges(spark, sf)
     dd = doc_dense(spark, sf)
     xs = [f"f{i}" for i in range(N_DENSE)]
-    j = C.hash_split(g.join(dd, "id"), "id").withColumn("t", F.col("y") * 2.0 - 1.0)
+    # the (edge, doc) design rows feed both the moment aggregation and the
+    # scoring join: materialise them once
+    j = cut_lineage(C.hash_split(g.join(dd, "id"), "id").withColumn("t", F.col("y") * 2.0 - 1.0))
     mom = R.moments(j.where("split = 'train'"), xs, "t", by=["parent", "child"])
     mom = mom.withColumn("lam", F.explode(F.array(*[F.lit(float(x)) for x in lambdas])))
     # ridge: add lambda to the diagonal of the feature block
@@ -264,17 +289,20 @@ def clf_node_multiclass(spark, sf):
     docs = with_tokens(load(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")).cache()
     feats = Pipeline(stages=featurizer()).fit(docs).transform(docs).select("id", "features")
     data = C.hash_split(hops.join(feats, "id"), "id").cache()
-    out = None
     nodes = [r[0] for r in T.branching(e).select("parent").orderBy("parent").collect()]   # tree-sized list
-    for node in nodes:
-        dn = data.where(F.col("node") == node)
-        from pyspark.ml.feature import StringIndexer
-        pm = Pipeline(stages=[StringIndexer(inputCol="child", outputCol="label", handleInvalid="keep"),
-                              LogisticRegression(family="multinomial", regParam=0.01, maxIter=30)]).fit(dn.where("split = 'train'"))
-        p = pm.transform(dn.where("split = 'test'"))
-        r = p.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
-                  F.count(F.lit(1)).alias("n")).withColumn("node", F.lit(node))
-        out = r if out is None else out.unionByName(r)
+    from pyspark.ml.feature import StringIndexer
+
+    def fit_node(node):
+        def run():
+            dn = data.where(F.col("node") == node)
+            pm = Pipeline(stages=[StringIndexer(inputCol="child", outputCol="label", handleInvalid="keep"),
+                                  LogisticRegression(family="multinomial", regParam=0.01, maxIter=30)]).fit(
+                dn.where("split = 'train'"))
+            p = pm.transform(dn.where("split = 'test'"))
+            return p.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
+                         F.count(F.lit(1)).alias("n")).withColumn("node", F.lit(node))
+        return run
+    out = _union(fit_concurrently([fit_node(n) for n in nodes]))
     return out
 
 
@@ -292,13 +320,15 @@ def eval_kfold(spark, sf):
     """5-fold CV with a hash fold id: per-fold metrics, their mean / std and the
     summed confusion."""
     d = labelled_docs(spark, sf).withColumn("fold", ((F.col("doc_id") * 7919) % 5).cast("int")).cache()
-    folds = None
-    for k in range(5):   # fixed fold count
-        pm = Pipeline(stages=featurizer() + [LogisticRegression(regParam=0.01, maxIter=30)]).fit(d.where(F.col("fold") != k))
-        p = pm.transform(d.where(F.col("fold") == k)).withColumn("y", F.col("label").cast("int")) \
-            .withColumn("p", F.col("prediction").cast("int"))
-        m = E.binary_metrics(p, "y", "p").withColumn("fold", F.lit(k))
-        folds = m if folds is None else folds.unionByName(m)
+
+    def fit_fold(k):
+        def run():
+            pm = Pipeline(stages=featurizer() + [LogisticRegression(regParam=0.01, maxIter=30)]).fit(d.where(F.col("fold") != k))
+            p = pm.transform(d.where(F.col("fold") == k)).withColumn("y", F.col("label").cast("int")) \
+                .withColumn("p", F.col("prediction").cast("int"))
+            return E.binary_metrics(p, "y", "p").withColumn("fold", F.lit(k))
+        return run
+    folds = _union(fit_concurrently([fit_fold(k) for k in range(5)]))   # fixed fold count
     return folds.agg(F.avg("f1").alias("mean_f1"), F.stddev_samp("f1").alias("std_f1"),
                      F.avg("accuracy").alias("mean_accuracy"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),
                      F.sum("fn").alias("fn"), F.sum("tn").alias("tn"))
