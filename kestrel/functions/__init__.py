@@ -62,3 +62,15 @@ def third_friday(c) -> Column:
     """Quarterly expiry day: third Friday of Mar/Jun/Sep/Dec."""
     d = col(c)
     return ((F.dayofweek(d) == 6) & F.dayofmonth(d).between(15, 21) & F.month(d).isin(3, 6, 9, 12))
+
+
+def attach_scalars(df, one_row):
+    """Add the columns of a one-row aggregate to every row of ``df`` as a
+    scalar subquery (evaluated once, no join of any kind)."""
+    s = one_row.select(F.struct(*one_row.columns).alias("_s")).scalar()
+    return df.select("*", *[s.getField(c).alias(c) for c in one_row.columns])
+
+
+def scalar(one_row, c: str | None = None) -> Column:
+    """A single value of a one-row aggregate as a scalar subquery."""
+    return one_row.select(c or one_row.columns[0]).scalar()

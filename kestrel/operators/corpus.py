@@ -23,15 +23,10 @@ def validate_corpus(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return out
 
 
-def _one_row_attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a single-row aggregate (proven size: one row)."""
-    return df.withColumn("_k", F.lit(1)).join(F.broadcast(one_row.withColumn("_k", F.lit(1))), "_k").drop("_k")
-
-
 def share_of_total(per: DataFrame, col: str, base: DataFrame, out: str = "share") -> DataFrame:
-    """col / (row count of ``base``)."""
-    tot = base.agg(F.count(F.lit(1)).alias("_tot"))
-    return _one_row_attach(per, tot).withColumn(out, F.col(col) / F.col("_tot")).drop("_tot")
+    """col / (row count of ``base``), the total as a scalar subquery."""
+    from kestrel.functions import scalar
+    return per.withColumn(out, F.col(col) / scalar(base.agg(F.count(F.lit(1)).alias("_tot"))))
 
 
 def merge_split(train_ids: DataFrame, test_ids: DataFrame, id_col: str) -> DataFrame:

@@ -79,9 +79,12 @@ def per_threshold(df: DataFrame, y: str, score: str, by: list[str] | None = None
     the group's positive total."""
     by = by or []
     c = running_totals(_score_counts(df, y, score, by), by, score, ["_p", "_n"], descending=True)
-    pos = c.groupBy(*by).agg(F.sum("_p").alias("pos")) if by else c.groupBy().agg(F.sum("_p").alias("pos"))
-    c = c.join(F.broadcast(pos), by) if by else c.withColumn("_k", F.lit(1)).join(
-        F.broadcast(pos.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    if by:
+        pos = c.groupBy(*by).agg(F.sum("_p").alias("pos"))   # one row per label
+        c = c.join(F.broadcast(pos), by)
+    else:
+        from kestrel.functions import attach_scalars
+        c = attach_scalars(c, c.agg(F.sum("_p").alias("pos")))
     return c.select(*by, F.col(score).alias("thr"), F.col("_p").alias("p_at"), F.col("cum__p").alias("tp"),
                     F.col("cum__n").alias("fp"), "pos")
 
@@ -144,4 +147,5 @@ def multilabel_f1(gold: DataFrame, pred: DataFrame, id_col: str, label: str, uni
     sup = F.col("tp") + F.col("fn")
     lab = per_label.agg(_z(2 * tp, 2 * tp + fp + fn).alias("micro_f1"), F.avg("f1").alias("macro_f1"),
                         _z(F.sum(sup * F.col("f1")), F.sum(sup)).alias("weighted_f1"))
-    return lab.withColumn("_k", F.lit(1)).join(samples.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    from kestrel.functions import attach_scalars
+    return attach_scalars(lab, samples)

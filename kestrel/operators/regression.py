@@ -112,11 +112,12 @@ def hac_simple(df: DataFrame, order: str, x: str, y: str, by: list[str] | None =
 
 
 def _attach(df: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
-    """Attach per-group values; with no keys the one-row table is joined on a
-    constant key (it has exactly one row)."""
+    """Attach per-group values: an equi-join on the group keys, or with no
+    keys the one-row aggregate as a scalar subquery (no join at all)."""
     if by:
         return df.join(per_group, by)
-    return df.withColumn("_k", F.lit(1)).join(per_group.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    from kestrel.functions import attach_scalars
+    return attach_scalars(df, per_group)
 
 
 # -------------------------------------------------------- k-regressor OLS ---

@@ -45,8 +45,9 @@ def weights(tf: DataFrame, vocab: DataFrame, id_col: str, n_docs: DataFrame, sch
     if scheme == "count":
         return j.select(id_col, "term", "term_idx", F.col("tf").cast("double").alias("w"))
     if scheme == "tfidf":
-        j = j.withColumn("_k", F.lit(1)).join(F.broadcast(n_docs.withColumn("_k", F.lit(1))), "_k").drop("_k")
-        raw = F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)
+        from kestrel.functions import scalar
+        n = scalar(n_docs)                       # corpus size as a scalar subquery
+        raw = F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1)
     else:
         raw = F.col("tf").cast("double")
     j = j.withColumn("_raw", raw)

@@ -199,8 +199,8 @@ SELECT model, n, L, alpha, beta, r2, nw_se_alpha, nw_se_beta, alpha / nw_se_alph
        beta / nw_se_beta AS nw_t_beta, alpha * 12 AS ann_alpha FROM hac""")
 def reg_capm(spark, sf):
     """Strategy excess return on the market factor with NW errors."""
-    h = R.hac_simple(capm_frame(spark, sf), "d", "x", "ex_ret", by=["model"])
-    return h.withColumn("ann_alpha", F.col("alpha") * 12)
+    h = R.hac_simple(capm_frame(spark, sf), "d", "x", "ex_ret")
+    return h.withColumn("ann_alpha", F.col("alpha") * 12).withColumn("model", F.lit("baseline"))
 
 
 @query("reg_factor4", rnd=["coef", "nw_se", "nw_t", "r2"])
@@ -221,10 +221,11 @@ FROM g t JOIN g c ON t.nj = 1 AND c.nj = 0
 UNION ALL SELECT mean_pre, mean_post, NULL, nj FROM g WHERE nj = 0""")
 def reg_did_2x2(spark, sf):
     """2x2 group means and the difference-in-differences estimate."""
+    from kestrel.functions import scalar
     g = B.did_stores(spark, sf).groupBy("nj").agg(F.avg("fte").alias("mean_pre"), F.avg("fte2").alias("mean_post"))
-    ctrl = g.where("nj = 0").select((F.col("mean_post") - F.col("mean_pre")).alias("dc"), F.lit(1).alias("nj"))
-    out = g.join(ctrl, "nj", "left")
-    return out.select("mean_pre", "mean_post", ((F.col("mean_post") - F.col("mean_pre")) - F.col("dc")).alias("did"), "nj")
+    dc = scalar(g.where("nj = 0").select((F.col("mean_post") - F.col("mean_pre")).alias("dc")))
+    did = F.when(F.col("nj") == 1, (F.col("mean_post") - F.col("mean_pre")) - dc)
+    return g.select("mean_pre", "mean_post", did.alias("did"), "nj")
 
 
 def _did_frame(spark, sf):
@@ -511,7 +512,8 @@ def reg_lagged_ml(spark, sf):
         tr = d.where("split = 'train'")
         m = pipe.fit(tr)
         mean_tr = tr.agg(F.avg("ret_b").alias("mb"))
-        p = m.transform(d.where("split = 'test'")).withColumn("_k", F.lit(1)).join(mean_tr.withColumn("_k", F.lit(1)), "_k")
+        from kestrel.functions import attach_scalars
+        p = attach_scalars(m.transform(d.where("split = 'test'")), mean_tr)
         r = p.agg(F.sqrt(F.avg(F.pow(F.col("ret_b") - F.col("prediction"), 2))).alias("rmse_model"),
                   F.sqrt(F.avg(F.pow(F.col("ret_b") - F.col("mb"), 2))).alias("rmse_baseline"),
                   F.corr("ret_b", "prediction").alias("corr")).withColumn("pair", F.lit(pair))

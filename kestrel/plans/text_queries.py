@@ -81,6 +81,6 @@ def text_dtm_sparse_prune(spark, sf):
     docs = load(spark, sf, "documents")
     tok = X.tokens(docs, "doc_id", "text").where(~F.col("term").rlike("^[0-9]+$"))
     df = tok.groupBy("term").agg(F.countDistinct("doc_id").alias("df"))
-    n = docs.agg((F.count(F.lit(1)) * 0.005).alias("_min"))
-    return df.withColumn("_k", F.lit(1)).join(F.broadcast(n.withColumn("_k", F.lit(1))), "_k") \
-        .where(F.col("df") >= F.col("_min")).select("term", "df")
+    from kestrel.functions import scalar
+    n_min = scalar(docs.agg((F.count(F.lit(1)) * 0.005).alias("_min")))
+    return df.where(F.col("df") >= n_min).select("term", "df")
