@@ -61,18 +61,14 @@ def dispersion(df: DataFrame, d: str, x: str, q: float = 0.99) -> DataFrame:
 
 
 def profile(df: DataFrame, cols: list[str]) -> DataFrame:
-    """describe() with exact linear-interpolated percentiles, long form."""
-    parts = []
-    for c in cols:
-        parts.append(df.agg(
-            F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-            F.percentile(c, 0.25).alias("p25"), F.percentile(c, 0.5).alias("p50"),
-            F.percentile(c, 0.75).alias("p75"), F.max(c).cast("double").alias("max")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """describe() with exact linear-interpolated percentiles, long form.  All
+    columns are stacked once (unpivot) so moments are one grouped aggregation
+    and the quartiles one distributed exact-percentile pass."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "v")
+    mom = long.groupBy("column").agg(F.count("v").alias("count"), F.avg("v").alias("mean"),
+                                     F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    pct = exact_percentiles(long, ["column"], "v", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    return mom.join(pct, "column").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def histogram(df: DataFrame, x: str, lo: float, hi: float, n: int) -> DataFrame:
@@ -138,3 +134,36 @@ def validate_upload(df: DataFrame, keys: list[str], w: str) -> DataFrame:
 def percentile_set(x: str, qs=(0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0),
                    names=("min", "p5", "p25", "median", "p75", "p95", "max")) -> list[Column]:
     return [F.percentile(x, q).alias(n) for q, n in zip(qs, names)]
+
+
+def exact_percentiles(df: DataFrame, by: list[str], x: str, qs, names) -> DataFrame:
+    """Exact linear-interpolated percentiles (the ``percentile`` /
+    ``quantile_cont`` definition, position (n-1) q) without buffering a group
+    in one task.
+
+    Values are range-partitioned on (by, x); each row's 1-based position in its
+    group comes from local row numbers plus per-partition offsets (see
+    ``running_totals``); only the rows at the two positions bracketing each
+    requested quantile are kept and interpolated.  A group holding a third of
+    the data is spread over many range partitions."""
+    from kestrel.operators.evaluate import running_totals
+    v = df.where(F.col(x).isNotNull()).select(*by, x).withColumn("_one", F.lit(1))
+    pos = running_totals(v, by, x, ["_one"], descending=False).withColumnRenamed("cum__one", "_pos")
+    n = v.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))      # one row per group
+    want = n.select(*by, "_n", F.explode(F.array(*[F.struct(F.lit(float(q)).alias("q"), F.lit(nm).alias("_qname"))
+                                                   for q, nm in zip(qs, names)])).alias("_w"))
+    h = (F.col("_n") - 1) * F.col("_w.q")
+    want = want.select(*by, F.col("_w._qname").alias("_qname"), h.alias("_h"),
+                       (F.floor(h) + 1).cast("long").alias("_lo"), (F.ceil(h) + 1).cast("long").alias("_hi"))
+    need = want.select(*by, F.col("_lo").alias("_pos")).union(want.select(*by, F.col("_hi").alias("_pos"))).distinct()
+    at = pos.join(need, [*by, "_pos"]).select(*by, "_pos", F.col(x).alias("_v"))
+    lo = at.select(*by, F.col("_pos").alias("_lo"), F.col("_v").alias("_vlo"))
+    hi = at.select(*by, F.col("_pos").alias("_hi"), F.col("_v").alias("_vhi"))
+    j = want.join(lo, [*by, "_lo"]).join(hi, [*by, "_hi"])
+    # same weighting as the SQL percentile: (hi_pos - h) * v_lo + (h - lo_pos) * v_hi
+    lo_pos, hi_pos = (F.col("_lo") - 1).cast("double"), (F.col("_hi") - 1).cast("double")
+    val = F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
+        (hi_pos - F.col("_h")) * F.col("_vlo") + (F.col("_h") - lo_pos) * F.col("_vhi"))
+    out = j.select(*by, "_qname", val.alias("_val"))
+    g = out.groupBy(*by) if by else out.groupBy()
+    return g.pivot("_qname", list(names)).agg(F.first("_val"))

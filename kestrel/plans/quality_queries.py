@@ -15,6 +15,8 @@ from kestrel.sources import bindings as B
 from kestrel.sources.tables import load
 
 _D = with_(PANEL_D)
+# The percentile set reported per date (quantile, column name).
+PCT = ([0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0], ["min", "p5", "p25", "median", "p75", "p95", "max"])
 _QP = with_(PANEL_M, PANEL_Q)
 _ORDER = ["okey", "lnum", "ret"]  # total tie order for keep-first
 
@@ -266,8 +268,9 @@ def entry_exit_events(spark, sf):
                .select(F.lit("exit").alias("event"), "mcap"))
     entries = qi.join(prv, ["id", "di"], "left_anti").where(F.col("di") > 1).select(F.lit("entry").alias("event"), "mcap")
     ev = exits.unionByName(entries)
-    return ev.groupBy("event").agg(F.count("mcap").alias("count"), F.avg("mcap").alias("mean"),
-                                   F.stddev_samp("mcap").alias("std"), *Q.percentile_set("mcap"))
+    mom = ev.groupBy("event").agg(F.count("mcap").alias("count"), F.avg("mcap").alias("mean"),
+                                  F.stddev_samp("mcap").alias("std"))
+    return mom.join(Q.exact_percentiles(ev, ["event"], "mcap", *PCT), "event")
 
 
 @query("agg_pctile_set", rnd=["min", "p5", "p25", "median", "p75", "p95", "max"], sql=_QD + """
@@ -276,7 +279,7 @@ SELECT d, quantile_cont(mcap, 0.0) AS min, quantile_cont(mcap, 0.05) AS p5, quan
        quantile_cont(mcap, 1.0) AS max FROM qd GROUP BY d""")
 def agg_pctile_set(spark, sf):
     q = B.panel_quality(spark, sf).where(F.col("price").isNotNull())
-    return q.groupBy("d").agg(*Q.percentile_set("mcap"))
+    return Q.exact_percentiles(q, ["d"], "mcap", *PCT)
 
 
 @query("corpus_validate", sql="""

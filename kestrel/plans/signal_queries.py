@@ -145,9 +145,11 @@ def agg_pctile_of_pctile(spark, sf):
     """Median over dates of each per-date percentile, per signal: one unpivot,
     one groupBy(signal, d), one groupBy(signal)."""
     s = signals(spark, sf).unpivot(["id", "d"], SIGNALS, "signal", "x").where(F.col("x").isNotNull())
-    qs = [(0.05, "p5"), (0.25, "p25"), (0.5, "p50"), (0.75, "p75"), (0.95, "p95")]
-    per = s.groupBy("signal", "d").agg(*[F.percentile("x", q).alias(n) for q, n in qs])
-    return per.groupBy("signal").agg(*[F.percentile(n, 0.5).alias(f"median_{n}") for _, n in qs])
+    from kestrel.operators.quality import exact_percentiles
+    qs, names = [0.05, 0.25, 0.5, 0.75, 0.95], ["p5", "p25", "p50", "p75", "p95"]
+    per = exact_percentiles(s, ["signal", "d"], "x", qs, names)
+    # second level has one row per (signal, date): calendar-bounded groups
+    return per.groupBy("signal").agg(*[F.percentile(n, 0.5).alias(f"median_{n}") for n in names])
 
 
 # ------------------------------------------------------ Fama-MacBeth ---------

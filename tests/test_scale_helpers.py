@@ -30,3 +30,16 @@ def test_allocation_sums_to_total(spark):
     counts = spark.createDataFrame([(p, n) for p, n in enumerate([299, 49, 42, 9, 1])], "pattern int, n long")
     a = C.allocate(counts, "pattern", 100).collect()
     assert sum(r.k for r in a) == 100 and all(r.k <= r.n for r in a)
+
+
+def test_exact_percentiles_match_sql_percentile(spark):
+    import random
+    from kestrel.operators.quality import exact_percentiles
+    rnd = random.Random(1)
+    rows = [("hot", float(rnd.randint(0, 50))) for _ in range(2000)] + [("a", float(i)) for i in range(7)] + [("b", 5.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    qs, nm = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0], ["min", "p5", "p25", "median", "p75", "p95", "max"]
+    got = {r.g: tuple(getattr(r, c) for c in nm) for r in exact_percentiles(df, ["g"], "x", qs, nm).collect()}
+    ref = {r.g: tuple(getattr(r, c) for c in nm)
+           for r in df.groupBy("g").agg(*[F.percentile("x", q).alias(n) for q, n in zip(qs, nm)]).collect()}
+    assert got == ref
