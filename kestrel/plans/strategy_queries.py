@@ -17,9 +17,11 @@ PERIODS = 12  # monthly panel
 WINDOWS = [("in_sample", "1995-01-01", "1998-12-31"),
            ("oos1", "1999-01-01", "2000-06-30"),
            ("oos2", "2000-07-01", "2001-12-31")]
+# Strategy parameter grids (lags, half-spread cost levels in bps);
+# the power grid is the rule 0.25 * i for i = 1..20.
 LAGS = [1, 2, 3, 4, 5]
-POWERS = [round(0.25 * i, 2) for i in range(1, 21)]          # 0.25 .. 5.0
 HALF_SPREAD_BPS = [0, 2, 5, 10, 25, 30, 40, 50, 75, 100]
+POWERS = [round(0.25 * i, 2) for i in range(1, 21)]
 
 
 def period_label(c: str = "d"):

@@ -74,3 +74,11 @@ def test_streaming_ingest_drops_seen_ids(spark):
     ingest_dedup(spark, os.path.join(base, "in"), df.schema, os.path.join(base, "out"), os.path.join(base, "ck"), "id", "ts")
     out = spark.read.parquet(os.path.join(base, "out"))
     assert out.count() == 5 and out.select("id").distinct().count() == 5
+
+
+def test_periodogram_fft_equals_dft(spark):
+    rng = np.random.default_rng(4)
+    s = TS.indexed(_one_series(spark, rng.normal(size=50)))
+    a = {r.k: r.power for r in TS.periodogram(s).collect()}
+    b = {r.k: r.power for r in TS.periodogram(s, method="fft").collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
