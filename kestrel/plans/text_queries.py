@@ -20,11 +20,12 @@ nd AS (SELECT count(*) AS n FROM documents)
 """
 
 
-def _tf(spark, sf):
+def _tf(spark, sf, materialize: bool = True):
     from kestrel.session import cut_lineage
     docs = load(spark, sf, "documents")
+    tf = X.term_counts(X.tokens(docs, "doc_id", "text"), "doc_id")
     # term counts feed both the vocabulary and the weights: tokenize once
-    tf = cut_lineage(X.term_counts(X.tokens(docs, "doc_id", "text"), "doc_id"))
+    tf = cut_lineage(tf) if materialize else tf
     return docs, tf, X.vocabulary(tf, "doc_id")
 
 
@@ -42,7 +43,7 @@ def text_tokenize(spark, sf):
 @query("text_doc_freq", sql=_TF + "SELECT term, df, CAST(cf AS BIGINT) AS cf, term_idx FROM vocab", bench=True)
 def text_doc_freq(spark, sf):
     """min_df = 2, max_features = 2000 by corpus frequency."""
-    _, _, v = _tf(spark, sf)
+    _, _, v = _tf(spark, sf, materialize=False)   # single consumer of the term counts
     return v.select("term", "df", "cf", "term_idx")
 
 
