@@ -30,6 +30,8 @@ def query(name: str, sql: str | None = None, rnd: list[str] | dict[str, int] | N
 
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from kestrel.session import ship_package
+            ship_package(spark)          # workers import kestrel for grouped pandas functions
             out = fn(spark, sf_dir)
             if cols:
                 # round(x * 10^p) / 10^p: both engines scale with the same IEEE

@@ -36,6 +36,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -60,3 +61,27 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     loss, unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``kestrel`` importable in Python workers (grouped pandas functions
+    reference its modules): zip the package once per driver process and add it
+    with ``addPyFile``, which distributes it to every executor."""
+    sc = spark.sparkContext
+    key = id(sc._jsc) if sc._jsc is not None else id(sc)
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="kestrel-pkg-", dir="/tmp"), "kestrel.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
