@@ -70,7 +70,10 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``kestrel`` importable in Python workers (grouped pandas functions
     reference its modules): zip the package once per driver process and add it
     with ``addPyFile``, which distributes it to every executor."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions ship code differently
+        return
     key = id(sc._jsc) if sc._jsc is not None else id(sc)
     if key in _SHIPPED:
         return
