@@ -90,7 +90,7 @@ def allocate(counts: DataFrame, stratum: str, total: int) -> DataFrame:
 def stratified_sample(pool: DataFrame, stratum: str, id_col: str, total: int) -> DataFrame:
     counts = pool.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
     alloc = allocate(counts, stratum, total)
-    j = pool.join(F.broadcast(alloc.select(stratum, "k")), stratum)   # one row per stratum
+    j = pool.join(alloc.select(stratum, "k"), stratum)   # one row per stratum (AQE broadcasts it)
     j = j.withColumn("_h", draw_key(id_col))
     return top_k_per_group(j, stratum, ["_h", id_col], "k", salt_of=id_col).select(id_col, stratum)
 

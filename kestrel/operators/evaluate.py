@@ -52,7 +52,8 @@ def running_totals(df: DataFrame, by: list[str], order: str, cols: list[str], de
     # offsets: totals of earlier range partitions of the same group (tiny table)
     wo = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("_pid", *by, *[F.coalesce(F.sum(f"_tot_{c}").over(wo), F.lit(0)).alias(f"_off_{c}") for c in cols])
-    out = local.join(F.broadcast(off), ["_pid", *by])
+    # ~ (#groups + #partitions) rows: AQE broadcasts it when its measured size is small
+    out = local.join(off, ["_pid", *by])
     return out.select(*[c for c in df.columns], *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in cols])
 
 
@@ -81,7 +82,7 @@ def per_threshold(df: DataFrame, y: str, score: str, by: list[str] | None = None
     c = running_totals(_score_counts(df, y, score, by), by, score, ["_p", "_n"], descending=True)
     if by:
         pos = c.groupBy(*by).agg(F.sum("_p").alias("pos"))   # one row per label
-        c = c.join(F.broadcast(pos), by)
+        c = c.join(pos, by)
     else:
         from kestrel.functions import attach_scalars
         c = attach_scalars(c, c.agg(F.sum("_p").alias("pos")))

@@ -235,7 +235,8 @@ def survivors(spark, sf):
     q = B.panel_quality(spark, sf).where(F.col("price").isNotNull())
     n = q.agg(F.countDistinct("d").alias("n_dates"))
     per = q.groupBy("id").agg(F.countDistinct("d").alias("c"))
-    return per.join(F.broadcast(n), F.col("c") == F.col("n_dates")).select("id")
+    from kestrel.functions import scalar
+    return per.where(F.col("c") == scalar(n)).select("id")
 
 
 _EE = _QD + """
