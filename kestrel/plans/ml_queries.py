@@ -49,6 +49,16 @@ def featurizer(kind: str = "tfidf") -> list:
     return [cv, IDF(inputCol="tf", outputCol="idf"), Normalizer(inputCol="idf", outputCol="features", p=2.0)]
 
 
+def train_frame(df):
+    """Cache a training frame with about one partition per core: iterative
+    optimisers run one job per iteration over it, so hundreds of tiny shuffle
+    partitions (a session default) would dominate the fit time."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() > n:
+        df = df.coalesce(n)
+    return df.cache()
+
+
 def fit_concurrently(tasks, workers: int = 4):
     """Run independent model fits as concurrent Spark jobs (each fit is itself
     distributed; threads only keep the cluster busy across small fits)."""
@@ -71,25 +81,25 @@ def _metrics(pred, name):
 
 
 def fit_eval(spark, sf, model, name, kind="tfidf"):
-    d = labelled_docs(spark, sf).cache()
+    d = train_frame(labelled_docs(spark, sf))
     tr, te = d.where("split = 'train'"), d.where("split = 'test'")
     pm = Pipeline(stages=featurizer(kind) + [model]).fit(tr)
     return _metrics(pm.transform(te), name)
 
 
-@query("clf_linear_svm", rnd=["accuracy", "precision", "recall", "f1"])
+@query("clf_linear_svm", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
 def clf_linear_svm(spark, sf):
     """TF-IDF -> LinearSVC, C = 1 mapped to regParam = 1 / (n C) (S13)."""
     n = labelled_docs(spark, sf).where("split = 'train'").count()
     return fit_eval(spark, sf, LinearSVC(regParam=1.0 / max(n, 1), maxIter=50, standardization=False), "linear_svm")
 
 
-@query("clf_elasticnet", rnd=["accuracy", "precision", "recall", "f1"])
+@query("clf_elasticnet", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
 def clf_elasticnet(spark, sf):
     return fit_eval(spark, sf, LogisticRegression(elasticNetParam=0.5, regParam=0.01, maxIter=50), "elasticnet")
 
 
-@query("clf_maxent", rnd=["accuracy", "precision", "recall", "f1"])
+@query("clf_maxent", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
 def clf_maxent(spark, sf):
     return fit_eval(spark, sf, LogisticRegression(elasticNetParam=0.0, regParam=0.01, maxIter=50), "maxent")
 
@@ -101,18 +111,18 @@ def embeddings(spark, sf):
 
 
 def _fit_dense(spark, sf, stages, name):
-    e = embeddings(spark, sf).cache()
+    e = train_frame(embeddings(spark, sf))
     pm = Pipeline(stages=stages).fit(e.where("split = 'train'"))
     return _metrics(pm.transform(e.where("split = 'test'")), name)
 
 
-@query("clf_boosting", rnd=["accuracy", "precision", "recall", "f1"])
+@query("clf_boosting", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
 def clf_boosting(spark, sf):
     """Gradient boosted trees (100 rounds, depth 3, step 0.1) on dense vectors."""
     return _fit_dense(spark, sf, [GBTClassifier(maxIter=100, maxDepth=3, stepSize=0.1, seed=7)], "gbt")
 
 
-@query("clf_poly2_svm", rnd=["accuracy", "precision", "recall", "f1"])
+@query("clf_poly2_svm", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
 def clf_poly2_svm(spark, sf):
     """Reduce to 8 components, degree-2 expansion, linear SVM."""
     st = [PCA(k=8, inputCol="features", outputCol="pc"), PolynomialExpansion(degree=2, inputCol="pc", outputCol="poly"),
@@ -120,7 +130,7 @@ def clf_poly2_svm(spark, sf):
     return _fit_dense(spark, sf, st, "poly2_svm")
 
 
-@query("text_svd", rnd=["singular_value", "explained_variance_ratio"], dp=5)
+@query("text_svd", fits=True, rnd=["singular_value", "explained_variance_ratio"], dp=5)
 def text_svd(spark, sf):
     """TF-IDF -> truncated SVD (20 components).  One distributed pass builds the
     Gramian X'X (p x p, p = vocabulary size <= max_features, a parameter bound);
@@ -140,10 +150,10 @@ def text_svd(spark, sf):
                                                "explained_variance_ratio": (s * s / total).tolist()}))
 
 
-@query("clf_model_zoo", rnd=["accuracy", "precision", "recall", "f1"])
+@query("clf_model_zoo", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
 def clf_model_zoo(spark, sf):
     """Representation x model comparison on one cached split, sorted by F1."""
-    d = labelled_docs(spark, sf).cache()
+    d = train_frame(labelled_docs(spark, sf))
     tr, te = d.where("split = 'train'"), d.where("split = 'test'")
 
     def fit_one(kind, name, m):
@@ -155,10 +165,10 @@ def clf_model_zoo(spark, sf):
     return out.orderBy(F.col("f1").desc(), "model")
 
 
-@query("clf_param_grid", rnd=["best_auc"], dp=4)
+@query("clf_param_grid", fits=True, rnd=["best_auc"], dp=4)
 def clf_param_grid(spark, sf):
     """regParam grid with TrainValidationSplit (parallel fits) on cached features."""
-    e = embeddings(spark, sf).cache()
+    e = train_frame(embeddings(spark, sf))
     svc = LinearSVC(maxIter=30)
     grid = ParamGridBuilder().addGrid(svc.regParam, [0.001, 0.01, 0.1, 1.0]).build()
     tvs = TrainValidationSplit(estimator=svc, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
@@ -169,7 +179,7 @@ def clf_param_grid(spark, sf):
                                  "best_reg_param double, best_auc double")
 
 
-@query("clf_save_load")
+@query("clf_save_load", fits=True)
 def clf_save_load(spark, sf):
     """Persist a fitted pipeline under the shared checkpoint folder, reload it
     and check predictions agree."""
@@ -185,14 +195,14 @@ def clf_save_load(spark, sf):
     return a.join(b, "doc_id").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("p1") != F.col("p2"), 1)).alias("n_diff"))
 
 
-@query("udf_model_plug", rnd=["accuracy", "precision", "recall", "f1"])
+@query("udf_model_plug", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
 def udf_model_plug(spark, sf, factory=None):
     """Pluggable estimator contract: ``factory(edge) -> Estimator``; one model
     per first-level edge (Root -> lang), trained on the shared features."""
     factory = factory or (lambda edge: LogisticRegression(regParam=0.01, maxIter=20))
     d = with_tokens(load(spark, sf, "documents").select("doc_id", "text", "lang")).cache()
     feats = Pipeline(stages=featurizer()).fit(d).transform(d).select("doc_id", "lang", "features")
-    feats = C.hash_split(feats, "doc_id").cache()
+    feats = train_frame(C.hash_split(feats, "doc_id"))
     langs = [r[0] for r in d.select("lang").distinct().orderBy("lang").collect()]   # tree-sized list
 
     def fit_edge(lang):
@@ -247,7 +257,7 @@ def edge_ridge(spark, sf, lambdas=(0.0, 1.0)):
     return E.confusion(pred, "y", "pred", by=["parent", "child", "lam", "split"])
 
 
-@query("clf_edge_train_all", rnd=["micro_f1", "macro_f1", "weighted_f1", "micro_precision", "micro_recall",
+@query("clf_edge_train_all", fits=True, rnd=["micro_f1", "macro_f1", "weighted_f1", "micro_precision", "micro_recall",
                                   "micro_accuracy", "macro_precision", "macro_recall", "weighted_precision",
                                   "weighted_recall"])
 def clf_edge_train_all(spark, sf):
@@ -256,7 +266,7 @@ def clf_edge_train_all(spark, sf):
     return E.summarize(c)
 
 
-@query("clf_c_by_depth", rnd=["micro_f1"])
+@query("clf_c_by_depth", fits=True, rnd=["micro_f1"])
 def clf_c_by_depth(spark, sf):
     """Regularisation grid per tree depth; best lambda per depth by pooled F1."""
     c = edge_ridge(spark, sf, (0.0, 0.1, 1.0, 10.0)).where("split = 'test'")
@@ -267,14 +277,14 @@ def clf_c_by_depth(spark, sf):
     return s.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("depth", "lam", "micro_f1")
 
 
-@query("clf_c_global", rnd=["micro_f1"])
+@query("clf_c_global", fits=True, rnd=["micro_f1"])
 def clf_c_global(spark, sf):
     """One lambda for the whole tree: grid report sorted by pooled F1."""
     c = edge_ridge(spark, sf, (0.0, 0.1, 1.0, 10.0)).where("split = 'test'").drop("split")
     return E.summarize(c, key=["lam"]).select("lam", "micro_f1").orderBy(F.col("micro_f1").desc(), "lam")
 
 
-@query("clf_node_multiclass", rnd=["accuracy"])
+@query("clf_node_multiclass", fits=True, rnd=["accuracy"])
 def clf_node_multiclass(spark, sf):
     """One multinomial model per branching node (next hop among its children)."""
     from kestrel.plans.tree_queries import label_node_dataset  # noqa: F401
@@ -288,7 +298,7 @@ def clf_node_multiclass(spark, sf):
             .where(F.col("_d2") == F.col("descendant")).select("id", F.col("ancestor").alias("node"), "child"))
     docs = with_tokens(load(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")).cache()
     feats = Pipeline(stages=featurizer()).fit(docs).transform(docs).select("id", "features")
-    data = C.hash_split(hops.join(feats, "id"), "id").cache()
+    data = train_frame(C.hash_split(hops.join(feats, "id"), "id"))
     nodes = [r[0] for r in T.branching(e).select("parent").orderBy("parent").collect()]   # tree-sized list
     from pyspark.ml.feature import StringIndexer
 
@@ -306,20 +316,20 @@ def clf_node_multiclass(spark, sf):
     return out
 
 
-@query("eval_train_test", rnd=["accuracy", "precision", "recall", "f1"])
+@query("eval_train_test", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
 def eval_train_test(spark, sf):
     """Fit once, metrics on both splits (split column grouped)."""
-    d = labelled_docs(spark, sf).cache()
+    d = train_frame(labelled_docs(spark, sf))
     pm = Pipeline(stages=featurizer() + [LogisticRegression(regParam=0.01, maxIter=30)]).fit(d.where("split = 'train'"))
     p = pm.transform(d).withColumn("y", F.col("label").cast("int")).withColumn("p", F.col("prediction").cast("int"))
     return E.binary_metrics(p, "y", "p", by=["split"])
 
 
-@query("eval_kfold", rnd=["mean_f1", "std_f1", "mean_accuracy"])
+@query("eval_kfold", fits=True, rnd=["mean_f1", "std_f1", "mean_accuracy"])
 def eval_kfold(spark, sf):
     """5-fold CV with a hash fold id: per-fold metrics, their mean / std and the
     summed confusion."""
-    d = labelled_docs(spark, sf).withColumn("fold", ((F.col("doc_id") * 7919) % 5).cast("int")).cache()
+    d = train_frame(labelled_docs(spark, sf).withColumn("fold", ((F.col("doc_id") * 7919) % 5).cast("int")))
 
     def fit_fold(k):
         def run():
@@ -334,7 +344,7 @@ def eval_kfold(spark, sf):
                      F.sum("fn").alias("fn"), F.sum("tn").alias("tn"))
 
 
-@query("reg_logloss_sweep", rnd=["val_logloss", "test_logloss"], dp=5)
+@query("reg_logloss_sweep", fits=True, rnd=["val_logloss", "test_logloss"], dp=5)
 def reg_logloss_sweep(spark, sf):
     """lambda x feature-mask sweep of logistic regression scored by validation
     log-loss (computed as an aggregate); the minimum is re-scored on test."""
@@ -342,7 +352,8 @@ def reg_logloss_sweep(spark, sf):
     from pyspark.ml.functions import vector_to_array
     e = embeddings(spark, sf)
     e = e.withColumn("split", F.when((F.col("vec_id") * 7919) % 10 < 6, "train")
-                     .when((F.col("vec_id") * 7919) % 10 < 8, "val").otherwise("test")).cache()
+                     .when((F.col("vec_id") * 7919) % 10 < 8, "val").otherwise("test"))
+    e = train_frame(e)
     tr = e.where("split = 'train'")
     rows = []
     fitted = {}

@@ -21,18 +21,44 @@ def _round_sql(sql: str, cols: dict[str, int]) -> str:
     return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS _q"
 
 
+class _fit_partitions:
+    """Scope for eager model fits: iterative optimisers run many small SQL
+    aggregations per fit, so they use about one shuffle partition per core
+    while fitting; the caller's setting is restored afterwards (the returned,
+    lazy DataFrame runs under the caller's configuration)."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self):
+        self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
+        n = max(self.spark.sparkContext.defaultParallelism, 1)
+        if int(self.old) > n:
+            self.spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        return self
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        return False
+
+
 def query(name: str, sql: str | None = None, rnd: list[str] | dict[str, int] | None = None,
-          dp: int = 6, bench: bool = False):
+          dp: int = 6, bench: bool = False, fits: bool = False):
     """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name``.
 
-    ``rnd`` lists float columns rounded to ``dp`` places on both sides."""
+    ``rnd`` lists float columns rounded to ``dp`` places on both sides;
+    ``fits`` marks queries that fit models eagerly."""
     cols = dict(rnd) if isinstance(rnd, dict) else {c: dp for c in (rnd or [])}
 
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             from kestrel.session import ship_package
             ship_package(spark)          # workers import kestrel for grouped pandas functions
-            out = fn(spark, sf_dir)
+            if fits:
+                with _fit_partitions(spark):
+                    out = fn(spark, sf_dir)
+            else:
+                out = fn(spark, sf_dir)
             if cols:
                 # round(x * 10^p) / 10^p: both engines scale with the same IEEE
                 # product and round half away from zero, so decimal ties agree;

@@ -491,7 +491,7 @@ def cov_noise_sensitivity(spark, sf):
                   F.max(F.when(F.col("b") == 0, F.col("sharpe"))).alias("base_sharpe"))
 
 
-@query("reg_lagged_ml", rnd=["rmse_model", "rmse_baseline", "corr"], dp=5)
+@query("reg_lagged_ml", fits=True, rnd=["rmse_model", "rmse_baseline", "corr"], dp=5)
 def reg_lagged_ml(spark, sf):
     """Six lags of leg a as features for leg b, 80/20 time split, scaler +
     linear regression vs a train-mean baseline (RMSE, correlation)."""
