@@ -17,7 +17,7 @@ def test_quoted_csv_roundtrip(spark):
                                "d date, id long, ret double, price double")
     p = os.path.join(_tmp(), "csv")
     FS.write_panel_csv(df, p)
-    raw = open([os.path.join(p, f) for f in os.listdir(p) if f.endswith(".csv")][0], newline="").read()
+    raw = "".join(open(os.path.join(p, f), newline="").read() for f in sorted(os.listdir(p)) if f.endswith(".csv"))
     assert "\r\n" in raw and 'Supplier ""7"", inc' in raw and "E-03" in raw
     back = {r.id: r for r in FS.read_panel_csv(spark, p).collect()}
     assert back[7].price is None and abs(back[7].ret - 1.25e-3) < 1e-12 and back[8].d == dt.date(2020, 1, 3)
