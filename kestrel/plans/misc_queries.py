@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from kestrel.plans.registry import query
-from kestrel.plans.sqlbind import LABELS_LONG, PANEL_M, with_
+from kestrel.plans.sqlbind import LABELS_LONG, PANEL_M, TAXONOMY, with_
 from kestrel.session import ensure_checkpoint_dir
 from kestrel.sources import bindings as B
 from kestrel.sources import files as FS
@@ -131,7 +131,11 @@ def src_whitespace_positional(spark, sf):
     return FS.read_whitespace(spark, path, ["store", "nj", "chain", "co_owned", "fte", "fte2", "gap", "closed"])
 
 
-@query("src_taxonomy_csv")
+@query("src_taxonomy_csv", sql=with_(TAXONOMY) + """
+, e AS (SELECT parent, child, row_number() OVER (ORDER BY parent, child) AS id_cat FROM edges)
+SELECT CAST(id_cat AS INTEGER) AS id_cat, parent, child,
+       CASE WHEN id_cat % 10 = 0 THEN '' ELSE 'node ' || child || ', level, and more' END AS description FROM e
+UNION ALL SELECT 0, 'None', 'Root', 'root node, top'""")
 def src_taxonomy_csv(spark, sf):
     """4-field taxonomy lines whose last field carries unquoted commas; short
     lines padded; blank / None parents kept for tree_load to drop."""
