@@ -28,7 +28,14 @@ def _edges(spark, sf):
 
 @query("tree_load", sql=with_(TAXONOMY) + "SELECT DISTINCT parent, child FROM edges")
 def tree_load(spark, sf):
-    return _edges(spark, sf)
+    """Taxonomy lines written from the tables, parsed (unquoted commas in the
+    description, short lines, a 'None' parent) and cleaned into edges."""
+    import uuid
+    from kestrel.session import ensure_checkpoint_dir
+    from kestrel.sources import files as FS
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/files/taxonomy-{uuid.uuid4().hex}"
+    FS.write_taxonomy(B.taxonomy_edges(spark, sf), path)
+    return T.clean_edges(FS.read_taxonomy(spark, path))
 
 
 @query("tree_leaves", sql=_TREE + "SELECT node FROM nodes WHERE node NOT IN (SELECT parent FROM edges)")
