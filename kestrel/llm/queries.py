@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import simhash
+from kestrel.llm import bpe, simhash
 from kestrel.session import ensure_checkpoint_dir, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op2(spark, sf_dir):
     """Near-duplicate classes of all documents: 3-word shingles, 2 bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+@register("op8_byte_bpe")
+def op8(spark, sf_dir):
+    """Byte-level BPE round trip of all documents, multilingual 50k vocabulary."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+def vocabulary_path(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
