@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bpe, simhash
+from kestrel.llm import bpe, decontam, quality, simhash
 from kestrel.session import ensure_checkpoint_dir, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,38 @@ def op8(spark, sf_dir):
 def vocabulary_path(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS k, least(len(w), 10) AS n
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS k
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+m AS (SELECT dw.doc_id, dw.i, dw.n, iw.item_id FROM dw JOIN iw USING (n, k)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+             string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM m GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+@register("op10_benchmark_decontamination", OP10_SQL)
+def op10(spark, sf_dir):
+    """Documents that hold windows of ten words of benchmark items."""
+    found = decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.contaminated_rows(found)
+
+
+@register("op1_quality_bradley_terry")
+def op1(spark, sf_dir):
+    """Quality score of every document, learnt from the labels outside the hold-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.scores(docs, model)
