@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bpe, decontam, quality, simhash
+from kestrel.llm import bpe, decontam, quality, simhash, toxicity
 from kestrel.session import ensure_checkpoint_dir, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,11 @@ def op1(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.scores(docs, model)
+
+
+@register("op5_toxicity_counterfactual")
+def op5(spark, sf_dir):
+    """Toxicity score of every document, learnt from the labels outside the hold-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scores(docs, model)
