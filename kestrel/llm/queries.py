@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bpe, decontam, quality, simhash, toxicity
+from kestrel.llm import bpe, decontam, linededup, quality, rules, simhash, toxicity
 from kestrel.session import ensure_checkpoint_dir, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,36 @@ def op5(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.scores(docs, model)
+
+
+OP3_SQL = r"""
+WITH l AS (SELECT doc_id, i, line, (('0x' || substr(md5(line), 1, 15))::BIGINT) % 2147483647 AS h FROM
+           (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS line
+            FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents) WHERE len(w) > 1)),
+r AS (SELECT *, CASE WHEN i = 1 THEN 2147483648 ELSE (h * 48271 + lag(h) OVER d) % 2147483647 END AS r
+      FROM l WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+e AS (SELECT *, coalesce(r < lead(r) OVER d AND r <= lag(r) OVER d, false) AS ends FROM r WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+c AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM e),
+k AS (SELECT doc_id, pos, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n,
+             sum(regexp_matches(line, '[^\x20\x09-\x0D]')::INT) AS solid FROM c GROUP BY doc_id, pos),
+m AS (SELECT doc_id, pos, n, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) AS place FROM k WHERE n >= 2 AND solid >= 2),
+g AS (SELECT doc_id, count(*) AS removed_chunks, sum(n)::BIGINT AS removed_lines FROM m WHERE place > 1 GROUP BY doc_id),
+t AS (SELECT c.doc_id, string_agg(c.line, chr(10) ORDER BY c.i) AS text
+      FROM c LEFT JOIN m ON c.doc_id = m.doc_id AND c.pos = m.pos AND m.place > 1 WHERE m.place IS NULL GROUP BY c.doc_id)
+SELECT d.doc_id, CASE WHEN g.doc_id IS NULL THEN d.text ELSE coalesce(t.text, '') END AS text,
+       coalesce(removed_chunks, 0)::BIGINT AS removed_chunks, coalesce(removed_lines, 0)::BIGINT AS removed_lines
+FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+"""
+
+
+@register("op3_line_dedup", OP3_SQL)
+def op3(spark, sf_dir):
+    """All documents without the multi-line chunks that occurred before."""
+    out = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.withColumnsRenamed({"_n_chunks": "removed_chunks", "_n_lines": "removed_lines"})
+
+
+@register("op9_quality_rules")
+def op9(spark, sf_dir):
+    """Verdicts of the base rule and the risk-controlled rules on all documents, per language."""
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -146,7 +146,7 @@ def _sentence_mentions(chunk: Chunk, index: HashIndex) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
-        per_class: int = PER_CLASS, features: int = 6_000, min_docs: int = 3, penalty: float = 1.0, l1: float = 3e-5,
+        per_class: int = PER_CLASS, features: int = 6_000, min_docs: int = 3, penalty: float = 1.0, l1: float = 1e-5,
         l2: float = 1e-6, terms: dict | None = None) -> Model | None:
     """Fits on the bounded labelled sample.  Feature statistics are aggregated in
     Spark; the driver gets the chosen features of the sample's rows.  None if a
