@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bpe, decontam, linededup, quality, rules, simhash, toxicity
+from kestrel.llm import bpe, decontam, licenses, linededup, quality, rules, simhash, toxicity
 from kestrel.session import ensure_checkpoint_dir, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,9 @@ def op3(spark, sf_dir):
 def op9(spark, sf_dir):
     """Verdicts of the base rule and the risk-controlled rules on all documents, per language."""
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op4_license_scan")
+def op4(spark, sf_dir):
+    """Licence phrases, tags and expressions in all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
