@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bpe, decontam, licenses, linededup, quality, rules, simhash, toxicity
+from kestrel.llm import bpe, decontam, hmm, licenses, linededup, quality, rules, simhash, toxicity
 from kestrel.session import ensure_checkpoint_dir, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,9 @@ def op9(spark, sf_dir):
 def op4(spark, sf_dir):
     """Licence phrases, tags and expressions in all documents."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@register("op7_hmm_language_model")
+def op7(spark, sf_dir):
+    """Log10 probabilities of all documents under the hidden Markov model and the unigram."""
+    return hmm.score(table(spark, sf_dir, "documents"))
