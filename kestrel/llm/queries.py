@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import bpe, decontam, hmm, licenses, linededup, quality, rules, simhash, toxicity
+from kestrel.llm import bpe, decontam, hmm, licenses, linededup, quality, rules, simhash, suffixes, toxicity
 from kestrel.session import ensure_checkpoint_dir, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,9 @@ def op4(spark, sf_dir):
 def op7(spark, sf_dir):
     """Log10 probabilities of all documents under the hidden Markov model and the unigram."""
     return hmm.score(table(spark, sf_dir, "documents"))
+
+
+@register("op6_suffix_array_dedup")
+def op6(spark, sf_dir):
+    """Documents that share passages of 50 words or more, with the passages' places."""
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
