@@ -1,12 +1,31 @@
-"""Training-data pipeline over ``documents``: each stage is one operator of
-``kestrel.llm``; its result is written and read again as the next one's input."""
+"""Training-data pipeline over ``documents``: each stage applies one operator of
+``kestrel.llm`` to all its predecessor kept.  Stages but the last return the columns
+of ``documents``; the last one returns the tokenised documents."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kestrel.llm import bpe, decontam, linededup, quality, simhash
+from kestrel.llm.queries import prepare, table, vocabulary_path
+from kestrel.llm.scratch import remove
 
-from kestrel.llm import simhash
-from kestrel.llm.queries import prepare
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    prepare(spark)
+    return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated multi-line chunks leave the texts; n_chars follows."""
+    prepare(spark)
+    out = linededup.dedup_lines(docs)
+    changed = F.when(F.col("_n_chunks") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.select(*[changed.alias(c) if c == "n_chars" else c for c in docs.columns])
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,17 +34,40 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.keep_one(docs, shingle=3, radius=2)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    prepare(spark)
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the documents that are left."""
+    prepare(spark)
+    return bpe.round_trip(docs, vocabulary_path())
+
+
 STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("byte_bpe", byte_bpe),
 ]
 
-#: hashing, model fitting and byte-pair encoding have no SQL form
+#: model fitting, XXH64 fingerprints and byte-pair encoding have no SQL form
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn over the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages in turn over the documents of ``sf_dir``; each stage's result is
+    written to the shared folder and read again; a table goes when the next one is there."""
+    prepare(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4()}"
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, before)
+        before = f"{folder}/{name}"
+    return STAGES[-1][1](spark, docs, sf_dir)
