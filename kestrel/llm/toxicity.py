@@ -214,12 +214,14 @@ def _swap_matrix(swaps, names, said, keys) -> tuple[np.ndarray, np.ndarray, np.n
 
 def _minimise(flat, row, y, p, delta, penalty, l1, l2, steps: int = 400) -> tuple[np.ndarray, float]:
     """Accelerated proximal gradient on class-balanced logistic loss + L1 + L2 +
-    swap penalty, weights at least zero, features scaled by their frequency."""
+    swap penalty, weights at least zero, features scaled by their curvature."""
     n = len(y)
     weight = np.where(y == 1, 0.5 / max((y == 1).sum(), 1), 0.5 / max((y == 0).sum(), 1))
     d_row, d_col, d_val, d_weight = delta
-    df = np.bincount(flat, weight[row], minlength=p) + 1e-4
-    scale = 1 / np.sqrt(df)                                    # diagonal preconditioner
+    curve = np.bincount(flat, weight[row], minlength=p) + 1e-4
+    if len(d_weight):
+        curve += 8 * penalty * np.bincount(d_col, d_weight[d_row] * d_val ** 2, minlength=p)
+    scale = 1 / np.sqrt(curve)                                 # diagonal preconditioner
     per_row = np.bincount(row, scale[flat] ** 2, minlength=n)
     lip = 0.25 * (weight * (per_row + 1)).sum() / 4 + l2 * (scale ** 2).max()
     if len(d_weight):
