@@ -37,8 +37,9 @@ def merge_split(train_ids: DataFrame, test_ids: DataFrame, id_col: str) -> DataF
 
 
 def hash_split(df: DataFrame, id_col: str, train_pct: int = 80, mult: int = 7919) -> DataFrame:
-    """Stable split from the id alone (no RNG state, no driver round trip)."""
-    b = (F.col(id_col) * F.lit(mult)) % 100
+    """Stable split from the id alone (no RNG state, no driver round trip); the
+    id is reduced first, so 64-bit ids don't overflow the product."""
+    b = (F.col(id_col) % 100 * F.lit(mult)) % 100
     return df.withColumn("split", F.when(b < train_pct, "train").otherwise("test"))
 
 
@@ -51,8 +52,9 @@ def pattern_pool(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def draw_key(id_col: str) -> F.Column:
-    """Deterministic pseudo-random order from the id (portable arithmetic)."""
-    return (F.col(id_col) * F.lit(2654435761)) % F.lit(1000003)
+    """Deterministic pseudo-random order from the id (portable arithmetic,
+    id * 2654435761 mod 1000003 with both factors reduced first)."""
+    return (F.col(id_col) % 1000003 * F.lit(2654435761 % 1000003)) % F.lit(1000003)
 
 
 def top_k_per_group(df: DataFrame, group: str, order: list, k_col: str, salt_buckets: int = 64,

@@ -1,15 +1,15 @@
 """Text features as joins and aggregations over (doc, term) rows.
 
 Tokens are extracted JVM-side (``regexp_extract_all``), term statistics are
-``groupBy`` aggregates with map-side combine, the vocabulary is a distributed
-top-k (TakeOrderedAndProject, never a global sort) whose size is capped by
-``max_features`` -- the only table ever broadcast -- and TF-IDF weights are
-normalised per document with a groupBy + join.
+``groupBy`` aggregates with map-side combine.  The vocabulary holds every term
+above the document-frequency minimum (``max_features`` is an option, off by
+default), is ranked by range partitions and joined, never broadcast; TF-IDF weights
+are normalised per document in the shuffle by document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Token patterns (Unicode word characters; lowercase variant keeps 2+ chars).
@@ -28,20 +28,33 @@ def term_counts(tok: DataFrame, id_col: str) -> DataFrame:
     return tok.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(tf: DataFrame, id_col: str, min_df: int = 2, max_features: int = 2000) -> DataFrame:
-    """(term, df, cf, term_idx): terms in >= min_df docs, top max_features by
-    corpus frequency (ties by term)."""
-    st = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")).where(F.col("df") >= min_df)
-    top = st.orderBy(F.col("cf").desc(), "term").limit(max_features)
-    from pyspark.sql import Window
-    # <= max_features rows: the index window runs on a bounded table
-    return top.withColumn("term_idx", F.row_number().over(Window.orderBy(F.col("cf").desc(), "term")) - 1)
+def term_stats(docs: DataFrame, text: str) -> DataFrame:
+    """(term, df, cf) in one aggregation by term: the tokens of a text are sorted
+    in its row, so each one knows whether it is its text's first of that term."""
+    t = F.array_sort(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TOKEN_LOWER2), 0))
+    row = docs.select(t.alias("_t"))
+    first = F.transform("_t", lambda x, i: F.struct(x.alias("term"), F.when((i > 0) & (x == F.get("_t", i - 1)), 0).otherwise(1).alias("new")))
+    return row.select(F.explode(first).alias("x")).groupBy(F.col("x.term").alias("term")) \
+        .agg(F.sum("x.new").cast("bigint").alias("df"), F.count(F.lit(1)).alias("cf"))
+
+
+def vocabulary(stats: DataFrame, min_df: int = 2, max_features: int | None = None) -> DataFrame:
+    """(term, df, cf, term_idx): terms in >= min_df docs by corpus frequency (ties
+    by term), all of them unless ``max_features`` is given.  Ranks are running counts
+    over range partitions, so no task sorts the whole vocabulary."""
+    from kestrel.operators.evaluate import running_totals
+    st = stats.where(F.col("df") >= min_df)
+    if max_features is not None:
+        st = st.orderBy(F.col("cf").desc(), "term").limit(max_features)
+    st = st.withColumn("_k", F.struct((-F.col("cf")).alias("c"), "term")).withColumn("one", F.lit(1).cast("bigint"))
+    ranked = running_totals(st, [], "_k", ["one"], descending=False)
+    return ranked.select("term", "df", "cf", (F.col("cum_one") - 1).alias("term_idx"))
 
 
 def weights(tf: DataFrame, vocab: DataFrame, id_col: str, n_docs: DataFrame, scheme: str = "tfidf") -> DataFrame:
     """(id, term, term_idx, w) with scheme 'count' | 'tf_l2' | 'tfidf'
     (smoothed idf = ln((1+n)/(1+df)) + 1, then L2 per document)."""
-    j = tf.join(F.broadcast(vocab.select("term", "term_idx", "df")), "term")   # vocab size <= max_features
+    j = tf.join(vocab.select("term", "term_idx", "df"), "term")
     if scheme == "count":
         return j.select(id_col, "term", "term_idx", F.col("tf").cast("double").alias("w"))
     if scheme == "tfidf":
@@ -51,5 +64,6 @@ def weights(tf: DataFrame, vocab: DataFrame, id_col: str, n_docs: DataFrame, sch
     else:
         raw = F.col("tf").cast("double")
     j = j.withColumn("_raw", raw)
-    norm = j.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_raw") * F.col("_raw"))).alias("_norm"))
-    return j.join(norm, id_col).select(id_col, "term", "term_idx", (F.col("_raw") / F.col("_norm")).alias("w"))
+    # a document's terms meet once: the norm is a window over its own rows
+    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(id_col)))
+    return j.select(id_col, "term", "term_idx", (F.col("_raw") / norm).alias("w"))

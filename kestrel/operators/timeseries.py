@@ -50,14 +50,13 @@ def ljung_box(acf_df: DataFrame, lags: int, sid: str = "series_id") -> DataFrame
 
 
 def periodogram(df: DataFrame, y: str = "y", sid: str = "series_id", scaling: str = "raw",
-                method: str = "dft") -> DataFrame:
+                method: str = "fft") -> DataFrame:
     """|sum_t (y_t - mean) e^{-2 pi i k t / n}|^2 / n for k = 1..floor(n/2).
     scaling='raw' divides by n; 'none' keeps the unnormalised power.
 
-    method='dft' is set-based (explode frequencies x observations, O(n^2/2)
-    rows per series, SQL-checkable) and suits the short monthly series here;
-    method='fft' hands each series to a grouped NumPy FFT (O(n log n)) for long
-    series."""
+    method='fft' hands each series to a grouped NumPy FFT (O(n log n));
+    method='dft' is the same sum as a set expression (frequencies x observations,
+    n^2/2 rows per series), for cross-checks on short series."""
     if method == "fft":
         return _periodogram_fft(df, y, sid, scaling)
     m = df.groupBy(sid).agg(F.avg(y).alias("_m"), F.count(F.lit(1)).alias("n"))

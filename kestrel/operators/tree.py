@@ -1,9 +1,9 @@
 """Topic tree as edge table + closure table.
 
 A taxonomy is ``edges(parent, child)``.  Everything else is derived with joins:
-the closure ``(ancestor, descendant, dist)`` is built by repeated edge joins up
-to ``max_depth`` levels (the tree is small and its depth bounded; the join
-rounds never touch document data).  Document-side operators join labels with
+the closure ``(ancestor, descendant, dist)`` is built by repeated edge joins
+until no row is left to extend, however deep the tree is; a cycle is an error
+(the join rounds never touch document data).  Document-side operators join labels with
 the closure, so a whole tree's worth of per-edge datasets is one shuffle."""
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.session import cut_lineage
+
 ROOT = "Root"
 
 
@@ -28,22 +30,33 @@ def nodes(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("parent").alias("node")).union(edges.select(F.col("child").alias("node"))).distinct()
 
 
-def closure(edges: DataFrame, max_depth: int = 5) -> DataFrame:
-    """(ancestor, descendant, dist) including (n, n, 0)."""
-    nd = nodes(edges)
-    out = nd.select(F.col("node").alias("ancestor"), F.col("node").alias("descendant"), F.lit(0).alias("dist"))
-    frontier = out
+def _descend(start: DataFrame, edges: DataFrame) -> DataFrame:
+    """``start`` (ancestor, descendant, dist) extended along the edges until the
+    frontier is empty.  Raises ValueError if a node is its own descendant."""
     e = edges.select(F.col("parent").alias("_p"), F.col("child").alias("_c"))
-    for _ in range(max_depth):
-        frontier = (frontier.join(e, frontier.descendant == e._p)
-                    .select("ancestor", F.col("_c").alias("descendant"), (F.col("dist") + 1).alias("dist")))
+    out = frontier = start
+    while True:
+        frontier = cut_lineage(frontier.join(e, frontier.descendant == e._p)
+                               .select("ancestor", F.col("_c").alias("descendant"), (F.col("dist") + 1).alias("dist")))
+        n, cycle = frontier.agg(F.count(F.lit(1)), F.max(F.col("ancestor") == F.col("descendant"))).first()
+        if cycle:
+            raise ValueError("the edges contain a cycle")
+        if not n:
+            return out
         out = out.unionByName(frontier)
-    return out
 
 
-def depth(edges: DataFrame, root: str = ROOT, max_depth: int = 5) -> DataFrame:
-    c = closure(edges, max_depth)
-    return c.where(F.col("ancestor") == root).select(F.col("descendant").alias("node"), F.col("dist").alias("depth"))
+def closure(edges: DataFrame) -> DataFrame:
+    """(ancestor, descendant, dist) including (n, n, 0), over all levels."""
+    return _descend(nodes(edges).select(F.col("node").alias("ancestor"), F.col("node").alias("descendant"), F.lit(0).alias("dist")),
+                    edges)
+
+
+def depth(edges: DataFrame, root: str = ROOT) -> DataFrame:
+    """(node, depth) of everything below the root, walked from the root only."""
+    top = nodes(edges).where(F.col("node") == root)
+    d = _descend(top.select(F.col("node").alias("ancestor"), F.col("node").alias("descendant"), F.lit(0).alias("dist")), edges)
+    return d.select(F.col("descendant").alias("node"), F.col("dist").alias("depth"))
 
 
 def leaves(edges: DataFrame) -> DataFrame:
@@ -113,18 +126,22 @@ def edge_gold(labels: DataFrame, edges: DataFrame, clos: DataFrame, id_col: str
                                                                  F.coalesce("y", F.lit(0)).alias("y"))
 
 
-def route(preds: DataFrame, edges: DataFrame, id_col: str = "id", max_depth: int = 5) -> DataFrame:
+def route(preds: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFrame:
     """Multilabel top-down routing: from the root follow every edge predicted
-    1; a node with a single child passes through.  Level-wise joins, at most
-    ``max_depth`` rounds; returns the reached (id, node) pairs."""
+    1; a node with a single child passes through.  Level-wise joins until no
+    document moves on; returns the reached (id, node) pairs."""
     pos = preds.where(F.col("pred") == 1).select(id_col, F.col("parent").alias("_par"), F.col("child").alias("_ch")).distinct()
     unary = edges.join(branching(edges).select("parent"), "parent", "left_anti") \
         .select(F.col("parent").alias("_upar"), F.col("child").alias("_uch"))
     frontier = preds.select(id_col).distinct().withColumn("node", F.lit(ROOT))
     reached = None
-    for _ in range(max_depth):
+    while True:
         a = frontier.join(pos, [id_col]).where(F.col("node") == F.col("_par")).select(id_col, F.col("_ch").alias("node"))
         b = frontier.join(unary, F.col("node") == F.col("_upar")).select(id_col, F.col("_uch").alias("node"))
-        frontier = a.unionByName(b).distinct()
+        step = a.unionByName(b).distinct()
+        if reached is not None:
+            step = step.join(reached, [id_col, "node"], "left_anti")
+        frontier = cut_lineage(step)
+        if frontier.isEmpty():
+            return frontier if reached is None else reached
         reached = frontier if reached is None else reached.unionByName(frontier)
-    return reached.distinct()

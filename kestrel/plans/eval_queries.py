@@ -273,18 +273,15 @@ def eval_path_recall(spark, sf):
 , pos AS (SELECT DISTINCT id, parent, child FROM ep WHERE pred = 1),
 un AS (SELECT parent, child FROM edges WHERE parent NOT IN (SELECT parent FROM br)),
 starts AS (SELECT DISTINCT id FROM ep),
-r1 AS (SELECT p.id, p.child AS node FROM pos p WHERE p.parent = 'Root'
-       UNION SELECT s.id, u.child FROM starts s JOIN un u ON u.parent = 'Root'),
-r2 AS (SELECT p.id, p.child AS node FROM r1 JOIN pos p ON p.id = r1.id AND p.parent = r1.node
-       UNION SELECT r1.id, u.child FROM r1 JOIN un u ON u.parent = r1.node)
-SELECT node, count(DISTINCT id) AS n_docs FROM (SELECT * FROM r1 UNION SELECT * FROM r2) AS _r GROUP BY node""")
+walk AS (SELECT id, 'Root' AS node FROM starts
+          UNION
+          SELECT r.id, n.child FROM walk r JOIN (SELECT id, parent, child FROM pos UNION ALL SELECT s.id, u.parent, u.child FROM starts s CROSS JOIN un u) n
+          ON n.id = r.id AND n.parent = r.node)
+SELECT id, node FROM walk WHERE node <> 'Root'""")
 def clf_route_multilabel(spark, sf):
     """Follow every positive edge from the root (unary nodes pass through),
-    level by level with joins; count documents reaching each node."""
-    e = _edges(spark, sf)
-    preds = edge_preds(spark, sf)
-    reached = T.route(preds, e, "id", max_depth=2)
-    return reached.groupBy("node").agg(F.countDistinct("id").alias("n_docs"))
+    level by level with joins: every (id, node) that is reached."""
+    return T.route(edge_preds(spark, sf), _edges(spark, sf), "id")
 
 
 # ------------------------------------------------- model comparison ---------

@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from kestrel.plans.registry import query
-from kestrel.plans.sqlbind import LABELS_LONG, PANEL_M, TAXONOMY, with_
+from kestrel.plans.sqlbind import DID, LABELS_LONG, PANEL_M, TAXONOMY, with_
 from kestrel.session import ensure_checkpoint_dir
 from kestrel.sources import bindings as B
 from kestrel.sources import files as FS
@@ -123,12 +123,14 @@ def src_csv_quoted(spark, sf):
     return FS.read_panel_csv(spark, path)
 
 
-@query("src_whitespace_positional")
+@query("src_whitespace_positional", sql="WITH " + DID + " SELECT store, nj, chain, co_owned, fte, fte2, gap, closed FROM did")
 def src_whitespace_positional(spark, sf):
-    """Headerless whitespace-separated file, '.' as missing, columns by position."""
+    """Headerless whitespace-separated file, '.' as missing, columns by position,
+    coerced to their types."""
     path = _scratch(spark, "survey_txt")
     FS.write_whitespace(B.did_stores(spark, sf), path)
-    return FS.read_whitespace(spark, path, ["store", "nj", "chain", "co_owned", "fte", "fte2", "gap", "closed"])
+    return FS.read_whitespace(spark, path, "store long, nj int, chain string, co_owned int, fte double, fte2 double, "
+                                           "gap double, closed int")
 
 
 @query("src_taxonomy_csv", sql=with_(TAXONOMY) + """
@@ -187,7 +189,7 @@ def sink_jsonl_scores(spark, sf):
     """Score the corpus and write JSON lines with a split tag; read back."""
     from kestrel.plans.eval_queries import scores
     path = _scratch(spark, "scores_jsonl")
-    s = scores(spark, sf).withColumn("split", F.when((F.col("id") * 7919) % 100 < 80, "train").otherwise("test"))
+    s = scores(spark, sf).withColumn("split", F.when((F.col("id") % 100 * 7919) % 100 < 80, "train").otherwise("test"))
     s.write.mode("overwrite").json(path)
     return spark.read.schema(s.schema).json(path)
 
@@ -214,36 +216,40 @@ def sink_result_csv(spark, sf):
 
 
 # ------------------------------------------------------------ streaming -----
-def _chunks(df, path, n_chunks: int, key: str):
-    """Write ``df`` as n files (chunks) so a stream sees them arrive one by one."""
-    df.repartition(n_chunks, F.pmod(F.col(key), F.lit(n_chunks))).write.mode("overwrite").parquet(path)
+_TOKENS = r"""tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]{2,}')) AS term FROM documents)"""
 
 
-@query("stream_score_files")
+@query("stream_score_files", rnd=["score"], sql=f"""
+WITH {_TOKENS},
+coef AS (SELECT term, sum(2 * quality - 1) / count(*) AS weight FROM tok JOIN labels USING (doc_id) GROUP BY term),
+s AS (SELECT doc_id, sum(weight) AS score FROM tok JOIN coef USING (term) GROUP BY doc_id)
+SELECT doc_id, coalesce(score, 0.0) AS score, CASE WHEN (doc_id * 7919) % 100 < 80 THEN 'train' ELSE 'test' END AS split
+FROM documents LEFT JOIN s USING (doc_id)""")
 def stream_score_files(spark, sf):
-    """Chunked scoring re-aimed as a file stream with a checkpoint; the model
-    is a (term, weight) table derived from the labelled corpus."""
+    """Scoring re-aimed as a file stream with a checkpoint; the model is the whole
+    (term, weight) table of the labelled corpus, stored once before the stream starts."""
     from kestrel.operators import text as X
+    from kestrel.session import cut_lineage
     from kestrel.streaming.jobs import score_files
     docs = load(spark, sf, "documents").select("doc_id", "text")
     base = _scratch(spark, "stream_score")
-    _chunks(docs, f"{base}/in", 4, "doc_id")
+    docs.write.parquet(f"{base}/in")
     lab = load(spark, sf, "labels").select("doc_id", (F.col("quality") * 2 - 1).alias("t"))
-    tok = X.term_counts(X.tokens(docs, "doc_id", "text"), "doc_id")
-    coef = (tok.join(lab, "doc_id").groupBy("term").agg((F.sum(F.col("t") * F.col("tf")) / F.sum("tf")).alias("weight"))
-            .orderBy(F.abs("weight").desc(), "term").limit(2000))   # model size capped by design
+    tok = X.tokens(docs.join(lab, "doc_id").select(F.struct("doc_id", "t").alias("d"), "text"), "d", "text")
+    coef = cut_lineage(tok.groupBy("term").agg((F.sum("d.t") / F.count(F.lit(1))).alias("weight")))
     score_files(spark, f"{base}/in", docs.schema, coef, f"{base}/out", f"{base}/ckpt")
-    return spark.read.schema("doc_id long, score double, split string, epoch long").json(f"{base}/out")
+    return spark.read.schema("doc_id long, score double, split string").json(f"{base}/out").select("doc_id", "score", "split")
 
 
-@query("stream_corpus_ingest")
+@query("stream_corpus_ingest", sql="""
+SELECT conv_id AS id, turn, role FROM conversations
+QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) = 1""")
 def stream_corpus_ingest(spark, sf):
-    """Chunked corpus append with ids already seen dropped (streaming dedup)."""
+    """Corpus append with ids already stored dropped (streaming dedup): of each
+    conversation the first turn is stored."""
     from kestrel.streaming.jobs import ingest_dedup
-    conv = load(spark, sf, "conversations")
-    ev = conv.select(F.col("conv_id").alias("id"), "turn", "role",
-                     (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_interval(mins=F.col("turn").cast("int"))).alias("ts"))
+    rows = load(spark, sf, "conversations").select(F.col("conv_id").alias("id"), "turn", "role")
     base = _scratch(spark, "stream_ingest")
-    _chunks(ev, f"{base}/in", 4, "turn")
-    ingest_dedup(spark, f"{base}/in", ev.schema, f"{base}/out", f"{base}/ckpt", "id", "ts")
-    return spark.read.parquet(f"{base}/out")
+    rows.write.parquet(f"{base}/in")
+    ingest_dedup(spark, f"{base}/in", rows.schema, f"{base}/out", f"{base}/ckpt", "id", ["turn", "role"])
+    return spark.read.schema(rows.schema).parquet(f"{base}/out").select("id", "turn", "role")

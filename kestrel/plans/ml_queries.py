@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
-from pyspark.ml.feature import CountVectorizer, IDF, Normalizer, PCA, PolynomialExpansion
+from pyspark.ml.feature import HashingTF, IDF, Normalizer, PCA, PolynomialExpansion
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -42,20 +42,18 @@ def labelled_docs(spark, sf):
 
 
 def featurizer(kind: str = "tfidf") -> list:
-    """Vocabulary (<= 2000 terms, min_df 2) -> idf -> L2 on a ``tokens`` column."""
-    cv = CountVectorizer(inputCol="tokens", outputCol="tf" if kind == "tfidf" else "features", vocabSize=2000, minDF=2)
+    """Term frequencies -> idf -> L2 on a ``tokens`` column.  Terms are hashed to
+    2^18 columns: every token of the corpus counts, and no vocabulary has to pass through
+    the driver."""
+    cv = HashingTF(inputCol="tokens", outputCol="tf" if kind == "tfidf" else "features", numFeatures=1 << 18)
     if kind == "count":
         return [cv]
     return [cv, IDF(inputCol="tf", outputCol="idf"), Normalizer(inputCol="idf", outputCol="features", p=2.0)]
 
 
 def train_frame(df):
-    """Cache a training frame with about one partition per core: iterative
-    optimisers run one job per iteration over it, so hundreds of tiny shuffle
-    partitions (a session default) would dominate the fit time."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() > n:
-        df = df.coalesce(n)
+    """Cache a training frame for the passes of an iterative optimiser (adaptive
+    execution coalesces small shuffle partitions; the layout is left to it)."""
     return df.cache()
 
 
@@ -87,19 +85,19 @@ def fit_eval(spark, sf, model, name, kind="tfidf"):
     return _metrics(pm.transform(te), name)
 
 
-@query("clf_linear_svm", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
+@query("clf_linear_svm", rnd=["accuracy", "precision", "recall", "f1"])
 def clf_linear_svm(spark, sf):
     """TF-IDF -> LinearSVC, C = 1 mapped to regParam = 1 / (n C) (S13)."""
     n = labelled_docs(spark, sf).where("split = 'train'").count()
     return fit_eval(spark, sf, LinearSVC(regParam=1.0 / max(n, 1), maxIter=50, standardization=False), "linear_svm")
 
 
-@query("clf_elasticnet", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
+@query("clf_elasticnet", rnd=["accuracy", "precision", "recall", "f1"])
 def clf_elasticnet(spark, sf):
     return fit_eval(spark, sf, LogisticRegression(elasticNetParam=0.5, regParam=0.01, maxIter=50), "elasticnet")
 
 
-@query("clf_maxent", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
+@query("clf_maxent", rnd=["accuracy", "precision", "recall", "f1"])
 def clf_maxent(spark, sf):
     return fit_eval(spark, sf, LogisticRegression(elasticNetParam=0.0, regParam=0.01, maxIter=50), "maxent")
 
@@ -116,13 +114,13 @@ def _fit_dense(spark, sf, stages, name):
     return _metrics(pm.transform(e.where("split = 'test'")), name)
 
 
-@query("clf_boosting", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
+@query("clf_boosting", rnd=["accuracy", "precision", "recall", "f1"])
 def clf_boosting(spark, sf):
     """Gradient boosted trees (100 rounds, depth 3, step 0.1) on dense vectors."""
     return _fit_dense(spark, sf, [GBTClassifier(maxIter=100, maxDepth=3, stepSize=0.1, seed=7)], "gbt")
 
 
-@query("clf_poly2_svm", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
+@query("clf_poly2_svm", rnd=["accuracy", "precision", "recall", "f1"])
 def clf_poly2_svm(spark, sf):
     """Reduce to 8 components, degree-2 expansion, linear SVM."""
     st = [PCA(k=8, inputCol="features", outputCol="pc"), PolynomialExpansion(degree=2, inputCol="pc", outputCol="poly"),
@@ -130,27 +128,29 @@ def clf_poly2_svm(spark, sf):
     return _fit_dense(spark, sf, st, "poly2_svm")
 
 
-@query("text_svd", fits=True, rnd=["singular_value", "explained_variance_ratio"], dp=5)
+SVD_COMPONENTS = 20
+
+
+@query("text_svd", rnd=["singular_value", "explained_variance_ratio"], dp=5)
 def text_svd(spark, sf):
-    """TF-IDF -> truncated SVD (20 components).  One distributed pass builds the
-    Gramian X'X (p x p, p = vocabulary size <= max_features, a parameter bound);
-    its top eigenvalues are the squared singular values.  Explained ratio =
-    sigma^2 / squared Frobenius norm."""
-    from pyspark.mllib.linalg import Vectors as MV
+    """TF-IDF -> truncated SVD.  The singular values come from an implicitly
+    restarted Lanczos iteration whose matrix-vector products run distributed, JVM-side (no
+    p x p Gramian is formed).  Explained ratio = sigma^2 / squared Frobenius norm."""
     from pyspark.mllib.linalg.distributed import RowMatrix
-    from kestrel.session import cut_lineage
-    d = cut_lineage(with_tokens(load(spark, sf, "documents").select("doc_id", "text")))
+    from pyspark.mllib.util import MLUtils
+    d = with_tokens(load(spark, sf, "documents").select("doc_id", "text"))
     feats = Pipeline(stages=featurizer("tfidf")).fit(d).transform(d).select("features")
-    rows = feats.rdd.map(lambda r: MV.fromML(r.features))
-    g = RowMatrix(rows).computeGramianMatrix().toArray()
-    ev = np.sort(np.linalg.eigvalsh(g))[::-1][:20]
-    s = np.sqrt(np.clip(ev, 0.0, None))
-    total = float(np.trace(g))
+    rows = MLUtils.convertVectorColumnsFromML(feats, "features").cache()
+    n = max(min(SVD_COMPONENTS, rows.count()), 1)
+    s = RowMatrix(rows).computeSVD(n).s.toArray()
+    # rows have unit length or are empty: the squared Frobenius norm counts the former
+    total = d.where(F.size("tokens") > 0).count()
+    rows.unpersist()
     return spark.createDataFrame(pd.DataFrame({"component": list(range(1, len(s) + 1)), "singular_value": s.tolist(),
-                                               "explained_variance_ratio": (s * s / total).tolist()}))
+                                               "explained_variance_ratio": (s * s / max(total, 1)).tolist()}))
 
 
-@query("clf_model_zoo", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
+@query("clf_model_zoo", rnd=["accuracy", "precision", "recall", "f1"])
 def clf_model_zoo(spark, sf):
     """Representation x model comparison on one cached split, sorted by F1."""
     d = train_frame(labelled_docs(spark, sf))
@@ -165,7 +165,7 @@ def clf_model_zoo(spark, sf):
     return out.orderBy(F.col("f1").desc(), "model")
 
 
-@query("clf_param_grid", fits=True, rnd=["best_auc"], dp=4)
+@query("clf_param_grid", rnd=["best_auc"], dp=4)
 def clf_param_grid(spark, sf):
     """regParam grid with TrainValidationSplit (parallel fits) on cached features."""
     e = train_frame(embeddings(spark, sf))
@@ -179,7 +179,7 @@ def clf_param_grid(spark, sf):
                                  "best_reg_param double, best_auc double")
 
 
-@query("clf_save_load", fits=True)
+@query("clf_save_load")
 def clf_save_load(spark, sf):
     """Persist a fitted pipeline under the shared checkpoint folder, reload it
     and check predictions agree."""
@@ -195,7 +195,7 @@ def clf_save_load(spark, sf):
     return a.join(b, "doc_id").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("p1") != F.col("p2"), 1)).alias("n_diff"))
 
 
-@query("udf_model_plug", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
+@query("udf_model_plug", rnd=["accuracy", "precision", "recall", "f1"])
 def udf_model_plug(spark, sf, factory=None):
     """Pluggable estimator contract: ``factory(edge) -> Estimator``; one model
     per first-level edge (Root -> lang), trained on the shared features."""
@@ -223,7 +223,7 @@ def doc_dense(spark, sf):
     """(id, f0..f15): TF-IDF weights of the 16 most frequent terms as dense columns."""
     docs = load(spark, sf, "documents")
     tf = X.term_counts(X.tokens(docs, "doc_id", "text"), "doc_id")
-    v = X.vocabulary(tf, "doc_id", max_features=N_DENSE)
+    v = X.vocabulary(X.term_stats(docs, "text"), max_features=N_DENSE)
     nd = docs.agg(F.count(F.lit(1)).alias("n"))
     w = X.weights(tf, v, "doc_id", nd, "tfidf")
     piv = w.groupBy(F.col("doc_id").alias("id")).pivot("term_idx", list(range(N_DENSE))).agg(F.first("w"))
@@ -257,7 +257,7 @@ def edge_ridge(spark, sf, lambdas=(0.0, 1.0)):
     return E.confusion(pred, "y", "pred", by=["parent", "child", "lam", "split"])
 
 
-@query("clf_edge_train_all", fits=True, rnd=["micro_f1", "macro_f1", "weighted_f1", "micro_precision", "micro_recall",
+@query("clf_edge_train_all", rnd=["micro_f1", "macro_f1", "weighted_f1", "micro_precision", "micro_recall",
                                   "micro_accuracy", "macro_precision", "macro_recall", "weighted_precision",
                                   "weighted_recall"])
 def clf_edge_train_all(spark, sf):
@@ -266,7 +266,7 @@ def clf_edge_train_all(spark, sf):
     return E.summarize(c)
 
 
-@query("clf_c_by_depth", fits=True, rnd=["micro_f1"])
+@query("clf_c_by_depth", rnd=["micro_f1"])
 def clf_c_by_depth(spark, sf):
     """Regularisation grid per tree depth; best lambda per depth by pooled F1."""
     c = edge_ridge(spark, sf, (0.0, 0.1, 1.0, 10.0)).where("split = 'test'")
@@ -277,14 +277,14 @@ def clf_c_by_depth(spark, sf):
     return s.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("depth", "lam", "micro_f1")
 
 
-@query("clf_c_global", fits=True, rnd=["micro_f1"])
+@query("clf_c_global", rnd=["micro_f1"])
 def clf_c_global(spark, sf):
     """One lambda for the whole tree: grid report sorted by pooled F1."""
     c = edge_ridge(spark, sf, (0.0, 0.1, 1.0, 10.0)).where("split = 'test'").drop("split")
     return E.summarize(c, key=["lam"]).select("lam", "micro_f1").orderBy(F.col("micro_f1").desc(), "lam")
 
 
-@query("clf_node_multiclass", fits=True, rnd=["accuracy"])
+@query("clf_node_multiclass", rnd=["accuracy"])
 def clf_node_multiclass(spark, sf):
     """One multinomial model per branching node (next hop among its children)."""
     from kestrel.plans.tree_queries import label_node_dataset  # noqa: F401
@@ -316,7 +316,7 @@ def clf_node_multiclass(spark, sf):
     return out
 
 
-@query("eval_train_test", fits=True, rnd=["accuracy", "precision", "recall", "f1"])
+@query("eval_train_test", rnd=["accuracy", "precision", "recall", "f1"])
 def eval_train_test(spark, sf):
     """Fit once, metrics on both splits (split column grouped)."""
     d = train_frame(labelled_docs(spark, sf))
@@ -325,11 +325,11 @@ def eval_train_test(spark, sf):
     return E.binary_metrics(p, "y", "p", by=["split"])
 
 
-@query("eval_kfold", fits=True, rnd=["mean_f1", "std_f1", "mean_accuracy"])
+@query("eval_kfold", rnd=["mean_f1", "std_f1", "mean_accuracy"])
 def eval_kfold(spark, sf):
     """5-fold CV with a hash fold id: per-fold metrics, their mean / std and the
     summed confusion."""
-    d = train_frame(labelled_docs(spark, sf).withColumn("fold", ((F.col("doc_id") * 7919) % 5).cast("int")))
+    d = train_frame(labelled_docs(spark, sf).withColumn("fold", ((F.col("doc_id") % 5 * 7919) % 5).cast("int")))
 
     def fit_fold(k):
         def run():
@@ -344,15 +344,15 @@ def eval_kfold(spark, sf):
                      F.sum("fn").alias("fn"), F.sum("tn").alias("tn"))
 
 
-@query("reg_logloss_sweep", fits=True, rnd=["val_logloss", "test_logloss"], dp=5)
+@query("reg_logloss_sweep", rnd=["val_logloss", "test_logloss"], dp=5)
 def reg_logloss_sweep(spark, sf):
     """lambda x feature-mask sweep of logistic regression scored by validation
     log-loss (computed as an aggregate); the minimum is re-scored on test."""
     from pyspark.ml.feature import VectorSlicer
     from pyspark.ml.functions import vector_to_array
     e = embeddings(spark, sf)
-    e = e.withColumn("split", F.when((F.col("vec_id") * 7919) % 10 < 6, "train")
-                     .when((F.col("vec_id") * 7919) % 10 < 8, "val").otherwise("test"))
+    e = e.withColumn("split", F.when((F.col("vec_id") % 10 * 7919) % 10 < 6, "train")
+                     .when((F.col("vec_id") % 10 * 7919) % 10 < 8, "val").otherwise("test"))
     e = train_frame(e)
     tr = e.where("split = 'train'")
     rows = []

@@ -279,12 +279,20 @@ def agg_by_group_means(spark, sf):
                                         F.stddev_samp("fte2").alias("sd_fte2"))
 
 
-@query("reg_sample_rule", sql=_DID + "SELECT count(*) AS n_sample FROM did WHERE closed = 1 OR fte2 > 0 OR fte > 0")
+@query("reg_sample_rule", rnd=["dwage"], sql=_DID + """
+SELECT store, closed, dwage FROM (
+  SELECT store, closed, (CASE WHEN store % 13 <> 0 THEN 5.05 + (store % 7) * 0.1 END)
+                        - (CASE WHEN store % 11 <> 0 THEN 4.25 + (store % 20) * 0.05 END) AS dwage FROM did) w
+WHERE closed = 1 OR dwage IS NOT NULL""")
 def reg_sample_rule(spark, sf):
-    """Keep closed stores or stores with an observed outcome."""
-    d = B.did_stores(spark, sf)
-    return d.where((F.col("closed") == 1) | (F.col("fte2") > 0) | (F.col("fte") > 0)).agg(
-        F.count(F.lit(1)).alias("n_sample"))
+    """The regression sample: stores that closed, or whose starting wage is known in
+    both waves.  The tables have no wage; it is derived from the store number, missing
+    for every 11th store in the first wave and every 13th in the second."""
+    s = F.col("store")
+    before = F.when(s % 11 != 0, 4.25 + (s % 20) * 0.05)
+    after = F.when(s % 13 != 0, 5.05 + (s % 7) * 0.1)
+    d = B.did_stores(spark, sf).select("store", "closed", (after - before).alias("dwage"))
+    return d.where((F.col("closed") == 1) | F.col("dwage").isNotNull())
 
 
 @query("reg_ols_multi", rnd=["coef", "se", "t", "r2", "rss", "ser"])
@@ -491,7 +499,7 @@ def cov_noise_sensitivity(spark, sf):
                   F.max(F.when(F.col("b") == 0, F.col("sharpe"))).alias("base_sharpe"))
 
 
-@query("reg_lagged_ml", fits=True, rnd=["rmse_model", "rmse_baseline", "corr"], dp=5)
+@query("reg_lagged_ml", rnd=["rmse_model", "rmse_baseline", "corr"], dp=5)
 def reg_lagged_ml(spark, sf):
     """Six lags of leg a as features for leg b, 80/20 time split, scaler +
     linear regression vs a train-mean baseline (RMSE, correlation)."""

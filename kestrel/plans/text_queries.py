@@ -15,18 +15,18 @@ _TOK_RAW = r"[\p{L}\p{N}_]+"
 _TF = f"""WITH tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '{_TOK_LOWER}')) AS term FROM documents),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY doc_id, term),
 st AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term HAVING count(*) >= 2),
-vocab AS (SELECT term, df, cf, row_number() OVER (ORDER BY cf DESC, term) - 1 AS term_idx FROM st ORDER BY cf DESC, term LIMIT 2000),
+vocab AS (SELECT term, df, cf, row_number() OVER (ORDER BY cf DESC, term) - 1 AS term_idx FROM st),
 nd AS (SELECT count(*) AS n FROM documents)
 """
 
 
-def _tf(spark, sf, materialize: bool = True):
-    from kestrel.session import cut_lineage
+def _vocabulary(docs):
+    return X.vocabulary(X.term_stats(docs, "text"))
+
+
+def _tf(spark, sf):
     docs = load(spark, sf, "documents")
-    tf = X.term_counts(X.tokens(docs, "doc_id", "text"), "doc_id")
-    # term counts feed both the vocabulary and the weights: tokenize once
-    tf = cut_lineage(tf) if materialize else tf
-    return docs, tf, X.vocabulary(tf, "doc_id")
+    return docs, X.term_counts(X.tokens(docs, "doc_id", "text"), "doc_id"), _vocabulary(docs)
 
 
 @query("text_tokenize", sql=f"""
@@ -42,9 +42,8 @@ def text_tokenize(spark, sf):
 
 @query("text_doc_freq", sql=_TF + "SELECT term, df, CAST(cf AS BIGINT) AS cf, term_idx FROM vocab", bench=True)
 def text_doc_freq(spark, sf):
-    """min_df = 2, max_features = 2000 by corpus frequency."""
-    _, _, v = _tf(spark, sf, materialize=False)   # single consumer of the term counts
-    return v.select("term", "df", "cf", "term_idx")
+    """Document and corpus frequency of every term in two documents or more."""
+    return _vocabulary(load(spark, sf, "documents")).select("term", "df", "cf", "term_idx")
 
 
 @query("text_count", sql=_TF + "SELECT tf.doc_id, tf.term, CAST(tf.tf AS DOUBLE) AS w FROM tf JOIN vocab USING (term)")

@@ -22,13 +22,14 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "kestrel", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", os.environ.get("KESTREL_DRIVER_MEMORY", "16g"))
     conf.update(extra or {})
     for k, v in conf.items():
@@ -41,8 +42,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) create a scratch folder of our own."""
+    """Use the cluster's shared ``spark.checkpoint.dir``.  Where it is unset a
+    local session gets a scratch folder of its own; on a cluster that is an error, as
+    a folder of one machine is not seen by the others."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -51,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     local = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir="/tmp")
     sc.setCheckpointDir(local)
     return local

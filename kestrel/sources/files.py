@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def write_panel_csv(df: DataFrame, path: str) -> None:
@@ -35,9 +36,12 @@ def write_whitespace(df: DataFrame, path: str) -> None:
     df.select(F.concat(F.lit(" "), line).alias("value")).write.mode("overwrite").text(path)
 
 
-def read_whitespace(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+def read_whitespace(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Fields by position, typed by the DDL ``schema``; '.', a missing field of a
+    short line and a value that doesn't fit its type become NULL."""
     t = spark.read.text(path).select(F.split(F.trim("value"), r"\s+").alias("f"))
-    return t.select(*[F.nullif(F.col("f").getItem(i), F.lit(".")).alias(n) for i, n in enumerate(names)])
+    fields = StructType.fromDDL(schema).fields
+    return t.select(*[F.nullif(F.get("f", F.lit(i)), F.lit(".")).try_cast(c.dataType).alias(c.name) for i, c in enumerate(fields)])
 
 
 def write_taxonomy(edges: DataFrame, path: str) -> None:

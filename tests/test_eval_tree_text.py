@@ -46,14 +46,33 @@ def test_closure_and_edge_gold(spark):
     assert g[("a", "a2", 3)] == 0 and ("a", "a1", 2) not in g   # doc 2 not under a
     # unary node b passes through when routing
     preds = spark.createDataFrame([(1, "Root", "b", 1), (1, "Root", "a", 0)], "id long, parent string, child string, pred int")
-    reached = {r.node for r in T.route(preds, edges, max_depth=3).collect()}
+    reached = {r.node for r in T.route(preds, edges).collect()}
     assert reached == {"b", "b1"}
 
 
+def test_deep_chain_keeps_every_level(spark):
+    chain = ["Root"] + [f"n{i}" for i in range(8)] + ["n7x"]
+    pairs = list(zip(chain, chain[1:]))[:8] + [("n6", "n7x")]       # the last node branches
+    edges = spark.createDataFrame(pairs, "parent string, child string")
+    d = {r.node: r.depth for r in T.depth(edges).collect()}
+    assert d == {"Root": 0, **{f"n{i}": i + 1 for i in range(8)}, "n7x": 8}
+    labels = spark.createDataFrame([(1, "n7"), (2, "n7x")], "id long, cat string")
+    gold = {(r.child, r.id): r.y for r in T.edge_gold(labels, edges, T.closure(edges)).collect()}
+    assert gold == {("n7", 1): 1, ("n7x", 1): 0, ("n7", 2): 0, ("n7x", 2): 1}
+    preds = spark.createDataFrame([(1, "n6", "n7", 1)], "id long, parent string, child string, pred int")
+    assert {r.node for r in T.route(preds, edges).collect()} == {f"n{i}" for i in range(8)}
+
+
+def test_cycle_is_an_error(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        T.closure(spark.createDataFrame([("a", "b"), ("b", "a")], "parent string, child string"))
+
+
 def test_tfidf_by_hand(spark):
     docs = spark.createDataFrame([(1, "aa bb bb"), (2, "aa cc"), (3, "aa bb")], "id long, text string")
     tf = X.term_counts(X.tokens(docs, "id", "text"), "id")
-    v = X.vocabulary(tf, "id", min_df=1, max_features=10)
+    v = X.vocabulary(X.term_stats(docs, "text"), min_df=1)
     w = {(r.id, r.term): r.w for r in X.weights(tf, v, "id", docs.agg(F.count(F.lit(1)).alias("n")), "tfidf").collect()}
     idf = lambda df: math.log((1 + 3) / (1 + df)) + 1
     raw = {"aa": 1 * idf(3), "bb": 2 * idf(2)}

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from kestrel.operators import panel as P
@@ -65,20 +66,39 @@ def test_lag_family_k1_equals_baseline(spark):
     assert all(abs(base[r.d] - r.pi) < 1e-12 for r in pw.collect())
 
 
-def test_streaming_ingest_drops_seen_ids(spark):
+@pytest.mark.parametrize("files", [None, 1])
+def test_streaming_ingest_drops_seen_ids(spark, files):
     from kestrel.streaming.jobs import ingest_dedup
     base = tempfile.mkdtemp(prefix="kestrel-stream-", dir="/tmp")
-    rows = [(i % 5, i, dt.datetime(2024, 1, 1, 0, i)) for i in range(20)]
-    df = spark.createDataFrame(rows, "id long, turn long, ts timestamp_ntz")
-    df.repartition(4, "turn").write.parquet(os.path.join(base, "in"))
-    ingest_dedup(spark, os.path.join(base, "in"), df.schema, os.path.join(base, "out"), os.path.join(base, "ck"), "id", "ts")
-    out = spark.read.parquet(os.path.join(base, "out"))
-    assert out.count() == 5 and out.select("id").distinct().count() == 5
+    src, out, ck = (os.path.join(base, x) for x in ("in", "out", "ck"))
+    rows = [(i % 5, i, "r") for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, turn long, role string")
+    df.repartition(4, "turn").write.parquet(src)
+    ingest_dedup(spark, src, df.schema, out, ck, "id", ["turn"], files)
+    got = spark.read.parquet(out)
+    assert got.count() == 5 and got.select("id").distinct().count() == 5
+    if files is None:
+        assert sorted(r.turn for r in got.collect()) == [0, 1, 2, 3, 4]
+    # later files: only ids that were never stored, however old
+    spark.createDataFrame([(3, 99, "r"), (70, 1, "b"), (70, 1, "a")], df.schema).write.mode("append").parquet(src)
+    ingest_dedup(spark, src, df.schema, out, ck, "id", ["turn", "role"], files)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4, 70]
+
+
+def test_stream_scores_each_document_once(spark):
+    from kestrel.streaming.jobs import score_files
+    base = tempfile.mkdtemp(prefix="kestrel-stream-", dir="/tmp")
+    docs = spark.createDataFrame([(i, "good bad good" if i % 2 else None) for i in range(12)], "doc_id long, text string")
+    docs.repartition(3).write.parquet(base + "/in")
+    coef = spark.createDataFrame([("good", 1.0), ("bad", -0.5)], "term string, weight double")
+    score_files(spark, base + "/in", docs.schema, coef, base + "/out", base + "/ck", files_per_trigger=1)
+    got = {r.doc_id: r.score for r in spark.read.schema("doc_id long, score double").json(base + "/out").collect()}
+    assert got == {i: 1.5 if i % 2 else 0.0 for i in range(12)}
 
 
 def test_periodogram_fft_equals_dft(spark):
     rng = np.random.default_rng(4)
     s = TS.indexed(_one_series(spark, rng.normal(size=50)))
-    a = {r.k: r.power for r in TS.periodogram(s).collect()}
+    a = {r.k: r.power for r in TS.periodogram(s, method="dft").collect()}
     b = {r.k: r.power for r in TS.periodogram(s, method="fft").collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
