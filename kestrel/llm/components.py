@@ -23,12 +23,12 @@ def _state(edges: DataFrame) -> tuple:
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.select("a", F.least("a", "m").alias("m"))
+    least = cut_lineage(least.select("a", F.least("a", "m").alias("m")))  # stored: the join can split a hot node
     return both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = cut_lineage(edges.groupBy("a").agg(F.min("b").alias("m")))
     hung = edges.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return hung.unionByName(least.select("a", F.col("m").alias("b")))
 

@@ -72,11 +72,12 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     places = cut_lineage(chunks.select("_id", "_th", "pos", "first", "n", "_h").distinct())
     texts = chunks.select("_id", "_th", "pos", "_h", "chunk")
     exact = texts.groupBy("_h", "chunk").agg(F.count(F.lit(1)).alias("k"))
-    same = exact.groupBy("_h").agg(F.count(F.lit(1)).alias("kinds"), F.max("k").alias("k")) \
-        .where((F.col("kinds") == 1) & (F.col("k") >= 2)).select("_h")
+    # stored, so that the joins below shuffle both sides and a hot chunk can be split
+    same = cut_lineage(exact.groupBy("_h").agg(F.count(F.lit(1)).alias("kinds"), F.max("k").alias("k"))
+                       .where((F.col("kinds") == 1) & (F.col("k") >= 2)).select("_h"))
     again = cut_lineage(places.join(same, "_h"))
     order = F.struct("_id", "_th", "pos")
-    firsts = again.groupBy("_h").agg(F.min(order).alias("_first"))
+    firsts = cut_lineage(again.groupBy("_h").agg(F.min(order).alias("_first")))
     return again.join(firsts, "_h").where(order != F.col("_first")).select("_id", "_th", "first", "n")
 
 

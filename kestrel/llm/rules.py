@@ -31,6 +31,7 @@ RULES = {
     "word_length": [40.0, 30.0, 20.0, 15.0, 12.0, 10.0, 9.0, 8.0],
 }
 ALPHA, DELTA = 0.025, 0.05
+BROADCAST_STRATA = 50_000  # rows
 
 
 def _words(text: Column) -> Column:
@@ -148,6 +149,9 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     verdict = F.lit(True)
     for r in rules:
         verdict = verdict & F.coalesce(F.col(r) <= F.col(f"_cut_{r}"), F.lit(True))
+    per = cut_lineage(per)
+    if per.count() <= BROADCAST_STRATA:      # else an ordinary join, whose hot strata can be split
+        per = F.broadcast(per)
     j = sig.join(per, "_stratum", "left")
     return j.select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     failed.alias("base_failed"), (~failed & verdict).alias("kept"))

@@ -94,7 +94,7 @@ def links(fps: DataFrame, radius: int = 2, pair_limit: int = 32) -> DataFrame:
     masks = covering_masks(radius)
     table = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks]))
     keyed = fps.select("fp", table.alias("v", "key"))
-    sizes = keyed.groupBy("v", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sizes = cut_lineage(keyed.groupBy("v", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     shared = cut_lineage(keyed.join(sizes, ["v", "key"]))
     few = shared.where(F.col("n") <= pair_limit)
     x, y = few.select("v", "key", F.col("fp").alias("a")), few.select("v", "key", F.col("fp").alias("b"))
@@ -131,7 +131,8 @@ def classes_of(rows: DataFrame, radius: int, pair_limit: int = 32) -> DataFrame:
     roots = connected_components(links(nodes.select("fp"), radius, pair_limit), "a", "b")
     rooted = nodes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("_first").alias("component_id"))
+    rooted = cut_lineage(rooted)
+    least = cut_lineage(rooted.groupBy("root").agg(F.min("_first").alias("component_id")))  # the join can split a hot class
     return cut_lineage(rooted.join(least, "root").select("fp", "root", "component_id"))
 
 
