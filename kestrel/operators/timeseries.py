@@ -97,18 +97,29 @@ def _ols(X, y):
     return beta, r
 
 
+def _log_mse(mse: float, y: np.ndarray) -> float:
+    """log(mse), NaN for a fit that is perfect up to rounding."""
+    return math.log(mse) if mse > 1e-22 * float(y @ y) / len(y) else float("nan")
+
+
 def ar_order_search(pdf: pd.DataFrame, max_p: int = 5) -> pd.DataFrame:
-    """AR(p) by conditional least squares on a common sample, p = 1..max_p."""
+    """AR(p) by conditional least squares on a common sample, p = 1..max_p.  A
+    series too short for p has NULL criteria, a perfectly fitted (e.g. constant) one NULL
+    aic and bic; other series are not affected."""
     y = pdf.sort_values("t")["y"].to_numpy(float)
     rows = []
     for p in range(1, max_p + 1):
+        n = max(len(y) - max_p, 0)
+        if n <= p + 1 or not np.isfinite(y).all():
+            rows.append({"p": p, "n": n, "mse": np.nan, "aic": np.nan, "bic": np.nan})
+            continue
         X, yy = _lagmat(y, p)
         X, yy = X[max_p - p:], yy[max_p - p:]
         _, r = _ols(X, yy)
         n = len(yy)
         mse = float(r @ r / n)
-        rows.append({"p": p, "n": n, "mse": mse, "aic": n * math.log(mse) + 2 * (p + 1),
-                     "bic": n * math.log(mse) + math.log(n) * (p + 1)})
+        rows.append({"p": p, "n": n, "mse": mse, "aic": n * _log_mse(mse, yy) + 2 * (p + 1),
+                     "bic": n * _log_mse(mse, yy) + math.log(n) * (p + 1)})
     out = pd.DataFrame(rows)
     out.insert(0, "series_id", pdf["series_id"].iloc[0])
     return out
@@ -170,31 +181,44 @@ def split_fit_forecast(pdf: pd.DataFrame, p: int, split: str, exog: bool = False
 
 
 def adf_stat(pdf: pd.DataFrame, max_p: int = 4) -> pd.DataFrame:
-    """ADF t-statistic (constant, AIC lag choice on a common sample)."""
+    """ADF t-statistic (constant, AIC lag choice on a common sample).  A series that is
+    too short or has no variation gets a NULL statistic."""
     y = pdf.sort_values("t")["y"].to_numpy(float)
     dy = np.diff(y)
     best = None
     for p in range(0, max_p + 1):
         n = len(dy) - max_p
+        if n <= p + 2 or not np.isfinite(y).all():
+            break
         X = [np.ones(n), y[max_p:-1]]
         for j in range(1, p + 1):
             X.append(dy[max_p - j:len(dy) - j])
         X = np.column_stack(X)
         yy = dy[max_p:]
+        if np.linalg.matrix_rank(X) < X.shape[1]:
+            break
         beta, r = _ols(X, yy)
         s2 = r @ r / (n - X.shape[1])
         se = math.sqrt(s2 * np.linalg.inv(X.T @ X)[1, 1])
+        if not se > 0:
+            break
         aic = n * math.log(r @ r / n) + 2 * X.shape[1]
         if best is None or aic < best[0]:
             best = (aic, p, beta[1] / se, n)
+    if best is None:
+        best = (None, 0, np.nan, max(len(dy) - max_p, 0))
     return pd.DataFrame([{"series_id": pdf["series_id"].iloc[0], "lag": best[1], "adf_t": float(best[2]), "n": best[3],
                           "crit_5pct": -2.86}])
 
 
 def hannan_rissanen(pdf: pd.DataFrame, p: int, q: int, long_ar: int = 8) -> pd.DataFrame:
     """ARMA(p, q) by Hannan-Rissanen: long AR residuals, then OLS on lagged y
-    and lagged residuals."""
+    and lagged residuals.  Too short a series has NULL mse and aic, a perfectly fitted one a
+    NULL aic."""
     y = pdf.sort_values("t")["y"].to_numpy(float)
+    if len(y) - max(p, q) - long_ar <= p + q + 1 or not np.isfinite(y).all():
+        return pd.DataFrame([{"series_id": pdf["series_id"].iloc[0], "p": p, "q": q, "n": max(len(y) - max(p, q) - long_ar, 0),
+                              "mse": np.nan, "aic": np.nan}])
     y = y - y.mean()
     X, yy = _lagmat(y, long_ar)
     _, e = _ols(X, yy)
@@ -207,7 +231,7 @@ def hannan_rissanen(pdf: pd.DataFrame, p: int, q: int, long_ar: int = 8) -> pd.D
     n = len(r)
     mse = float(r @ r / n)
     return pd.DataFrame([{"series_id": pdf["series_id"].iloc[0], "p": p, "q": q, "n": n, "mse": mse,
-                          "aic": n * math.log(mse) + 2 * (p + q + 1)}])
+                          "aic": n * _log_mse(mse, y) + 2 * (p + q + 1)}])
 
 
 def welch(pdf: pd.DataFrame, nperseg: int = 16) -> pd.DataFrame:

@@ -194,15 +194,17 @@ def sink_jsonl_scores(spark, sf):
     return spark.read.schema(s.schema).json(path)
 
 
-@query("sink_manifest")
+@query("sink_manifest", sql="""
+SELECT count(*) AS n_articles, count(DISTINCT lang) AS n_langs, CAST(sum(n_chars) AS BIGINT) AS n_chars, 'documents' AS corpus
+FROM documents""")
 def sink_manifest(spark, sf):
-    """One-row manifest of counts and paths for a corpus build, as JSON."""
+    """One-row manifest of a corpus build, written as JSON and read back."""
     path = _scratch(spark, "manifest")
     d = load(spark, sf, "documents")
     man = d.agg(F.count(F.lit(1)).alias("n_articles"), F.countDistinct("lang").alias("n_langs"),
-                F.sum("n_chars").alias("n_chars")).withColumn("path", F.lit(path))
+                F.sum("n_chars").alias("n_chars")).withColumn("corpus", F.lit("documents"))
     man.coalesce(1).write.mode("overwrite").json(path)   # a single one-row file
-    return spark.read.json(path)
+    return spark.read.schema("n_articles long, n_langs long, n_chars long, corpus string").json(path)
 
 
 @query("sink_result_csv", sql=_ORACLE_OF("eval_binary"))

@@ -43,9 +43,9 @@ def labelled_docs(spark, sf):
 
 def featurizer(kind: str = "tfidf") -> list:
     """Term frequencies -> idf -> L2 on a ``tokens`` column.  Terms are hashed to
-    2^18 columns: every token of the corpus counts, and no vocabulary has to pass through
+    2^14 columns: every token of the corpus counts, and no vocabulary has to pass through
     the driver."""
-    cv = HashingTF(inputCol="tokens", outputCol="tf" if kind == "tfidf" else "features", numFeatures=1 << 18)
+    cv = HashingTF(inputCol="tokens", outputCol="tf" if kind == "tfidf" else "features", numFeatures=1 << 14)
     if kind == "count":
         return [cv]
     return [cv, IDF(inputCol="tf", outputCol="idf"), Normalizer(inputCol="idf", outputCol="features", p=2.0)]
@@ -179,7 +179,8 @@ def clf_param_grid(spark, sf):
                                  "best_reg_param double, best_auc double")
 
 
-@query("clf_save_load")
+@query("clf_save_load", sql="""
+SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_diff FROM documents JOIN labels USING (doc_id) WHERE (doc_id * 7919) % 100 >= 80""")
 def clf_save_load(spark, sf):
     """Persist a fitted pipeline under the shared checkpoint folder, reload it
     and check predictions agree."""

@@ -282,7 +282,13 @@ def ts_find_peaks(spark, sf):
                       "series_id long, k long, power double, prominence double, lowest4 boolean, tallest4 boolean")
 
 
-@query("ts_fft_filter", rnd=["y_filtered"], dp=2)
+@query("ts_fft_filter", rnd=["y_filtered"], dp=2, sql=_NS + """
+, z AS (SELECT series_id, t, y, row_number() OVER (PARTITION BY series_id ORDER BY t) - 1 AS i, count(*) OVER (PARTITION BY series_id) AS n FROM ns),
+f AS (SELECT series_id, k, sum(y * cos(2 * pi() * k * i / n)) AS re, sum(y * sin(2 * pi() * k * i / n)) AS im
+      FROM z CROSS JOIN generate_series(1, 9) AS g(k) GROUP BY series_id, k),
+m AS (SELECT series_id, avg(y) AS m FROM z GROUP BY series_id)
+SELECT z.series_id, z.t, any_value(m.m) + 2.0 / any_value(n) * sum(re * cos(2 * pi() * k * i / n) + im * sin(2 * pi() * k * i / n)) AS y_filtered
+FROM z JOIN f USING (series_id) JOIN m USING (series_id) GROUP BY z.series_id, z.t""")
 def ts_fft_filter(spark, sf):
     """Zero the high-frequency DFT bins 10..n/2 of each series and invert."""
     s = B.nation_series(spark, sf).select("series_id", "t", "y")

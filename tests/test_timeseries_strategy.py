@@ -102,3 +102,19 @@ def test_periodogram_fft_equals_dft(spark):
     a = {r.k: r.power for r in TS.periodogram(s, method="dft").collect()}
     b = {r.k: r.power for r in TS.periodogram(s, method="fft").collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+@pytest.mark.parametrize("y", [[5.0] * 40, [1.0, 2.0, 1.0, 3.0], [0.0], [1.0, float("nan")] * 20])
+def test_bad_series_give_nulls(y):
+    import pandas as pd
+    pdf = pd.DataFrame({"series_id": 1, "t": range(len(y)), "y": y})
+    ar, adf, arma = TS.ar_order_search(pdf), TS.adf_stat(pdf), TS.hannan_rissanen(pdf, 1, 1)
+    assert len(ar) == 5 and ar["aic"].isna().all() and adf["adf_t"].isna().all() and arma["aic"].isna().all()
+
+
+def test_draw_keys_of_large_ids(spark):
+    from kestrel.operators import corpus as C
+    ids = [0, 7, 4_000_000_000, 2 ** 62 + 5]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = {r.id: (r.k, r.split) for r in C.hash_split(df, "id").select("id", C.draw_key("id").alias("k"), "split").collect()}
+    assert got == {i: (i * 2654435761 % 1000003, "train" if i * 7919 % 100 < 80 else "test") for i in ids}
