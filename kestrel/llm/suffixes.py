@@ -163,21 +163,22 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     result; other columns are not read."""
     src = docs.select(F.col(id_col).alias("_id"), F.xxhash64(id_col, text).alias("_key"), F.col(text).alias("_text"))
     with stored(suffixes(src, length, seed)) as all_suffixes:
-        repeated = all_suffixes.groupBy("h").agg(_several().alias("_r")).where("_r").select("h")
+        # stored, so that the join below shuffles both sides and a hot seed can be split
+        repeated = cut_lineage(all_suffixes.groupBy("h").agg(_several().alias("_r")).where("_r").select("h"))
         kept = cut_lineage(all_suffixes.join(repeated, "h"))
     order = F.struct("_id", "_key", "pos")
     classes = kept.groupBy("h", "ctx").agg(F.min(order).alias("rep"), _several().alias("full"))
-    groups = classes.groupBy("h").agg(F.count(F.lit(1)).alias("contexts"))
-    classes = cut_lineage(classes.join(groups, "h"))
-    reps = classes.where(F.col("contexts") > 1).groupBy(F.col("rep._key").alias("_key")) \
+    classes = cut_lineage(classes)
+    groups = cut_lineage(classes.groupBy("h").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1"))
+    reps = classes.join(groups, "h").groupBy(F.col("rep._key").alias("_key")) \
         .agg(F.collect_list(F.struct(F.col("rep.pos").alias("pos"), "ctx")).alias("_seeds"))
     wins = cut_lineage(_windows(src.join(reps, "_key").select("_id", "_key", "_seeds", "_text"), length, seed))
     here = F.struct("_id", "_key", "a")
     twice = wins.groupBy("w").agg(F.min(here).alias("f"), ((F.min("_key") != F.max("_key")) | (F.min("a") != F.max("a"))).alias("_r")).where("_r")
     late = F.when(here != F.col("f"), F.col("o"))
-    part = wins.join(twice.select("w", "f"), "w").groupBy("h", "ctx").agg(
+    part = wins.join(cut_lineage(twice.select("w", "f")), "w").groupBy("h", "ctx").agg(
         F.min("o").alias("omin"), F.max("o").alias("omax"), F.min(late).alias("rmin"), F.max(late).alias("rmax"), F.min("f._id").alias("fid"))
-    known = classes.join(part, ["h", "ctx"], "left").where(F.col("full") | F.col("omin").isNotNull())
+    known = cut_lineage(classes.join(part, ["h", "ctx"], "left").where(F.col("full") | F.col("omin").isNotNull()))
     m = kept.join(known, ["h", "ctx"])
     p, again = F.col("pos"), F.col("full") & (F.struct("_id", "_key", "pos") != F.col("rep"))
     parts = m.select(
