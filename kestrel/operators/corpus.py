@@ -74,19 +74,18 @@ def top_k_per_group(df: DataFrame, group: str, order: list, k_col: str, salt_buc
 
 
 def allocate(counts: DataFrame, stratum: str, total: int) -> DataFrame:
-    """Proportional allocation of ``total`` draws: banker's rounding of the
-    ideal share, then +-1 repair in order of the rounding remainder.  Runs on
-    the per-stratum count table (one row per stratum)."""
+    """Proportional allocation of ``total`` draws: banker's rounding of the ideal
+    share; the difference to ``total`` is added to (taken from) the strata in
+    turn, one each, the largest allocation first, round after round.  Never more than a
+    stratum holds nor less than none.  Runs on the per-stratum count table."""
     w_all = Window.partitionBy()
     a = counts.withColumn("ideal", F.lit(float(total)) * F.col("n") / F.sum("n").over(w_all))
     a = a.withColumn("k0", F.bround("ideal", 0).cast("bigint"))
-    a = a.withColumn("diff", F.lit(total) - F.sum("k0").over(w_all))
-    rem = F.col("ideal") - F.col("k0")
-    a = a.withColumn("up", F.row_number().over(Window.orderBy(rem.desc(), stratum)))
-    a = a.withColumn("down", F.row_number().over(Window.orderBy(rem.asc(), stratum)))
-    adj = (F.when((F.col("diff") > 0) & (F.col("up") <= F.col("diff")), 1)
-            .when((F.col("diff") < 0) & (F.col("down") <= -F.col("diff")), -1).otherwise(0))
-    return a.select(stratum, "n", F.least(F.col("n"), F.col("k0") + adj).alias("k"))
+    a = a.withColumn("gap", F.lit(total) - F.sum("k0").over(w_all)).withColumn("m", F.count(F.lit(1)).over(w_all))
+    a = a.withColumn("turn", F.row_number().over(Window.orderBy(F.col("k0").desc(), stratum)))
+    each = F.floor(F.abs("gap") / F.col("m")) + F.when(F.col("turn") <= F.abs("gap") % F.col("m"), 1).otherwise(0)
+    k = F.col("k0") + F.signum("gap").cast("bigint") * each
+    return a.select(stratum, "n", F.least(F.col("n"), F.greatest(k, F.lit(0))).alias("k"))
 
 
 def stratified_sample(pool: DataFrame, stratum: str, id_col: str, total: int) -> DataFrame:

@@ -356,11 +356,8 @@ _ALLOC = "WITH x AS (SELECT 1) " + _PATTERN_SQL + """
 , cnt AS (SELECT pattern, count(*) AS n FROM pool GROUP BY pattern),
 raw AS (SELECT pattern, n, 100.0 * n / (SELECT sum(n) FROM cnt) AS ideal FROM cnt),
 r0 AS (SELECT pattern, n, ideal, CAST(round_even(ideal, 0) AS BIGINT) AS k0 FROM raw),
-fix AS (SELECT *, 100 - (SELECT sum(k0) FROM r0) AS diff,
-               row_number() OVER (ORDER BY ideal - k0 DESC, pattern) AS up_rank,
-               row_number() OVER (ORDER BY ideal - k0 ASC, pattern) AS down_rank FROM r0),
-alloc AS (SELECT pattern, n, least(n, k0 + CASE WHEN diff > 0 AND up_rank <= diff THEN 1
-                                              WHEN diff < 0 AND down_rank <= -diff THEN -1 ELSE 0 END) AS k FROM fix)
+fix AS (SELECT *, 100 - (SELECT sum(k0) FROM r0) AS gap, (SELECT count(*) FROM r0) AS m, row_number() OVER (ORDER BY k0 DESC, pattern) AS turn FROM r0),
+alloc AS (SELECT pattern, n, least(n, greatest(0, k0 + sign(gap) * (abs(gap) // m + CASE WHEN turn <= abs(gap) % m THEN 1 ELSE 0 END))) AS k FROM fix)
 """
 
 

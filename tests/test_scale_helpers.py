@@ -32,6 +32,16 @@ def test_allocation_sums_to_total(spark):
     assert sum(r.k for r in a) == 100 and all(r.k <= r.n for r in a)
 
 
+def test_allocation_gives_the_gap_to_the_largest_in_turn(spark):
+    counts = [104, 104, 104, 104, 104, 4]                          # shares 1.98 and 0.08: 12 draws, 10 wanted
+    want, total = [round(10 * n / sum(counts)) for n in counts], 10
+    gap, order = total - sum(want), sorted(range(6), key=lambda i: (-want[i], i))
+    for i in range(abs(gap)):
+        want[order[i % 6]] += 1 if gap > 0 else -1
+    got = C.allocate(spark.createDataFrame(list(enumerate(counts)), "pattern int, n long"), "pattern", total).collect()
+    assert {r.pattern: r.k for r in got} == dict(enumerate(want))
+
+
 def test_exact_percentiles_match_sql_percentile(spark):
     import random
     from kestrel.operators.quality import exact_percentiles
