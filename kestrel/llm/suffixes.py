@@ -164,7 +164,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     src = docs.select(F.col(id_col).alias("_id"), F.xxhash64(id_col, text).alias("_key"), F.col(text).alias("_text"))
     with stored(suffixes(src, length, seed)) as all_suffixes:
         # stored, so that the join below shuffles both sides and a hot seed can be split
-        repeated = cut_lineage(all_suffixes.groupBy("h").agg(_several().alias("_r")).where("_r").select("h"))
+        repeated = cut_lineage(all_suffixes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
         kept = cut_lineage(all_suffixes.join(repeated, "h"))
     order = F.struct("_id", "_key", "pos")
     classes = kept.groupBy("h", "ctx").agg(F.min(order).alias("rep"), _several().alias("full"))
