@@ -9,9 +9,10 @@ joined, never broadcast.
 
 Training: Baum-Welch.  Each task runs forward and backward recursions over its
 documents and adds up expected starts, transitions and emissions; the counts are
-summed over all partitions and give the next parameters.  ``warm_steps`` rounds run on a bounded
-sample, then ``steps`` rounds over all training documents; the parameters used come from
-the latter.
+summed over all partitions and give the next parameters.  Every round reads all training
+documents; rounds go on until the log likelihood gains less than ``tolerance`` a token (or
+for a given number of ``steps``).  Rounds on a bounded sample before them are an option, off
+by default.
 
 Recursions are exact for whole texts of any length.  A text is cut into blocks of
 ``BLOCK`` tokens whose transfer matrices are multiplied up side by side;
@@ -35,6 +36,7 @@ from kestrel.session import cut_lineage
 
 TOP, BUCKETS, STATES = 60_000, 512, 4
 BLOCK, PIECE_TOKENS, FLUSH_WORDS = 64, 400_000, 1_500_000
+TOLERANCE = 1e-3    # nats a token
 
 
 # ---- vocabulary --------------------------------------------------------
@@ -266,12 +268,12 @@ def log_likelihood(flat: np.ndarray, size: np.ndarray, m: Model) -> np.ndarray:
     return forward(b, m, *transfers(b, m))[0]
 
 
-def expected_counts(flat: np.ndarray, size: np.ndarray, m: Model, start, move, emit) -> None:
+def expected_counts(flat: np.ndarray, size: np.ndarray, m: Model, start, move, emit) -> float:
     """Adds the expected counts of the sequences to start (K), move (K x K) and
-    emit (K x symbols)."""
+    emit (K x symbols); returns their natural log likelihood."""
     k, b = len(m.start), Blocks(flat, size)
     x, log = transfers(b, m)
-    _, before = forward(b, m, x, log)
+    total, before = forward(b, m, x, log)
     after = np.ones((len(log), k))
     links = list(b.chain())
     for (_, _), (live, nxt) in zip(reversed(links[:-1]), reversed(links[1:])):
@@ -307,6 +309,7 @@ def expected_counts(flat: np.ndarray, size: np.ndarray, m: Model, start, move, e
             prev = before[inner]
             move += m.move * ((prev / (prev * back[inner]).sum(1, keepdims=True)).T @ eb[inner])
             start += g[f].sum(0)
+    return float(total.sum())
 
 
 def b_index(b: Blocks, live: np.ndarray, block: np.ndarray) -> np.ndarray:
@@ -329,22 +332,23 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nd
 
 
 # ---- training ----------------------------------------------------------
-def baum_welch_step(rows: DataFrame, m: Model, prior: np.ndarray, smooth: float = 50.0) -> Model:
+def baum_welch_step(rows: DataFrame, m: Model, prior: np.ndarray, smooth: float = 50.0) -> tuple[Model, float]:
     """One round: expected counts of all rows, summed over the partitions, then
-    new parameters.  Emissions are smoothed towards the unigram ``prior``."""
+    (new parameters, log likelihood a token under ``m``).  Emissions are smoothed towards
+    the unigram ``prior``."""
     shared = rows.sparkSession.sparkContext.broadcast(m)
     k = len(m.start)
     names = [f"c{i}" for i in range(k)]
 
     def run(batches):
         m = shared.value
-        start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((k, len(m.emit)))
+        start, move, emit, total = np.zeros(k), np.zeros((k, k)), np.zeros((k, len(m.emit))), np.zeros(k)
         for batch in batches:
             for _, _, flat, size in _pieces(batch):
-                expected_counts(flat, size, m, start, move, emit)
+                total[0] += expected_counts(flat, size, m, start, move, emit)
         some = np.flatnonzero(emit.sum(0))
-        at = np.concatenate([[-1], -2 - np.arange(k), some])
-        c = np.vstack([start, move, emit.T[some]])
+        at = np.concatenate([[-1], -2 - np.arange(k), [-2 - k], some])
+        c = np.vstack([start, move, total, emit.T[some]])
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *[pa.array(c[:, i]) for i in range(k)]], names=["at", *names])
 
     part = rows.select("ids").mapInArrow(run, "at long, " + ", ".join(f"{n} double" for n in names))
@@ -353,13 +357,16 @@ def baum_welch_step(rows: DataFrame, m: Model, prior: np.ndarray, smooth: float
     c = np.column_stack([np.array(got.column(n)) for n in names]) if len(at) else np.zeros((0, k))
     emit, start, move = np.zeros((len(prior), k)), np.full(k, 0.1), np.full((k, k), 0.1)
     emit[at[at >= 0]] = c[at >= 0]
+    n_tokens, total = emit.sum(), 0.0
     for i, row in zip(at.tolist(), c):
         if i == -1:
             start = start + row
+        elif i == -2 - k:
+            total = row[0]
         elif i < -1:
             move[-2 - i] += row
     emit = (emit + smooth * prior[:, None]) / (emit.sum(0) + smooth)
-    return Model(start / start.sum(), move / move.sum(1, keepdims=True), emit)
+    return Model(start / start.sum(), move / move.sum(1, keepdims=True), emit), float(total / n_tokens) if n_tokens else 0.0
 
 
 def first_model(prior: np.ndarray, states: int) -> Model:
@@ -371,25 +378,31 @@ def first_model(prior: np.ndarray, states: int) -> Model:
     return Model(np.full(states, 1 / states), move, emit / emit.sum(0))
 
 
-def train(rows: DataFrame, voc: Vocabulary, states: int, warm_rows: int, warm_steps: int, steps: int) -> Model:
+def train(rows: DataFrame, voc: Vocabulary, states: int, warm_rows: int, warm_steps: int, steps: int | None, tolerance: float) -> Model:
     prior = np.concatenate([voc.counts, voc.bucket_count, [voc.n_docs]]) + 1.0
     prior /= prior.sum()
     m = first_model(prior, states)
     if warm_steps:
         warm = cut_lineage(rows.select("_key", "ids").orderBy("_key").limit(warm_rows).select("ids").repartition(8))
         for _ in range(warm_steps):
-            m = baum_welch_step(warm, m, prior)
-    for _ in range(steps):
-        m = baum_welch_step(rows, m, prior)
+            m, _ = baum_welch_step(warm, m, prior)
+    done, before = 0, -np.inf
+    while steps is None or done < steps:
+        m, now = baum_welch_step(rows, m, prior)
+        done += 1
+        if steps is None and now - before < tolerance:
+            break
+        before = now
     return m
 
 
 # ---- operator ----------------------------------------------------------
 def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", folds: int = 7, out: int = 2, top: int = TOP,
-          states: int = STATES, warm_rows: int = 1_000, warm_steps: int = 8, steps: int = 2) -> DataFrame:
+          states: int = STATES, warm_rows: int = 1_000, warm_steps: int = 0, steps: int | None = None, tolerance: float = TOLERANCE) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
-    Learns from the rows outside the hold-out fold.  base_score is the add-one
+    Learns from the rows outside the hold-out fold: Baum-Welch over all of them until a round
+    gains less than ``tolerance`` nats a token, or ``steps`` rounds if given.  base_score is the add-one
     unigram log10 probability, score the hidden Markov model's log10 probability of the whole
     text.  Null and empty texts are a lone end; repeated rows count and are
     scored each; without training rows every word is unseen and score equals the
@@ -402,7 +415,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", folds: in
     counts = cut_lineage(word_counts(train_src))
     voc = vocabulary(counts, train_src.count(), min(top, 65_535 - BUCKETS - 1))
     rows = cut_lineage(encoded(keyed, voc))
-    m = train(rows.where("_train"), voc, states, warm_rows, warm_steps, steps)
+    m = train(rows.where("_train"), voc, states, warm_rows, warm_steps, steps, tolerance)
     shared = docs.sparkSession.sparkContext.broadcast(m)
 
     def run(batches):

@@ -307,6 +307,22 @@ def test_language_model_sums(spark, edge, empty):
     assert hmm.score(empty, warm_steps=1, steps=1).count() == 0
 
 
+def test_every_round_reads_all_training_texts(spark, monkeypatch):
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{(i * 7 + j * j) % 11}" for j in range(3 + i % 5))) for i in range(1_300)]
+    seen, step = [], hmm.baum_welch_step
+
+    def counted(part, *rest):
+        got = step(part, *rest)
+        seen.append((part.count(), got[1]))
+        return got
+    monkeypatch.setattr(hmm, "baum_welch_step", counted)
+    hmm.score(spark.createDataFrame(rows, SCHEMA)).count()
+    n_train = sum(zlib.crc32(str(d).encode()) % 7 != 2 for d, _ in rows)
+    assert n_train > 1_000 and {n for n, _ in seen} == {n_train}
+    gains = np.diff([x for _, x in seen])
+    assert len(gains) > 2 and (gains[:-1] >= hmm.TOLERANCE).all() and gains[-1] < hmm.TOLERANCE
+
+
 # ---- 8: byte-level BPE -------------------------------------------------
 @pytest.fixture(scope="module")
 def tik():
