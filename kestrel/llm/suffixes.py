@@ -1,4 +1,4 @@
-"""Repeated passages by a sparse suffix array.
+"""Repeated passages by a sparse suffix array, with hash aggregates in place of the sort.
 
 Suffixes: of every window of ``length`` words the word run (``seed`` words) with the
 smallest hash is its minimiser; only suffixes that start at a minimiser are kept (about
@@ -6,17 +6,21 @@ one in (length - seed) / 2 positions).  Equal windows choose the same place, so
 passage of at least ``length`` words holds a retained suffix at the same place of
 each of its occurrences.
 
-Order: suffixes sort by the hash of their first ``seed`` words, then by the
-hash of their whole context (the words left and right that any window through the
-seed can reach).  Suffixes that share the first key are neighbours with a common
+Order: nothing is sorted.  Suffixes are grouped by the hash of their first ``seed``
+words, then by the hash of their whole context (the words left and right that any
+window through the seed can reach).  Suffixes that share the first key have a common
 prefix; those that share both agree as far as a window can extend to either side.
 
-Extension: neighbours of one context are repeats over their full extent.
+Extension: members of one context are repeats over their full extent.
 Where one seed stands in several contexts, one occurrence of each context is extended
 left and right, window by window, by comparing the windows whose minimiser it is;
 the matches give the extent for all occurrences of that context.  No pairs of a
 group are formed: groups are reduced by aggregates, and work is linear in the number
-of occurrences.  Words are compared by 64-bit hashes of the runs (seed, context and
+of occurrences.
+
+Links: each occurrence points to the first one of its passage (document, text key and
+place), itself included.  All occurrences of a window point to the same place, so two
+documents share a window exactly if they point to the same ``length`` words.  Words are compared by 64-bit hashes of the runs (seed, context and
 window each)."""
 
 from __future__ import annotations
@@ -120,7 +124,8 @@ def _windows(reps: DataFrame, length: int, seed: int) -> DataFrame:
 
 
 def _merged(rows: DataFrame, id_col: str) -> DataFrame:
-    """One row per document: its intervals merged, those to remove too."""
+    """One row per document: its intervals merged, those to remove too, and its links
+    (those to the same text and shift merged)."""
 
     def merge(pairs):
         out = []
@@ -131,33 +136,50 @@ def _merged(rows: DataFrame, id_col: str) -> DataFrame:
                 out.append({"start": s, "end": e})
         return out
 
+    def merge_links(links):
+        by = {}
+        for x in links:
+            key = x["first_key"], x["first_pos"] - x["start"]
+            by.setdefault(key, (x["first_doc"], []))[1].append((x["start"], x["end"]))
+        out = [{**x, "first_doc": doc, "first_key": key, "first_pos": x["start"] + shift}
+               for (key, shift), (doc, pairs) in by.items() for x in merge(pairs)]
+        return sorted(out, key=lambda x: (x["start"], x["end"], x["first_key"], x["first_pos"]))
+
     def run(batches):
         for b in batches:
             got = b.column(b.schema.get_field_index("_parts")).to_pylist()
             spans = [merge((x["s"], x["e"]) for x in p) for p in got]
             gone = [merge((x["rs"], x["re"]) for x in p if x["rs"] is not None) for p in got]
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+            field = b.schema.field("_links").type.value_type
+            lists = b.column(b.schema.get_field_index("_links")).to_pylist()
+            links = pa.array([merge_links(x for part in p for x in part) for p in lists], field)
             size = [pa.array([sum(x["end"] - x["start"] for x in p) for p in v], pa.int64()) for v in (spans, gone)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(b.schema.get_field_index("_id")), pa.array(spans, kind), size[0], pa.array(gone, kind), size[1],
-                 b.column(b.schema.get_field_index("_first"))], names=schema.names)
+                 b.column(b.schema.get_field_index("_first")), links], names=schema.names)
 
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     kind = rows.schema["_id"].dataType
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("spans", span), T.StructField("n_repeated", T.LongType()),
-                           T.StructField("removable", span), T.StructField("n_removable", T.LongType()), T.StructField("first_doc", kind)])
+                           T.StructField("removable", span), T.StructField("n_removable", T.LongType()), T.StructField("first_doc", kind),
+                           T.StructField("links", rows.schema["_links"].dataType.elementType)])
     return rows.mapInArrow(run, schema)
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """(id, spans, n_repeated, removable, n_removable, first_doc): one row per
+    """(id, spans, n_repeated, removable, n_removable, first_doc, links): one row per
     document that holds a passage of at least ``length`` words occurring
     twice or more in the corpus (in other documents or elsewhere in the same one).
 
     spans: the words (numbered from 0, end exclusive) inside such passages; removable: the
     part whose passage also stands earlier (smaller id, then place), which can be
     cut without losing any passage altogether; first_doc: the smallest id that holds one of
-    the document's passages.  Words are runs of non-white-space, compared as they
+    the document's passages.  links: (start, end, first_doc, first_key, first_pos) of every
+    passage: words start to end are those from word first_pos of the passage's first
+    occurrence, in the text of first_doc with xxhash64(id, text) = first_key.  Each window of
+    ``length`` words has one first occurrence, to which all its occurrences have a link (the first
+    one to itself): documents share it if their links meet there in ``length`` words.  Words are runs of non-white-space, compared as they
     stand.  Null and short texts hold no passage; rows repeated in full (same id and
     text) are one document; a null id sorts first; an empty table gives an empty
     result; other columns are not read."""
@@ -176,11 +198,23 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     here = F.struct("_id", "_key", "a")
     twice = wins.groupBy("w").agg(F.min(here).alias("f"), ((F.min("_key") != F.max("_key")) | (F.min("a") != F.max("a"))).alias("_r")).where("_r")
     late = F.when(here != F.col("f"), F.col("o"))
-    part = wins.join(cut_lineage(twice.select("w", "f")), "w").groupBy("h", "ctx").agg(
-        F.min("o").alias("omin"), F.max("o").alias("omax"), F.min(late).alias("rmin"), F.max(late).alias("rmax"), F.min("f._id").alias("fid"))
+    # per context and place of the seed in the windows' first occurrence: their range
+    firsts = wins.join(cut_lineage(twice.select("w", "f")), "w") \
+        .groupBy("h", "ctx", F.col("f._id").alias("fid"), F.col("f._key").alias("fkey"), (F.col("f.a") + F.col("o")).alias("fpos")) \
+        .agg(F.min("o").alias("omin"), F.max("o").alias("omax"), F.min(late).alias("rmin"), F.max(late).alias("rmax"))
+    part = firsts.groupBy("h", "ctx").agg(
+        F.min("omin").alias("omin"), F.max("omax").alias("omax"), F.min("rmin").alias("rmin"), F.max("rmax").alias("rmax"), F.min("fid").alias("fid"),
+        F.collect_list(F.struct("omin", "omax", "fid", "fkey", "fpos")).alias("_at"))
     known = cut_lineage(classes.join(part, ["h", "ctx"], "left").where(F.col("full") | F.col("omin").isNotNull()))
     m = kept.join(known, ["h", "ctx"])
     p, again = F.col("pos"), F.col("full") & (F.struct("_id", "_key", "pos") != F.col("rep"))
+
+    def link(start, end, doc, key, pos):
+        return F.struct(start.alias("start"), end.alias("end"), doc.alias("first_doc"), key.alias("first_key"), pos.alias("first_pos"))
+
+    whole = link(p - F.col("left"), p + F.col("right"), F.col("rep._id"), F.col("rep._key"), F.col("rep.pos") - F.col("left"))
+    some = F.transform("_at", lambda x: link(p - x["omax"], p - x["omin"] + length, x["fid"], x["fkey"], x["fpos"] - x["omax"]))
+    links = F.when(F.col("_at").isNull(), F.array(whole)).when(F.col("full"), F.concat(F.array(whole), some)).otherwise(some)
     parts = m.select(
         "_id", "_key",
         F.when(F.col("full"), p - F.col("left")).otherwise(p - F.col("omax")).alias("s"),
@@ -188,7 +222,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
         F.when(again, p - F.col("left")).otherwise(p - F.col("rmax")).alias("rs"),
         F.when(again, p + F.col("right")).otherwise(p - F.col("rmin") + length).alias("re"),
         F.when(F.col("full") & F.col("fid").isNotNull(), F.least("rep._id", "fid")).when(F.col("full"), F.col("rep._id"))
-        .otherwise(F.col("fid")).alias("_fid"))
+        .otherwise(F.col("fid")).alias("_fid"), links.alias("_links"))
     per = parts.groupBy("_key").agg(F.first("_id").alias("_id"), F.collect_set(F.struct("s", "e", "rs", "re")).alias("_parts"),
-                                    F.min("_fid").alias("_first"))
-    return _merged(per.select("_id", "_parts", "_first"), id_col)
+                                    F.min("_fid").alias("_first"), F.collect_set("_links").alias("_links"))
+    return _merged(per.select("_id", "_parts", "_first", "_links"), id_col)

@@ -258,6 +258,34 @@ def test_repeated_passages(spark, edge, empty):
     assert suffixes.repeated_passages(empty).count() == 0
 
 
+def test_passage_links_lose_no_pair(spark):
+    rng = random.Random(5)
+    voc = [f"w{i}" for i in range(40)]
+    p1, p2 = ([rng.choice(voc) for _ in range(20)] for _ in range(2))
+    base = [[rng.choice(voc) for _ in range(40)] for _ in range(6)]
+    rows = [(0, " ".join(p1 + ["a"])), (1, " ".join(["b"] + p2)), (2, " ".join(p2 + ["c"] + p1))]
+    for d in range(3, 120):
+        w = []
+        for _ in range(rng.randint(0, 6)):
+            b, a = rng.choice(base), rng.randint(0, 20)
+            w += b[a:a + rng.randint(5, 30)] if rng.random() < .6 else [rng.choice(voc) for _ in range(rng.randint(1, 15))]
+        rows.append((d, " ".join(w)))
+    n, text = 12, {d: t.split() for d, t in rows}
+    places = defaultdict(set)
+    for d, w in text.items():
+        for i in range(len(w) - n + 1):
+            places[tuple(w[i:i + n])].add((d, i))
+    want = {(x, y) for at in places.values() for x, _ in at for y, _ in at if x < y}
+    meet = defaultdict(set)
+    for r in suffixes.repeated_passages(spark.createDataFrame(rows, SCHEMA), length=n, seed=4).collect():
+        for s in r.links:
+            assert text[r.doc_id][s.start:s.end] == text[s.first_doc][s.first_pos:s.first_pos + s.end - s.start]
+            for i in range(s.end - s.start - n + 1):
+                meet[s.first_doc, s.first_pos + i].add(r.doc_id)
+    got = {(x, y) for docs in meet.values() for x in docs for y in docs if x < y}
+    assert {(0, 2), (1, 2)} <= got and got == want
+
+
 # ---- 7: language model -------------------------------------------------
 def test_recursions_match_plain_baum_welch():
     rng = np.random.default_rng(0)
