@@ -16,20 +16,19 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
+import json
 import sys
 import unicodedata
-from functools import lru_cache
-from itertools import chain
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from kestrel.llm.pairmerge import BytePool, PairTable, SliceCache, binary_parts, merge_all
 from kestrel.llm.textkit import Chunk, list_column, map_chunks
 
-CACHE_ENTRIES = 400_000
 _BLOCK = 256
 
 # ---- codepoint classes -------------------------------------------------
@@ -38,14 +37,22 @@ LETTER, NUMBER, OTHER, SPACE, WHITE = range(5)
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
-@lru_cache(1)
-def codepoint_classes() -> np.ndarray:
-    major = {"L": LETTER, "N": NUMBER}
-    t = np.fromiter((major.get(unicodedata.category(chr(c))[0], OTHER) for c in range(sys.maxunicode + 1)), np.uint8,
-                    sys.maxunicode + 1)
-    t[WHITE_SPACE] = WHITE
-    t[0x20] = SPACE
-    return t
+UNSEEN = 255
+_CLASSES = np.full(sys.maxunicode + 1, UNSEEN, np.uint8)
+_CLASSES[WHITE_SPACE] = WHITE
+_CLASSES[0x20] = SPACE
+
+
+def codepoint_classes(cp: np.ndarray) -> np.ndarray:
+    """Class of each codepoint; the table fills with the codepoints met."""
+    kinds = _CLASSES[cp]
+    unseen = kinds == UNSEEN
+    if unseen.any():
+        new = np.unique(cp[unseen])
+        major = {"L": LETTER, "N": NUMBER}
+        _CLASSES[new] = [major.get(unicodedata.category(chr(c))[0], OTHER) for c in new.tolist()]
+        kinds = _CLASSES[cp]
+    return kinds
 
 
 # ---- transducer --------------------------------------------------------
@@ -121,7 +128,7 @@ def pretoken_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     cp, at = codepoints(data)
     n = len(cp)
-    kind = codepoint_classes()[cp]
+    kind = codepoint_classes(cp)
     row_start = np.zeros(n + 1, bool)
     row_start[np.searchsorted(at, offsets)] = True  # also one behind the last
     symbol = np.array([S_LETTER, S_NUMBER, S_OTHER, S_LAST_SPACE, S_LAST_WHITE], np.uint8)[kind]
@@ -147,86 +154,81 @@ def pretoken_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 # ---- merging -----------------------------------------------------------
-class Merger:
-    """Pair merging by rank with a bounded cache of whole slices."""
-
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.cache = ranks, {}
-
-    def __call__(self, piece: bytes) -> tuple[int, ...]:
-        ids = self.cache.get(piece)
-        if ids is None:
-            whole = self.ranks.get(piece)
-            ids = (whole,) if whole is not None else self._merge(piece)
-            if len(self.cache) >= CACHE_ENTRIES:
-                self.cache.clear()
-            if len(piece) <= 256:
-                self.cache[piece] = ids
-        return ids
-
-    def _merge(self, piece: bytes) -> tuple[int, ...]:
-        """Joins the neighbouring pair of lowest rank (leftmost first) until none
-        is in the vocabulary; a heap over a linked list, O(n log n)."""
-        ranks, n = self.ranks, len(piece)
-        end = list(range(1, n + 1))       # end of the part that starts here
-        left = list(range(-1, n - 1))     # start of the part before
-        alive = [True] * n
-        heap = []
-
-        def offer(i):
-            j = end[i]
-            if j < n:
-                r = ranks.get(piece[i:end[j]])
-                if r is not None:
-                    heapq.heappush(heap, (r, i, j, end[j]))
-
-        for i in range(n - 1):
-            offer(i)
-        while heap:
-            _, i, j, k = heapq.heappop(heap)
-            if not (alive[i] and end[i] == j and j < n and alive[j] and end[j] == k):
-                continue
-            alive[j], end[i] = False, k
-            if k < n:
-                left[k] = i
-                offer(i)
-            if left[i] >= 0:
-                offer(left[i])
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[piece[i:end[i]]])
-            i = end[i]
-        return tuple(out)
-
-
 def load_ranks(raw: bytes) -> dict[bytes, int]:
     """token bytes -> rank from the lines ``base64 rank``."""
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines()) if a}
 
 
+def all_splits(symbols: dict, ranked: dict) -> PairTable:
+    """Every way to split a ranked symbol into two symbols; for vocabularies that
+    rank the joined symbol."""
+    rows = [(symbols[p[:i]], symbols[p[i:]], r, symbols[p]) for p, r in ranked.items() for i in range(1, len(p))
+            if p[:i] in symbols and p[i:] in symbols]
+    return PairTable(*(zip(*rows) if rows else ([], [], [], [])))
+
+
 class Codec:
-    def __init__(self, raw: bytes):
-        self.ranks = load_ranks(raw)
-        self.merge = Merger(self.ranks)
-        size = max(self.ranks.values()) + 1
-        self.pieces = [b""] * size
-        for k, v in self.ranks.items():
+    """Byte-level vocabulary.  ``whole`` holds slices that are tokens as they stand
+    (None: only merges decide)."""
+
+    def __init__(self, ids: dict[bytes, int], pairs: PairTable, whole: dict[bytes, int] | None):
+        self.whole, self.pairs = whole, pairs
+        self.first = np.array([ids[bytes([b])] for b in range(256)], np.int32)
+        self.pieces = [b""] * (max(ids.values()) + 1)
+        for k, v in ids.items():
             self.pieces[v] = k
         self.lengths = np.array([len(p) for p in self.pieces], np.int64)
+        self.pool = BytePool(self.pieces)
+        self.cache = SliceCache(self._encode_slices)
+
+    @classmethod
+    def from_ranks(cls, raw: bytes) -> Codec:
+        ranks = load_ranks(raw)
+        return cls(ranks, all_splits(ranks, ranks), ranks)
+
+    @classmethod
+    def from_json(cls, raw: bytes) -> Codec:
+        """Vocabulary and merge list of a byte-level tokenizer file; characters stand for bytes."""
+        model = json.loads(raw)["model"]
+        byte = byte_of_char()
+        ids = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if all(c in byte for c in t)}
+        named = model["vocab"]
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        pairs = PairTable([named[a] for a, _ in merges], [named[b] for _, b in merges], range(len(merges)),
+                          [named[a + b] for a, b in merges])
+        return cls(ids, pairs, None)
+
+    def _encode_slices(self, values: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        data, off = binary_parts(values)
+        sizes = np.diff(off)
+        if self.whole is None:
+            return merge_all(self.pairs, self.first[data], sizes)
+        token = np.fromiter(map(self.whole.get, values.to_pylist(), [-1] * len(values)), np.int64, len(values))
+        rest = np.flatnonzero(token < 0)
+        split, split_sizes = merge_all(self.pairs, self.first[data[np.repeat(token < 0, sizes)]], sizes[rest])
+        counts = np.ones(len(values), np.int64)
+        counts[rest] = split_sizes
+        flat = np.repeat(token, counts).astype(np.int32)
+        flat[flat < 0] = split
+        return flat, counts
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, first id of each row: n+1 entries)."""
         starts = pretoken_starts(data, offsets)
-        raw = data.tobytes()
-        s = starts.tolist()
-        found = list(map(self.merge, [raw[a:b] for a, b in zip(s, [*s[1:], len(raw)])]))
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        ids, sizes = self.cache(data, starts)
         upto = np.concatenate([[0], np.cumsum(sizes)])
         return ids, upto[np.searchsorted(starts, offsets)]
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids.tolist()))
+        return bytes(self.pool.joined(ids)[0])
+
+
+def byte_of_char() -> dict[str, int]:
+    """The printable stand-ins of bytes in tokenizer files: printable Latin-1 bytes
+    stand for themselves, the others for the code points from 256 in order."""
+    own = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
 def read_vocabulary(path: str) -> bytes:
@@ -236,9 +238,20 @@ def read_vocabulary(path: str) -> bytes:
         return f.read()
 
 
+_LOADED: dict = {}
+
+
+def loaded(make: Callable[[bytes], object], raw: bytes):
+    """One codec, with its cache, per vocabulary and worker process."""
+    key = (make, hash(raw))
+    if key not in _LOADED:
+        _LOADED[key] = make(raw)
+    return _LOADED[key]
+
+
 def _codec(spark, path: str):
     shared = spark.sparkContext.broadcast(read_vocabulary(path))
-    return lambda: Codec(shared.value)
+    return lambda: loaded(Codec.from_ranks, shared.value)
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -283,12 +296,13 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "
 
     def one(chunk: Chunk, codec: Codec):
         ids, row = codec.encode(chunk.data, chunk.offsets)
-        little, row_l = ids.astype("<u4"), row.tolist()
-        spans = list(zip(row_l[:-1], row_l[1:]))
+        little, cuts = memoryview(ids.astype("<u4")).cast("B"), (row * 4).tolist()
+        raw, off = codec.pool.joined(ids)
+        ends = off[row].tolist()
         return pa.RecordBatch.from_arrays(
             [chunk.column(id_col), pa.array(np.diff(row), pa.int64()),
-             pa.array([hashlib.sha256(little[a:b].tobytes()).hexdigest() for a, b in spans], pa.string()),
-             pa.array([hashlib.sha256(codec.decode(ids[a:b])).hexdigest() for a, b in spans], pa.string())],
+             pa.array([hashlib.sha256(little[a:b]).hexdigest() for a, b in zip(cuts[:-1], cuts[1:])], pa.string()),
+             pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(ends[:-1], ends[1:])], pa.string())],
             names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = T.StructType([docs.schema[id_col], T.StructField("n_tokens", T.LongType()),

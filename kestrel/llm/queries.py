@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, decontam, hmm, licenses, linededup, quality, rules, simhash, suffixes, toxicity
+from kestrel.llm import bpe, conversations, crosstok, decontam, hmm, licenses, linededup, pieces, quality, rules, simhash, suffixes, toxicity
 from kestrel.session import ensure_checkpoint_dir, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +147,28 @@ def op7(spark, sf_dir):
 def op6(spark, sf_dir):
     """Documents that share passages of 50 words or more, with the passages' places."""
     return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@register("op11_sentencepiece")
+def op11(spark, sf_dir):
+    """SentencePiece round trip of all documents, 32k pieces with byte fallback."""
+    return pieces.round_trip(table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
+
+
+@register("op12_cross_tokenizer_alignment")
+def op12(spark, sf_dir):
+    """Byte-level BPE against SentencePiece pieces on all documents: groups and linked id pairs."""
+    return crosstok.alignment(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"),
+                              vocabulary_path("piece_bpe_32k.model"))
+
+
+@register("op13_conversation_repair")
+def op13(spark, sf_dir):
+    """All conversations, damaged as the contract says and repaired; ids that lost all rows included."""
+    turns = table(spark, sf_dir, "conversations")
+    fixed = conversations.repair(conversations.damage(turns)).withColumnRenamed("conv_id", "_found")
+    zero, nothing = F.lit(0).cast("long"), F.sha2(F.lit(""), 256)
+    ids = turns.select("conv_id").distinct()
+    return ids.join(fixed, F.col("conv_id").eqNullSafe(F.col("_found")), "left").select(
+        "conv_id", *[F.coalesce(c, zero).alias(c) for c in conversations.SUMMARY],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
