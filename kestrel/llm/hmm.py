@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from kestrel.llm.labelled import held_out
 from kestrel.llm.textkit import SPACE_WORD, Chunk, HashIndex, Words, chunks, list_column, map_chunks
+from kestrel.operators.evaluate import running_totals
 from kestrel.session import cut_lineage
 
 TOP, BUCKETS, STATES = 60_000, 512, 4
@@ -100,9 +101,37 @@ class Vocabulary:
         return self.n_tokens + self.n_types + 1
 
 
+_BINS = 256
+
+
+def _cutoff(counts: DataFrame, top: int) -> tuple[int, int]:
+    """(c, n): words above count c number at most ``top``, n more may be taken of those
+    with just that count.  Histograms of ``_BINS`` bins narrow down c."""
+    low, high, left = 1, (counts.agg(F.max("c")).first()[0] or 0) + 1, top
+    while high - low > 1:   # words of count ``high`` and above are in
+        width = -(-(high - low) // _BINS)
+        inside = counts.where((F.col("c") >= low) & (F.col("c") < high))
+        bins = inside.groupBy(F.floor((F.col("c") - low) / width).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        for number, n in sorted(map(tuple, bins.collect()), reverse=True):
+            if n > left:
+                low, high = low + number * width, min(high, low + (number + 1) * width)
+                break
+            left -= n
+        else:
+            return 0, 0
+    return low, left
+
+
 def vocabulary(counts: DataFrame, n_docs: int, top: int) -> Vocabulary:
-    """Top words and totals: at most ``top`` + BUCKETS rows reach the driver."""
-    best = counts.orderBy(F.desc("c"), "h").limit(top).select("h", "c").toArrow()
+    """Top words and totals: at most ``top`` + BUCKETS rows reach the driver.  Words above
+    a cutoff count are taken, of those with just that count the ones of smallest hash
+    (ranked by range partitions), so that no task gathers the candidates of all others."""
+    least, short = _cutoff(counts, top)
+    best = counts.where(F.col("c") > least).select("h", "c")
+    if short:
+        equal = counts.where(F.col("c") == least).select("h", "c", F.lit(1).alias("one"))
+        best = best.unionByName(running_totals(equal, [], "h", ["one"], descending=False).where(F.col("cum_one") <= short).select("h", "c"))
+    best = best.toArrow().sort_by([("c", "descending"), ("h", "ascending")])
     keys, c = np.array(best.column("h"), np.int64), np.array(best.column("c"), np.int64)
     per = {r["bucket"]: (r["n"], r["v"]) for r in counts.groupBy("bucket").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     n, v = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
@@ -224,38 +253,51 @@ class Blocks:
             yield live, self.number[self.head[live] + j]
             j += 1
 
-    def symbols(self, t: int) -> np.ndarray:
-        return self.flat[self.begin[:self.running[t]] + t]
+    def steps(self) -> Iterator[slice]:
+        """For t = 0, 1, ...: place of the t-th symbols of the running blocks in ``by_step``."""
+        a = 0
+        for n in self.running:
+            if not n:
+                return
+            yield slice(a, a + n)
+            a += n
+
+    def by_step(self) -> np.ndarray:
+        """All symbols, step by step."""
+        return np.concatenate([self.flat[self.begin[:n] + t] for t, n in enumerate(self.running)])
 
 
-def transfers(b: Blocks, m: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Transfer matrix of each block, scaled, and the logarithm of its scale."""
-    k = len(m.start)
-    x = np.where(b.first[:, None, None], m.start[None, None, :], m.move[None]) * m.emit[b.symbols(0)][:, None, :]
+# Arrays over blocks have the blocks on the last axis: sums over states are then
+# additions of long rows.
+def transfers(b: Blocks, m: Model, emitted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Transfer matrix of each block (from x to x blocks), scaled, and the logarithm of its scale."""
+    x = np.where(b.first, m.start[None, :, None], m.move[:, :, None]) * emitted[None, :, :len(b.first)]
     log = np.zeros(len(b.first))
-    for t in range(1, BLOCK):
-        n = b.running[t]
-        if not n:
-            break
-        x[:n] = (x[:n].reshape(-1, k) @ m.move).reshape(n, k, k) * m.emit[b.symbols(t)][:, None, :]
+    for t, at in enumerate(b.steps()):
+        if not t:
+            continue
+        n = at.stop - at.start
+        y = np.matmul(m.move.T, x[:, :, :n])
+        y *= emitted[:, at]
         if t % 12 == 0 or t == BLOCK - 1:
-            s = x[:n].max(axis=(1, 2))
-            x[:n] /= s[:, None, None]
+            s = y.max(axis=(0, 1))
+            y /= s
             log[:n] += np.log(s)
-    s = x.max(axis=(1, 2))
-    return x / s[:, None, None], log + np.log(s)
+        x[:, :, :n] = y
+    s = x.max(axis=(0, 1))
+    return x / s, log + np.log(s)
 
 
 def forward(b: Blocks, m: Model, x: np.ndarray, log: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(log likelihood of each sequence, forward vector before each block)."""
     k = len(m.start)
-    v = np.full((b.n_seq, k), 1.0 / k)
-    total, before = np.zeros(b.n_seq), np.empty((len(log), k))
+    v = np.full((k, b.n_seq), 1.0 / k)
+    total, before = np.zeros(b.n_seq), np.empty((k, len(log)))
     for live, block in b.chain():
-        before[block] = v[live]
-        u = np.einsum("nk,nkj->nj", v[live], x[block])
-        s = u.sum(1)
-        v[live] = u / s[:, None]
+        before[:, block] = v[:, live]
+        u = np.einsum("kn,kjn->jn", v[:, live], x[:, :, block])
+        s = u.sum(0)
+        v[:, live] = u / s
         total[live] += np.log(s) + log[block]
     return total, before
 
@@ -265,50 +307,53 @@ def log_likelihood(flat: np.ndarray, size: np.ndarray, m: Model) -> np.ndarray:
     if not len(size):
         return np.zeros(0)
     b = Blocks(flat, size)
-    return forward(b, m, *transfers(b, m))[0]
+    return forward(b, m, *transfers(b, m, np.ascontiguousarray(m.emit.T)[:, b.by_step()]))[0]
 
 
 def expected_counts(flat: np.ndarray, size: np.ndarray, m: Model, start, move, emit) -> float:
     """Adds the expected counts of the sequences to start (K), move (K x K) and
     emit (K x symbols); returns their natural log likelihood."""
     k, b = len(m.start), Blocks(flat, size)
-    x, log = transfers(b, m)
+    symbols = b.by_step()
+    emitted = np.ascontiguousarray(m.emit.T)[:, symbols]
+    x, log = transfers(b, m, emitted)
     total, before = forward(b, m, x, log)
-    after = np.ones((len(log), k))
+    after = np.ones((k, len(log)))
     links = list(b.chain())
     for (_, _), (live, nxt) in zip(reversed(links[:-1]), reversed(links[1:])):
         here = b.number[b.head[live] + b_index(b, live, nxt) - 1]
-        u = np.einsum("nkj,nj->nk", x[nxt], after[nxt])
-        after[here] = u / u.sum(1, keepdims=True)
-    alphas = []
-    a = np.where(b.first[:, None], m.start[None, :], before @ m.move) * m.emit[b.symbols(0)]
-    a /= a.sum(1, keepdims=True)
-    alphas.append(a)
-    for t in range(1, BLOCK):
-        n = b.running[t]
-        if not n:
-            break
-        a = (alphas[-1][:n] @ m.move) * m.emit[b.symbols(t)]
-        alphas.append(a / a.sum(1, keepdims=True))
-    beta = after.copy()
-    for t in range(len(alphas) - 1, -1, -1):
-        n, a = b.running[t], alphas[t]
-        sym = b.symbols(t)
-        g = a * beta[:n]
-        g /= g.sum(1, keepdims=True)
-        for i in range(k):
-            emit[i] += np.bincount(sym, g[:, i], minlength=emit.shape[1])
-        eb = m.emit[sym] * beta[:n]
-        back = eb @ m.move.T
+        u = np.einsum("kjn,jn->kn", x[:, :, nxt], after[:, nxt])
+        after[:, here] = u / u.sum(0)
+    alphas = np.empty_like(emitted)
+    steps = list(b.steps())
+    for t, at in enumerate(steps):
+        n = at.stop - at.start
+        if t:
+            a = (m.move.T @ alphas[:, steps[t - 1].start:steps[t - 1].start + n]) * emitted[:, at]
+        else:
+            a = np.where(b.first, m.start[:, None], m.move.T @ before) * emitted[:, at]
+        alphas[:, at] = a / a.sum(0)
+    beta = after
+    share = np.empty_like(emitted)   # of each state in each symbol
+    for t in range(len(steps) - 1, -1, -1):
+        at = steps[t]
+        n = at.stop - at.start
+        g = alphas[:, at] * beta[:, :n]
+        g /= g.sum(0)
+        share[:, at] = g
+        eb = emitted[:, at] * beta[:, :n]
+        back = m.move @ eb
         if t:
-            prev = alphas[t - 1][:n]
-            move += m.move * ((prev / (prev * back).sum(1, keepdims=True)).T @ eb)
-            beta[:n] = back / back.sum(1, keepdims=True)
+            prev = alphas[:, steps[t - 1].start:steps[t - 1].start + n]
+            move += m.move * ((prev / (prev * back).sum(0)) @ eb.T)
+            beta[:, :n] = back / back.sum(0)
         else:
-            inner, f = ~b.first, b.first
-            prev = before[inner]
-            move += m.move * ((prev / (prev * back[inner]).sum(1, keepdims=True)).T @ eb[inner])
-            start += g[f].sum(0)
+            inner = ~b.first
+            prev = before[:, inner]
+            move += m.move * ((prev / (prev * back[:, inner]).sum(0)) @ eb[:, inner].T)
+            start += g[:, b.first].sum(1)
+    for i in range(k):
+        emit[i] += np.bincount(symbols, share[i], minlength=emit.shape[1])
     return float(total.sum())
 
 
