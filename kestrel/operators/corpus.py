@@ -43,6 +43,12 @@ def hash_split(df: DataFrame, id_col: str, train_pct: int = 80, mult: int = 7919
     return df.withColumn("split", F.when(b < train_pct, "train").otherwise("test"))
 
 
+def three_way_split(df: DataFrame, id_col: str, train_pct: int = 64, val_pct: int = 16) -> DataFrame:
+    """train / val / test from the id alone; the test rows are those of ``hash_split``."""
+    b = (F.col(id_col) % 100 * F.lit(7919)) % 100
+    return df.withColumn("split", F.when(b < train_pct, "train").when(b < train_pct + val_pct, "val").otherwise("test"))
+
+
 def pattern_pool(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, pattern): 4-bit pattern quality|toxic|english|long."""
     from kestrel.functions import bit_pattern

@@ -24,6 +24,16 @@ def tokens(docs: DataFrame, id_col: str, text: str, lower: bool = True) -> DataF
     return docs.select(id_col, F.explode(F.regexp_extract_all(F.coalesce(src, F.lit("")), F.lit(pat), 0)).alias("term"))
 
 
+def row_counts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(id, term, tf), counted inside each row over its sorted tokens: no shuffle."""
+    t = F.array_sort(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TOKEN_LOWER2), 0))
+    run = F.filter(F.transform("_t", lambda x, i: F.when((i == 0) | (x != F.get("_t", i - 1)), i)), lambda i: i.isNotNull())
+    pairs = F.transform("_s", lambda i, k: F.struct(F.get("_t", i).alias("term"),
+                                                    (F.coalesce(F.get("_s", k + 1), F.size("_t")) - i).cast("bigint").alias("tf")))
+    return (docs.select(F.col(id_col), t.alias("_t")).withColumn("_s", run)
+            .select(id_col, F.explode(pairs).alias("_x")).select(id_col, "_x.term", "_x.tf"))
+
+
 def term_counts(tok: DataFrame, id_col: str) -> DataFrame:
     return tok.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 

@@ -5,8 +5,6 @@ trained for every branching edge in one aggregation."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, PCA, PolynomialExpansion
@@ -17,7 +15,8 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import corpus as C
 from kestrel.operators import evaluate as E
-from kestrel.operators import regression as R
+from kestrel.operators import linear as LI
+from kestrel.operators import sparse as SP
 from kestrel.operators import text as X
 from kestrel.operators import tree as T
 from kestrel.plans.registry import query
@@ -131,23 +130,20 @@ def clf_poly2_svm(spark, sf):
 SVD_COMPONENTS = 20
 
 
-@query("text_svd", rnd=["singular_value", "explained_variance_ratio"], dp=5)
+@query("text_svd", rnd=["singular_value", "explained_variance_ratio", "coordinate"], dp=5)
 def text_svd(spark, sf):
-    """TF-IDF -> truncated SVD.  The singular values come from an implicitly
-    restarted Lanczos iteration whose matrix-vector products run distributed, JVM-side (no
-    p x p Gramian is formed).  Explained ratio = sigma^2 / squared Frobenius norm."""
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    from pyspark.mllib.util import MLUtils
-    d = with_tokens(load(spark, sf, "documents").select("doc_id", "text"))
-    feats = Pipeline(stages=featurizer("tfidf")).fit(d).transform(d).select("features")
-    rows = MLUtils.convertVectorColumnsFromML(feats, "features").cache()
-    n = max(min(SVD_COMPONENTS, rows.count()), 1)
-    s = RowMatrix(rows).computeSVD(n).s.toArray()
-    # rows have unit length or are empty: the squared Frobenius norm counts the former
-    total = d.where(F.size("tokens") > 0).count()
-    rows.unpersist()
-    return spark.createDataFrame(pd.DataFrame({"component": list(range(1, len(s) + 1)), "singular_value": s.tolist(),
-                                               "explained_variance_ratio": (s * s / max(total, 1)).tolist()}))
+    """TF-IDF over the whole vocabulary -> truncated SVD: the coordinate of every document in
+    each component, with the component's singular value and its share of the squared
+    Frobenius norm.  Documents without terms have zeros."""
+    from kestrel.session import cut_lineage
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    with SP.tfidf_rows(docs, "doc_id", "text") as (rows, _), SP.truncated_svd(rows, "doc_id", SVD_COMPONENTS) as (s, left, _):
+        total = rows.where(F.size("keys") > 0).count()     # rows have unit length or are empty
+        pos = F.posexplode(F.slice("vec", 1, SVD_COMPONENTS)).alias("i", "coordinate")
+        values = F.array(*[F.lit(float(x)) for x in s])
+        out = left.select("doc_id", pos).withColumn("singular_value", F.get(values, "i"))
+        return cut_lineage(out.select("doc_id", (F.col("i") + 1).cast("long").alias("component"), "singular_value",
+                                      (F.col("singular_value") ** 2 / max(total, 1)).alias("explained_variance_ratio"), "coordinate"))
 
 
 @query("clf_model_zoo", rnd=["accuracy", "precision", "recall", "f1"])
@@ -216,73 +212,55 @@ def udf_model_plug(spark, sf, factory=None):
     return out
 
 
-# ------------------------------------------- all edges in one aggregation ---
-N_DENSE = 16
-
-
-def doc_dense(spark, sf):
-    """(id, f0..f15): TF-IDF weights of the 16 most frequent terms as dense columns."""
-    docs = load(spark, sf, "documents")
-    tf = X.term_counts(X.tokens(docs, "doc_id", "text"), "doc_id")
-    v = X.vocabulary(X.term_stats(docs, "text"), max_features=N_DENSE)
-    nd = docs.agg(F.count(F.lit(1)).alias("n"))
-    w = X.weights(tf, v, "doc_id", nd, "tfidf")
-    piv = w.groupBy(F.col("doc_id").alias("id")).pivot("term_idx", list(range(N_DENSE))).agg(F.first("w"))
-    return piv.select("id", *[F.coalesce(F.col(str(i)), F.lit(0.0)).alias(f"f{i}") for i in range(N_DENSE)])
+# ------------------------------------------- models of all edges at once ---
+COSTS = (0.1, 1.0, 10.0)   # grid of C
 
 
-def edge_ridge(spark, sf, lambdas=(0.0, 1.0)):
-    """Least-squares linear classifier (targets +-1, ridge lambda) for every
-    (edge, lambda): one moment aggregation grouped by edge, one small solve per
-    group.  Returns per (parent, child, lambda) train/test confusion."""
+def edge_confusion(spark, sf, costs, split):
+    """Confusion counts (parent, child, c, split) of one linear SVM per branching edge and C
+    on TF-IDF rows over the whole vocabulary; every document under a node counts,
+    those without any term too."""
     from kestrel.session import cut_lineage
-    g = gold_edges(spark, sf)
-    dd = doc_dense(spark, sf)
-    xs = [f"f{i}" for i in range(N_DENSE)]
-    # the (edge, doc) design rows feed both the moment aggregation and the
-    # scoring join: materialise them once
-    j = cut_lineage(C.hash_split(g.join(dd, "id"), "id").withColumn("t", F.col("y") * 2.0 - 1.0))
-    mom = R.moments(j.where("split = 'train'"), xs, "t", by=["parent", "child"])
-    mom = mom.withColumn("lam", F.explode(F.array(*[F.lit(float(x)) for x in lambdas])))
-    # ridge: add lambda to the diagonal of the feature block
-    for c in xs:
-        mom = mom.withColumn(f"xx__{c}__{c}", F.col(f"xx__{c}__{c}") + F.col("lam"))
-    coef = R.solve_moments(mom, xs, by=["parent", "child", "lam"])
-    wide = coef.groupBy("parent", "child", "lam").pivot("term", ["const", *xs]).agg(F.first("coef"))
-    wide = wide.select("parent", "child", "lam", *[F.col(c).alias(f"c_{c}") for c in ["const", *xs]])
-    sc = j.join(wide, ["parent", "child"])   # one coefficient row per (edge, lambda)
-    score = F.coalesce(F.col("c_const"), F.lit(0.0))
-    for c in xs:
-        score = score + F.col(c) * F.coalesce(F.col(f"c_{c}"), F.lit(0.0))
-    pred = sc.withColumn("pred", (score > 0).cast("int"))
-    return E.confusion(pred, "y", "pred", by=["parent", "child", "lam", "split"])
+    gold = split(gold_edges(spark, sf), "id")
+    docs = load(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    with SP.tfidf_rows(docs, "id", "text") as (features, _), LI.trained(gold, features, list(costs)) as (weights, slots, blocks):
+        m = LI.margins(weights, slots, blocks, list(costs)).withColumn("pred", (F.col("margin") > 0).cast("int"))
+        return cut_lineage(E.confusion(m, "y", "pred", by=["parent", "child", "c", "split"]))
 
 
 @query("clf_edge_train_all", rnd=["micro_f1", "macro_f1", "weighted_f1", "micro_precision", "micro_recall",
                                   "micro_accuracy", "macro_precision", "macro_recall", "weighted_precision",
                                   "weighted_recall"])
 def clf_edge_train_all(spark, sf):
-    """Binary model per branching edge (all edges in one job), pooled test metrics."""
-    c = edge_ridge(spark, sf, (1.0,)).where("split = 'test'").drop("split", "lam")
+    """Binary model per branching edge (all edges in one job, C = 1), pooled test metrics.
+    Edges with one class in training are skipped."""
+    c = edge_confusion(spark, sf, [1.0], C.hash_split).where("split = 'test'").drop("split", "c")
     return E.summarize(c)
 
 
-@query("clf_c_by_depth", rnd=["micro_f1"])
+def _by_split(confusion, key):
+    """Pooled F1 per ``key`` and C on the validation and on the test rows."""
+    val, test = (E.summarize(confusion.where(F.col("split") == s).drop("split"), key=[*key, "c"]).select(*key, "c", F.col("micro_f1").alias(n))
+                 for s, n in (("val", "val_f1"), ("test", "micro_f1")))
+    return val.join(test, [*key, "c"], "left")
+
+
+@query("clf_c_by_depth", rnd=["val_f1", "micro_f1"])
 def clf_c_by_depth(spark, sf):
-    """Regularisation grid per tree depth; best lambda per depth by pooled F1."""
-    c = edge_ridge(spark, sf, (0.0, 0.1, 1.0, 10.0)).where("split = 'test'")
+    """C per tree depth: the best on validation rows (ties: the smallest), with its F1 on
+    the test rows, which take no part in the choice."""
+    c = edge_confusion(spark, sf, COSTS, C.three_way_split)
     dep = T.depth(_edges(spark, sf)).select(F.col("node").alias("parent"), "depth")
-    s = E.summarize(c.join(dep, "parent").drop("split"), key=["depth", "lam"])
-    from pyspark.sql import Window
-    w = Window.partitionBy("depth").orderBy(F.col("micro_f1").desc(), "lam")
-    return s.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("depth", "lam", "micro_f1")
+    s = _by_split(c.join(dep, "parent"), ["depth"])
+    best = F.max_by(F.struct("c", "val_f1", "micro_f1"), F.struct("val_f1", (-F.col("c")).alias("neg"))).alias("b")
+    return s.groupBy("depth").agg(best).select("depth", "b.c", "b.val_f1", "b.micro_f1")
 
 
-@query("clf_c_global", rnd=["micro_f1"])
+@query("clf_c_global", rnd=["val_f1", "micro_f1"])
 def clf_c_global(spark, sf):
-    """One lambda for the whole tree: grid report sorted by pooled F1."""
-    c = edge_ridge(spark, sf, (0.0, 0.1, 1.0, 10.0)).where("split = 'test'").drop("split")
-    return E.summarize(c, key=["lam"]).select("lam", "micro_f1").orderBy(F.col("micro_f1").desc(), "lam")
+    """One C for the whole tree: grid report by validation F1, test F1 beside it."""
+    return _by_split(edge_confusion(spark, sf, COSTS, C.three_way_split), []).select("c", "val_f1", "micro_f1") \
+        .orderBy(F.col("val_f1").desc(), "c")
 
 
 @query("clf_node_multiclass", rnd=["accuracy"])
