@@ -140,77 +140,6 @@ def pacf_dl(pdf: pd.DataFrame, max_lag: int = 10) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-def split_fit_forecast(pdf: pd.DataFrame, p: int, split: str, exog: bool = False) -> pd.DataFrame:
-    """Fit AR(p) (optionally with exogenous x_t) on t <= split; evaluate a
-    long-horizon recursive forecast and an expanding-window one-step forecast
-    (refit at each test step) on the test period."""
-    pdf = pdf.sort_values("t").reset_index(drop=True)
-    y = pdf["y"].to_numpy(float)
-    x = pdf["x"].to_numpy(float) if exog else None
-    n_train = int((pdf["t"] <= pd.Timestamp(split).date()).sum()) if not isinstance(pdf["t"].iloc[0], pd.Timestamp) \
-        else int((pdf["t"] <= pd.Timestamp(split)).sum())
-
-    def design(end):
-        X, yy = _lagmat(y[:end], p)
-        if exog:
-            X = np.column_stack([X, x[p:end]])
-        return X, yy
-
-    def predict(beta, hist, t):
-        v = [1.0] + [hist[t - j - 1] for j in range(p)]
-        if exog:
-            v.append(x[t])
-        return float(np.dot(beta, v))
-
-    if n_train <= p + 2 or n_train >= len(y):
-        return pd.DataFrame([])
-    beta, r = _ols(*design(n_train))
-    train_mse = float(r @ r / len(r))
-    hist = list(y[:n_train])
-    long_err, roll_err = [], []
-    for t in range(n_train, len(y)):
-        f = predict(beta, hist, t)
-        hist.append(f)
-        long_err.append(y[t] - f)
-        b_t, _ = _ols(*design(t))
-        roll_err.append(y[t] - predict(b_t, y, t))
-    le, re_ = np.array(long_err), np.array(roll_err)
-    return pd.DataFrame([{"series_id": pdf["series_id"].iloc[0], "p": p, "exog": exog, "n_train": n_train,
-                          "n_test": len(le), "train_mse": train_mse, "long_mse": float(le @ le / len(le)),
-                          "rolling_mse": float(re_ @ re_ / len(re_))}])
-
-
-def adf_stat(pdf: pd.DataFrame, max_p: int = 4) -> pd.DataFrame:
-    """ADF t-statistic (constant, AIC lag choice on a common sample).  A series that is
-    too short or has no variation gets a NULL statistic."""
-    y = pdf.sort_values("t")["y"].to_numpy(float)
-    dy = np.diff(y)
-    best = None
-    for p in range(0, max_p + 1):
-        n = len(dy) - max_p
-        if n <= p + 2 or not np.isfinite(y).all():
-            break
-        X = [np.ones(n), y[max_p:-1]]
-        for j in range(1, p + 1):
-            X.append(dy[max_p - j:len(dy) - j])
-        X = np.column_stack(X)
-        yy = dy[max_p:]
-        if np.linalg.matrix_rank(X) < X.shape[1]:
-            break
-        beta, r = _ols(X, yy)
-        s2 = r @ r / (n - X.shape[1])
-        se = math.sqrt(s2 * np.linalg.inv(X.T @ X)[1, 1])
-        if not se > 0:
-            break
-        aic = n * math.log(r @ r / n) + 2 * X.shape[1]
-        if best is None or aic < best[0]:
-            best = (aic, p, beta[1] / se, n)
-    if best is None:
-        best = (None, 0, np.nan, max(len(dy) - max_p, 0))
-    return pd.DataFrame([{"series_id": pdf["series_id"].iloc[0], "lag": best[1], "adf_t": float(best[2]), "n": best[3],
-                          "crit_5pct": -2.86}])
-
-
 def hannan_rissanen(pdf: pd.DataFrame, p: int, q: int, long_ar: int = 8) -> pd.DataFrame:
     """ARMA(p, q) by Hannan-Rissanen: long AR residuals, then OLS on lagged y
     and lagged residuals.  Too short a series has NULL mse and aic, a perfectly fitted one a

@@ -3,11 +3,14 @@
 
 from __future__ import annotations
 
+import datetime
 import math
 
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from kestrel.operators import forecast as FC
 from kestrel.operators import timeseries as TS
 from kestrel.plans.registry import query
 from kestrel.plans.sqlbind import NATION_SERIES, with_
@@ -109,25 +112,24 @@ def ts_cross_correlation(spark, sf):
 
 
 @query("ts_resample_align", rnd=["x"], sql="""
-WITH wk AS (SELECT CAST(date_trunc('week', l_shipdate) AS DATE) AS w, avg(l_discount) AS x FROM lineitem
-            WHERE l_returnflag = 'R' AND l_linestatus = 'O' GROUP BY 1),
+WITH wk AS (SELECT CAST(date_trunc('week', l_shipdate) AS DATE) AS w, avg(l_discount) AS x FROM lineitem GROUP BY 1),
 mo AS (SELECT CAST(date_trunc('month', w) AS DATE) AS t, avg(x) AS x FROM wk GROUP BY 1),
-cal AS (SELECT CAST(unnest(generate_series(DATE '1994-07-01', DATE '2002-06-01', INTERVAL 1 MONTH)) AS DATE) AS t),
+cal AS (SELECT CAST(unnest(generate_series((SELECT min(t) FROM mo), (SELECT max(t) FROM mo), INTERVAL 1 MONTH)) AS DATE) AS t),
 j AS (SELECT cal.t, mo.x FROM cal LEFT JOIN mo USING (t))
 SELECT t, coalesce(last_value(x IGNORE NULLS) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
                    first_value(x IGNORE NULLS) OVER (ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS x FROM j""")
 def ts_resample_align(spark, sf):
-    """Weekly -> monthly mean, reindexed onto a fixed month list, ffill then bfill."""
+    """Weekly -> monthly mean, reindexed onto all months from the first to the last, ffill then bfill."""
     return exog_monthly(spark, sf)
 
 
 def exog_monthly(spark, sf):
     from kestrel.operators.panel import ffill_bfill
-    li = load(spark, sf, "lineitem").where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O"))
+    li = load(spark, sf, "lineitem")
     wk = li.groupBy(F.to_date(F.date_trunc("week", "l_shipdate")).alias("w")).agg(F.avg("l_discount").alias("x"))
     mo = wk.groupBy(F.trunc("w", "month").alias("t")).agg(F.avg("x").alias("x"))
-    cal = spark.range(1).select(F.explode(F.sequence(F.lit("1994-07-01").cast("date"), F.lit("2002-06-01").cast("date"),
-                                                     F.expr("INTERVAL 1 MONTH"))).alias("t"))
+    cal = mo.agg(F.min("t").alias("a"), F.max("t").alias("b")).select(
+        F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MONTH"))).alias("t"))
     j = cal.join(mo, "t", "left").withColumn("_s", F.lit(1))   # one series: calendar-bounded window
     return j.select("t", ffill_bfill("x", ["_s"], "t").alias("x"))
 
@@ -162,35 +164,49 @@ def ts_ma_fit(spark, sf):
     return _by_series(s, lambda p: TS.hannan_rissanen(p, 0, 2), "series_id long, p int, q int, n int, mse double, aic double")
 
 
-@query("ts_armax_grid", rnd=["mse", "aic"], dp=3)
+@query("ts_armax_grid", rnd=["train_mse", "test_mse"], dp=3)
 def ts_armax_grid(spark, sf):
-    """p in 1..4 x q in {1, 5, 10}: the grid is exploded so each
-    (series, p, q) fit is its own group."""
-    s = B.nation_series(spark, sf).select("series_id", "t", "y")
-    g = s.withColumn("p", F.explode(F.array(*[F.lit(p) for p in (1, 2, 3, 4)]))) \
-         .withColumn("q", F.explode(F.array(*[F.lit(q) for q in (1, 5, 10)])))
+    """p in 1..4 x q in {1, 5, 10} with the exogenous column, fitted up to the split date: train
+    and one-step test error, and the orders with the least of each per series.  Each
+    (series, p, q) is its own group."""
+    d = _arx_frame(spark, sf).withColumn("p", F.explode(F.array(*[F.lit(p) for p in (1, 2, 3, 4)]))) \
+        .withColumn("q", F.explode(F.array(*[F.lit(q) for q in (1, 5, 10)])))
 
     def fit(pdf):
-        return TS.hannan_rissanen(pdf, int(pdf["p"].iloc[0]), int(pdf["q"].iloc[0]), long_ar=12)
-    return g.groupBy("series_id", "p", "q").applyInPandas(fit, "series_id long, p int, q int, n int, mse double, aic double")
+        pdf = pdf.sort_values("t")
+        n_train = int((pdf["t"] <= datetime.date.fromisoformat(SPLIT)).sum())
+        p, q = int(pdf["p"].iloc[0]), int(pdf["q"].iloc[0])
+        found = FC.armax(pdf["y"].to_numpy(float), pdf["x"].to_numpy(float), n_train, p, q)
+        train, test, n = found or (None, None, 0)
+        return pd.DataFrame([{"series_id": pdf["series_id"].iloc[0], "p": p, "q": q, "n_train": n, "n_test": len(pdf) - n_train,
+                              "train_mse": train, "test_mse": test}])
+    out = d.groupBy("series_id", "p", "q").applyInPandas(
+        lambda pdf: fit(pdf), "series_id long, p int, q int, n_train int, n_test int, train_mse double, test_mse double")
+    w = Window.partitionBy("series_id")     # twelve rows a series
+    return out.select("*", F.coalesce(F.col("train_mse") == F.min("train_mse").over(w), F.lit(False)).alias("best_train"),
+                      F.coalesce(F.col("test_mse") == F.min("test_mse").over(w), F.lit(False)).alias("best_test"))
 
 
-_FC_SCHEMA = ("series_id long, p int, exog boolean, n_train int, n_test int, train_mse double, long_mse double, "
-              "rolling_mse double")
 SPLIT = "2000-06-30"
 
 
-@query("ts_forecast_rolling", rnd=["train_mse", "long_mse", "rolling_mse"], dp=0)
+def _split_on(df, date=SPLIT):
+    return df.withColumn("split", F.lit(date).cast("date"))
+
+
+@query("ts_forecast_rolling", rnd=["train_mse", "rolling_mse"], dp=0)
 def ts_forecast_rolling(spark, sf):
-    """AR(4) fit on t <= 2000-06; expanding-window one-step forecasts and a
-    long-horizon recursive path on the test months."""
-    s = B.nation_series(spark, sf).select("series_id", "t", "y")
-    return _by_series(s, lambda p: TS.split_fit_forecast(p, 4, SPLIT), _FC_SCHEMA)
+    """AR(4) up to 2000-06; one-step forecasts of the test months, each from the fit on all
+    months before (running moments, one solve a month)."""
+    s = _split_on(B.nation_series(spark, sf).select("series_id", "t", "y"))
+    return FC.evaluate_splits(s, ["series_id"], 4).select("series_id", "p", "n_train", "n_test", "train_mse", "rolling_mse")
 
 
 @query("ts_forecast_long", rnd=["train_mse", "long_mse"], dp=0)
 def ts_forecast_long(spark, sf):
-    return ts_forecast_rolling(spark, sf).select("series_id", "p", "n_train", "n_test", "train_mse", "long_mse")
+    """AR(4) up to 2000-06 and its recursive path over the test months."""
+    s = _split_on(B.nation_series(spark, sf).select("series_id", "t", "y"))
+    return FC.evaluate_splits(s, ["series_id"], 4).select("series_id", "p", "n_train", "n_test", "train_mse", "long_mse")
 
 
 def _arx_frame(spark, sf):
@@ -200,19 +216,24 @@ def _arx_frame(spark, sf):
 
 @query("ts_arx_fit", rnd=["train_mse", "long_mse", "rolling_mse"], dp=0)
 def ts_arx_fit(spark, sf):
-    """AR(p)+exogenous discount, p = 1..4, train/test MSE per order."""
-    d = _arx_frame(spark, sf).withColumn("p", F.explode(F.array(*[F.lit(p) for p in (1, 2, 3, 4)])))
-
-    def fit(pdf):
-        return TS.split_fit_forecast(pdf.drop(columns=["p"]), int(pdf["p"].iloc[0]), SPLIT, exog=True)
-    return d.groupBy("series_id", "p").applyInPandas(fit, _FC_SCHEMA)
+    """AR(p) + exogenous discount, p = 1..4: errors per order, and the order with the least
+    one-step test error per series."""
+    from kestrel.session import cut_lineage
+    d = _split_on(cut_lineage(_arx_frame(spark, sf)))
+    out = None
+    for p in (1, 2, 3, 4):
+        part = FC.evaluate_splits(d, ["series_id"], p, exog=True)
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn("best", F.col("rolling_mse") == F.min("rolling_mse").over(Window.partitionBy("series_id")))
 
 
 @query("ts_strategy_compare", rnd=["pct_change"], dp=3)
 def ts_strategy_compare(spark, sf):
     """Rolling vs long-horizon and AR vs ARX: % change and a 5 % verdict."""
-    ar = ts_forecast_rolling(spark, sf).select("series_id", F.col("rolling_mse").alias("ar_mse"), "long_mse")
-    arx = ts_arx_fit(spark, sf).where("p = 4").select("series_id", F.col("rolling_mse").alias("arx_mse"))
+    from kestrel.session import cut_lineage
+    d = _split_on(cut_lineage(_arx_frame(spark, sf)))
+    ar = FC.evaluate_splits(d, ["series_id"], 4).select("series_id", F.col("rolling_mse").alias("ar_mse"), "long_mse")
+    arx = FC.evaluate_splits(d, ["series_id"], 4, exog=True).select("series_id", F.col("rolling_mse").alias("arx_mse"))
     j = ar.join(arx, "series_id")
     pct = (F.col("arx_mse") - F.col("ar_mse")) / F.col("ar_mse") * 100
     verdict = F.when(pct < -5, "improved").when(pct > 5, "degraded").otherwise("unchanged")
@@ -222,36 +243,38 @@ def ts_strategy_compare(spark, sf):
 
 @query("ts_split_runner", rnd=["train_mse", "long_mse", "rolling_mse"], dp=0)
 def ts_split_runner(spark, sf):
-    """The same evaluation for several train/test splits (split as a key)."""
-    s = B.nation_series(spark, sf).select("series_id", "t", "y")
-    splits = ["1999-12-31", "2000-06-30", "2000-12-31"]
-    g = s.withColumn("split", F.explode(F.array(*[F.lit(x) for x in splits])))
-
-    def fit(pdf):
-        sp = pdf["split"].iloc[0]
-        out = TS.split_fit_forecast(pdf.drop(columns=["split"]), 4, sp)
-        if len(out):
-            out.insert(1, "split", sp)
-        return out
-    return g.groupBy("series_id", "split").applyInPandas(fit, "series_id long, split string, " + _FC_SCHEMA.split(", ", 1)[1])
+    """AR(4) and ARX(4) for several train/test splits (the split is a key), raw and without
+    the line fitted to the split's training months."""
+    from kestrel.session import cut_lineage
+    d = cut_lineage(_arx_frame(spark, sf))
+    splits = F.array(*[F.lit(x).cast("date") for x in ("1999-12-31", "2000-06-30", "2000-12-31")])
+    raw = d.withColumn("split", F.explode(splits))
+    by = ["series_id", "split"]
+    both = raw.withColumn("detrended", F.lit(False)).unionByName(FC.detrend_on_train(raw, by).withColumn("detrended", F.lit(True)))
+    both, by = cut_lineage(both), [*by, "detrended"]
+    return FC.evaluate_splits(both, by, 4).unionByName(FC.evaluate_splits(both, by, 4, exog=True))
 
 
-@query("ts_adf", rnd=["adf_t"], dp=4)
+@query("ts_adf", rnd=["adf_t", "p_value", "crit_5pct"], dp=4)
 def ts_adf(spark, sf):
-    """ADF t statistic per series, raw and after linear detrending."""
+    """Augmented Dickey-Fuller test per series, raw and after linear detrending: lag by AIC
+    up to the automatic bound, p-value and critical value by response surfaces."""
     raw = B.nation_series(spark, sf).select("series_id", "t", "y")
     det = TS.detrend_linear(series(spark, sf)).select("series_id", "t", F.col("resid").alias("y"))
-    sch = "series_id long, lag int, adf_t double, n int, crit_5pct double"
-    return (_by_series(raw, TS.adf_stat, sch).withColumn("variant", F.lit("raw"))
-            .unionByName(_by_series(det, TS.adf_stat, sch).withColumn("variant", F.lit("detrended"))))
+
+    def fit(pdf):
+        found = FC.adf(pdf.sort_values("t")["y"].to_numpy(float))
+        return pd.DataFrame([{"series_id": pdf["series_id"].iloc[0], **found}])
+    sch = "series_id long, lag int, adf_t double, p_value double, n int, crit_5pct double"
+    return (_by_series(raw, fit, sch).withColumn("variant", F.lit("raw"))
+            .unionByName(_by_series(det, fit, sch).withColumn("variant", F.lit("detrended"))))
 
 
 @query("ts_detrend_poly", rnd=["resid"], dp=2)
 def ts_detrend_poly(spark, sf):
     """Degree-2 and degree-3 polynomial trend residuals (centred t) per series,
-    from grouped moment sums solved per series."""
+    a least-squares fit of each whole series."""
     import numpy as np
-    import pandas as pd
 
     def fit(pdf):
         pdf = pdf.sort_values("t")
