@@ -236,6 +236,17 @@ def momentum_signals(df: DataFrame, id_col: str = "id", d: str = "d", ret: str =
     ).withColumn("sr_t12m1", safe_ratio("ret_t12m1", "vol_t12m1"))
 
 
+def price_stream_signals(df: DataFrame, id_col: str = "id", d: str = "d", ret: str = "retx") -> DataFrame:
+    """The trailing signals of the second return stream, beside those of ``momentum_signals``."""
+    return df.select(
+        "*",
+        trailing_compound(id_col, d, ret, 12).alias("retx_t12"),
+        trailing_compound(id_col, d, ret, 11, skip=1).alias("retx_t12m1"),
+        F.lag(ret, 12).over(_w(id_col, d)).alias("retx_t12_1m"),
+        rolling_std(id_col, d, ret, 11, skip=1).alias("volx_t12m1"),
+    ).withColumn("srx_t12m1", safe_ratio("retx_t12m1", "volx_t12m1"))
+
+
 def drawdown(df: DataFrame, order: str, r: str, by: list[str] | None = None) -> DataFrame:
     """Cumulative growth prod(1+r), running peak and drawdown (S10)."""
     by = by or []

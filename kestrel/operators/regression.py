@@ -62,6 +62,71 @@ def fama_macbeth(df: DataFrame, d: str, x: str, y: str, by: list[str] | None = N
                               F.avg("alpha").alias("mean_alpha"))
 
 
+# ------------------------------------- several regressors, several specs ---
+def cross_section_specs(df: DataFrame, d: str, specs: dict[str, tuple[str, list[str], str | None]]) -> DataFrame:
+    """(spec, d, term, coef): least squares of y on a constant and the regressors for every date
+    and every spec ``name: (y, regressors, weight or None)``.
+
+    All specs come from one aggregation by date: each has the weighted moments of its own listwise
+    sample (positive weights) in an array.  Dates with fewer than k + 2 rows have no coefficients;
+    collinear ones null."""
+    aggs, terms = [], {}
+    for name, (y, xs, weight) in specs.items():
+        use, cols = F.col(y).isNotNull(), [F.lit(1.0), *[F.col(x) for x in xs], F.col(y)]
+        for x in xs:
+            use = use & F.col(x).isNotNull()
+        w = F.lit(1.0)
+        if weight:
+            w, use = F.col(weight), use & (F.col(weight) > 0)
+        sums = [F.sum(F.when(use, w * a * b)) for i, a in enumerate(cols) for b in cols[i:]]
+        aggs.append(F.array(F.count(F.when(use, 1)).cast("double"), *sums).alias(name))
+        terms[name] = ["const", *xs]
+    moments = df.groupBy(d).agg(*aggs)
+
+    def solve(batches):
+        for pdf in batches:
+            out = []
+            for name, names in terms.items():
+                k = len(names)
+                m = np.array([np.array([np.nan if v is None else v for v in r], float) for r in pdf[name]]).reshape(len(pdf), -1)
+                keep = m[:, 0] >= k + 1       # k counts the constant: rows >= regressors + 2
+                m, dates = m[keep], pdf[d][keep].to_numpy()
+                if not len(m):
+                    continue
+                full = np.empty((len(m), k + 1, k + 1))
+                at = 1
+                for i in range(k + 1):
+                    for j in range(i, k + 1):
+                        full[:, i, j] = full[:, j, i] = m[:, at]
+                        at += 1
+                total, mean = full[:, 0, 0], full[:, 0, 1:] / full[:, :1, 0]
+                around = full[:, 1:, 1:] - total[:, None, None] * mean[:, :, None] * mean[:, None, :]
+                xx, xy = around[:, :-1, :-1], around[:, :-1, -1]
+                size = np.sqrt(np.maximum(np.einsum("nii->ni", xx), 0))
+                unit = np.where(size > 0, size, 1.0)
+                corr = xx / unit[:, :, None] / unit[:, None, :]
+                bad = (size == 0).any(1) | (np.abs(np.linalg.det(corr)) < 1e-12)
+                corr[bad] = np.eye(k - 1)
+                beta = np.linalg.solve(corr, (xy / unit)[:, :, None])[:, :, 0] / unit
+                beta[bad] = np.nan
+                const = mean[:, -1] - (beta * mean[:, :-1]).sum(1)
+                for term, values in zip(names, np.column_stack([const, beta]).T):
+                    out.append(pd.DataFrame({"spec": name, d: dates, "term": term, "coef": values}))
+            if out:
+                yield pd.concat(out)
+
+    schema = f"spec string, {d} {df.schema[d].dataType.simpleString()}, term string, coef double"
+    return moments.mapInPandas(solve, schema).withColumn("coef", F.when(~F.isnan("coef"), F.col("coef")))
+
+
+def fama_macbeth_specs(df: DataFrame, d: str, specs: dict[str, tuple[str, list[str], str | None]]) -> DataFrame:
+    """(spec, term, n_months, mean_beta, se_beta, t_stat) over the dates of each spec."""
+    b = cross_section_specs(df, d, specs).where(F.col("coef").isNotNull())
+    se = F.stddev_samp("coef") / F.sqrt(F.count("coef"))
+    return b.groupBy("spec", "term").agg(F.count("coef").alias("n_months"), F.avg("coef").alias("mean_beta"), se.alias("se_beta"),
+                                         (F.avg("coef") / se).alias("t_stat"))
+
+
 # ------------------------------------------------------------ Newey-West -----
 def nw_lag(n: Column) -> Column:
     """floor(4 (n/100)^(2/9))."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from kestrel.operators import panel as P
 from kestrel.operators import regression as R
 from kestrel.plans.registry import query
-from kestrel.plans.sqlbind import PANEL_M, PANEL_Q, PANEL_R, with_
+from kestrel.plans.sqlbind import PANEL_M, PANEL_Q, PANEL_R, PANEL_S, with_
 from kestrel.sources import bindings as B
 
 SIGNALS = ["ret_t12", "ret_t12m1", "ret_t12_1m", "vol_t12m1", "sr_t12m1"]
@@ -35,6 +35,17 @@ sig AS (SELECT *, ret_t12m1 / nullif(vol_t12m1, 0) AS sr_t12m1 FROM sig0)
 """
 
 
+#: with the second return stream: the eleven signals of the coverage table
+ALL_SIGNALS = ["ret_t12", "retx_t12", "ret_t12m1", "retx_t12m1", "ret_t12_1m", "retx_t12_1m", "volx_t12m1", "srx_t12m1", *TARGETS]
+_SIG2 = _SIG.replace(PANEL_M, PANEL_S).replace(", " + PANEL_R, "").replace("FROM panel_r", "FROM panel_s").replace(
+    "SELECT id, d, ret, price, vol,", """SELECT id, d, ret, retx, price, vol, ln(price * vol / 1000.0) AS w,
+    CASE WHEN count(retx) OVER w12 = 12 THEN product(1 + retx) OVER w12 - 1 END AS retx_t12,
+    CASE WHEN count(retx) OVER w11s = 11 THEN product(1 + retx) OVER w11s - 1 END AS retx_t12m1,
+    lag(retx, 12) OVER w AS retx_t12_1m,
+    CASE WHEN count(retx) OVER w11s = 11 THEN stddev_samp(retx) OVER w11s END AS volx_t12m1,""").replace(
+    "AS sr_t12m1 FROM sig0", "AS sr_t12m1, retx_t12m1 / nullif(volx_t12m1, 0) AS srx_t12m1 FROM sig0")
+
+
 def signals(spark, sf):
     """Momentum signals per supplier, materialised once (the regression queries
     read them several times)."""
@@ -42,6 +53,13 @@ def signals(spark, sf):
     return cut_lineage(P.momentum_signals(B.panel_returns(spark, sf)))
 
 
+def all_signals(spark, sf):
+    """The signals of both return streams, and the log of price x volume as weight ``w``."""
+    both = P.price_stream_signals(P.momentum_signals(B.panel_streams(spark, sf)))
+    cap = F.col("price") * F.col("vol") / 1000.0
+    return both.withColumn("w", F.when(cap > 0, F.log(cap)))
+
+
 def _sel(*cols):
     return lambda spark, sf: signals(spark, sf).select("id", "d", *cols)
 
@@ -70,10 +88,10 @@ def log_transforms(spark, sf):
                     (100 * (F.log("price") - F.log(F.lag("price").over(w)))).alias("growth"))
 
 
-@query("win_trailing_compound", rnd=["ret_t12"], sql=_SIG + "SELECT id, d, ret_t12 FROM sig")
+@query("win_trailing_compound", rnd=["ret_t12", "retx_t12"], sql=_SIG2 + "SELECT id, d, ret_t12, retx_t12 FROM sig")
 def win_trailing_compound(spark, sf):
-    """12-row compounded return, NULL unless 12 non-null returns (S6)."""
-    return _sel("ret_t12")(spark, sf)
+    """12-row compounded return of both streams, NULL unless 12 non-null returns (S6)."""
+    return all_signals(spark, sf).select("id", "d", "ret_t12", "retx_t12")
 
 
 @query("udf_rolling_apply", rnd=["ret_t12"], sql=_SIG + "SELECT id, d, ret_t12 FROM sig")
@@ -84,14 +102,16 @@ def udf_rolling_apply(spark, sf):
     return r.select("id", "d", P.trailing_compound("id", "d", "ret", 12).alias("ret_t12"))
 
 
-@query("win_trailing_skip", rnd=["ret_t12m1"], sql=_SIG + "SELECT id, d, ret_t12m1 FROM sig")
+@query("win_trailing_skip", rnd=["ret_t12m1", "retx_t12m1"], sql=_SIG2 + "SELECT id, d, ret_t12m1, retx_t12m1 FROM sig")
 def win_trailing_skip(spark, sf):
-    return _sel("ret_t12m1")(spark, sf)
+    """11-row compounded return lagged by one row, of both streams."""
+    return all_signals(spark, sf).select("id", "d", "ret_t12m1", "retx_t12m1")
 
 
-@query("win_lag_k", rnd=["ret_t12_1m"], sql=_SIG + "SELECT id, d, ret_t12_1m FROM sig")
+@query("win_lag_k", rnd=["ret_t12_1m", "retx_t12_1m"], sql=_SIG2 + "SELECT id, d, ret_t12_1m, retx_t12_1m FROM sig")
 def win_lag_k(spark, sf):
-    return _sel("ret_t12_1m")(spark, sf)
+    """The return twelve rows ago, of both streams."""
+    return all_signals(spark, sf).select("id", "d", "ret_t12_1m", "retx_t12_1m")
 
 
 @query("win_signal_vol_sharpe", rnd=["vol_t12m1", "sr_t12m1"], sql=_SIG + "SELECT id, d, vol_t12m1, sr_t12m1 FROM sig")
@@ -104,11 +124,14 @@ def win_forward_compound(spark, sf):
     return _sel(*TARGETS)(spark, sf)
 
 
-@query("win_signal_coverage", sql=_SIG + "SELECT " + ", ".join(
-    f"count({c}) AS n_{c}" for c in SIGNALS + TARGETS) + ", count(*) AS n_rows FROM sig")
+@query("win_signal_coverage", rnd=["mean", "sd", "min", "max"], sql=_SIG2 + " UNION ALL ".join(
+    f"SELECT '{c}' AS signal, count({c}) AS n, count(*) AS n_rows, avg({c}) AS mean, stddev_samp({c}) AS sd, min({c}) AS min, max({c}) AS max FROM sig"
+    for c in ALL_SIGNALS))
 def win_signal_coverage(spark, sf):
-    s = signals(spark, sf)
-    return s.agg(*[F.count(c).alias(f"n_{c}") for c in SIGNALS + TARGETS], F.count(F.lit(1)).alias("n_rows"))
+    """Non-null count, mean, deviation and range of all eleven signals."""
+    s = all_signals(spark, sf).unpivot([], ALL_SIGNALS, "signal", "x")
+    return s.groupBy("signal").agg(F.count("x").alias("n"), F.count(F.lit(1)).alias("n_rows"), F.avg("x").alias("mean"),
+                                   F.stddev_samp("x").alias("sd"), F.min("x").alias("min"), F.max("x").alias("max"))
 
 
 @query("win_lag_matrix", rnd=[f"lag_{j}" for j in range(7)], sql=with_(PANEL_M, PANEL_R) + "SELECT id, d, " + ", ".join(
@@ -153,55 +176,59 @@ def agg_pctile_of_pctile(spark, sf):
 
 
 # ------------------------------------------------------ Fama-MacBeth ---------
-_FM_COLS = ["mean_beta", "se_beta", "t_stat", "mean_alpha"]
-
-
-def _fm_sql(src: str, x: str, y: str, extra_group: str = "") -> str:
-    g = f"{extra_group}, " if extra_group else ""
-    return f"""
-, m AS (SELECT {g}d, regr_slope({y}, {x}) AS beta, regr_intercept({y}, {x}) AS alpha, count(*) AS n
-        FROM {src} WHERE {x} IS NOT NULL AND {y} IS NOT NULL GROUP BY {g}d HAVING count(*) >= 3)
-SELECT {g}count(beta) AS n_months, avg(beta) AS mean_beta, stddev_samp(beta) / sqrt(count(beta)) AS se_beta,
-       avg(beta) / (stddev_samp(beta) / sqrt(count(beta))) AS t_stat, avg(alpha) AS mean_alpha
-FROM m WHERE beta IS NOT NULL {"GROUP BY " + extra_group if extra_group else ""}"""
-
-
-@query("reg_fama_macbeth", rnd=_FM_COLS, bench=True, sql=_SIG + _fm_sql("sig", "ret_t12m1", "ret_f1m"))
+_FM_COLS = ["mean_beta", "se_beta", "t_stat"]
+
+
+def _spec_sql(name: str, y: str, xs: list[str], weight: str | None) -> str:
+    """(spec, term, d, coef) of one spec: closed forms for one or two regressors."""
+    w = weight or "1.0"
+    x1, x2 = xs[0], xs[-1]
+    use = " AND ".join(f"{c} IS NOT NULL" for c in (y, *xs)) + (f" AND {w} > 0" if weight else "")
+    pair = {"1": x1, "2": x2, "y": y}
+    sums = ", ".join(f"sum({w} * {v}) / sum({w}) AS m{k}" for k, v in pair.items())
+    cross = ", ".join(f"sum(w * (a{i} - m{i}) * (a{j} - m{j})) AS s{i}{j}" for i, j in ("11", "12", "22", "1y", "2y"))
+    if len(xs) == 1:
+        b1, b2, rest = "s1y / nullif(s11, 0)", "0", ""
+    else:
+        b1, b2 = (f"({n}) / nullif(s11 * s22 - s12 * s12, 0)" for n in ("s1y * s22 - s2y * s12", "s2y * s11 - s1y * s12"))
+        rest = f" UNION ALL SELECT '{name}', '{x2}', d, {b2} FROM g"
+    return f"""SELECT * FROM (WITH r AS (SELECT d, {w} AS w, {x1} AS a1, {x2} AS a2, {y} AS ay FROM sig WHERE {use}),
+mm AS (SELECT d, {sums} FROM sig WHERE {use} GROUP BY d),
+g AS (SELECT d, any_value(m1) AS m1, any_value(m2) AS m2, any_value(my) AS my, {cross} FROM r JOIN mm USING (d) GROUP BY d HAVING count(*) >= {len(xs) + 2})
+SELECT '{name}' AS spec, '{x1}' AS term, d, {b1} AS coef FROM g UNION ALL SELECT '{name}', 'const', d, my - ({b1}) * m1 - ({b2}) * m2 FROM g{rest}) AS _{name}"""
+
+
+def _fm_sql(specs: dict) -> str:
+    return _SIG2 + ", betas AS (" + " UNION ALL ".join(_spec_sql(n, *v) for n, v in specs.items()) + """)
+SELECT spec, term, count(coef) AS n_months, avg(coef) AS mean_beta, stddev_samp(coef) / sqrt(count(coef)) AS se_beta,
+       avg(coef) / (stddev_samp(coef) / sqrt(count(coef))) AS t_stat FROM betas WHERE coef IS NOT NULL GROUP BY spec, term"""
+
+
+_MOMENTUM = {"one": ("ret_f1m", ["ret_t12m1"], None), "two": ("ret_f1m", ["retx", "retx_t12m1"], None)}
+_WEIGHTED = {n: (y, xs, "w") for n, (y, xs, _) in _MOMENTUM.items()}
+# The specifications of the batch: single regressors, pairs, and the overlapping forward returns.
+_BATCH = {f"s{i}": ("ret_f1m", xs, None) for i, xs in enumerate([
+    ["retx"], ["ret"], ["ret_t12"], ["retx_t12"], ["ret_t12m1"], ["retx_t12m1"], ["ret_t12_1m"], ["retx_t12_1m"], ["srx_t12m1"],
+    ["retx", "retx_t12m1"], ["ret", "retx_t12m1"], ["ret", "retx_t12"], ["ret", "srx_t12m1"], ["ret_f3m"], ["ret_f6m"]], 1)}
+
+
+@query("reg_fama_macbeth", rnd=_FM_COLS, bench=True, sql=_fm_sql(_MOMENTUM))
 def reg_fama_macbeth(spark, sf):
-    """Per-month OLS of forward return on the 12-1 momentum signal; t-stat of
-    the time-series mean of slopes (months need n >= 3)."""
-    return R.fama_macbeth(signals(spark, sf), "d", "ret_t12m1", "ret_f1m")
+    """Per-month OLS of the forward return on the 12-1 momentum signal, and on the month's price
+    return and the signal together; t of the time-series mean of each coefficient."""
+    return R.fama_macbeth_specs(all_signals(spark, sf), "d", _MOMENTUM)
 
 
-@query("reg_fm_batch", rnd=_FM_COLS, sql=_SIG + """
-, sl AS (UNPIVOT sig ON ret_t12, ret_t12m1, ret_t12_1m, vol_t12m1, sr_t12m1 INTO NAME signal VALUE x),
-sl2 AS (UNPIVOT sl ON ret_f1m, ret_f3m, ret_f6m INTO NAME target VALUE y)
-""" + _fm_sql("sl2", "x", "y", "signal, target"))
+@query("reg_fm_batch", rnd=_FM_COLS, sql=_fm_sql(_BATCH))
 def reg_fm_batch(spark, sf):
-    """All 5 signals x 3 horizons in one job: unpivot, then one
-    groupBy(signal, target, month) of regression moments."""
-    s = signals(spark, sf).unpivot(["id", "d", *TARGETS], SIGNALS, "signal", "x")
-    s = s.unpivot(["id", "d", "signal", "x"], TARGETS, "target", "y")
-    return R.fama_macbeth(s, "d", "x", "y", by=["signal", "target"])
-
-
-_WLS = _SIG + """
-, wd AS (SELECT d, ret_t12m1 AS x, ret_f1m AS y, ln(price * vol / 1000.0) AS w FROM sig
-         WHERE ret_t12m1 IS NOT NULL AND ret_f1m IS NOT NULL AND price * vol / 1000.0 > 0),
-mom AS (SELECT d, sum(w) AS sw, sum(w * x) AS swx, sum(w * y) AS swy, sum(w * x * x) AS swxx, sum(w * x * y) AS swxy,
-               count(*) AS n FROM wd GROUP BY d HAVING count(*) >= 3),
-m AS (SELECT d, (sw * swxy - swx * swy) / nullif(sw * swxx - swx * swx, 0) AS beta,
-             (swy - (sw * swxy - swx * swy) / nullif(sw * swxx - swx * swx, 0) * swx) / sw AS alpha FROM mom)
-SELECT count(beta) AS n_months, avg(beta) AS mean_beta, stddev_samp(beta) / sqrt(count(beta)) AS se_beta,
-       avg(beta) / (stddev_samp(beta) / sqrt(count(beta))) AS t_stat, avg(alpha) AS mean_alpha FROM m WHERE beta IS NOT NULL"""
+    """All fifteen specifications in one aggregation by month."""
+    return R.fama_macbeth_specs(all_signals(spark, sf), "d", _BATCH)
 
 
-@query("reg_fm_wls", rnd=_FM_COLS, sql=_WLS)
+@query("reg_fm_wls", rnd=_FM_COLS, sql=_fm_sql(_WEIGHTED))
 def reg_fm_wls(spark, sf):
-    """Fama-MacBeth with WLS weights ln(mcap), mcap > 0, from weighted sums."""
-    s = signals(spark, sf).withColumn("mcap", F.col("price") * F.col("vol") / 1000.0)
-    s = s.where(F.col("mcap") > 0).withColumn("w", F.log("mcap"))
-    return R.fama_macbeth(s, "d", "ret_t12m1", "ret_f1m", weight="w")
+    """The same two regressions with weights ln(mcap), mcap > 0 and the weight positive."""
+    return R.fama_macbeth_specs(all_signals(spark, sf), "d", _WEIGHTED)
 
 
 @query("reg_coef_stability", rnd=["share_positive", "mean_beta", "min_beta", "max_beta"], sql=_SIG + """

@@ -12,6 +12,12 @@ PANEL_R = """panel_r AS (
          price / nullif(lag(price) OVER (PARTITION BY id ORDER BY d), 0) - 1 AS ret
   FROM panel_m)"""
 
+PANEL_S = """panel_s AS (
+  SELECT *, price / nullif(lag(price) OVER w, 0) - 1 AS ret, price_net / nullif(lag(price_net) OVER w, 0) - 1 AS retx
+  FROM (SELECT l_suppkey AS id, CAST(date_trunc('month', l_shipdate) AS DATE) AS d, avg(l_extendedprice) AS price,
+               sum(l_quantity) AS vol, avg(l_extendedprice * (1 - l_discount)) AS price_net FROM lineitem GROUP BY 1, 2) AS _m
+  WINDOW w AS (PARTITION BY id ORDER BY d))"""
+
 CAL = """cal AS (
   SELECT d, row_number() OVER (ORDER BY d) AS date_idx FROM (SELECT DISTINCT d FROM panel_r) AS _d)"""
 

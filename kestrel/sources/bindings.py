@@ -32,6 +32,17 @@ def panel_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple_returns(panel_monthly(spark, sf_dir), "id", "d", "price", out="ret")
 
 
+def panel_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, d, price, vol, price_net, ret, retx): the monthly panel with two return streams, of the
+    price and of the price net of discounts."""
+    from kestrel.operators.panel import simple_returns
+    li = load(spark, sf_dir, "lineitem")
+    m = (li.groupBy(F.col("l_suppkey").alias("id"), month_of("l_shipdate").alias("d"))
+           .agg(F.avg("l_extendedprice").alias("price"), F.sum("l_quantity").alias("vol"),
+                F.avg(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("price_net")))
+    return simple_returns(simple_returns(m, "id", "d", "price", out="ret"), "id", "d", "price_net", out="retx")
+
+
 def panel_daily_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw daily rows with duplicate (d, id) keys, impossible and extreme returns,
     rule-derived missing prices and zero volumes."""
