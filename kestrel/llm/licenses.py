@@ -9,7 +9,9 @@ the expression after a tag is tokenised to the end of its line.
 
 Evaluation: a licence has an openness between 0 and 1; ``or`` leaves the choice (the
 larger value), ``and`` imposes both (the smaller), ``with`` adds an exception, which
-halves the distance to 1."""
+halves the distance to 1.  An identifier of no known family is a label of its own if it looks
+like one (it has a digit or a hyphen); its openness is unknown, which counts as 0 under
+``and`` and as no choice under ``or``."""
 
 from __future__ import annotations
 
@@ -46,6 +48,7 @@ FAMILIES = {
 }
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 _TOKEN = re.compile(r"[()]|[a-z0-9.+_-]+")
+_IDENTIFIER = re.compile(r"(?=.*[a-z])(?=.*[0-9-])[a-z0-9][a-z0-9.+_-]*")
 
 
 def family(name: str) -> str | None:
@@ -88,21 +91,24 @@ def to_postfix(tokens: Iterable[str]) -> list[str] | None:
 
 
 def evaluate(postfix: list[str]) -> tuple[set[str], float] | None:
-    """(families, openness) of a postfix expression; None if no known licence is in it."""
+    """(labels, openness) of a postfix expression; None if no licence is in it.  Unknown openness: 0."""
     stack = []
     for t in postfix:
         if t not in PRECEDENCE:
             f = family(t)
-            stack.append(({f} if f else set(), FAMILIES[f] if f else None))
+            own = {f} if f else {t.rstrip(".-")} if _IDENTIFIER.fullmatch(t) else set()
+            stack.append((own, FAMILIES[f] if f else None))
             continue
         (fb, b), (fa, a) = stack.pop(), stack.pop()
         if t == "with":                                         # the right side names an exception
             stack.append((fa, None if a is None else (a + 1) / 2))
-        else:
-            values = [v for v in (a, b) if v is not None]
-            stack.append((fa | fb, (max if t == "or" else min)(values) if values else None))
+        elif t == "or":
+            stack.append((fa | fb, max((v for v in (a, b) if v is not None), default=None)))
+        else:   # a side without any label says nothing, one with an unknown licence allows nothing
+            values = [v or 0.0 for f, v in ((fa, a), (fb, b)) if f]
+            stack.append((fa | fb, min(values) if values else None))
     labels, value = stack[-1]
-    return (labels, value) if labels else None
+    return (labels, value or 0.0) if labels else None
 
 
 def parse_expression(text: str, start: int = 0) -> tuple[set[str], float] | None:
@@ -122,6 +128,7 @@ class Scanner:
         for p in {**notices, **base}:
             key = " " + p + " "
             self.phrases.add_word(key, (key, base.get(p), notices.get(p)))
+        self.tag_bytes = [t.encode() for t in tags]
         self.tags = ahocorasick.Automaton()
         for t in tags:
             self.tags.add_word(t, t)
@@ -145,7 +152,7 @@ class Scanner:
             if notice is not None:
                 extra.add(notice)
         openness = []
-        if b"licen" in low:
+        if any(t in low for t in self.tag_bytes):
             raw = low.decode("utf-8", "replace")
             for end, tag in self.tags.iter(raw):
                 got = parse_expression(raw, end + 1)

@@ -1,11 +1,13 @@
 """Line dedup by content-defined chunks of lines (DataFrame functions only).
 
-A text's lines are hashed; a rolling hash runs over each line and the one
+A text's non-blank lines are hashed; a rolling hash runs over each of them and the one
 before it.  A chunk ends after a line whose rolling hash is a local minimum
 (below the next one, not above the one before).  The choice depends on a few
 neighbouring lines only, so inserted or removed lines move no boundary further
 away, and equal passages of different texts are cut alike.  Two boundaries are
-never adjacent, so inner chunks have at least two lines.
+never adjacent, so inner chunks have at least two non-blank lines.  Blank lines take no
+part in this: those inside a chunk are part of its bytes, those behind it go where it goes
+(those before the first line, with the first chunk).
 
 Chunks of two or more non-blank lines that occur again anywhere in the corpus are
 removed except for their first occurrence (smallest id, then text hash, then
@@ -28,8 +30,15 @@ def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long") % PRIME
 
 
-def _chunks(lines: Column) -> Column:
-    """Array of (pos, first, n): chunks of lines, all counted from 1."""
+def _solid(lines: Column) -> Column:
+    """Places of the non-blank lines, from 1."""
+    return F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(r"[^\x20\x09-\x0D]"), i + 1)), lambda i: i.isNotNull())
+
+
+def _chunks(lines: Column, at: Column) -> Column:
+    """Array of (pos, first, n, top, height, solid) from the lines and the places of the
+    non-blank ones (two at least): the chunk's lines with the blank ones behind it, and its lines
+    from the first non-blank to the last, all counted from 1."""
     def cut(h: Column) -> Column:
         n = F.size(h)
         roll = F.transform(h, lambda x, i: F.when(i == 0, F.lit(PRIME + 1).cast("long"))
@@ -41,10 +50,16 @@ def _chunks(lines: Column) -> Column:
 
         def spans(e: Column) -> Column:
             before = F.concat(F.array(F.lit(0)), e)
-            return F.transform(e, lambda x, k: F.struct((k + 1).alias("pos"), (F.get(before, k) + 1).alias("first"),
-                                                        (x - F.get(before, k)).alias("n")))
+
+            def one(x: Column, k: Column) -> Column:
+                top = F.get(at, F.get(before, k))
+                first = F.when(k == 0, F.lit(1)).otherwise(top)
+                until = F.coalesce(F.get(at, x) - 1, F.size(lines))
+                return F.struct((k + 1).alias("pos"), first.alias("first"), (until - first + 1).alias("n"), top.alias("top"),
+                                (F.get(at, x - 1) - top + 1).alias("height"), (x - F.get(before, k)).alias("solid"))
+            return F.transform(e, one)
         return _let(_let(roll, ends), spans)
-    return _let(F.transform(lines, _line_hash), cut)
+    return _let(F.transform(at, lambda i: _line_hash(F.get(lines, i - 1))), cut)
 
 
 def _let(value: Column, body) -> Column:
@@ -60,10 +75,10 @@ def chunk_rows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """(_id, _th, pos, first, n, chunk): chunks with two or more non-blank lines."""
     t = docs.where(F.col(text).contains("\n")) \
         .select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_th"), _lines(F.col(text)).alias("_lines"))
-    c = t.select("_id", "_th", "_lines", F.explode(_chunks(F.col("_lines"))).alias("c")).where(F.col("c.n") >= 2)
-    c = c.select("_id", "_th", "c.pos", "c.first", "c.n", F.slice("_lines", F.col("c.first"), F.col("c.n")).alias("_part"))
-    solid = F.size(F.filter("_part", lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    return c.where(solid >= 2).select("_id", "_th", "pos", "first", "n", F.array_join("_part", "\n").alias("chunk"))
+    t = t.withColumn("_at", _solid(F.col("_lines"))).where(F.size("_at") >= 2)
+    c = t.select("_id", "_th", "_lines", F.explode(_chunks(F.col("_lines"), F.col("_at"))).alias("c")).where(F.col("c.solid") >= 2)
+    return c.select("_id", "_th", "c.pos", "c.first", "c.n",
+                    F.array_join(F.slice("_lines", F.col("c.top"), F.col("c.height")), "\n").alias("chunk"))
 
 
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -81,27 +96,42 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     return again.join(firsts, "_h").where(order != F.col("_first")).select("_id", "_th", "first", "n")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the lines of repeated chunks taken out of ``text``, plus
-    _n_chunks (removed chunks) and _n_lines (removed lines).
+COUNTS = ("_n_chunks", "_n_lines")
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", counts: bool = True, length: str | None = None) -> DataFrame:
+    """``docs`` with the lines of repeated chunks taken out of ``text``; with ``counts`` also
+    _n_chunks (removed chunks) and _n_lines (removed lines), which replace columns of these names.
+    ``length`` names a column that gets the characters left in the texts that changed.
 
     Every row stays, also if nothing of its text is left (then it is empty).  Null
     and one-line texts are unchanged.  Rows with the same id and text are one
     document: they get the same result and don't count as repeats of each
     other's chunks beyond the first.  A null id sorts before all others.  An empty table
-    gives an empty result; other columns are carried along."""
-    gone = repeated_chunks(docs, id_col, text).groupBy(F.col("_id").alias("_gone_id"), F.col("_th").alias("_gone_th")) \
-        .agg(F.collect_list(F.struct("first", "n")).alias("_gone"))
-    here = docs.withColumn("_here", F.xxhash64(text))
-    j = here.join(gone, (F.col("_here") == F.col("_gone_th")) & here[id_col].eqNullSafe(F.col("_gone_id")), "left")
-    drop = F.flatten(F.transform("_gone", lambda g: F.sequence(g["first"], g["first"] + g["n"] - 1)))
+    gives an empty result; other columns are carried along, whatever their names."""
+    gone = repeated_chunks(docs, id_col, text).groupBy(F.col("_id").alias("gone_id"), F.col("_th").alias("gone_th")) \
+        .agg(F.collect_list(F.struct("first", "n")).alias("gone"))
+    # the input travels as one column, so that its names meet none of those used here
+    here = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].alias("id"), docs[text].alias("old"),
+                       F.xxhash64(docs[text]).alias("th"))
+    j = here.join(gone, (F.col("th") == F.col("gone_th")) & F.col("id").eqNullSafe(F.col("gone_id")), "left")
+    drop = F.flatten(F.transform("gone", lambda g: F.sequence(g["first"], g["first"] + g["n"] - 1)))
 
     def left(lines: Column) -> Column:
         keep = F.array_except(F.sequence(F.lit(1), F.size(lines)), drop)
         return F.array_join(F.transform(keep, lambda i: F.get(lines, i - 1)), "\n")
 
-    new = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(_let(_lines(F.col(text)), left))
-    cols = [new.alias(c) if c == text else here[c] for c in docs.columns]
-    found = F.coalesce("_gone", F.expr("cast(array() as array<struct<first:int,n:int>>)"))
-    return j.select(*cols, F.size(found).cast("long").alias("_n_chunks"),
-                    F.aggregate(found, F.lit(0), lambda a, g: a + g["n"]).cast("long").alias("_n_lines"))
+    changed = F.col("gone").isNotNull()
+    found = F.coalesce("gone", F.expr("cast(array() as array<struct<first:int,n:int>>)"))
+    j = j.select("row", changed.alias("changed"), F.when(changed, _let(_lines(F.col("old")), left)).otherwise(F.col("old")).alias("new"),
+                 F.size(found).cast("long").alias("chunks"), F.aggregate(found, F.lit(0), lambda a, g: a + g["n"]).cast("long").alias("lines"))
+    cols = []
+    for c in docs.columns:
+        mine = F.col("row")[c]
+        if c == text:
+            mine = F.col("new")
+        elif c == length:
+            mine = F.when(F.col("changed"), F.char_length("new").cast(docs.schema[c].dataType)).otherwise(mine)
+        if not (counts and c in COUNTS):
+            cols.append(mine.alias(c))
+    return j.select(*cols, *([F.col("chunks").alias(COUNTS[0]), F.col("lines").alias(COUNTS[1])] if counts else []))

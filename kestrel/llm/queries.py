@@ -99,19 +99,25 @@ def op5(spark, sf_dir):
 
 
 OP3_SQL = r"""
-WITH l AS (SELECT doc_id, i, line, (('0x' || substr(md5(line), 1, 15))::BIGINT) % 2147483647 AS h FROM
+WITH l AS (SELECT doc_id, i, line, regexp_matches(line, '[^\x20\x09-\x0D]') AS solid FROM
            (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS line
             FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents) WHERE len(w) > 1)),
-r AS (SELECT *, CASE WHEN i = 1 THEN 2147483648 ELSE (h * 48271 + lag(h) OVER d) % 2147483647 END AS r
-      FROM l WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT doc_id, i, (('0x' || substr(md5(line), 1, 15))::BIGINT) % 2147483647 AS h, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j
+      FROM l WHERE solid),
+r AS (SELECT *, CASE WHEN j = 1 THEN 2147483648 ELSE (h * 48271 + lag(h) OVER d) % 2147483647 END AS r
+      FROM s WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
 e AS (SELECT *, coalesce(r < lead(r) OVER d AND r <= lag(r) OVER d, false) AS ends FROM r WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
 c AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM e),
-k AS (SELECT doc_id, pos, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n,
-             sum(regexp_matches(line, '[^\x20\x09-\x0D]')::INT) AS solid FROM c GROUP BY doc_id, pos),
-m AS (SELECT doc_id, pos, n, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) AS place FROM k WHERE n >= 2 AND solid >= 2),
+p AS (SELECT l.doc_id, l.i, l.line, l.solid, coalesce(last_value(c.pos IGNORE NULLS) OVER (PARTITION BY l.doc_id ORDER BY l.i), 0) AS pos
+      FROM l LEFT JOIN c ON c.doc_id = l.doc_id AND c.i = l.i),
+k AS (SELECT doc_id, pos, min(i) FILTER (WHERE solid) AS a, max(i) FILTER (WHERE solid) AS b, count(*) AS n,
+             count(*) FILTER (WHERE solid) AS solid FROM p GROUP BY doc_id, pos),
+x AS (SELECT p.doc_id, p.pos, any_value(k.n) AS n, string_agg(p.line, chr(10) ORDER BY p.i) AS chunk
+      FROM p JOIN k ON p.doc_id = k.doc_id AND p.pos = k.pos AND p.i BETWEEN k.a AND k.b WHERE k.solid >= 2 GROUP BY p.doc_id, p.pos),
+m AS (SELECT doc_id, pos, n, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) AS place FROM x),
 g AS (SELECT doc_id, count(*) AS removed_chunks, sum(n)::BIGINT AS removed_lines FROM m WHERE place > 1 GROUP BY doc_id),
-t AS (SELECT c.doc_id, string_agg(c.line, chr(10) ORDER BY c.i) AS text
-      FROM c LEFT JOIN m ON c.doc_id = m.doc_id AND c.pos = m.pos AND m.place > 1 WHERE m.place IS NULL GROUP BY c.doc_id)
+t AS (SELECT p.doc_id, string_agg(p.line, chr(10) ORDER BY p.i) AS text
+      FROM p LEFT JOIN m ON p.doc_id = m.doc_id AND p.pos = m.pos AND m.place > 1 WHERE m.place IS NULL GROUP BY p.doc_id)
 SELECT d.doc_id, CASE WHEN g.doc_id IS NULL THEN d.text ELSE coalesce(t.text, '') END AS text,
        coalesce(removed_chunks, 0)::BIGINT AS removed_chunks, coalesce(removed_lines, 0)::BIGINT AS removed_lines
 FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id LEFT JOIN t ON d.doc_id = t.doc_id

@@ -141,11 +141,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingl
     """Rows of ``docs`` with one row left of each near-duplicate component: the
     one with the smallest id (a null id only where the component has no other).
     If that id stands on several texts of the component, the text with the
-    smallest hash stays; of rows repeated in full, one."""
+    smallest hash stays; of rows with equal id and text the one with the smallest hash of all
+    columns, of rows repeated in full one.  Null and wordless texts are one component.  An empty
+    table gives an empty result; other columns are carried along, whatever their names."""
     rows = cut_lineage(fingerprints(docs, id_col, text, shingle))
     classes = classes_of(rows, radius, pair_limit)
     firsts = rows.join(classes, "fp").where(F.col("_id").eqNullSafe(F.col("component_id")))
     one = firsts.groupBy("root").agg(F.min(F.struct("_id", "_text_hash")).alias("k")).select("k.*")
-    here = docs.withColumn("_here", F.xxhash64(text))
-    same = F.col("_here").eqNullSafe(F.col("_text_hash")) & here[id_col].eqNullSafe(F.col("_id"))
-    return here.join(one, same).dropDuplicates(["_id", "_text_hash"]).select(*[here[c] for c in docs.columns])
+    # the input travels as one column, so that its names meet none of those used here
+    here = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].alias("id"), F.xxhash64(docs[text]).alias("th"))
+    same = F.col("th").eqNullSafe(F.col("_text_hash")) & F.col("id").eqNullSafe(F.col("_id"))
+    kept = here.join(one, same).groupBy("id", "th").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

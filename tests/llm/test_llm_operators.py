@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from kestrel.llm import bpe, components, decontam, hmm, labelled, licenses, linededup, quality, rules, simhash, suffixes, toxicity
@@ -127,27 +128,30 @@ def test_components_of_chains_and_stars(spark):
 def brute_line_dedup(rows):
     """Chunks by the written rule, in plain Python."""
     def chunks(t):
+        """(lines with the blank ones behind, bytes that are compared, non-blank lines) of each chunk."""
         lines = t.split("\n")
-        h = [int(hashlib.md5(x.encode()).hexdigest()[:15], 16) % linededup.PRIME for x in lines]
+        at = [i for i, x in enumerate(lines) if x.encode().strip()]
+        if len(lines) < 2 or len(at) < 2:
+            return [(lines, "", 0)]
+        h = [int(hashlib.md5(lines[i].encode()).hexdigest()[:15], 16) % linededup.PRIME for i in at]
         r = [linededup.PRIME + 1] + [(h[i] * linededup.FACTOR + h[i - 1]) % linededup.PRIME for i in range(1, len(h))]
         out, a = [], 0
-        for i in range(len(lines)):
-            if i == len(lines) - 1 or i > 0 and r[i] < r[i + 1] and r[i] <= r[i - 1]:
-                out.append(lines[a:i + 1])
+        for i in range(len(at)):
+            if i == len(at) - 1 or i > 0 and r[i] < r[i + 1] and r[i] <= r[i - 1]:
+                start = at[a] if a else 0
+                stop = at[i + 1] if i + 1 < len(at) else len(lines)
+                out.append((lines[start:stop], "\n".join(lines[at[a]:at[i] + 1]), i + 1 - a))
                 a = i + 1
         return out
-
-    def solid(c):
-        return len(c) >= 2 and sum(bool(x.encode().strip()) for x in c) >= 2
     docs = sorted({(d, t) for d, t in rows if t is not None}, key=lambda x: (x[0] is not None, x))
     seen, result = set(), {}
     for d, t in docs:
         left = []
-        for c in chunks(t):
-            if solid(c) and tuple(c) in seen:
+        for c, key, solid in chunks(t):
+            if solid >= 2 and key in seen:
                 continue
-            if solid(c):
-                seen.add(tuple(c))
+            if solid >= 2:
+                seen.add(key)
             left += c
         result[(d, t)] = "\n".join(left)
     return result
@@ -184,7 +188,49 @@ def test_line_chunks_resist_shifts(spark):
     assert got[1]._n_lines == 0 and got[2]._n_lines >= 180 and "inserted" in got[2].text
 
 
+@pytest.mark.parametrize("between", ["\n", "\n\n", "\n \n\t\n"])
+def test_blank_lines_hide_no_copy(spark, between):
+    rng = random.Random(12)
+    shared = [f"paragraph {rng.random()} of forty" for _ in range(40)]
+    texts = {1: shared, 2: [f"own {rng.random()}" for _ in range(20)] + shared + [f"more {rng.random()}" for _ in range(20)], 3: shared}
+    got = {r.doc_id: r.text.count("paragraph") for r in linededup.dedup_lines(
+        spark.createDataFrame([(d, between.join(x)) for d, x in texts.items()], SCHEMA)).collect()}
+    assert got[1] == 40 and got[2] <= 5 and got[3] <= 1
+
+
+CLASH = ["_n_chunks", "_n_lines", "_gone", "_here", "_id", "_text_hash", "_th", "_h", "row", "id", "th", "old", "new", "gone", "changed", "root", "k"]
+
+
+def test_names_of_the_input_meet_no_internal_ones(spark):
+    cols = "doc_id long, text string, n_chars long, " + ", ".join(f"{c} string" for c in CLASH)
+    text = "\n".join(f"line {i} of a text" for i in range(30))
+    rows = [(i, text if i < 3 else f"other words {i}\nand {i} more", 7, *[f"{c} {i}" for c in CLASH]) for i in range(6)]
+    df = spark.createDataFrame(rows, cols)
+    plain = {r.doc_id: r for r in linededup.dedup_lines(df.select("doc_id", "text")).collect()}
+    for r in linededup.dedup_lines(df).collect():
+        assert (r.text, r._n_chunks, r._n_lines) == tuple(plain[r.doc_id]["text _n_chunks _n_lines".split()[k]] for k in range(3))
+        assert all(r[c] == f"{c} {r.doc_id}" for c in CLASH[2:])
+    bare = linededup.dedup_lines(df, counts=False, length="n_chars")
+    assert bare.columns == df.columns
+    for r in bare.collect():
+        assert r.n_chars == (len(r.text) if plain[r.doc_id]._n_chunks else 7) and r._n_chunks == f"_n_chunks {r.doc_id}"
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(kept.collect()) == sorted(r for r in df.collect() if r.doc_id not in (1, 2))
+    twice = df.where("doc_id = 5").unionByName(df.where("doc_id = 5").withColumn("k", F.lit("z"))).unionByName(df.where("doc_id = 5"))
+    assert simhash.keep_one(twice).count() == 1
+
+
 # ---- 4: licences -------------------------------------------------------
+def test_unknown_identifiers_and_other_tags(spark):
+    rows = [(0, "SPDX-License-Identifier: OFL-1.1\n"), (1, "SPDX-License-Identifier: MIT AND EUPL-1.2"), (2, "license: 0BSD or MIT"),
+            (3, "Licence: see the file"), (4, "SPDX-License-Identifier: LicenseRef-x WITH y-exception")]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {0: ("ofl-1.1", 0.0), 1: ("eupl-1.2,mit", 0.0), 2: ("0bsd,mit", 1.0), 3: ("", 0.0), 4: ("licenseref-x", 0.0)}
+    other = licenses.scan(spark.createDataFrame([(0, "Copying: MIT")], SCHEMA), tags=["copying:"]).first()
+    assert (other.labels, other.score) == ("mit", 1.0)
+
+
 def test_licence_places(spark, edge, empty):
     rng = random.Random(2)
     voc = "gnu general public license apache mit cc by é GNU License x MIT-License CC cc-by , . \n".split(" ")
