@@ -7,41 +7,46 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kestrel.llm import bpe, decontam, linededup, quality, simhash
 from kestrel.llm.queries import prepare, table, vocabulary_path
 from kestrel.llm.scratch import remove
 
 
+# Every stage: null and empty texts are documents like any other, rows repeated in full
+# are judged each, an empty table gives an empty one, columns beside doc_id, text
+# and n_chars are carried along whatever their names.
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go.  Without labelled documents none does."""
     prepare(spark)
     return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks leave the texts; n_chars follows."""
+    """Repeated multi-line chunks leave the texts, n_chars follows; no row goes, a text
+    of which nothing is left is empty.  Null texts stay null."""
     prepare(spark)
-    out = linededup.dedup_lines(docs)
-    changed = F.when(F.col("_n_chunks") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return out.select(*[changed.alias(c) if c == "n_chars" else c for c in docs.columns])
+    return linededup.dedup_lines(docs, counts=False, length="n_chars")
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
+    """One document of each near-duplicate group stays: that of the smallest id.  All null
+    and wordless texts are one group; rows repeated in full leave one."""
     prepare(spark)
     return simhash.keep_one(docs, shingle=3, radius=2)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark window go."""
+    """Documents that hold a benchmark window go; null and empty texts hold none."""
     prepare(spark)
     return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the documents that are left."""
+    """Token counts and digests of the documents that are left, one row each; null texts
+    count as empty."""
     prepare(spark)
     return bpe.round_trip(docs, vocabulary_path())
 
@@ -64,7 +69,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4()}"
     docs, before = table(spark, sf_dir, "documents"), None
-    for name, stage in STAGES[:-1]:
+    for name, stage in STAGES[:-1]:  # (the last table stays: the result is read from it)
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
         if before:
