@@ -19,6 +19,7 @@ import hashlib
 import json
 import sys
 import unicodedata
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -162,9 +163,16 @@ def load_ranks(raw: bytes) -> dict[bytes, int]:
 def all_splits(symbols: dict, ranked: dict) -> PairTable:
     """Every way to split a ranked symbol into two symbols; for vocabularies that
     rank the joined symbol."""
-    rows = [(symbols[p[:i]], symbols[p[i:]], r, symbols[p]) for p, r in ranked.items() for i in range(1, len(p))
-            if p[:i] in symbols and p[i:] in symbols]
-    return PairTable(*(zip(*rows) if rows else ([], [], [], [])))
+    left, right, rank, merged = (array("i") for _ in range(4))
+    for p, r in ranked.items():
+        for i in range(1, len(p)):
+            a, b = symbols.get(p[:i]), symbols.get(p[i:])
+            if a is not None and b is not None:
+                left.append(a)
+                right.append(b)
+                rank.append(r)
+                merged.append(symbols[p])
+    return PairTable(left, right, rank, merged)
 
 
 class Codec:
@@ -219,6 +227,9 @@ class Codec:
         upto = np.concatenate([[0], np.cumsum(sizes)])
         return ids, upto[np.searchsorted(starts, offsets)]
 
+    def release(self) -> None:
+        self.cache.clear()
+
     def decode(self, ids: np.ndarray) -> bytes:
         return bytes(self.pool.joined(ids)[0])
 

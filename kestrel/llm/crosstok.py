@@ -81,6 +81,10 @@ class Aligner:
             good &= fits
         return *_keep(ids_a, row_a, good), *_keep(ids_b, row_b, good)
 
+    def release(self) -> None:
+        self.a.release()
+        self.b.release()
+
     def align(self, data: np.ndarray, offsets: np.ndarray) -> Aligned:
         return Aligned(self, *self.tokens(data, offsets))
 
@@ -227,6 +231,7 @@ def _describe(docs: DataFrame, path_a: str, path_b: str, text: str) -> DataFrame
             yield _batch(arrow, numbers, chunk.n)
             distinct, n = np.unique(code, return_counts=True)
             yield _batch(arrow, {"code": pa.array(distinct), "n": pa.array(n.astype(np.int64))}, len(n))
+        aligner.release()
 
     setup = _aligner(docs.sparkSession, path_a, path_b)
     return docs.select("row", "id", text).mapInArrow(run, schema)

@@ -18,10 +18,10 @@ SYMBOL_BITS = 21
 PAD = (1 << SYMBOL_BITS) - 1            # stands outside every sequence; takes part in no pair
 NO_RANK = np.uint32(0xFFFFFFFF)
 WIDEST = 64
-CACHE_SLICES, CACHE_TOKENS = 600_000, 6_000_000
+CACHE_SLICES, CACHE_TOKENS = 100_000, 1_000_000
 _FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
-_MATRIX_CELLS = 1 << 21
+_MATRIX_CELLS = 1 << 18
 
 
 class PairTable:
@@ -171,14 +171,14 @@ def _merge_long(table: PairTable, s: list[int]) -> list[int]:
 
 class SliceCache:
     """Symbols of whole slices.  ``encode`` turns an array of distinct slices into
-    (flat ids, counts); a slice met again, in this or a later buffer of the worker
-    process, is only looked up.  The cache is emptied at its size limit."""
+    (flat ids, counts); a slice met again, in this or a later buffer of the task,
+    is only looked up.  The cache is emptied at its size limit and at the end of a task."""
 
     def __init__(self, encode: Callable[[pa.LargeBinaryArray], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.slot: dict[bytes, int] = {}
         self.flat, self.upto = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
@@ -190,7 +190,7 @@ class SliceCache:
         slices = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, bounds.buffers()[1], pa.py_buffer(data)])
         coded = slices.dictionary_encode()
         if len(self.slot) > CACHE_SLICES or len(self.flat) > CACHE_TOKENS:
-            self._clear()
+            self.clear()
         values = coded.dictionary.to_pylist()
         known = np.fromiter(map(self.slot.get, values, [-1] * len(values)), np.int64, len(values))
         new = np.flatnonzero(known < 0)

@@ -280,6 +280,9 @@ class PieceCodec:
             behind = np.where(some & tail, span, behind)
         return ids, row, span, behind
 
+    def release(self) -> None:
+        self.cache.clear()
+
     def decode(self, ids: list[int]) -> bytes:
         """UTF-8 of the decoded text; byte pieces that form no character give U+FFFD each."""
         kinds, prefix = self.model.kinds, self.model.dummy_prefix or self.model.trim_spaces

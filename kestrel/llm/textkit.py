@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 U64 = np.uint64
 _RNG = np.random.default_rng(20240229)
@@ -201,15 +201,20 @@ def list_column(flat: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.A
 def map_chunks(df: DataFrame, schema: str, fn: Callable[[Chunk], pa.RecordBatch | None], text: str = "text",
                setup: Callable | None = None) -> DataFrame:
     """Arrow map over chunks of rows of ``df``.  ``setup`` builds per-task
-    state, handed to ``fn`` as its second argument."""
+    state, handed to ``fn`` as its second argument; its ``release``, if it has one, is called
+    at the end of the task."""
 
     def run(batches):
         state = setup() if setup is not None else None
-        for batch in batches:
-            for chunk in chunks(batch, text):
-                out = fn(chunk, state) if setup is not None else fn(chunk)
-                if out is not None:
-                    yield out
+        try:
+            for batch in batches:
+                for chunk in chunks(batch, text):
+                    out = fn(chunk, state) if setup is not None else fn(chunk)
+                    if out is not None:
+                        yield out
+        finally:
+            if hasattr(state, "release"):
+                state.release()
 
     return df.mapInArrow(run, schema)
 
