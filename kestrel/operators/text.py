@@ -63,7 +63,10 @@ def vocabulary(stats: DataFrame, min_df: int = 2, max_features: int | None = Non
 
 def weights(tf: DataFrame, vocab: DataFrame, id_col: str, n_docs: DataFrame, scheme: str = "tfidf") -> DataFrame:
     """(id, term, term_idx, w) with scheme 'count' | 'tf_l2' | 'tfidf'
-    (smoothed idf = ln((1+n)/(1+df)) + 1, then L2 per document)."""
+    (smoothed idf = ln((1+n)/(1+df)) + 1, then L2 per document).  ``vocab``: (term, df, term_idx); term_idx
+    is null if it is not ranked."""
+    if "term_idx" not in vocab.columns:
+        vocab = vocab.withColumn("term_idx", F.lit(None).cast("bigint"))
     j = tf.join(vocab.select("term", "term_idx", "df"), "term")
     if scheme == "count":
         return j.select(id_col, "term", "term_idx", F.col("tf").cast("double").alias("w"))

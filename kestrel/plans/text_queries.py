@@ -26,7 +26,8 @@ def _vocabulary(docs):
 
 def _tf(spark, sf):
     docs = load(spark, sf, "documents")
-    return docs, X.term_counts(X.tokens(docs, "doc_id", "text"), "doc_id"), _vocabulary(docs)
+    # no rank of the vocabulary: none of the weight queries returns it
+    return docs, X.term_counts(X.tokens(docs, "doc_id", "text"), "doc_id"), X.term_stats(docs, "text").where(F.col("df") >= 2)
 
 
 @query("text_tokenize", sql=f"""
