@@ -29,11 +29,62 @@ def share_of_total(per: DataFrame, col: str, base: DataFrame, out: str = "share"
     return per.withColumn(out, F.col(col) / scalar(base.agg(F.count(F.lit(1)).alias("_tot"))))
 
 
-def merge_split(train_ids: DataFrame, test_ids: DataFrame, id_col: str) -> DataFrame:
-    """Train rows first; test rows whose id already is in train are dropped."""
-    tr = train_ids.select(id_col).withColumn("split", F.lit("train"))
-    te = test_ids.select(id_col).join(train_ids.select(id_col), id_col, "left_anti").withColumn("split", F.lit("test"))
-    return tr.unionByName(te)
+def merge_split(train: DataFrame, test: DataFrame, id_col: str, exclude_overlap: bool = True, pool: str = "union") -> DataFrame:
+    """The merged corpus of two article tables: all columns (those that one side lacks are
+    null there), ``split`` (train or test: the table a row comes from) and ``fit`` (whether its id belongs to
+    the ids that models are fitted on).
+
+    ``exclude_overlap``: test rows whose id is in train go; otherwise both stay.  ``pool``: 'union' fits on the
+    ids of both tables, 'train_only' on those of train, so that an overlapping id that stays is
+    fitted on.  Repeated rows of a table stay.  Null ids never overlap and are not fitted on."""
+    if pool not in ("union", "train_only"):
+        raise ValueError(f"pool must be 'union' or 'train_only', not {pool!r}")
+    known = train.select(id_col).distinct()
+    te = test.join(known, id_col, "left_anti") if exclude_overlap else test
+    tr = train.withColumn("split", F.lit("train"))
+    both = tr.unionByName(te.withColumn("split", F.lit("test")), allowMissingColumns=True)
+    has_id = F.col(id_col).isNotNull()
+    if pool == "union":
+        return both.withColumn("fit", has_id)
+    if exclude_overlap:
+        return both.withColumn("fit", has_id & (F.col("split") == "train"))
+    return both.join(known.withColumn("_known", F.lit(True)), id_col, "left").withColumn("fit", F.col("_known").isNotNull()).drop("_known")
+
+
+def label_dictionary(labels: DataFrame, cat: str = "cat") -> DataFrame:
+    """(cat, idx): the labels that occur, numbered from 0 by name.  Null is no label."""
+    from kestrel.operators.evaluate import running_totals
+    found = labels.where(F.col(cat).isNotNull()).select(cat).distinct().withColumn("one", F.lit(1))
+    return running_totals(found, [], cat, ["one"], descending=False).select(cat, (F.col("cum_one") - 1).alias("idx"))
+
+
+def label_vectors(ids: DataFrame, labels: DataFrame, dictionary: DataFrame, id_col: str = "id", cat: str = "cat") -> DataFrame:
+    """(id, indices): the ascending dictionary numbers of each document's labels, the ones of its row
+    in the indicator matrix.  Documents without labels have an empty array, repeated labels count once."""
+    own = labels.select(id_col, cat).distinct().join(dictionary, cat).groupBy(id_col).agg(F.array_sort(F.collect_list("idx")).alias("indices"))
+    return ids.select(id_col).join(own, id_col, "left").select(id_col, F.coalesce("indices", F.array().cast("array<bigint>")).alias("indices"))
+
+
+def crosstab(ids: DataFrame, labels: DataFrame, categories: DataFrame, id_col: str = "id", cat: str = "cat") -> DataFrame:
+    """(id, cat, n): how often each of ``categories`` (a level of the tree) occurs with each id, zeros included."""
+    from kestrel.functions import scalar
+    per = labels.join(categories.select(cat), cat, "left_semi").groupBy(id_col, cat).agg(F.count(F.lit(1)).alias("n")) \
+        .groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct(cat, "n"))).alias("_n"))
+    row = ids.select(id_col).join(per, id_col, "left").withColumn("_all", scalar(categories.agg(F.collect_set(cat).alias("_all"))))
+    return row.select(id_col, "_n", F.explode("_all").alias(cat)).select(
+        id_col, cat, F.coalesce(F.element_at("_n", F.col(cat)), F.lit(0)).alias("n"))
+
+
+def stratified_split(df: DataFrame, stratum: str, id_col: str, train_pct: int = 80, out: str = "split") -> DataFrame:
+    """Exactly ``train_pct`` per cent (rounded) of every stratum's rows are 'train', by a draw from the id.
+    Positions come from running counts, so a hot stratum is no single task.  Null is a
+    stratum of its own; ids should be unique (equal ones may fall apart)."""
+    from kestrel.operators.evaluate import running_totals
+    d = df.withColumn("_s", F.to_json(F.struct(stratum))).withColumn("_o", F.struct(draw_key(id_col).alias("h"), F.col(id_col).alias("i")))
+    at = running_totals(d.withColumn("_one", F.lit(1)), ["_s"], "_o", ["_one"], descending=False)
+    sizes = at.groupBy("_s").agg(F.count(F.lit(1)).alias("_size"))
+    quota = F.floor((F.col("_size") * train_pct + 50) / 100)
+    return at.join(sizes, "_s").withColumn(out, F.when(F.col("cum__one") <= quota, "train").otherwise("test")).select(*df.columns, out)
 
 
 def hash_split(df: DataFrame, id_col: str, train_pct: int = 80, mult: int = 7919) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.functions import scalar
+
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row: number of keys seen more than once and surplus rows."""
@@ -52,6 +54,15 @@ def null_summary(df: DataFrame, cols: list[str]) -> DataFrame:
                   F.count(F.lit(1)).alias("n_rows"))
 
 
+def empty_cells(df: DataFrame, d: str, id_col: str, x: str) -> DataFrame:
+    """One row: cells of the dates x ids grid of ``df`` without a known ``x`` (empty_<x>_cells) and
+    the most on one date (max_empty_<x>_per_date).  Nothing of the grid is spelt out."""
+    cells = df.groupBy(d, id_col).agg(F.count(x).alias("_k"))
+    filled = cells.groupBy(d).agg(F.count(F.when(F.col("_k") > 0, 1)).alias("_f"))
+    empty = filled.withColumn("_e", scalar(cells.agg(F.countDistinct(id_col).alias("n"))) - F.col("_f"))
+    return empty.agg(F.sum("_e").alias(f"empty_{x}_cells"), F.max("_e").alias(f"max_empty_{x}_per_date"))
+
+
 def dispersion(df: DataFrame, d: str, x: str, q: float = 0.99) -> DataFrame:
     """Cross-sectional sd per date and the dates above its q-quantile."""
     per = df.groupBy(d).agg(F.stddev_samp(x).alias("xs_sd"))

@@ -11,12 +11,15 @@ observation index, so no series is collected anywhere.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.session import cut_lineage
+
 
 # ----------------------------------------------------------- simple OLS -----
 def ols_simple(df: DataFrame, x: str, y: str, by: list[str] | None = None) -> DataFrame:
@@ -262,6 +265,16 @@ def ols_multi(df: DataFrame, xs: list[str], y: str, by: list[str] | None = None,
     return solve_moments(moments(df, xs, y, by, weight), xs, by)
 
 
+def ols_specs(df: DataFrame, specs: dict[str, list[str]], y: str) -> DataFrame:
+    """(spec, term, coef, se, t, n, r2, rss, ser): regressions of ``y`` on several regressor lists over
+    one common sample, the rows where ``y`` and every regressor of every list are known.  The
+    moments of all regressors come from one scan; each list is a sub-matrix of them."""
+    every = list(dict.fromkeys(x for xs in specs.values() for x in xs))
+    table = cut_lineage(moments(df, every, y))      # one row
+    fits = [solve_moments(table, sorted(xs, key=every.index)).withColumn("spec", F.lit(name)) for name, xs in specs.items()]
+    return reduce(DataFrame.unionByName, fits)
+
+
 def hac_multi(df: DataFrame, order: str, xs: list[str], y: str, by: list[str] | None = None) -> DataFrame:
     """k-regressor OLS with Newey-West covariance.  Each group is one time
     series (one row per date), handed whole to a grouped pandas function; the

@@ -45,18 +45,16 @@ def set_union_distinct(spark, sf):
             .union(load(spark, sf, "labels").select(F.col("doc_id").alias("id"))).distinct())
 
 
-@query("set_intersect", sql="SELECT o_custkey AS id FROM orders INTERSECT SELECT c_custkey FROM customer WHERE c_nationkey < 5")
+@query("set_intersect", sql="SELECT o_custkey AS id FROM orders INTERSECT SELECT c_custkey FROM customer")
 def set_intersect(spark, sf):
     o = load(spark, sf, "orders").select(F.col("o_custkey").alias("id"))
-    c = load(spark, sf, "customer").where("c_nationkey < 5").select(F.col("c_custkey").alias("id"))
-    return o.intersect(c)
+    return o.intersect(load(spark, sf, "customer").select(F.col("c_custkey").alias("id")))
 
 
-@query("set_except", sql="SELECT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
+@query("set_except", sql="SELECT doc_id AS id FROM documents EXCEPT SELECT doc_id FROM labels")
 def set_except(spark, sf):
-    c = load(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
-    o = load(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("id"))
-    return c.subtract(o)
+    d = load(spark, sf, "documents").select(F.col("doc_id").alias("id"))
+    return d.subtract(load(spark, sf, "labels").select(F.col("doc_id").alias("id")))
 
 
 # The return flags pivoted into columns.
@@ -147,16 +145,13 @@ def src_taxonomy_csv(spark, sf):
 
 
 @query("src_header_dates_unpivot", rnd=["y"], dp=2, sql=with_(PANEL_M) + """
-SELECT id AS region, d AS t, price AS y FROM panel_m WHERE id = 7 AND d BETWEEN DATE '1996-01-01' AND DATE '1996-12-01'""")
+SELECT id AS region, d AS t, price AS y FROM panel_m WHERE price IS NOT NULL""")
 def src_header_dates_unpivot(spark, sf):
-    """One region row with months as column headers -> (region, t, y)."""
-    m = B.panel_monthly(spark, sf).where((F.col("id") == 7) & F.col("d").between(F.lit("1996-01-01").cast("date"),
-                                                                                F.lit("1996-12-01").cast("date")))
-    months = [f"1996-{i:02d}-01" for i in range(1, 13)]
-    m = m.withColumn("month", F.date_format("d", "yyyy-MM-dd"))
-    wide = m.groupBy(F.col("id").alias("region")).pivot("month", months).agg(F.first("price"))
-    long = wide.unpivot(["region"], months, "t", "y")
-    return long.select("region", F.col("t").cast("date").alias("t"), "y").where(F.col("y").isNotNull())
+    """A wide file with one row per region and months as headers -> (region, t, y) for all
+    regions; which columns are months is found in the header."""
+    path = _scratch(spark, "wide_csv")
+    FS.write_wide_dates(B.panel_monthly(spark, sf).withColumnRenamed("id", "region"), "region", "d", "price", path)
+    return FS.read_wide_dates(spark, path).withColumn("region", F.col("region").cast("bigint"))
 
 
 @query("src_chunked_filtered", sql=with_(LABELS_LONG) + """

@@ -18,10 +18,12 @@ from kestrel.operators import evaluate as E
 from kestrel.operators import linear as LI
 from kestrel.operators import sparse as SP
 from kestrel.operators import text as X
+from kestrel.operators import topdown as TD
 from kestrel.operators import tree as T
 from kestrel.plans.registry import query
 from kestrel.plans.tree_queries import _edges, gold_edges
 from kestrel.session import ensure_checkpoint_dir
+from kestrel.sources import bindings as B
 from kestrel.sources.tables import load
 
 
@@ -263,36 +265,20 @@ def clf_c_global(spark, sf):
         .orderBy(F.col("val_f1").desc(), "c")
 
 
-@query("clf_node_multiclass", rnd=["accuracy"])
+@query("clf_node_multiclass")
 def clf_node_multiclass(spark, sf):
-    """One multinomial model per branching node (next hop among its children)."""
-    from kestrel.plans.tree_queries import label_node_dataset  # noqa: F401
-    from kestrel.sources import bindings as B
+    """One model per branching node over its children, trained on the primary labels; every
+    document walks from the root to a leaf.  (id, split, gold, node, path)."""
+    from kestrel.session import cut_lineage
     e = _edges(spark, sf)
-    dep = T.depth(e)
-    prim = T.deepest_label(B.labels_long(spark, sf), dep)
-    hops = (prim.select("id", F.col("cat").alias("descendant")).join(T.closure(e), "descendant")
-            .join(e.select(F.col("parent").alias("ancestor"), "child"), "ancestor")
-            .join(T.closure(e).select(F.col("ancestor").alias("child"), F.col("descendant").alias("_d2")), "child")
-            .where(F.col("_d2") == F.col("descendant")).select("id", F.col("ancestor").alias("node"), "child"))
-    docs = with_tokens(load(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")).cache()
-    feats = Pipeline(stages=featurizer()).fit(docs).transform(docs).select("id", "features")
-    data = train_frame(C.hash_split(hops.join(feats, "id"), "id"))
-    nodes = [r[0] for r in T.branching(e).select("parent").orderBy("parent").collect()]   # tree-sized list
-    from pyspark.ml.feature import StringIndexer
-
-    def fit_node(node):
-        def run():
-            dn = data.where(F.col("node") == node)
-            pm = Pipeline(stages=[StringIndexer(inputCol="child", outputCol="label", handleInvalid="keep"),
-                                  LogisticRegression(family="multinomial", regParam=0.01, maxIter=30)]).fit(
-                dn.where("split = 'train'"))
-            p = pm.transform(dn.where("split = 'test'"))
-            return p.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
-                         F.count(F.lit(1)).alias("n")).withColumn("node", F.lit(node))
-        return run
-    out = _union(fit_concurrently([fit_node(n) for n in nodes]))
-    return out
+    clos = cut_lineage(T.closure(e))
+    prim = cut_lineage(T.deepest_label(B.labels_long(spark, sf), T.depth(e)).select("id", "cat"))
+    hops = cut_lineage(C.hash_split(TD.next_hops(prim, e, clos), "id"))
+    gold = C.hash_split(TD.node_gold(hops, e), "id")
+    docs = load(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    with SP.tfidf_rows(docs, "id", "text") as (features, _):
+        out = TD.walk(gold, hops.where("split = 'train'"), e, features)
+    return C.hash_split(out.join(prim.withColumnRenamed("cat", "gold"), "id", "left"), "id").select("id", "split", "gold", "node", "path")
 
 
 @query("eval_train_test", rnd=["accuracy", "precision", "recall", "f1"])

@@ -71,14 +71,20 @@ def dq_identical_day(spark, sf):
 SELECT (SELECT count(CASE WHEN price IS NULL THEN 1 END) FROM panel_d) AS null_price,
        (SELECT count(CASE WHEN ret IS NULL THEN 1 END) FROM panel_d) AS null_ret,
        (SELECT count(*) FROM panel_d) AS n_rows,
-       max(np) AS max_null_price_per_date FROM per""")
+       max(np) AS max_null_price_per_date,
+       (SELECT count(DISTINCT d) * count(DISTINCT id) - count(DISTINCT CASE WHEN ret IS NOT NULL THEN (d, id) END) FROM panel_d) AS empty_ret_cells,
+       (SELECT (SELECT count(DISTINCT id) FROM panel_d) - min(c) FROM (SELECT d, count(DISTINCT CASE WHEN ret IS NOT NULL THEN id END) AS c
+        FROM panel_d GROUP BY d) AS _h) AS max_empty_ret_per_date FROM per""")
 def dq_null_summary(spark, sf):
+    """Nulls by column, and cells of the calendar x id grid without a return (no row, or
+    null returns only): in all and on the worst date."""
     p = B.panel_daily_raw(spark, sf)
     per = p.groupBy("d").agg(F.count(F.when(F.col("price").isNull(), 1)).alias("np"),
                              F.count(F.when(F.col("ret").isNull(), 1)).alias("nr"),
                              F.count(F.lit(1)).alias("c"))
-    return per.agg(F.sum("np").alias("null_price"), F.sum("nr").alias("null_ret"),
-                   F.sum("c").alias("n_rows"), F.max("np").alias("max_null_price_per_date"))
+    nulls = per.agg(F.sum("np").alias("null_price"), F.sum("nr").alias("null_ret"),
+                    F.sum("c").alias("n_rows"), F.max("np").alias("max_null_price_per_date"))
+    return K.attach_scalars(nulls, Q.empty_cells(p, "d", "id", "ret"))
 
 
 @query("dq_volume_consistency", sql=_D + """

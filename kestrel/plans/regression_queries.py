@@ -307,17 +307,35 @@ def reg_exposure_gap(spark, sf):
     return R.ols_multi(_did_frame(spark, sf), ["gap", *_CH], "demp")
 
 
+_REGIONS = [f"region_{k}" for k in range(1, 5)]   # region 0 is the reference level
+
+
+def _exposure_frame(spark, sf):
+    """The store frame with further controls from the first wave: months with orders (hours), share of
+    urgent orders in per cent (share_affected), mean order value in 10,000s (price; null without
+    orders), and region dummies."""
+    from kestrel.sources.tables import load
+    o = load(spark, sf, "orders").where(F.col("o_orderdate") < F.lit("1998-07-01").cast("timestamp_ntz"))
+    wave = o.groupBy(F.col("o_custkey").alias("store")).agg(
+        F.countDistinct(F.date_trunc("month", "o_orderdate")).cast("double").alias("hours"),
+        (100 * F.avg((F.col("o_orderpriority") == "1-URGENT").cast("double"))).alias("share_affected"),
+        (F.avg("o_totalprice") / 10000).alias("price"))
+    n = load(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    place = load(spark, sf, "customer").join(n, "c_nationkey").select(
+        F.col("c_custkey").alias("store"), *[(F.col("n_regionkey") == k).cast("double").alias(c) for k, c in enumerate(_REGIONS, 1)])
+    return _did_frame(spark, sf).join(place, "store").join(wave, "store", "left")
+
+
+_CONTROLS = ["gap", *_CH, "co_owned"]
+ROBUSTNESS = {"m6_hours": [*_CONTROLS, "hours"], "m7_initial_size": [*_CONTROLS, "fte"], "m8_share_affected": [*_CONTROLS, "share_affected"],
+              "m9_price": [*_CONTROLS, "price"], "m10_regions": [*_CONTROLS, *_REGIONS],
+              "m11_all": [*_CONTROLS, *_REGIONS, "fte", "hours", "price"]}
+
+
 @query("reg_robustness_table", rnd=["coef", "se", "t", "r2", "rss", "ser"])
 def reg_robustness_table(spark, sf):
-    """Several specifications on one common listwise sample, one moment
-    aggregation per spec label (unpivot-free: specs are a literal list)."""
-    d = _did_frame(spark, sf)
-    specs = {"m6": ["nj"], "m7": ["nj", *_CH], "m8": ["gap"], "m9": ["gap", *_CH], "m10": ["nj", "co_owned"]}
-    out = None
-    for name, xs in specs.items():
-        r = R.ols_multi(d, xs, "demp").withColumn("spec", F.lit(name))
-        out = r if out is None else out.unionByName(r)
-    return out
+    """Exposure gap with six sets of controls on one common listwise sample, from one moment matrix."""
+    return R.ols_specs(_exposure_frame(spark, sf), ROBUSTNESS, "demp")
 
 
 @query("reg_alt_outcome", rnd=["coef", "se", "t", "r2", "rss", "ser"])

@@ -3,14 +3,18 @@ lag, portfolio return, lag/power families, costs, out-of-sample table."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators import panel as P
+from kestrel.operators import quality as Q
 from kestrel.plans.registry import query
 from kestrel.plans.sqlbind import CAL, EX, MKT, PANEL_M, PANEL_R, PI1, PR, W1, with_  # noqa: F401
-from kestrel.session import cut_lineage
+from kestrel.session import cut_lineage, ensure_checkpoint_dir, remove_folder
 from kestrel.sources import bindings as B
+from kestrel.sources import files as FS
 
 PERIODS = 12  # monthly panel
 # Sample windows of the monthly binding (in-sample, two out-of-sample).
@@ -428,9 +432,16 @@ def upload_rows(spark, sf):
     return _in_sample(out)
 
 
+def _audit(rows):
+    return Q.validate_upload(rows, ["pid", "d", "id", "k"], "w")
+
+
 @query("sink_upload_long", rnd=["w"], sql=_UPLOAD + "SELECT * FROM up")
 def sink_upload_long(spark, sf):
-    return upload_rows(spark, sf)
+    """The upload, written, audited on disk and committed by a rename, as read from its place."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/files/upload-{uuid.uuid4().hex}"
+    FS.commit_upload(upload_rows(spark, sf), path, _audit)
+    return spark.read.parquet(path)
 
 
 @query("sink_validate_upload", sql=_UPLOAD + """
@@ -440,9 +451,11 @@ SELECT count(*) AS n_rows, count(CASE WHEN w = 0 THEN 1 END) AS zeros, count(CAS
                  + count(*) - count(DISTINCT (pid, d, id, k)) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
 FROM up""")
 def sink_validate_upload(spark, sf):
-    """Post-write audit of the upload table: zeros, NaN, Inf, duplicate keys."""
-    from kestrel.operators.quality import validate_upload
-    return validate_upload(upload_rows(spark, sf), ["pid", "d", "id", "k"], "w")
+    """Post-write audit of the staged upload: zeros, NaN, Inf, duplicate keys, from the files."""
+    staged, written = FS.stage_upload(upload_rows(spark, sf), f"{ensure_checkpoint_dir(spark).rstrip('/')}/files/upload")
+    out = cut_lineage(_audit(written))
+    remove_folder(spark, staged)
+    return out
 
 
 # ------------------------------------------------- series-level reports -----

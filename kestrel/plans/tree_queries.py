@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kestrel import functions as K
 from kestrel.operators import corpus as C
+from kestrel.operators import topdown as TD
 from kestrel.operators import tree as T
 from kestrel.plans.registry import query
 from kestrel.plans.sqlbind import CLOSURE, LABELS_LONG, TAXONOMY, with_, with_rec
@@ -150,21 +151,20 @@ def label_leaf_status(spark, sf):
     return st.groupBy(s.alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
-# The first-level label columns of the indicator matrix.
-LEVEL1 = ["de", "en", "es", "fr"]
-
-
 @query("label_matrix", sql=with_(LABELS_LONG) + """
-SELECT d.doc_id AS id, """ + ", ".join(
-    f"CAST(coalesce(max(CASE WHEN l.cat = '{c}' THEN 1 END), 0) AS INTEGER) AS {c}" for c in LEVEL1) + """
-FROM documents d LEFT JOIN labels_long l ON l.id = d.doc_id GROUP BY d.doc_id""")
+, dict AS (SELECT cat, row_number() OVER (ORDER BY cat) - 1 AS idx FROM (SELECT DISTINCT cat FROM labels_long) AS _c),
+own AS (SELECT id, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) AS indices
+        FROM (SELECT DISTINCT l.id, idx FROM labels_long l JOIN dict USING (cat)) AS _o GROUP BY id)
+SELECT d.doc_id AS id, coalesce(indices, '') AS indices, (SELECT count(*) FROM dict) AS n_columns
+FROM documents d LEFT JOIN own ON own.id = d.doc_id""")
 def label_matrix(spark, sf):
-    """Multilabel indicator over a fixed label list; absent labels are 0."""
-    docs = load(spark, sf, "documents").select(F.col("doc_id").alias("id"))
-    lab = _labels(spark, sf).where(F.col("cat").isin(LEVEL1))
-    piv = lab.groupBy("id").pivot("cat", LEVEL1).agg(F.lit(1))
-    out = docs.join(piv, "id", "left")
-    return out.select("id", *[F.coalesce(F.col(c), F.lit(0)).cast("int").alias(c) for c in LEVEL1])
+    """Multilabel indicator over all labels of the data: the columns that are 1 in each
+    document's row, comma-joined; every other one is 0."""
+    lab = _labels_mat(spark, sf)
+    dictionary = C.label_dictionary(lab)
+    out = C.label_vectors(load(spark, sf, "documents").select(F.col("doc_id").alias("id")), lab, dictionary)
+    return out.select("id", F.array_join("indices", ",").alias("indices"),
+                      K.scalar(dictionary.agg(F.count(F.lit(1)).alias("n"))).alias("n_columns"))
 
 
 @query("join_left_labels", sql=with_(LABELS_LONG) + """
@@ -175,16 +175,13 @@ def join_left_labels(spark, sf):
     return docs.join(_labels(spark, sf), "id", "left").groupBy("id").agg(F.count("cat").alias("n_labels"))
 
 
-@query("agg_crosstab", sql="""
-SELECT lang, count(CASE WHEN l.doc_id IS NOT NULL THEN 1 END) AS labelled,
-       count(CASE WHEN l.doc_id IS NULL THEN 1 END) AS unlabelled
-FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY lang""")
+@query("agg_crosstab", sql=_TL + """
+SELECT d.doc_id AS id, c.node AS cat, count(l.cat) AS n FROM documents d CROSS JOIN (SELECT node FROM depth WHERE depth = 1) AS c
+LEFT JOIN labels_long l ON l.id = d.doc_id AND l.cat = c.node GROUP BY d.doc_id, c.node""")
 def agg_crosstab(spark, sf):
-    d = load(spark, sf, "documents").select("doc_id", "lang")
-    lab = load(spark, sf, "labels").select("doc_id", F.lit(1).alias("_l"))
-    j = d.join(lab, "doc_id", "left")
-    return j.groupBy("lang").agg(F.count(F.when(F.col("_l").isNotNull(), 1)).alias("labelled"),
-                                 F.count(F.when(F.col("_l").isNull(), 1)).alias("unlabelled"))
+    """Document x category counts over the first level of the tree, zeros included."""
+    level = T.depth(_edges(spark, sf)).where("depth = 1").select(F.col("node").alias("cat"))
+    return C.crosstab(load(spark, sf, "documents").select(F.col("doc_id").alias("id")), _labels(spark, sf), level)
 
 
 _GOLD = _TL + """
@@ -224,17 +221,12 @@ def join_subtree(spark, sf):
 , onpath AS (SELECT p.id, c.ancestor AS node, dd.depth AS node_depth FROM prim p JOIN closure c ON c.descendant = p.cat
              JOIN depth dd ON dd.node = c.ancestor),
 hop AS (SELECT id, node, lead(node) OVER (PARTITION BY id ORDER BY node_depth) AS next_hop FROM onpath)
-SELECT node, next_hop, count(*) AS n FROM hop WHERE next_hop IS NOT NULL GROUP BY node, next_hop""")
+SELECT id, node, next_hop FROM hop WHERE next_hop IS NOT NULL""")
 def label_node_dataset(spark, sf):
-    """Next-hop child on each primary path through a node, counted per class."""
+    """Training rows of the node models: the child that each document's primary path takes at
+    every node above its label."""
     e = _edges(spark, sf)
-    dep = T.depth(e)
-    prim = T.deepest_label(_labels(spark, sf), dep)
-    on = (prim.select("id", F.col("cat").alias("descendant")).join(T.closure(e), "descendant")
-          .join(dep.select(F.col("node").alias("ancestor"), F.col("depth").alias("node_depth")), "ancestor"))
-    w = Window.partitionBy("id").orderBy("node_depth")   # at most depth+1 rows per id
-    hop = on.select("id", F.col("ancestor").alias("node"), F.lead("ancestor").over(w).alias("next_hop"))
-    return hop.where(F.col("next_hop").isNotNull()).groupBy("node", "next_hop").agg(F.count(F.lit(1)).alias("n"))
+    return TD.next_hops(T.deepest_label(_labels(spark, sf), T.depth(e)), e, T.closure(e))
 
 
 @query("label_expand_path", sql=_PRIMARY + """
@@ -320,14 +312,17 @@ def topic_select_min_support(spark, sf):
 
 # --------------------------------------------------------- corpus build -----
 @query("corpus_merge_split", sql="""
-WITH tr AS (SELECT doc_id, 'train' AS split FROM documents WHERE lang = 'en'),
-te AS (SELECT doc_id, 'test' AS split FROM documents d WHERE NOT EXISTS (SELECT 1 FROM tr WHERE tr.doc_id = d.doc_id))
-SELECT split, count(*) AS n FROM (SELECT * FROM tr UNION ALL SELECT * FROM te) AS _u GROUP BY split""")
+WITH tr AS (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) AS text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))
+SELECT doc_id, text, 'train' AS split, true AS fit, CAST(NULL AS VARCHAR) AS lang FROM tr
+UNION ALL
+SELECT doc_id, text, 'test', false, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM tr)""")
 def corpus_merge_split(spark, sf):
-    """Train rows first; test rows whose id is already in train are dropped."""
-    d = load(spark, sf, "documents")
-    out = C.merge_split(d.where(F.col("lang") == "en").select("doc_id"), d.select("doc_id"), "doc_id")
-    return out.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    """Cleaned labelled documents as the training table, all documents as the test table:
+    one corpus, ids of the first win, only they are fitted on."""
+    d, lab = load(spark, sf, "documents"), load(spark, sf, "labels").select("doc_id")
+    train = d.join(lab, "doc_id", "left_semi").select("doc_id", K.text_clean("text").alias("text"))
+    return C.merge_split(train, d.select("doc_id", "text", "lang"), "doc_id", pool="train_only") \
+        .select("doc_id", "text", "split", "fit", "lang")
 
 
 @query("corpus_dedup_ids", sql="""
@@ -398,10 +393,14 @@ def corpus_leaf_cap_sample(spark, sf):
 
 
 @query("corpus_split_80_20", sql="""
-SELECT CASE WHEN (doc_id * 7919) % 100 < 80 THEN 'train' ELSE 'test' END AS split, count(*) AS n FROM documents GROUP BY 1""")
+WITH s AS (SELECT doc_id, lang, count(*) OVER (PARTITION BY lang) AS n,
+                  row_number() OVER (PARTITION BY lang ORDER BY (doc_id * 2654435761) % 1000003, doc_id) AS r FROM documents)
+SELECT doc_id, lang, CASE WHEN (doc_id * 7919) % 100 < 80 THEN 'train' ELSE 'test' END AS split,
+       CASE WHEN r <= (n * 80 + 50) // 100 THEN 'train' ELSE 'test' END AS stratified FROM s""")
 def corpus_split_80_20(spark, sf):
-    d = load(spark, sf, "documents")
-    return C.hash_split(d, "doc_id").groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    """Every document's side in the plain split and in the one stratified by language."""
+    d = load(spark, sf, "documents").select("doc_id", "lang")
+    return C.stratified_split(C.hash_split(d, "doc_id"), "lang", "doc_id", out="stratified")
 
 
 @query("pack_labels", sql=_TL + """

@@ -1,13 +1,20 @@
 """File connectors: quoted CSV, whitespace-positional text, taxonomy lines
-with unquoted commas.  Readers take explicit schemas (no inference pass) and
-coerce with try_* functions so bad values become NULL instead of failing."""
+with unquoted commas, wide files with dates in the header, and audited uploads.  Readers
+take explicit schemas or the header (no inference pass) and coerce with try_* functions so bad
+values become NULL instead of failing."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from kestrel.session import remove_folder
+
 
 def write_panel_csv(df: DataFrame, path: str) -> None:
     """d, id, ret (scientific notation), price (empty when missing) and a
@@ -61,3 +68,52 @@ def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     g = lambda i: F.trim(F.coalesce(F.get(F.col("f"), i), F.lit("")))
     return t.select(F.expr("try_cast(trim(f[0]) AS INT)").alias("id_cat"), g(1).alias("parent"), g(2).alias("child"),
                     g(3).alias("description"))
+
+
+def write_wide_dates(df: DataFrame, id_col: str, date: str, value: str, path: str) -> None:
+    """One row per id and one column per date that occurs, dates as headers.  A cell is
+    the value of its only row; cells without a row are empty."""
+    cells = df.select(id_col, F.date_format(date, "yyyy-MM-dd").alias("_d"), value)
+    cells.groupBy(id_col).pivot("_d").agg(F.first(value)).write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_wide_dates(spark: SparkSession, path: str, date: str = "t", value: str = "y", header: str = r"\d{4}-\d{2}-\d{2}") -> DataFrame:
+    """(other columns..., date, value): the date columns are those whose header matches
+    ``header`` and is a date; empty cells and cells that are no numbers give no row.  A
+    file without date columns gives no rows."""
+    wide = spark.read.option("header", True).csv(path)
+    dates = [c for c in wide.columns if re.fullmatch(header, c)]
+    kept = [c for c in wide.columns if c not in dates]
+    if not dates:
+        return wide.withColumns({date: F.lit(None).cast("date"), value: F.lit(None).cast("double")}).where("false")
+    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in dates]
+    long = wide.unpivot([F.col("`" + c.replace("`", "``") + "`") for c in kept], quoted, date, value)
+    typed = long.withColumns({date: F.try_to_date(date, "yyyy-MM-dd"), value: F.col(value).try_cast("double")})
+    return typed.where(F.col(date).isNotNull() & F.col(value).isNotNull())
+
+
+def stage_upload(df: DataFrame, path: str) -> tuple[str, DataFrame]:
+    """Writes ``df`` as Parquet to a new folder beside ``path``; (folder, what was written, read back)."""
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    return staged, df.sparkSession.read.schema(df.schema).parquet(staged)
+
+
+def commit_upload(df: DataFrame, path: str, audit: Callable[[DataFrame], DataFrame]) -> Row:
+    """Staged write: ``df`` is written beside ``path``, read back and audited there, and renamed to
+    ``path`` if the one row of ``audit`` has status PASS.  Otherwise, or if there already is
+    something at ``path``, the staged folder goes and the call fails.  Returns the audit row."""
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    staged, written = stage_upload(df, path)
+    try:
+        row = audit(written).first()
+        if row["status"] != "PASS":
+            raise ValueError(f"upload refused: {row.asDict()}")
+        fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(hadoop.Path(path)) or not fs.rename(hadoop.Path(staged), hadoop.Path(path)):
+            raise FileExistsError(path)
+    except Exception:
+        remove_folder(spark, staged)
+        raise
+    return row
