@@ -11,13 +11,17 @@ the document, so bounds on position and length discard it before the words
 themselves are compared one by one.
 
 Benchmark windows are handled in blocks of items with a bounded number of words
-(``block_words``), each broadcast to the tasks; documents are never shuffled,
-so hot documents, sources or passages cost no more than their own length."""
+(``block_words``), each broadcast to the tasks; texts are never shuffled,
+so hot documents, sources or passages cost no more than their own length.  Blocks
+are scanned one after another: driver and tasks hold one of them at a time.  What a block
+finds is stored under the texts' SHA-256 (equal texts have equal hits), merged by
+an aggregate over all blocks and joined back to the documents."""
 
 from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.llm.scratch import remove
 from kestrel.llm.textkit import ALNUM_WORD, LOWER, Chunk, HashIndex, RunHasher, list_column, map_chunks, run_starts
+from kestrel.session import cut_lineage, ensure_checkpoint_dir
 
 WINDOW, SHINGLE = 10, 5
 
@@ -168,13 +174,14 @@ def scan(chunk: Chunk, items: Items, prefixes: Prefixes) -> tuple:
     return w, first[ok], win[ok]
 
 
-def item_blocks(benchmark: DataFrame, id_col: str, text: str, block_words: int) -> list[tuple[DataFrame, int]]:
-    """The benchmark in blocks of at most about ``block_words`` words: one block
-    if it is small, else as many hash blocks as its measured size asks for."""
-    size = benchmark.agg(F.sum(F.octet_length(text))).first()[0] or 0
+def item_blocks(benchmark: DataFrame, id_col: str, text: str, block_words: int) -> list[DataFrame]:
+    """(id, text) of the benchmark in blocks of about ``block_words`` words at most (an item is
+    never cut): one block if it is small, else as many hash blocks as its measured
+    size asks for.  Rows repeated in full count once."""
+    rows = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull()).distinct()
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(size / 6 / block_words))
-    rows = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text).alias("text"))
-    return [(rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == i) if n > 1 else rows, n) for i in range(n)]
+    return [rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == i) if n > 1 else rows for i in range(n)]
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id",
@@ -185,37 +192,79 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: st
     null items and items without words have no window; repeated rows and items
     are kept (items are listed once); other columns are not read."""
     src = docs.select(F.col(id_col), F.col(text).alias("_text"))
-    return _scan_blocks(src, id_col, benchmark, item_id, item_text, window, shingle, block_words)
+    blocks = item_blocks(benchmark, item_id, item_text, block_words)
+    if len(blocks) == 1:
+        return _scan(src, [id_col], _shared(src, blocks[0], window, shingle))
+    found = _all_blocks(src.select("_text"), blocks, window, shingle)
+    counted = _word_counts(src.withColumn("_key", F.sha2("_text", 256)), id_col)
+    none = [F.coalesce(c, F.array().cast(found.schema[c].dataType)).alias(c) for c in ("spans", "items")]
+    return counted.join(found, "_key", "left").select(id_col, "n_words", *none)
 
 
-def _blocks(docs, benchmark, item_id, item_text, window, shingle, block_words):
-    for rows, _ in item_blocks(benchmark, item_id, item_text, block_words):
-        items = Items([(r["id"], r["text"]) for r in rows.where(F.col("text").isNotNull()).collect()], window, shingle)
-        counts = {r["gram"]: r["n"] for r in shingle_counts(docs, items, "_text").collect()} if len(items.whole) else {}
-        yield docs.sparkSession.sparkContext.broadcast((items, Prefixes(items, counts, 1.0)))
+def _shared(docs: DataFrame, rows: DataFrame, window: int, shingle: int):
+    """Broadcast of one block of items with its prefixes, whose shingles are ordered by
+    their numbers of documents."""
+    items = Items([(r["id"], r["text"]) for r in rows.collect()], window, shingle)
+    counts = {r["gram"]: r["n"] for r in shingle_counts(docs, items, "_text").collect()} if len(items.whole) else {}
+    return docs.sparkSession.sparkContext.broadcast((items, Prefixes(items, counts, 1.0)))
 
 
-def _scan_blocks(src: DataFrame, id_col: str, benchmark: DataFrame, item_id: str, item_text: str, window: int, shingle: int,
-                 block_words: int) -> DataFrame:
-    span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("n", T.LongType())]))
-    schema = T.StructType([src.schema[id_col], T.StructField("n_words", T.LongType()), T.StructField("spans", span),
+#: places (word number, length) of benchmark windows in a row
+SPANS = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("n", T.LongType())]))
+
+
+def _scan(src: DataFrame, keep: list[str], shared, hits_only: bool = False) -> DataFrame:
+    """Columns ``keep`` with n_words, spans and items of one block for each row; with
+    ``hits_only`` for rows that hold a window."""
+    schema = T.StructType([*[src.schema[c] for c in keep], T.StructField("n_words", T.LongType()), T.StructField("spans", SPANS),
                            T.StructField("items", T.ArrayType(T.StringType()))])
-    shared = list(_blocks(src, benchmark, item_id, item_text, window, shingle, block_words))
 
-    def one(chunk: Chunk, blocks):
+    def one(chunk: Chunk, block):
+        items, prefixes = block
         spans, names = [[] for _ in range(chunk.n)], [set() for _ in range(chunk.n)]
-        for items, prefixes in blocks:
-            w, first, win = scan(chunk, items, prefixes)
-            row = np.searchsorted(w.row_off, first, "right") - 1
-            for r, f, v in zip(row.tolist(), first.tolist(), win.tolist()):
-                spans[r].append({"first": f - int(w.row_off[r]), "n": int(items.size[v])})
-                names[r].update(items.ids[i] for i in items.owners[v].tolist() if items.ids[i] is not None)
-        return pa.RecordBatch.from_arrays(
-            [chunk.column(id_col), pa.array(w.counts, pa.int64()),
+        w, first, win = scan(chunk, items, prefixes)
+        row = np.searchsorted(w.row_off, first, "right") - 1
+        for r, f, v in zip(row.tolist(), first.tolist(), win.tolist()):
+            spans[r].append({"first": f - int(w.row_off[r]), "n": int(items.size[v])})
+            names[r].update(items.ids[i] for i in items.owners[v].tolist() if items.ids[i] is not None)
+        out = pa.RecordBatch.from_arrays(
+            [*[chunk.column(c) for c in keep], pa.array(w.counts, pa.int64()),
              pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("n", pa.int64())]))),
              pa.array([sorted(x) for x in names], pa.list_(pa.string()))], names=schema.names)
+        return out.filter(pa.array([bool(x) for x in spans])) if hits_only else out
+
+    return map_chunks(src, schema, one, "_text", lambda: shared.value)
+
+
+def _all_blocks(src: DataFrame, blocks: list[DataFrame], window: int, shingle: int) -> DataFrame:
+    """(_key, spans, items) of every text that holds a window, over all blocks.  Each
+    block's finds are stored before the next one is built; texts without hits leave no row, and
+    copies of a text are reduced to one before the shuffle."""
+    spark = src.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4()}"
+    for i, rows in enumerate(blocks):
+        shared = _shared(src, rows, window, shingle)
+        got = _scan(src.withColumn("_key", F.sha2("_text", 256)), ["_key"], shared, hits_only=True)
+        got.groupBy("_key").agg(F.min(F.struct("spans", "items")).alias("f")).select("_key", "f.*").write.parquet(f"{folder}/block={i}")
+        shared.destroy()
+    part = spark.read.schema("_key string, spans array<struct<first: long, n: long>>, items array<string>").parquet(
+        *[f"{folder}/block={i}" for i in range(len(blocks))])
+    merged = part.groupBy("_key").agg(F.flatten(F.collect_list("spans")).alias("spans"),
+                                      F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    out = cut_lineage(merged)
+    remove(spark, folder)
+    return out
 
-    return map_chunks(src, schema, one, "_text", lambda: [b.value for b in shared])
+
+def _word_counts(src: DataFrame, id_col: str) -> DataFrame:
+    """(id, _key, n_words) per row."""
+    schema = T.StructType([src.schema[id_col], src.schema["_key"], T.StructField("n_words", T.LongType())])
+
+    def one(chunk: Chunk):
+        return pa.RecordBatch.from_arrays([chunk.column(id_col), chunk.column("_key"), pa.array(chunk.words(ALNUM_WORD).counts, pa.int64())],
+                                          names=schema.names)
+
+    return map_chunks(src, schema, one, "_text")
 
 
 def contaminated_rows(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -242,14 +291,20 @@ def contaminated_rows(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
                       window: int = WINDOW, shingle: int = SHINGLE, block_words: int = 2_000_000) -> DataFrame:
-    """Rows of ``docs`` (all columns) without any benchmark window."""
-    shared = list(_blocks(docs.select(F.col(text).alias("_text")), benchmark, item_id, item_text, window, shingle, block_words))
-
-    def one(chunk: Chunk, blocks):
+    """Rows of ``docs`` (all columns, whatever their names) without any benchmark window.  Null
+    and empty texts hold none and stay; repeated rows are judged alike; an empty
+    table gives an empty one, an empty benchmark leaves all rows."""
+    src = docs.select(F.col(text).alias("_text"))
+    blocks = item_blocks(benchmark, item_id, item_text, block_words)
+    if len(blocks) > 1:
+        found = _all_blocks(src, blocks, window, shingle).select(F.col("_key").alias("_found"))
+        return docs.join(found, F.sha2(docs[text], 256) == found["_found"], "left_anti")
+    shared = _shared(src, blocks[0], window, shingle)
+
+    def one(chunk: Chunk, block):
         clean = np.ones(chunk.n, bool)
-        for items, prefixes in blocks:
-            w, first, _ = scan(chunk, items, prefixes)
-            clean[np.searchsorted(w.row_off, first, "right") - 1] = False
+        w, first, _ = scan(chunk, *block)
+        clean[np.searchsorted(w.row_off, first, "right") - 1] = False
         return chunk.rows.filter(pa.array(clean))
 
-    return map_chunks(docs, docs.schema, one, text, lambda: [b.value for b in shared])
+    return map_chunks(docs, docs.schema, one, text, lambda: shared.value)
