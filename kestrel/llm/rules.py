@@ -1,23 +1,27 @@
 """Quality rules with risk-controlled thresholds (DataFrame functions only).
 
 Signals of a whole text are compared with cutoffs that are chosen per stratum
-from labelled holdouts.  For a stratum, a rule and a cutoff let x of the n good
-holdout documents be rejected.  The cutoff is certified if the exact binomial
-tail P(Bin(n, alpha) <= x) is at most the rule's share of delta: then a false
-rejection rate above alpha is refuted at that level.  Along a rule's cutoffs, from
-loose to strict, tests run in fixed sequence (they stop at the first failure, so
-the sequence needs no correction); over strata and rules delta is divided
-evenly (Bonferroni).  alpha, the admitted false rejection of a stratum, is divided
-over its rules.  With confidence 1 - delta no stratum loses more than alpha of
+from labelled holdouts.  The cutoffs of all rules are tightened along one fixed path
+that is written down before any label is seen: it starts with no rule in use, and
+its steps tighten the rules in turn, each to its next cutoff.  A step stands for the joint
+verdict of all cutoffs reached so far: a document is rejected from the first step on
+at which one of its signals is above the cutoff.
+
+For a stratum and a step let x of the n good holdout documents be rejected.  The step is
+certified if the exact binomial tail P(Bin(n, alpha) <= x) is at most the stratum's
+share of delta: then a false rejection rate above alpha is refuted at that level.  Steps are
+tested in their fixed order and testing stops at the first failure, so the sequence needs
+no correction and every rule has the full alpha; over strata delta is divided
+evenly (Bonferroni).  With confidence 1 - delta no stratum loses more than alpha of
 its good documents to the rules.
 
-Among certified cutoffs of a rule the one is used that rejects most bad minus
-good holdout documents; of equal ones the loosest.  A rule that catches nothing, or
-for which the holdout is too small to certify a cutoff, isn't used in that stratum."""
+Among the certified steps of a stratum the one is used that rejects most bad minus
+good holdout documents; of equal ones the loosest.  A stratum whose holdout is too
+small to certify a step that catches anything uses no rule."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.session import cut_lineage
@@ -103,32 +107,60 @@ def binomial_tail(x: Column, n: Column, p: float) -> Column:
     return F.when(x == 0, first).when(x > n * p, F.lit(0.0)).otherwise(summed)
 
 
-def cutoffs(sig: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality", rules: dict | None = None,
-            alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(_stratum, rule, cutoff, n, x, caught): the certified cutoff used for each
-    stratum and rule.  Null and contradicting labels are left out; a repeated label
+def path(rules: dict[str, list[float]]) -> list[tuple[str, float]]:
+    """The fixed sequence of (rule, cutoff): all rules' loosest cutoffs in the order of
+    ``rules``, then their next ones, and so on."""
+    return [(r, float(cs[i])) for i in range(max(map(len, rules.values()), default=0)) for r, cs in rules.items() if i < len(cs)]
+
+
+def reached_step(rules: dict[str, list[float]]) -> Column:
+    """The first step of the path that rejects a row; null if none does."""
+    place = {rc: k for k, rc in enumerate(path(rules))}
+    firsts = []
+    for r, cs in rules.items():
+        first = F
+        for c in cs:                                           # loosest first
+            first = first.when(F.col(r) > float(c), place[r, float(c)])
+        firsts.append(first)
+    return F.array_min(F.array(*firsts))
+
+
+def steps(sig: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality", rules: dict | None = None,
+          alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """(_stratum, step, n, x, caught): the certified step of the path used for each
+    stratum.  Null and contradicting labels are left out; a repeated label
     or document row of an id counts as often as the document occurs."""
     rules = rules or RULES
     one = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("_id")) \
         .agg(F.min(label).alias("_y"), F.max(label).alias("_y2")).where(F.col("_y") == F.col("_y2")).select("_id", "_y")
-    grid = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(i).alias("step"), F.lit(float(c)).alias("cutoff"),
-                                        (F.col(r) > c).cast("int").alias("hit"))
-                               for r, cs in rules.items() for i, c in enumerate(cs)]))
-    held = sig.join(one, "_id").select("_stratum", "_y", grid.alias("g")).select("_stratum", "_y", "g.*")
-    counts = held.groupBy("_stratum", "rule", "step", "cutoff").agg(
-        F.sum("_y").cast("long").alias("n"), F.sum(F.col("_y") * F.col("hit")).cast("long").alias("x"),
-        F.sum((1 - F.col("_y")) * F.col("hit")).cast("long").alias("caught"))
-    counts = cut_lineage(counts)
-    tests = counts.agg((F.count_distinct("_stratum") * len(rules)).alias("m")).scalar()
-    log_level = F.log(F.lit(delta)) - F.log(tests)
-    tested = counts.withColumn("ok", (F.col("n") > 0) & (binomial_tail(F.col("x"), F.col("n"), alpha / len(rules)) <= log_level))
-    stop = tested.groupBy("_stratum", "rule").agg(F.min(F.when(~F.col("ok"), F.col("step"))).alias("stop"))
-    passed = tested.join(stop, ["_stratum", "rule"]).where(F.col("stop").isNull() | (F.col("step") < F.col("stop")))
-    passed = passed.where(F.col("caught") > 0)
+    never = len(path(rules))
+    held = sig.join(one, "_id").select("_stratum", "_y", F.coalesce(reached_step(rules), F.lit(never)).alias("step"))
+    # a row per stratum and step: the steps in between reject what the one before them rejects
+    here = cut_lineage(held.groupBy("_stratum", "step").agg(F.sum("_y").cast("long").alias("good"),
+                                                            F.sum(1 - F.col("_y")).cast("long").alias("bad")))
+    strata = here.agg(F.count_distinct("_stratum")).scalar()
+    log_level = F.log(F.lit(delta)) - F.log(strata)
+    all_steps = Window.partitionBy("_stratum")
+    upto = all_steps.orderBy("step")                           # at most as many rows as the path has steps
+    tested = here.select("_stratum", "step", F.sum("good").over(all_steps).alias("n"), F.sum("good").over(upto).alias("x"),
+                         F.sum("bad").over(upto).alias("caught"))
+    ok = (F.col("n") > 0) & (binomial_tail(F.col("x"), F.col("n"), alpha) <= log_level)
+    passed = tested.withColumn("ok", F.min(ok).over(upto)).where(F.col("ok") & (F.col("step") < never) & (F.col("caught") > 0))
     gain = F.col("caught") - F.col("x")
-    best = passed.groupBy("_stratum", "rule").agg(F.max_by(F.struct("cutoff", "n", "x", "caught"),
-                                                          F.struct(gain, -F.col("step"))).alias("b"))
-    return best.select("_stratum", "rule", "b.*")
+    best = passed.groupBy("_stratum").agg(F.max_by(F.struct("step", "n", "x", "caught"), F.struct(gain, -F.col("step"))).alias("b"))
+    return best.select("_stratum", "b.*")
+
+
+def cutoffs(sig: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality", rules: dict | None = None,
+            alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """(_stratum, rule, cutoff, n, x, caught): the cutoffs in use, one row per stratum and
+    rule; n, x and caught are those of the stratum's joint verdict."""
+    rules = rules or RULES
+    used = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(r).alias("rule"), F.lit(c).alias("cutoff"))
+                               for k, (r, c) in enumerate(path(rules))]))
+    got = steps(sig, labels, id_col, label, rules, alpha, delta)
+    return got.select("*", used.alias("u")).where(F.col("u.k") <= F.col("step")).groupBy("_stratum", "u.rule").agg(
+        F.min("u.cutoff").alias("cutoff"), F.max("n").alias("n"), F.max("x").alias("x"), F.max("caught").alias("caught"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", stratum: str | None = "lang",
@@ -138,20 +170,17 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 
     base_failed: fewer than ``min_words`` words, or over ``max_repeat_percent`` of
     the words in repeated 3-word windows.  kept: not base_failed and no
-    signal above its stratum's certified cutoff.  Null and empty texts fail the base
+    signal above the cutoffs of its stratum's certified step, which is chosen on the labelled
+    rows that pass the base rule: of the good ones among them at most alpha are lost.  Null and empty texts fail the base
     rule; repeated rows are judged each; without labels only the base rule
     decides; columns beside id, text and stratum are not read."""
     rules = rules or RULES
     sig = cut_lineage(signals(docs, id_col, text, stratum))
-    used = cutoffs(sig, labels, id_col, label, rules, alpha, delta)
-    per = used.groupBy("_stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in rules])
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    verdict = F.lit(True)
-    for r in rules:
-        verdict = verdict & F.coalesce(F.col(r) <= F.col(f"_cut_{r}"), F.lit(True))
-    per = cut_lineage(per)
+    per = cut_lineage(steps(sig.where(~failed), labels, id_col, label, rules, alpha, delta).select("_stratum", F.col("step").alias("_upto")))
     if per.count() <= BROADCAST_STRATA:      # else an ordinary join, whose hot strata can be split
         per = F.broadcast(per)
+    verdict = F.coalesce(reached_step(rules) > F.col("_upto"), F.lit(True))
     j = sig.join(per, "_stratum", "left")
     return j.select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     failed.alias("base_failed"), (~failed & verdict).alias("kept"))
