@@ -21,18 +21,28 @@ def held_out(id_col: str, folds: int = 3, out: int = 1) -> Column:
     return F.coalesce(fold(id_col, folds) == out, F.lit(False))
 
 
+def _smallest_hashes(rows: DataFrame, n: int, most: int) -> DataFrame:
+    """The ``most`` rows of ``n`` with the smallest id hashes.  A bound on the hash leaves about
+    half as many again, so that the one task that ranks them gets a bounded number
+    of rows from however many partitions."""
+    low = int(-2 ** 63 + min(1.5 * most / n, 1) * (2 ** 64 - 1)) if n > 2 * most else 2 ** 63 - 1
+    return rows.withColumn("_h", F.xxhash64("_lid")).where(F.col("_h") <= low).orderBy("_h", "_lid").limit(most).drop("_h")
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text: str = "text",
                     per_class: int = PER_CLASS, folds: int = 3, out: int = 1) -> DataFrame:
-    """(_text, _label): texts of at most ``per_class`` labelled rows of each
-    class outside the hold-out fold, the ones with the smallest id hashes.
+    """(_lid, _text, _label): texts of at most ``per_class`` labelled ids of each
+    class outside the hold-out fold, the ones with the smallest id hashes, one row each.
 
     Null labels and ids are left out; so are ids whose labels contradict each
-    other.  The sample is bounded, so it can be broadcast to the documents and
-    no text is shuffled."""
+    other.  Of several rows of an id the one with the smallest text hash stands for it
+    (found by an aggregate with map-side combine), so the sample is bounded in rows.  The
+    ids are broadcast to the documents; only the sample's texts are shuffled."""
     one = labels.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1) & ~held_out(id_col, folds, out)) \
         .groupBy(F.col(id_col).alias("_lid")).agg(F.min(label).alias("_label"), F.max(label).alias("_other")) \
         .where(F.col("_label") == F.col("_other")).select("_lid", "_label")
-    picked = reduce(DataFrame.unionByName,
-                    [one.where(F.col("_label") == c).orderBy(F.xxhash64("_lid"), "_lid").limit(per_class) for c in (0, 1)])
-    src = docs.select(F.col(id_col).alias("_lid"), F.col(text).alias("_text"))
-    return src.join(F.broadcast(picked), "_lid").select("_lid", "_text", "_label")
+    sizes = {int(r["_label"]): r["count"] for r in one.groupBy("_label").count().collect()}
+    picked = reduce(DataFrame.unionByName, [_smallest_hashes(one.where(F.col("_label") == c), sizes.get(c, 0), per_class) for c in (0, 1)])
+    src = docs.select(F.col(id_col).alias("_lid"), F.col(text).alias("_text")).join(F.broadcast(picked), "_lid")
+    first = F.min(F.struct(F.xxhash64("_text").alias("h"), "_text")).alias("_one")
+    return src.groupBy("_lid", "_label").agg(first).select("_lid", "_one._text", "_label")

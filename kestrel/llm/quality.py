@@ -215,5 +215,7 @@ def scores(docs: DataFrame, model: Ranking | None, id_col: str = "doc_id", text:
 
 
 def keep_good(docs: DataFrame, model: Ranking | None, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """Rows of ``docs`` (all columns) that score at least ``threshold``."""
+    """Rows of ``docs`` (all columns, whatever their names) that score at least ``threshold``.  Null
+    and empty texts score as a text without words; repeated rows are judged alike; an empty
+    table gives an empty one; without a model all rows score 0.5."""
     return map_chunks(docs, docs.schema, lambda c: c.rows.filter(pa.array(_scores(c, model) >= threshold)), text)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.llm.labelled import PER_CLASS, held_out, training_sample
+from kestrel.llm.scratch import stored
 from kestrel.llm.textkit import ALNUM_WORD, Chunk, HashIndex, map_chunks, span_hashes
 
 # Identity terms by group; the first term of each group is the neutral one.
@@ -119,9 +120,10 @@ def _statistics(sample: DataFrame, min_docs: int) -> DataFrame:
     return part.groupBy("hash").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(F.col("bad") + F.col("good") >= min_docs)
 
 
-def _select(stats: DataFrame, n_bad: int, n_good: int, features: int) -> np.ndarray:
-    """Hashes with the largest log-likelihood ratio among those that stand for
-    the toxic class."""
+def _select(stats: DataFrame, n_bad: int, n_good: int, min_gain: float) -> np.ndarray:
+    """Hashes of all features that stand for the toxic class with a log-likelihood
+    ratio of at least ``min_gain``.  They come from the bounded sample, so their number is
+    bounded by its words."""
     total = float(n_bad + n_good)
     seen = F.col("bad") + F.col("good")
 
@@ -129,9 +131,9 @@ def _select(stats: DataFrame, n_bad: int, n_good: int, features: int) -> np.ndar
         expected = seen * (n / total)
         return F.when(k > 0, k * F.log(k / expected)).otherwise(0.0)
 
-    ranked = stats.withColumn("g", F.round(part(F.col("bad"), n_bad) + part(F.col("good"), n_good), 6))
-    top = ranked.where(F.col("bad") > seen * (n_bad / total)).orderBy(F.desc("g"), "hash").limit(features).select("hash").toArrow()
-    return np.array(top.column("hash"), np.int64).view(np.uint64)
+    gain = part(F.col("bad"), n_bad) + part(F.col("good"), n_good)
+    toxic = stats.where((F.col("bad") > seen * (n_bad / total)) & (gain >= min_gain))
+    return np.sort(np.array(toxic.select("hash").toArrow().column("hash"), np.int64).view(np.uint64))
 
 
 def _sentence_mentions(chunk: Chunk, index: HashIndex) -> np.ndarray:
@@ -146,12 +148,17 @@ def _sentence_mentions(chunk: Chunk, index: HashIndex) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
-        per_class: int = PER_CLASS, features: int = 6_000, min_docs: int = 3, penalty: float = 1.0, l1: float = 1e-5,
+        per_class: int = PER_CLASS, min_docs: int = 3, min_gain: float = 2.0, penalty: float = 1.0, l1: float = 1e-4,
         l2: float = 1e-6, terms: dict | None = None) -> Model | None:
-    """Fits on the bounded labelled sample.  Feature statistics are aggregated in
-    Spark; the driver gets the chosen features of the sample's rows.  None if a
-    class is missing."""
+    """Fits on the bounded labelled sample, which is stored once.  Feature statistics are
+    aggregated in Spark; the driver gets the features of the sample's rows that at least
+    ``min_docs`` of them hold and that tell the classes apart by ``min_gain`` nats.  None if a class is missing."""
     sample = training_sample(docs, labels, label, id_col, text, per_class).select(F.col("_label").cast("int"), "_text")
+    with stored(sample) as rows:
+        return _fit(rows, min_docs, min_gain, penalty, l1, l2, terms)
+
+
+def _fit(sample: DataFrame, min_docs: int, min_gain: float, penalty: float, l1: float, l2: float, terms: dict | None) -> Model | None:
     swaps = swap_differences(terms)
     names = sorted({t for t, _, _ in swaps})
     name_hash = np.array([span_hashes(np.frombuffer(t.encode(), np.uint8), np.zeros(1, int), np.array([len(t.encode())]))[0] for t in names],
@@ -160,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     n_bad, n_good = classes.get(1, 0), classes.get(0, 0)
     if not n_bad or not n_good:
         return None
-    chosen = _select(_statistics(sample, min_docs), n_bad, n_good, features)
+    chosen = _select(_statistics(sample, min_docs), n_bad, n_good, min_gain)
     keys = np.unique(np.concatenate([chosen, *[h for _, a, b in swaps for h in (a, b)]]))
     index, mentions = HashIndex(keys), HashIndex(name_hash)
 

@@ -467,6 +467,32 @@ def test_cutoffs_limit_false_rejections(spark):
     assert rules.cutoffs(few, labels, rules=grid, alpha=0.01).count() == 0
 
 
+def test_joint_cutoffs_bind_and_keep_the_good(spark):
+    """Rows that pass the base rule decide: one sequence per stratum over all rules."""
+    plain = " ".join(f"word{i}" for i in range(60))
+    marked = " ".join(f"word{i} ###" for i in range(60))                   # symbols: 180 of 490 + 180 characters
+    loud = " ".join(f"WORD{i}" for i in range(60))
+    docs = [(i, plain, "a") for i in range(300)] + [(1000 + i, marked, "a") for i in range(20)] + [(2000 + i, loud, "a") for i in range(20)]
+    docs += [(3000 + i, "few words", "a") for i in range(50)]              # good by label, fail the base rule
+    docs += [(5000 + i, plain, "b") for i in range(40)] + [(6000 + i, marked, "b") for i in range(20)] + [(7000, None, None)]
+    labels = spark.createDataFrame([(d, 0 if 1000 <= d < 3000 or 6000 <= d < 7000 else 1) for d, _, _ in docs], "doc_id long, quality int")
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    gone = {r.doc_id for r in rules.judge(table, labels).where("not kept and not base_failed").collect()}
+    assert gone == {d for d, _, _ in docs if 1000 <= d < 3000}             # b's 40 good documents certify nothing
+    wide = rules.judge(table, labels, alpha=0.2).where("not kept and not base_failed and doc_id >= 5000")
+    assert wide.count() == 20
+
+
+def test_the_path_tightens_the_rules_in_turn(spark):
+    grid = {"p": [3.0, 2.0, 1.0], "q": [9.0, 5.0]}
+    order = rules.path(grid)
+    assert order == [("p", 3.0), ("q", 9.0), ("p", 2.0), ("q", 5.0), ("p", 1.0)]
+    rows = [(p / 2, float(q)) for p in range(9) for q in range(11)] + [(None, 6.0), (None, None)]
+    for r in spark.createDataFrame(rows, "p double, q double").withColumn("k", rules.reached_step(grid)).collect():
+        hit = [k for k, (n, c) in enumerate(order) if r[n] is not None and r[n] > c]
+        assert r.k == (min(hit) if hit else None)
+
+
 # ---- 10: decontamination -----------------------------------------------
 def test_decontamination(spark, edge, empty):
     rng = random.Random(21)
@@ -499,8 +525,13 @@ def test_decontamination(spark, edge, empty):
                         names |= {str(x) for x in who if x is not None}
             assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (len(w), len(hit), len(names), bool(hit))
             assert r.items_sha256 == hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
-    clean = decontam.drop_contaminated(edge, bench)
-    assert clean.columns == edge.columns and clean.count() == len(EDGE)
+        kept = decontam.drop_contaminated(spark.createDataFrame(docs + docs[:9] + [(900, None)], SCHEMA), bench, block_words=words_in_block)
+        bad = {r.doc_id for r in got if r.contaminated}
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, _ in docs + docs[:9] + [(900, None)] if d not in bad)
+        again = decontam.contaminated_rows(decontam.hits(edge, bench, block_words=words_in_block)).collect()
+        assert len(again) == len(EDGE) and not any(r.contaminated for r in again)
+        clean = decontam.drop_contaminated(edge, bench, block_words=words_in_block)
+        assert clean.columns == edge.columns and clean.count() == len(EDGE)
     assert decontam.hits(empty, bench).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.contaminated_rows(decontam.hits(edge, none)).where("contaminated").count() == 0
@@ -554,6 +585,17 @@ def test_training_sample_leaves_out_the_fold_and_contradictions(spark):
     assert labelled.training_sample(docs, labels, "y", per_class=3).count() == 6
 
 
+def test_training_sample_has_one_row_per_id(spark):
+    """An id on many rows sends one of them; the smallest id hashes are taken at any size."""
+    docs = spark.createDataFrame([(5, f"copy {i}") for i in range(50)] + [(7, None), (7, None)] + [(i, str(i)) for i in range(100, 900)], SCHEMA)
+    labels = spark.createDataFrame([(5, 1), (7, 0)] + [(i, i % 2) for i in range(100, 900)], "doc_id long, y int")
+    rows = labelled.training_sample(docs, labels, "y").collect()
+    assert len(rows) == len({r._lid for r in rows}) and {5, 7} & {i for i in (5, 7) if zlib.crc32(str(i).encode()) % 3 != 1} <= {r._lid for r in rows}
+    few = {r._lid for r in labelled.training_sample(docs, labels, "y", per_class=40).collect()}
+    ranked = labels.where(~labelled.held_out("doc_id")).select("doc_id", "y", F.xxhash64("doc_id").alias("h")).collect()
+    assert few == {r.doc_id for c in (0, 1) for r in sorted((r for r in ranked if r.y == c), key=lambda r: r.h)[:40]}
+
+
 def test_toxicity_and_identity_swaps(spark, edge, empty):
     docs, labels = labelled_docs(spark, 900, "toxic")
     free, tied = (toxicity.fit(docs, labels, penalty=p) for p in (0.0, 20.0))
