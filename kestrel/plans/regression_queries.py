@@ -295,13 +295,61 @@ def reg_sample_rule(spark, sf):
     return d.where((F.col("closed") == 1) | F.col("dwage").isNotNull())
 
 
-@query("reg_ols_multi", rnd=["coef", "se", "t", "r2", "rss", "ser"])
+def _ols_sql(specs: dict[str, list[str]], y: str, src: str, spec_col: bool = False) -> str:
+    """Least squares in SQL (oracle side): the symmetric moment matrix of constant, regressors and
+    outcome is swept on every regressor; what is left are minus the inverse, the
+    coefficients and the residual sum of squares."""
+    ctes, rows = [], []
+    every = list(dict.fromkeys(x for xs in specs.values() for x in xs))
+    known = " AND ".join(f"{c} IS NOT NULL" for c in [*every, y])
+    for s, (name, chosen) in enumerate(specs.items()):
+        xs = sorted(chosen, key=every.index)
+        cols, k = ["CAST(1 AS DOUBLE)", *xs, y], len(xs) + 1
+        cells = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+        sums = ", ".join(f"sum({cols[i]} * {cols[j]}) AS a_{i}_{j}" for i, j in cells)
+        ctes.append(f"w{s}_0 AS MATERIALIZED (SELECT count(*) AS n, sum({y} * {y}) - sum({y}) * sum({y}) / count(*) AS tss, {sums} "
+                    f"FROM {src} WHERE {known})")
+
+        def at(i, j):
+            return f"a_{min(i, j)}_{max(i, j)}"
+
+        for q in range(k):
+            d = at(q, q)
+            new = [f"{f'-1 / {d}' if i == j == q else f'{at(i, j)} / {d}' if q in (i, j) else f'{at(i, j)} - {at(i, q)} * {at(q, j)} / {d}'} AS {at(i, j)}"
+                   for i, j in cells]
+            ctes.append(f"w{s}_{q + 1} AS MATERIALIZED (SELECT n, tss, {', '.join(new)} FROM w{s}_{q})")
+        rss, s2 = at(k, k), f"{at(k, k)} / (n - {k})"
+        for i, term in enumerate(["const", *xs]):
+            se = f"sqrt(-{at(i, i)} * {s2})"
+            rows.append(f"SELECT '{term}' AS term, {at(i, k)} AS coef, {se} AS se, {at(i, k)} / {se} AS t, n, 1 - {rss} / tss AS r2, "
+                        f"{rss} AS rss, sqrt({s2}) AS ser" + (f", '{name}' AS spec" if spec_col else "") + f" FROM w{s}_{k}")
+    return ", " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(rows)
+
+
+_STORE_SQL = _DID + """, store AS (
+  SELECT store, CAST(nj AS DOUBLE) AS nj, CAST(co_owned AS DOUBLE) AS co_owned, fte, fte2, gap, fte2 - fte AS demp,
+         CASE WHEN fte > 0 THEN (fte2 - fte) / fte * 100 END AS pct,
+         CAST(chain = 'BUILDING' AS DOUBLE) AS ch_building, CAST(chain = 'FURNITURE' AS DOUBLE) AS ch_furniture,
+         CAST(chain = 'HOUSEHOLD' AS DOUBLE) AS ch_household, CAST(chain = 'MACHINERY' AS DOUBLE) AS ch_machinery FROM did)"""
+_EXPOSURE_SQL = _STORE_SQL + """, wave AS (
+  SELECT o_custkey AS store, CAST(count(DISTINCT date_trunc('month', o_orderdate)) AS DOUBLE) AS hours,
+         100 * avg(CAST(o_orderpriority = '1-URGENT' AS DOUBLE)) AS share_affected, avg(o_totalprice) / 10000 AS price
+  FROM orders WHERE o_orderdate < TIMESTAMP '1998-07-01' GROUP BY o_custkey),
+place AS (SELECT c_custkey AS store, CAST(n_regionkey = 1 AS DOUBLE) AS region_1, CAST(n_regionkey = 2 AS DOUBLE) AS region_2,
+                 CAST(n_regionkey = 3 AS DOUBLE) AS region_3, CAST(n_regionkey = 4 AS DOUBLE) AS region_4
+          FROM customer JOIN nation ON c_nationkey = n_nationkey),
+exposure AS (SELECT * FROM store JOIN place USING (store) LEFT JOIN wave USING (store))"""
+
+
+@query("reg_ols_multi", rnd=["coef", "se", "t", "r2", "rss", "ser"],
+       sql=_STORE_SQL + _ols_sql({"": ["nj", *_CH, "co_owned"]}, "demp", "store"))
 def reg_ols_multi(spark, sf):
     """demp ~ nj + chain dummies + co_owned (moments + grouped solve)."""
     return R.ols_multi(_did_frame(spark, sf), ["nj", *_CH, "co_owned"], "demp")
 
 
-@query("reg_exposure_gap", rnd=["coef", "se", "t", "r2", "rss", "ser"])
+@query("reg_exposure_gap", rnd=["coef", "se", "t", "r2", "rss", "ser"],
+       sql=_STORE_SQL + _ols_sql({"": ["gap", *_CH]}, "demp", "store"))
 def reg_exposure_gap(spark, sf):
     """demp on continuous exposure gap with chain controls."""
     return R.ols_multi(_did_frame(spark, sf), ["gap", *_CH], "demp")
@@ -332,13 +380,15 @@ ROBUSTNESS = {"m6_hours": [*_CONTROLS, "hours"], "m7_initial_size": [*_CONTROLS,
               "m11_all": [*_CONTROLS, *_REGIONS, "fte", "hours", "price"]}
 
 
-@query("reg_robustness_table", rnd=["coef", "se", "t", "r2", "rss", "ser"])
+@query("reg_robustness_table", rnd=["coef", "se", "t", "r2", "rss", "ser"],
+       sql=_EXPOSURE_SQL + _ols_sql(ROBUSTNESS, "demp", "exposure", spec_col=True))
 def reg_robustness_table(spark, sf):
     """Exposure gap with six sets of controls on one common listwise sample, from one moment matrix."""
     return R.ols_specs(_exposure_frame(spark, sf), ROBUSTNESS, "demp")
 
 
-@query("reg_alt_outcome", rnd=["coef", "se", "t", "r2", "rss", "ser"])
+@query("reg_alt_outcome", rnd=["coef", "se", "t", "r2", "rss", "ser"],
+       sql=_STORE_SQL + _ols_sql({"": ["nj", *_CH]}, "pct", "store"))
 def reg_alt_outcome(spark, sf):
     """Percent-change outcome variant, stores with a positive base."""
     d = _did_frame(spark, sf).where(F.col("fte") > 0)
