@@ -129,3 +129,23 @@ def test_text_svd_has_every_document(spark):
     assert out.count() == n * 20 and out.select("doc_id").distinct().count() == n
     sums = out.groupBy("component").agg(F.sum(F.col("coordinate") ** 2).alias("sq"), F.first("singular_value").alias("s")).collect()
     assert all(abs(r.sq - r.s ** 2) < 1e-2 for r in sums)
+
+
+def test_svd_keeps_the_tables_of_one_round(spark, texts):
+    import os
+    from kestrel.session import SHUFFLE_CLEANUP, ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    with sparse.tfidf_rows(texts, "id", "text") as (rows, _):
+        before = set(os.listdir(folder))
+        with sparse.truncated_svd(rows, "id", 4, oversample=3) as _:
+            # blocks, their terms, the last round, the coordinates
+            assert len([x for x in set(os.listdir(folder)) - before if x.startswith("table-")]) == 4
+            assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+
+
+def test_a_term_twice_in_a_row_counts_with_its_sum():
+    import pyarrow as pa
+    csr = sparse.Csr(pa.array([[1, 1, 4], [], [4]], pa.list_(pa.int64())), pa.array([[1.0, 2.0, 3.0], [], [5.0]], pa.list_(pa.float64())))
+    a = np.array([[3.0, 3.0], [0, 0], [0, 5.0]])
+    d, e = np.array([[1.0, 2], [3, 4]]), np.array([[1.0], [2], [3]])
+    assert np.allclose(csr.times(d), a @ d) and np.allclose(csr.transposed_times(e), a.T @ e) and np.allclose(csr.squares(e), (a * a).T @ e)
