@@ -111,19 +111,25 @@ def deepest_label(labels: DataFrame, dep: DataFrame, id_col: str = "id", cat: st
     return j.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
+def spread_join(rows: DataFrame, table: DataFrame, on: str, id_col: str, parts: int = 64) -> DataFrame:
+    """Inner join of document rows with a tree-sized table.  Few keys (the root, the first level) hold
+    most documents, so each key is cut in ``parts`` by document and the table's rows go to each part."""
+    cut = rows.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int"))
+    every = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return cut.join(every, [on, "_part"]).drop("_part")
+
+
 def edge_gold(labels: DataFrame, edges: DataFrame, clos: DataFrame, id_col: str = "id",
               cat: str = "cat") -> DataFrame:
     """(parent, child, id, y) for every branching edge at once: y = 1 iff the
     document has a label in subtree(child); rows are the documents with a
     label in subtree(parent)."""
     specs = edges.join(branching(edges).select("parent"), "parent")
-    # documents reaching each node: labels joined with the closure on descendant
-    reach = (labels.select(id_col, F.col(cat).alias("descendant")).join(clos.select("ancestor", "descendant"), "descendant")
-             .select(F.col("ancestor").alias("node"), id_col).distinct())
-    pos_child = reach.select(F.col("node").alias("child"), id_col, F.lit(1).alias("y"))
-    rows = specs.join(reach.select(F.col("node").alias("parent"), id_col), "parent")
-    return rows.join(pos_child, ["child", id_col], "left").select("parent", "child", id_col,
-                                                                 F.coalesce("y", F.lit(0)).alias("y"))
+    # the nodes each document reaches, as one row; a null id is never found below a child
+    reach = (spread_join(labels.select(id_col, F.col(cat).alias("descendant")), clos.select("ancestor", "descendant"), "descendant", id_col)
+             .groupBy(id_col).agg(F.collect_set("ancestor").alias("_nodes")))
+    rows = spread_join(reach.select(id_col, "_nodes", F.explode("_nodes").alias("parent")), specs.select("parent", "child"), "parent", id_col)
+    return rows.select("parent", "child", id_col, (F.col(id_col).isNotNull() & F.array_contains("_nodes", F.col("child"))).cast("int").alias("y"))
 
 
 def route(preds: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFrame:

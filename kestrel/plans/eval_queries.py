@@ -178,6 +178,10 @@ def eval_best_worst_labels(spark, sf):
     return best.withColumn("side", F.lit("best")).unionByName(worst.withColumn("side", F.lit("worst")))
 
 
+#: edge rows of a task that compares the two derivations
+GOLD_ROWS = 500_000
+
+
 @query("eval_gold_consistency", sql=_EDGE + """
 , direct AS (SELECT s.parent, s.child, l.id, max(CASE WHEN l.cat = s.child OR starts_with(l.cat, s.child || '/') THEN 1 ELSE 0 END) AS y
              FROM specs s JOIN labels_long l ON l.cat = s.parent OR starts_with(l.cat, s.parent || '/') OR s.parent = 'Root'
@@ -187,19 +191,22 @@ WHERE g.y IS DISTINCT FROM d.y""")
 def eval_gold_consistency(spark, sf):
     """Closure-derived edge gold vs a second derivation from the code prefix
     structure: the number of mismatches must be 0."""
-    g = gold_edges(spark, sf)
+    from kestrel.session import cut_lineage, stored
     e = _edges(spark, sf)
     specs = e.join(T.branching(e).select("parent"), "parent")
     from kestrel.sources import bindings as B
     lab = B.labels_long(spark, sf).join(T.nodes(e).select(F.col("node").alias("cat")), "cat")
     # parent scope: the node itself or a code below it (codes are '/'-qualified)
     lab_scope = lab.select("id", "cat", F.explode(F.array(F.col("cat"), F.split("cat", "/")[0], F.lit(T.ROOT))).alias("parent"))
-    j = specs.join(lab_scope, "parent")
-    direct = j.groupBy("parent", "child", "id").agg(
-        F.max(F.when((F.col("cat") == F.col("child")) | F.col("cat").startswith(F.concat(F.col("child"), F.lit("/"))), 1)
-              .otherwise(0)).alias("y_direct"))
-    m = g.join(direct, ["parent", "child", "id"], "full")
-    return m.agg(F.count(F.when(~F.col("y").eqNullSafe(F.col("y_direct")), 1)).alias("n_mismatch"))
+    by_scope = lab_scope.groupBy("id", "parent").agg(F.collect_set("cat").alias("cats"))
+    below = F.exists("cats", lambda c: (c == F.col("child")) | c.startswith(F.concat(F.col("child"), F.lit("/"))))
+    direct = T.spread_join(by_scope, specs.select("parent", "child"), "parent", "id").select(
+        "parent", "child", "id", F.coalesce(below, F.lit(False)).cast("int").alias("y_direct"))
+    key = ["parent", "child", "id"]
+    with stored(gold_edges(spark, sf)) as g, stored(direct) as d:
+        parts = -(-g.count() // GOLD_ROWS) + 1
+        m = g.repartition(parts, *key).join(d.repartition(parts, *key), key, "full")
+        return cut_lineage(m.agg(F.count(F.when(~F.col("y").eqNullSafe(F.col("y_direct")), 1)).alias("n_mismatch")))
 
 
 _LEAF = _TL_ = with_rec(TAXONOMY, CLOSURE, LABELS_LONG) + """

@@ -78,3 +78,28 @@ def test_tfidf_by_hand(spark):
     raw = {"aa": 1 * idf(3), "bb": 2 * idf(2)}
     nrm = math.sqrt(sum(x * x for x in raw.values()))
     assert abs(w[(1, "bb")] - raw["bb"] / nrm) < 1e-12
+
+
+def test_edge_gold_spreads_hot_nodes_and_keeps_rows_without_id(spark):
+    from kestrel.operators import tree as T
+    edges = spark.createDataFrame([("Root", "a"), ("Root", "b"), ("a", "a/x"), ("a", "a/y")], "parent string, child string")
+    labels = spark.createDataFrame([(i, "a/x") for i in range(50)] + [(None, "b"), (7, "b"), (7, "b"), (3, "misc")], "id long, cat string")
+    got = T.edge_gold(labels, edges, T.closure(edges)).collect()
+    want = {("Root", "a", i): 1 for i in range(50)} | {("Root", "b", i): int(i == 7) for i in range(50)} \
+        | {("a", "a/x", i): 1 for i in range(50)} | {("a", "a/y", i): 0 for i in range(50)} | {("Root", "a", None): 0, ("Root", "b", None): 0}
+    assert len(got) == len(want) and {(r.parent, r.child, r.id): r.y for r in got} == want
+    rows = spark.range(1000).selectExpr("id", "'Root' AS node")
+    one = spark.createDataFrame([("Root", 1), ("Root", 2)], "node string, n int")
+    out = T.spread_join(rows, one, "node", "id")
+    assert out.count() == 2000 and set(out.columns) == {"id", "node", "n"}
+
+
+def test_text_weights_count_by_id_without_moving_tokens(spark, tmp_path):
+    from kestrel.plans import QUERIES, load_all
+    load_all()
+    rows = [(1, "red red green"), (2, "green blue"), (2, "green red"), (None, "blue blue"), (4, None), (5, "once")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.term): round(r.w, 6) for r in QUERIES["text_tf_l2"](spark, str(tmp_path)).collect()}
+    assert got == {(1, "red"): 0.894427, (1, "green"): 0.447214, (2, "green"): 0.816497, (2, "blue"): 0.408248, (2, "red"): 0.408248, (None, "blue"): 1.0}
+    plan = QUERIES["text_tf_l2"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning(doc_id, term" not in plan.replace("#", " ").replace("L", "")
