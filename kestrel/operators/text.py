@@ -38,6 +38,12 @@ def term_counts(tok: DataFrame, id_col: str) -> DataFrame:
     return tok.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def doc_freq(docs: DataFrame, text: str) -> DataFrame:
+    """(term, df): texts that hold a term."""
+    t = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TOKEN_LOWER2), 0))
+    return docs.select(F.explode(t).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def term_stats(docs: DataFrame, text: str) -> DataFrame:
     """(term, df, cf) in one aggregation by term: the tokens of a text are sorted
     in its row, so each one knows whether it is its text's first of that term."""
@@ -67,7 +73,8 @@ def weights(tf: DataFrame, vocab: DataFrame, id_col: str, n_docs: DataFrame, sch
     is null if it is not ranked."""
     if "term_idx" not in vocab.columns:
         vocab = vocab.withColumn("term_idx", F.lit(None).cast("bigint"))
-    j = tf.join(vocab.select("term", "term_idx", "df"), "term")
+    # the side of the vocabulary is hashed, so that the rows of the texts need no sort by term
+    j = tf.join(vocab.select("term", "term_idx", "df").hint("shuffle_hash"), "term")
     if scheme == "count":
         return j.select(id_col, "term", "term_idx", F.col("tf").cast("double").alias("w"))
     if scheme == "tfidf":

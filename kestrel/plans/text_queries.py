@@ -27,7 +27,9 @@ def _vocabulary(docs):
 def _tf(spark, sf):
     docs = load(spark, sf, "documents")
     # no rank of the vocabulary: none of the weight queries returns it
-    return docs, X.term_counts(X.tokens(docs, "doc_id", "text"), "doc_id"), X.term_stats(docs, "text").where(F.col("df") >= 2)
+    # texts are dealt by id before they are cut, so that counting (id, term) moves no tokens
+    dealt = docs.select("doc_id", "text").repartition("doc_id")
+    return docs, X.term_counts(X.tokens(dealt, "doc_id", "text"), "doc_id"), X.doc_freq(docs, "text").where(F.col("df") >= 2)
 
 
 @query("text_tokenize", sql=f"""
