@@ -149,3 +149,32 @@ def test_a_term_twice_in_a_row_counts_with_its_sum():
     a = np.array([[3.0, 3.0], [0, 0], [0, 5.0]])
     d, e = np.array([[1.0, 2], [3, 4]]), np.array([[1.0], [2], [3]])
     assert np.allclose(csr.times(d), a @ d) and np.allclose(csr.transposed_times(e), a.T @ e) and np.allclose(csr.squares(e), (a * a).T @ e)
+
+
+def test_edge_models_keep_the_tables_of_one_round(spark, texts):
+    import os
+    from kestrel.session import SHUFFLE_CLEANUP, ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    gold = spark.createDataFrame([("Root", f"c{j}", i, int(i % 9 == j), "train") for i in range(12) for j in range(9)],
+                                 "parent string, child string, id long, y int, split string")
+    with sparse.tfidf_rows(texts, "id", "text") as (features, _):
+        before = set(os.listdir(folder))
+        with linear.trained(gold, features, [1.0], passes=1, tolerance=1e-9, max_rounds=3) as (_, slots, blocks):
+            # slots, rows, blocks, their terms; changes, weights and unsettled units of the last round
+            assert len([x for x in set(os.listdir(folder)) - before if x.startswith("table-")]) <= 7
+            assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+            assert slots.select("unit").distinct().count() == 1 and blocks.rows.count() == 12    # a document comes once for nine edges
+
+
+def test_blocks_damp_only_the_terms_they_share():
+    import pyarrow as pa
+    lists = (pa.array([[1, 2], [3, 4]], pa.list_(pa.int64())), pa.array([[.6, .8], [.8, .6]], pa.list_(pa.float64())))
+    csr, y, costs = sparse.Csr(*lists), np.array([[1.0], [-1.0]]), np.array([1.0])
+    got = {}
+    for name, damping in (("alone", np.ones(4)), ("shared", np.array([1.0, 1, 2, 2]))):   # blocks with terms 1 to 4
+        alpha, w = np.zeros((2, 1)), np.zeros((4, 1))
+        linear.coordinate_pass(csr, y, np.ones((2, 1), bool), alpha, w, costs, damping, 50, 0)
+        got[name] = alpha[:, 0]
+        assert np.allclose(w[:, 0] / damping, (csr.transposed_times(alpha * y))[:, 0])
+    # each alpha is at its minimum: alpha (damped square + 1 / 2C) = 1
+    assert np.allclose(got["alone"], 1 / 1.5) and np.allclose(got["shared"], [1 / 1.5, 1 / 2.5])
