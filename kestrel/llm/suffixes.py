@@ -123,48 +123,122 @@ def _windows(reps: DataFrame, length: int, seed: int) -> DataFrame:
     return map_chunks(reps, schema, one, "_text")
 
 
-def _merged(rows: DataFrame, id_col: str) -> DataFrame:
-    """One row per document: its intervals merged, those to remove too, and its links
-    (those to the same text and shift merged)."""
-
-    def merge(pairs):
+SHIFT = 32   # word numbers have 31 bits
+
+
+def merged_runs(group: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(group, start, end, a member's index) of the intervals that remain when those of a group which meet or overlap are merged,
+    by group and start.  Groups are numbers from 0."""
+    order = np.lexsort((start, group))
+    base = group[order].astype(np.int64) << SHIFT
+    s, e = base + start[order], base + end[order]
+    reach = np.maximum.accumulate(e)
+    first = np.flatnonzero(np.concatenate([[True], s[1:] > reach[:-1]])) if len(s) else np.zeros(0, np.int64)
+    last = np.append(first[1:], len(s))[:len(first)] - 1
+    return group[order[first]], start[order[first]], (reach[last] - base[last]).astype(start.dtype), order[first]
+
+
+class Passages:
+    """Merged intervals of some documents, numbered from 0: spans, those to remove, links.  ``first``: an Arrow
+    array, the id of each link's first document."""
+
+    def __init__(self, spans, gone, links, first: pa.Array):
+        doc, start, end, key, shift = links
+        self.spans, self.gone = merged_runs(*spans)[:3], merged_runs(*gone)[:3]
+        order = np.lexsort((shift, key, doc))
+        new = np.ones(len(order), bool)
+        for x in (doc, key, shift):
+            new[1:] &= x[order][1:] == x[order][:-1]
+        new[1:] = ~new[1:]
+        group = np.empty(len(order), np.int64)
+        group[order] = np.cumsum(new) - 1
+        _, s, e, at = merged_runs(group, start, end)
+        doc, key, shift = doc[at], key[at], shift[at]
+        order = np.lexsort((s + shift, key, e, s, doc))
+        self.links, self.first = tuple(x[order] for x in (doc, s, e, key, shift)), first.take(pa.array(at[order]))
+
+    @classmethod
+    def of(cls, rows: pa.RecordBatch, doc: np.ndarray, before: "Passages | None" = None) -> Passages:
+        """``rows``: (s, e, rs, re, links), ``doc`` their documents; ``before``: what is known of document 0."""
+        part = {c: rows.column(rows.schema.get_field_index(c)) for c in ("s", "e", "rs", "re", "links")}
+        some = np.flatnonzero(part["rs"].is_valid().to_numpy(zero_copy_only=False))
+        number = {c: part[c].fill_null(0).to_numpy(zero_copy_only=False) for c in ("s", "e", "rs", "re")}
+        flat = part["links"].flatten()
+        field = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "end", "first_key", "first_pos")}
+        size = part["links"].value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        first, spans, gone = flat.field("first_doc"), (doc, number["s"], number["e"]), (doc[some], number["rs"][some], number["re"][some])
+        links = np.repeat(doc, size), field["start"], field["end"], field["first_key"], field["first_pos"] - field["start"]
+        if before is not None:
+            spans, gone, links = (tuple(map(np.concatenate, zip(x, y))) for x, y in ((before.spans, spans), (before.gone, gone), (before.links, links)))
+            first = pa.concat_arrays([before.first, first])
+        return cls(spans, gone, links, first)
+
+    def cut(self, a: int, b: int) -> Passages:
+        """Documents a to b, numbered from 0."""
+        new = object.__new__(Passages)
+        part = [np.searchsorted(x[0], (a, b)) for x in (self.spans, self.gone, self.links)]
+        new.spans, new.gone, new.links = (tuple([x[0][i:j] - a, *(y[i:j] for y in x[1:])]) for x, (i, j) in zip((self.spans, self.gone, self.links), part))
+        new.first = self.first.slice(part[2][0], part[2][1] - part[2][0])
+        return new
+
+    def columns(self, n: int, field: pa.DataType) -> list[pa.Array]:
+        """Of ``n`` documents: spans, their words, those to remove, their words, links."""
         out = []
-        for s, e in sorted(pairs):
-            if out and s <= out[-1]["end"]:
-                out[-1]["end"] = max(out[-1]["end"], e)
-            else:
-                out.append({"start": s, "end": e})
-        return out
-
-    def merge_links(links):
-        by = {}
-        for x in links:
-            key = x["first_key"], x["first_pos"] - x["start"]
-            by.setdefault(key, (x["first_doc"], []))[1].append((x["start"], x["end"]))
-        out = [{**x, "first_doc": doc, "first_key": key, "first_pos": x["start"] + shift}
-               for (key, shift), (doc, pairs) in by.items() for x in merge(pairs)]
-        return sorted(out, key=lambda x: (x["start"], x["end"], x["first_key"], x["first_pos"]))
-
-    def run(batches):
-        for b in batches:
-            got = b.column(b.schema.get_field_index("_parts")).to_pylist()
-            spans = [merge((x["s"], x["e"]) for x in p) for p in got]
-            gone = [merge((x["rs"], x["re"]) for x in p if x["rs"] is not None) for p in got]
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            field = b.schema.field("_links").type.value_type
-            lists = b.column(b.schema.get_field_index("_links")).to_pylist()
-            links = pa.array([merge_links(x for part in p for x in part) for p in lists], field)
-            size = [pa.array([sum(x["end"] - x["start"] for x in p) for p in v], pa.int64()) for v in (spans, gone)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(b.schema.get_field_index("_id")), pa.array(spans, kind), size[0], pa.array(gone, kind), size[1],
-                 b.column(b.schema.get_field_index("_first")), links], names=schema.names)
+        for doc, s, e in (self.spans, self.gone):
+            flat = pa.StructArray.from_arrays([pa.array(s, pa.int32()), pa.array(e, pa.int32())], names=["start", "end"])
+            out += [_lists(doc, flat, n), pa.array(np.bincount(doc, e - s, n).astype(np.int64))]
+        doc, s, e, key, shift = self.links
+        named = {"start": pa.array(s, pa.int32()), "end": pa.array(e, pa.int32()), "first_doc": self.first, "first_key": pa.array(key, pa.int64()),
+                 "first_pos": pa.array(s + shift, pa.int32())}
+        return [*out, _lists(doc, pa.StructArray.from_arrays([named[f.name] for f in field], fields=list(field)), n)]
+
+
+def _lists(doc: np.ndarray, flat: pa.Array, n: int) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)), flat)
+
+
+#: rows that are merged at once
+MERGE_ROWS = 4096
+
+
+def merged_batches(batches, names: list[str]):
+    """Rows (_id, _key, _first, s, e, rs, re, links), those of a document one after another, to one row a document.  Memory
+    is that of ``MERGE_ROWS`` rows and of what remains of one document, however many rows it has."""
+    held, done = None, None     # the last document: its row of ids, its passages
+
+    def result(ids, passages, n, field):
+        spans, size, gone, n_gone, links = passages.columns(n, field)
+        return pa.RecordBatch.from_arrays([ids.column(0), spans, size, gone, n_gone, ids.column(2), links], names=names)
+
+    field = None
+    for batch in batches:
+        for at in range(0, batch.num_rows, MERGE_ROWS):
+            rows = batch.slice(at, MERGE_ROWS)
+            field = rows.schema.field("links").type.value_type
+            key = rows.column(1).to_numpy()
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            doc, ids = np.cumsum(new) - 1, pa.RecordBatch.from_arrays(rows.columns[:3], names=rows.schema.names[:3]).take(pa.array(np.flatnonzero(new)))
+            same = held is not None and held.column(1)[0].as_py() == key[0]
+            if held is not None and not same:
+                yield result(held, done, 1, field)
+            passages, n = Passages.of(rows, doc, done if same else None), len(ids)
+            if n > 1:
+                yield result(ids.slice(0, n - 1), passages.cut(0, n - 1), n - 1, field)
+            held, done = ids.slice(n - 1), passages.cut(n - 1, n)
+    if held is not None:
+        yield result(held, done, 1, field)
 
+
+def _merged(rows: DataFrame, id_col: str) -> DataFrame:
+    """One row per document: its intervals merged, those to remove too, and its links
+    (those to the same text and shift merged).  ``rows``: as for ``merged_batches``."""
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     kind = rows.schema["_id"].dataType
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("spans", span), T.StructField("n_repeated", T.LongType()),
                            T.StructField("removable", span), T.StructField("n_removable", T.LongType()), T.StructField("first_doc", kind),
-                           T.StructField("links", rows.schema["_links"].dataType.elementType)])
-    return rows.mapInArrow(run, schema)
+                           T.StructField("links", rows.schema["links"].dataType)])
+    names = schema.names
+    return rows.mapInArrow(lambda batches: merged_batches(batches, names), schema)
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED) -> DataFrame:
@@ -223,6 +297,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
         F.when(again, p + F.col("right")).otherwise(p - F.col("rmin") + length).alias("re"),
         F.when(F.col("full") & F.col("fid").isNotNull(), F.least("rep._id", "fid")).when(F.col("full"), F.col("rep._id"))
         .otherwise(F.col("fid")).alias("_fid"), links.alias("_links"))
-    per = parts.groupBy("_key").agg(F.first("_id").alias("_id"), F.collect_set(F.struct("s", "e", "rs", "re")).alias("_parts"),
-                                    F.min("_fid").alias("_first"), F.collect_set("_links").alias("_links"))
-    return _merged(per.select("_id", "_parts", "_first", "_links"), id_col)
+    # a document's parts are collected without repeats, then sent on row by row: a batch is bounded by its rows
+    per = parts.groupBy("_key").agg(F.first("_id").alias("_id"), F.min("_fid").alias("_first"),
+                                    F.collect_set(F.struct("s", "e", "rs", "re", F.col("_links").alias("links"))).alias("_parts"))
+    return _merged(per.select("_id", "_key", "_first", F.inline("_parts")), id_col)

@@ -332,6 +332,59 @@ def test_passage_links_lose_no_pair(spark):
     assert {(0, 2), (1, 2)} <= got and got == want
 
 
+def merge_input(rows):
+    import pyarrow as pa
+    link = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("first_doc", pa.string()), ("first_key", pa.int64()), ("first_pos", pa.int32())])
+    return pa.RecordBatch.from_pylist(rows, pa.schema([("_id", pa.string()), ("_key", pa.int64()), ("_first", pa.string()), *((c, pa.int32()) for c in ("s", "e", "rs", "re")),
+                                                       ("links", pa.list_(link))]))
+
+
+def test_passages_of_a_document_merge_across_batches(monkeypatch):
+    monkeypatch.setattr(suffixes, "MERGE_ROWS", 3)
+    rng, rows = random.Random(1), []
+    for d in range(9):
+        for _ in range(rng.randint(1, 12)):
+            s = rng.randint(0, 60)
+            links = [{"start": s, "end": s + rng.randint(1, 9), "first_doc": f"k{k}" if k else None, "first_key": k, "first_pos": s + rng.randint(0, 2)} for k in rng.choices(range(3), k=rng.randint(0, 4))]
+            gone = (s, s + 2) if rng.random() < .5 else (None, None)
+            rows.append({"_id": f"d{d}" if d else None, "_key": d, "_first": "a", "s": s, "e": s + rng.randint(1, 9), "rs": gone[0], "re": gone[1], "links": links})
+    names = ["doc_id", "spans", "n_repeated", "removable", "n_removable", "first_doc", "links"]
+    got = [r for b in suffixes.merged_batches([merge_input(rows[:7]), merge_input([]), merge_input(rows[7:])], names) for r in b.to_pylist()]
+    assert [r["doc_id"] for r in got] == [None, *(f"d{d}" for d in range(1, 9))]
+
+    def merged(pairs):
+        out = []
+        for s, e in sorted(pairs):
+            if out and s <= out[-1][1]:
+                out[-1][1] = max(out[-1][1], e)
+            else:
+                out.append([s, e])
+        return out
+
+    for d, r in enumerate(got):
+        mine = [x for x in rows if x["_key"] == d]
+        spans, gone = merged((x["s"], x["e"]) for x in mine), merged((x["rs"], x["re"]) for x in mine if x["rs"] is not None)
+        assert [[x["start"], x["end"]] for x in r["spans"]] == spans and r["n_repeated"] == sum(e - s for s, e in spans)
+        assert [[x["start"], x["end"]] for x in r["removable"]] == gone and r["n_removable"] == sum(e - s for s, e in gone)
+        by = defaultdict(list)
+        for x in (y for m in mine for y in m["links"]):
+            by[x["first_key"], x["first_pos"] - x["start"]].append((x["start"], x["end"]))
+        want = sorted((s, e, k, s + shift, f"k{k}" if k else None) for (k, shift), pairs in by.items() for s, e in merged(pairs))
+        assert sorted((x["start"], x["end"], x["first_key"], x["first_pos"], x["first_doc"]) for x in r["links"]) == want
+        assert [(x["start"], x["end"], x["first_key"], x["first_pos"]) for x in r["links"]] == [x[:4] for x in want]
+
+
+def test_merging_passages_needs_memory_for_some_rows_only():
+    import tracemalloc
+    link = [{"start": i, "end": i + 50, "first_doc": "x", "first_key": i, "first_pos": 3} for i in range(30)]
+    batch = merge_input([{"_id": "d", "_key": 5, "_first": "x", "s": i, "e": i + 50, "rs": None, "re": None, "links": link} for i in range(10_000)])
+    tracemalloc.start()
+    out = list(suffixes.merged_batches((batch for _ in range(4)), [f"c{i}" for i in range(7)]))   # 1.2 million links of one document
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 1 and len(out[0]["c6"][0]) == 30 and peak < 40e6
+
+
 # ---- 7: language model -------------------------------------------------
 def test_recursions_match_plain_baum_welch():
     rng = np.random.default_rng(0)
