@@ -178,3 +178,60 @@ def test_blocks_damp_only_the_terms_they_share():
         assert np.allclose(w[:, 0] / damping, (csr.transposed_times(alpha * y))[:, 0])
     # each alpha is at its minimum: alpha (damped square + 1 / 2C) = 1
     assert np.allclose(got["alone"], 1 / 1.5) and np.allclose(got["shared"], [1 / 1.5, 1 / 2.5])
+
+
+def block_input(rows, y):
+    import pyarrow as pa
+    sizes = np.array([len(r) for r in rows])
+    return pa.record_batch({"keys": pa.array([sorted(r) for r in rows], pa.list_(pa.int64())), "y": pa.array(y, pa.list_(pa.int32())),
+                            "values": pa.array([[r[k] for k in sorted(r)] for r in rows], pa.list_(pa.float64()))}) if len(sizes) else None
+
+
+def test_a_block_is_solved_whatever_most_rows_share():
+    """The constant and a few common terms make the problem ill-conditioned: a few steps must do, with several strips of rows."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for _ in range(300):
+        r = {int(k): rng.random() + .1 for k in rng.choice(60, 6, replace=False) + 10} | {k: 1.0 for k in range(3)}
+        norm = np.sqrt(sum(x * x for x in r.values()))
+        rows.append({-1: 1.0} | {k: x / norm for k, x in r.items()})
+    y = [[int(rng.random() < .2), int(rng.random() < .5), None] for _ in rows]
+    block, costs = linear.Block(3, np.array([0.5, 4.0])), np.array([0.5, 4.0])
+    steps, old = [0], linear.Rows.transposed_times
+    for a in range(0, 300, 97):
+        block.documents(block_input(rows[a:a + 97], y[a:a + 97]))
+    try:
+        linear.Rows.transposed_times = lambda *a: steps.__setitem__(0, steps[0] + 1) or old(*a)
+        keys, w, _, _ = block.solved(1e-4)
+    finally:
+        linear.Rows.transposed_times = old
+    a = np.zeros((300, len(keys)))
+    for i, r in enumerate(rows):
+        for k, x in r.items():
+            a[i, np.flatnonzero(keys == k)[0]] = x
+    for slot in range(2):
+        sign = np.array([2.0 * t[slot] - 1 for t in y])
+        for j, c in enumerate(costs):
+            assert np.allclose(a @ w[:, slot * 2 + j], a @ minimum(a, sign, c), atol=2e-3)
+    assert not w[:, 4:].any() and steps[0] < 60
+
+
+def test_a_shared_block_has_the_minimum_of_the_damped_problem():
+    import pyarrow as pa
+    block = linear.Block(1, np.array([1.0]))
+    none = pa.nulls(4, pa.list_(pa.float64()))
+    block.dense(pa.record_batch({"key": pa.array([4, 1, 2, 3], pa.int64()), "holders": pa.array([2, 1, 1, 2], pa.int64()), "vec": none, "own": none}))
+    block.documents(block_input([{1: .6, 2: .8}, {3: .8, 4: .6}], [[1], [0]]))
+    keys, w, moved, size = block.solved(1e-6)
+    got = dict(zip(keys.tolist(), w[:, 0]))       # alpha times y times x, with the alpha of test_blocks_damp_only_the_terms_they_share
+    want = {1: .6 / 1.5, 2: .8 / 1.5, 3: -.8 / 2.5, 4: -.6 / 2.5}
+    assert all(np.isclose(got[k], x, atol=1e-5) for k, x in want.items()) and size == 0 and np.isclose(moved, sum(x * x for x in want.values()), atol=1e-5)
+
+
+def test_units_of_one_block_take_one_round(spark, texts, monkeypatch):
+    gold = spark.createDataFrame([("Root", f"c{j}", i, int(i % 3 == j), "train") for i in range(12) for j in range(3)],
+                                 "parent string, child string, id long, y int, split string")
+    monkeypatch.setattr(linear, "add_vectors", lambda *a: pytest.fail("a round of sums"))
+    with sparse.tfidf_rows(texts, "id", "text") as (features, _):
+        with linear.trained(gold, features, [1.0]) as (weights, _, blocks):
+            assert blocks.needs.isEmpty() and weights.count() > 0
